@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import packing, quality_rules, ranking, tokenfile
+from . import packing, personal, quality_rules, ranking, tokenfile
 from .common import table
 
 
@@ -31,6 +32,11 @@ def op7_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.with_crc32(tokenfile.read_tokens(spark, out))
 
 
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = personal.find(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", *(f"n_{k}" for k in personal.KINDS), F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_quality_classifier, op5_packing, op6_quality_rules, op7_token_file)
+    f.__name__: f for f in (op2_quality_classifier, op5_packing, op6_quality_rules, op7_token_file, op10_personal_data)
 }
