@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, personal, quality_rules, ranking, tokenfile
+from . import packing, personal, quality_rules, ranking, tokenfile, urlfilter
 from .common import table
 
 
@@ -16,6 +16,15 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.classify(docs, ranking.train(docs, table(spark, sf_dir, "labels")))
 
 
+#: Host and path prefix, verdict.
+URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").select("doc_id", ((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int").alias("bad"))
+    return urlfilter.judge(table(spark, sf_dir, "pages"), URL_RULES, labels)
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = packing.with_crc32(packing.pack(table(spark, sf_dir, "documents")))
     return rows.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -38,5 +47,5 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_quality_classifier, op5_packing, op6_quality_rules, op7_token_file, op10_personal_data)
+    f.__name__: f for f in (op2_quality_classifier, op4_url_filter, op5_packing, op6_quality_rules, op7_token_file, op10_personal_data)
 }
