@@ -2,48 +2,80 @@
 
 The tokenizer's normaliser and pre-tokenizer never look across a space or a line feed, so a
 text's ids are those of its chunks one after the other. Running text repeats most of its
-chunks; their ids are kept in a bounded dictionary and each new chunk is encoded once.
+chunks; their ids are kept in a bounded dictionary and each new chunk is encoded once. A new
+chunk of Latin letters, digits and ASCII signs is cut into the pre-tokenizer's pieces here and
+only a piece not seen before goes to the tokenizer's model; any other chunk goes through the
+whole tokenizer.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterable
 
 import numpy as np
 
-#: Chunks kept at once, and the longest that is kept: at most about 100 MB in a worker.
-KEPT_CHUNKS, KEPT_CHARS = 400_000, 48
+#: Chunks and pieces kept at once and the longest that is kept: under 200 MB in a worker.
+KEPT_CHUNKS, KEPT_PIECES, KEPT_CHARS = 400_000, 300_000, 48
+
+# The pre-tokenizer's pattern, written for lower-case text of the letters below
+# with one chunk on a line.
+_PLAIN = re.compile(r"(?!.*<\|)[!-~\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F]+\Z").match
+_PIECES = re.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00DF-\u00F6\u00F8-\u012F]+|[0-9]|[^a-z0-9\u00DF-\u00F6\u00F8-\u012F\n]+").findall
+#: Stands for a line's end among ids; no id has these four bytes, whole or across two ids.
+_MARK = b"\xff\xff\xff\xff"
+
+
+def _trim(kept: dict, most: int) -> None:
+    """Drops the older half of a full dictionary; what is still in use comes back once."""
+    if len(kept) > most:
+        for key in list(kept)[: len(kept) // 2]:
+            del kept[key]
 
 
 class ChunkEncoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._known: dict[str, bytes] = {}
-
-    def _encode(self, chunks: list[str]) -> list[bytes]:
-        done = self._tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
-        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in done]
+        as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        letters = [*range(0x21, 0x7F), *range(0xDF, 0x130)]
+        self._letters = {c: as_bytes.pre_tokenize_str(chr(c))[0][0] for c in letters}
+        self._chunks: dict[str, bytes] = {}
+        self._pieces: dict[str, bytes] = {}
+
+    def _encode_plain(self, chunks: list[str]) -> list[bytes]:
+        pieces, tokenize, letters = self._pieces, self._tokenizer.model.tokenize, self._letters
+        pieces["\n"] = _MARK
+        found = _PIECES("\n".join(chunks).lower())
+        for piece in set(found).difference(pieces):
+            pieces[piece] = b"".join([t.id.to_bytes(4, "little") for t in tokenize(piece.translate(letters))])
+        done = b"".join(map(pieces.__getitem__, found)).split(_MARK)
+        _trim(pieces, KEPT_PIECES)
+        return done
 
     def __call__(self, texts: Iterable[str], tail: bytes = b"") -> list[bytes]:
         """Little-endian 32-bit ids of each text, each followed by `tail`."""
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self._known
-        if len(known) > KEPT_CHUNKS:
-            known.clear()
+        known = self._chunks
         known[""] = b""
-        new = list({c for words in split for c in words if c not in known})
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            known.update(zip(part, self._encode(part), strict=True))
-        out = [b"".join([known[c] for c in words]) + tail for words in split]
-        for c in new:
-            if len(c) > KEPT_CHARS:
-                del known[c]
-        return out
+        for at in range(0, len(split), 500):
+            new = set().union(*split[at : at + 500]).difference(known)
+            plain = [c for c in new if _PLAIN(c)]
+            if plain:
+                known.update(zip(plain, self._encode_plain(plain), strict=True))
+            for c in new.difference(plain):
+                known[c] = np.asarray(self._tokenizer.encode(c, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            for i in range(at, min(at + 500, len(split))):
+                split[i] = b"".join(map(known.__getitem__, split[i])) + tail
+            for c in new:
+                if len(c) > KEPT_CHARS:
+                    del known[c]
+            _trim(known, KEPT_CHUNKS)
+            known[""] = b""
+        return split
 
 
 _encoders: dict[str, ChunkEncoder] = {}
