@@ -48,3 +48,16 @@ def partitions(spark: SparkSession) -> int:
 def ascii_lower(text: Column) -> Column:
     """A-Z only; other letters keep their case."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+#: Rows of at most a few longs each that may be broadcast: under 64 MB.
+BROADCAST_ROWS = 1_000_000
+
+
+def bounded(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """The same rows, with a broadcast hint if they were counted and are few enough.
+
+    Beyond the bound the join that uses them shuffles both sides. Give rows that are cheap to
+    count, such as a written table.
+    """
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, personal, quality_rules, ranking, tokenfile, urlfilter
+from . import decontaminate, packing, personal, quality_rules, ranking, tokenfile, urlfilter
 from .common import table
 
 
@@ -16,6 +16,12 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.classify(docs, ranking.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
+    return rows.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest, "contaminated")
+
+
 #: Host and path prefix, verdict.
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
 
@@ -47,5 +53,5 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_quality_classifier, op4_url_filter, op5_packing, op6_quality_rules, op7_token_file, op10_personal_data)
+    f.__name__: f for f in (op2_quality_classifier, op3_decontamination, op4_url_filter, op5_packing, op6_quality_rules, op7_token_file, op10_personal_data)
 }

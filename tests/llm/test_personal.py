@@ -4,6 +4,7 @@ import re
 from folioflow.llm import personal, queries
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tests.conftest import SMALL
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
@@ -38,7 +39,7 @@ def test_long_runs_take_linear_time():
 
 
 def test_query_against_brute_force(spark):
-    d = "/root/testdata/sf0.01"
+    d = SMALL
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{d}/documents.parquet").collect()}
     rows = {r.doc_id: r for r in queries.op10_personal_data(spark, d).collect()}
     assert rows.keys() == docs.keys()
