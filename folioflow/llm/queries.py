@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, personal, quality_rules, ranking, tokenfile, urlfilter
+from . import decontaminate, neardup, packing, personal, quality_rules, ranking, tokenfile, urlfilter
 from .common import table
 
 
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return ranking.classify(docs, ranking.train(docs, table(spark, sf_dir, "labels")))
@@ -53,5 +57,5 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_quality_classifier, op3_decontamination, op4_url_filter, op5_packing, op6_quality_rules, op7_token_file, op10_personal_data)
+    f.__name__: f for f in (op1_near_duplicates, op2_quality_classifier, op3_decontamination, op4_url_filter, op5_packing, op6_quality_rules, op7_token_file, op10_personal_data)
 }
