@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, neardup, packing, personal, quality_rules, ranking, tokenfile, urlfilter
+from . import decontaminate, mainhtml, neardup, packing, personal, quality_rules, ranking, tokenfile, urlfilter
 from .common import table
 
 
@@ -51,11 +51,16 @@ def op7_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.with_crc32(tokenfile.read_tokens(spark, out))
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mainhtml.main_text(table(spark, sf_dir, "pages"))
+    return rows.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = personal.find(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", *(f"n_{k}" for k in personal.KINDS), F.sha2("base_spans", 256).alias("base_sha256"), "spans")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_near_duplicates, op2_quality_classifier, op3_decontamination, op4_url_filter, op5_packing, op6_quality_rules, op7_token_file, op10_personal_data)
+    f.__name__: f for f in (op1_near_duplicates, op2_quality_classifier, op3_decontamination, op4_url_filter, op5_packing, op6_quality_rules, op7_token_file, op9_html_extraction, op10_personal_data)
 }
