@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mainhtml, neardup, packing, personal, quality_rules, ranking, tokenfile, urlfilter
+from . import decontaminate, mainhtml, neardup, packing, personal, quality_rules, ranking, substrings, tokenfile, urlfilter
 from .common import table
 
 
@@ -51,6 +51,11 @@ def op7_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.with_crc32(tokenfile.read_tokens(spark, out))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = substrings.without_repeats(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mainhtml.main_text(table(spark, sf_dir, "pages"))
     return rows.withColumn("n_chars", F.length("text").cast("long"))
@@ -62,5 +67,5 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_near_duplicates, op2_quality_classifier, op3_decontamination, op4_url_filter, op5_packing, op6_quality_rules, op7_token_file, op9_html_extraction, op10_personal_data)
+    f.__name__: f for f in (op1_near_duplicates, op2_quality_classifier, op3_decontamination, op4_url_filter, op5_packing, op6_quality_rules, op7_token_file, op8_substring_dedup, op9_html_extraction, op10_personal_data)
 }
