@@ -5,10 +5,396 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .. import schemas
+from ..functions import text as T
+from ..functions import urls as U
+from ..operators import classifier, downloads, papers, report, resultlog
+from . import views
+from .views import Views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+#: What an evaluation key is made of besides the file's hash.
+MODEL, EFFORT, PIPELINE, PROMPT = "model-a", "medium", "whole-paper-1", "0" * 64
+
+
+def query(sql: str | None = None):
+    def register(f: Callable[[Views], DataFrame]):
+        QUERIES[f.__name__] = lambda spark, sf_dir: f(Views(spark, sf_dir))
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return register
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").groupBy("lang").count()
+    """Pages to normalised, reference-free, labelled contexts to a decision for each paper."""
+    return classifier.classify(papers.strip_references(_normal(Views(spark, sf_dir).papers_with_references())))
+
+
+def _normal(pages: DataFrame) -> DataFrame:
+    return pages.select("paper", "page", T.normalise_white(F.col("text")).alias("text"))
+
+
+_MESSY = "messy AS (SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN replace(text, ' ', '  ') WHEN 1 THEN replace(text, chr(10), ' ' || chr(10) || chr(10) || chr(10)) ELSE text END AS t FROM documents)"
+
+
+@query(f"WITH {_MESSY} SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(t, '[ \\t]+', ' ', 'g'), '(?m) +$', '', 'g'), '\\n{{3,}}', chr(10) || chr(10), 'g'), ' ' || chr(10)) AS text FROM messy")
+def whitespace_normalize(v: Views) -> DataFrame:
+    way, text = F.col("doc_id") % 3, F.col("text")
+    messy = F.when(way == 0, F.replace(text, F.lit(" "), F.lit("  "))).when(way == 1, F.replace(text, F.lit("\n"), F.lit(" \n\n\n"))).otherwise(text)
+    return v.table("documents").select("doc_id", T.normalise_white(messy).alias("text"))
+
+
+@query(f"WITH {views.PAPERS} SELECT paper, CAST(sum(length(regexp_replace(text, '[^\\p{{L}}]', '', 'g'))) AS BIGINT) AS letters, sum(length(regexp_replace(text, '[^\\p{{L}}]', '', 'g'))) >= 100 AS usable FROM papers GROUP BY paper")
+def letter_count_filter(v: Views) -> DataFrame:
+    return papers.usable(v.papers())
+
+
+_CTX = "string_agg('[PAGE ' || page || ']' || chr(10) || text || chr(10) || '[END PAGE ' || page || ']', chr(10) || chr(10) ORDER BY page)"
+
+
+@query(f"WITH {views.PAPERS} SELECT paper, {_CTX} AS context FROM papers WHERE trim(text) <> '' GROUP BY paper")
+def page_context(v: Views) -> DataFrame:
+    return papers.context(v.papers()).select("paper", "context")
+
+
+@query(f"WITH {views.PAPERS} SELECT paper, count(*) AS pages_sent, CAST(sum(length(text)) AS BIGINT) AS characters_sent FROM papers WHERE trim(text) <> '' GROUP BY paper")
+def pages_chars_sent(v: Views) -> DataFrame:
+    return papers.context(v.papers()).select("paper", "pages_sent", "characters_sent")
+
+
+# The pages of the view have their headings at known places, so SQL can say directly what is cut.
+_STRIP = (
+    f"{views.REFS}, s0 AS (SELECT *, CASE WHEN regexp_matches(text, '(?m)^References$') THEN length(regexp_extract(text, '(?sm)\\A(.*)^References$', 1)) END AS hoff FROM refs), "
+    "s1 AS (SELECT *, max(CASE WHEN hoff IS NOT NULL THEN page END) OVER (PARTITION BY paper) AS sp FROM s0), s2 AS (SELECT *, CASE WHEN page = sp THEN hoff ELSE 0 END AS off FROM s1), "
+    "s3 AS (SELECT *, substr(text, off + 1) AS tail FROM s2), s4 AS (SELECT *, CASE WHEN regexp_matches(tail, '(?m)^Appendix') THEN length(regexp_extract(tail, '(?sm)\\A(.*?)^Appendix', 1)) END AS rpos FROM s3), "
+    "s5 AS (SELECT *, min(CASE WHEN page >= sp AND rpos IS NOT NULL THEN page END) OVER (PARTITION BY paper) AS rp, coalesce(rpos, length(tail)) AS cut FROM s4), "
+    "s6 AS (SELECT *, CASE WHEN regexp_matches(substr(tail, 1, cut), '(?m)^Fig\\. \\d') THEN length(regexp_extract(substr(tail, 1, cut), '(?sm)\\A(.*?)^Fig\\. \\d', 1)) END AS cap FROM s5), "
+    "stripped AS (SELECT paper, page, CASE WHEN sp IS NULL OR page < sp OR (rp IS NOT NULL AND page > rp) THEN text ELSE trim(rtrim(substr(text, 1, off), ' ' || chr(10)) || chr(10) || chr(10) || substr(tail, coalesce(cap, cut) + 1), ' ' || chr(10)) END AS text FROM s6)"
+)
+
+
+@query(f"WITH {_STRIP} SELECT paper, page, text FROM stripped")
+def strip_references(v: Views) -> DataFrame:
+    return papers.strip_references(v.papers_with_references())
+
+
+_WORDS = "list_distinct(regexp_extract_all(lower({}), '[a-z]+'))"
+
+
+@query(f"SELECT doc_id, CAST(len({_WORDS.format('text')}) AS INT) AS n, list_aggregate(list_sort({_WORDS.format('text')}), 'string_agg', ' ') AS words FROM documents WHERE regexp_matches(lower(text), '[a-z]')")
+def word_sets(v: Views) -> DataFrame:
+    words = T.word_set(F.col("text"))
+    return v.table("documents").where(F.lower("text").rlike("[a-z]")).select("doc_id", F.size(words).alias("n"), F.array_join(F.array_sort(words), " ").alias("words"))
+
+
+_LONG = f"list_filter({_WORDS.format('abstract')}, lambda w: length(w) >= 5)"
+
+
+@query(
+    "WITH d AS (SELECT a.doc_id, substr(CASE WHEN a.doc_id % 5 = 0 THEN b.text ELSE a.text END, 1, 600) AS abstract, a.text FROM documents a LEFT JOIN documents b ON b.doc_id = a.doc_id + 1), "
+    f"w AS (SELECT doc_id, {_LONG} AS aw, {_WORDS.format('text')} AS tw FROM d) SELECT doc_id, CASE WHEN len(aw) >= 20 THEN len(list_intersect(aw, tw)) / len(aw) END AS overlap FROM w"
+)
+def abstract_overlap_self(v: Views) -> DataFrame:
+    docs = v.table("documents").select("doc_id", "text")
+    after = docs.select((F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("next"))
+    abstract = F.substring(F.when(F.col("doc_id") % 5 == 0, F.col("next")).otherwise(F.col("text")), 1, 600)
+    return docs.join(after, "doc_id", "left").select("doc_id", T.overlap(abstract, F.col("text")).alias("overlap"))
+
+
+@query(
+    f"WITH b AS (SELECT item_id, list_filter({_WORDS.format('text')}, lambda w: length(w) >= 5) AS bw FROM benchmark), d AS (SELECT doc_id, {_WORDS.format('text')} AS dw FROM documents) "
+    "SELECT item_id, doc_id, len(list_intersect(bw, dw)) / len(bw) AS overlap FROM b, d WHERE len(bw) >= 20 AND len(list_intersect(bw, dw)) / len(bw) >= 0.6"
+)
+def abstract_overlap_cross(v: Views) -> DataFrame:
+    """Items against all documents by an inverted join on words: no pair is made without a shared word."""
+    long = F.filter(T.word_set(F.col("text")), lambda w: F.length(w) >= T.LONG_WORD)
+    items = v.table("benchmark").select("item_id", long.alias("words")).where(F.size("words") >= T.LEAST_ABSTRACT_WORDS)
+    items = items.select("item_id", F.size("words").alias("n"), F.explode_outer("words").alias("word"))
+    docs = v.table("documents").select("doc_id", F.explode_outer(T.word_set(F.col("text"))).alias("word"))
+    shared = docs.join(items, "word").groupBy("item_id", "doc_id", "n").agg(F.count("*").alias("shared"))
+    return shared.select("item_id", "doc_id", (F.col("shared") / F.col("n")).alias("overlap")).where(F.col("overlap") >= T.LEAST_OVERLAP)
+
+
+@query("SELECT sha256(text) AS digest, count(*) AS copies, min(doc_id) AS first_id FROM documents GROUP BY 1 HAVING count(*) > 1")
+def content_hash_dupes(v: Views) -> DataFrame:
+    return v.table("documents").groupBy(T.sha256(F.col("text")).alias("digest")).agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_id")).where("copies > 1")
+
+
+@query(f"""SELECT doc_id, sha256('{{"model": "{MODEL}", "pdf_sha256": "' || sha256(text) || '", "pipeline_version": "{PIPELINE}", "prompt_sha256": "{PROMPT}", "reasoning_effort": "{EFFORT}"}}') AS key FROM documents""")
+def evaluation_key(v: Views) -> DataFrame:
+    return v.table("documents").select("doc_id", T.evaluation_key(T.sha256(F.col("text")), MODEL, EFFORT, PIPELINE, PROMPT).alias("key"))
+
+
+@query("SELECT page_id, lower(regexp_replace(regexp_replace(regexp_extract(url, '^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)', 1), '^.*@', ''), ':[0-9]*$', '')) AS host, regexp_extract(url, '^(?:(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//[^/?#]*)?([^?#]*)', 1) AS path FROM pages")
+def url_host_path(v: Views) -> DataFrame:
+    return v.table("pages").select("page_id", U.host(F.col("url")).alias("host"), U.path(F.col("url")).alias("path"))
+
+
+@query(f"WITH {views.LINKS} SELECT bibcode, class, url FROM routed WHERE of_link = 1")
+def candidate_urls_routed(v: Views) -> DataFrame:
+    rows = v.links().select("bibcode", F.explode("links_data").alias("link")).select("bibcode", U.route(F.col("link"), F.col("bibcode")).alias("r"))
+    return rows.where("r is not null").select("bibcode", "r.class", "r.url")
+
+
+@query(f"WITH {views.LINKS} SELECT bibcode, CAST(min(ord) AS INT) AS ord, coalesce(max(CASE WHEN url LIKE 'https://%' THEN url END), min_by(url, ord)) AS url FROM ordered GROUP BY bibcode, regexp_replace(url, '^.*?://', '')")
+def candidate_urls_dedup(v: Views) -> DataFrame:
+    return downloads.candidate_urls(v.links())
+
+
+@query(f"WITH {views.LINKS} SELECT bibcode, CASE WHEN page_id % 4 = 0 THEN '10.5/' || page_id ELSE prefix || suffix END AS doi FROM lk")
+def first_doi(v: Views) -> DataFrame:
+    return v.links().select("bibcode", U.first_doi(F.col("doi"), F.col("links_data")).alias("doi"))
+
+
+@query("SELECT page_id, false AS preprint, false AS resolver FROM pages CROSS JOIN (SELECT unnest(range(5)))")
+def lookalike_hosts(v: Views) -> DataFrame:
+    """URLs that only look like a preprint or resolver host: in path, query, user, prefix, suffix."""
+    url = F.col("url")
+    forms = F.array(F.concat(url, F.lit("/arxiv.org/abs/1")), F.concat(url, F.lit("?u=https://doi.org/10.1007/x")), F.lit("https://arxiv.org@evil.example/abs/1"), F.lit("https://notarxiv.org/abs/1"), F.lit("https://doi.org.evil.example/10.1007/x"))
+    rows = v.table("pages").select("page_id", F.explode(forms).alias("u"))
+    return rows.select("page_id", U.is_preprint_host(U.host(F.col("u"))).alias("preprint"), U.host(F.col("u")).isin(*U.DOI_HOSTS).alias("resolver"))
+
+
+@query("SELECT p_partkey, 'https://ui.adsabs.harvard.edu/abs/' || url_encode(p_name) || '/abstract' AS link FROM part")
+def record_links(v: Views) -> DataFrame:
+    return v.table("part").select("p_partkey", U.record_link(F.col("p_name")).alias("link"))
+
+
+def _triaged(v: Views) -> DataFrame:
+    a = v.attempts()
+    bot = downloads.bot_protection(F.col("http"), F.col("server"), F.array().cast("array<string>"), F.col("preprint"))
+    failure = downloads.response_failure(F.col("http"), F.col("content_type"), F.lit(False), bot)
+    return a.withColumn("f", failure).select("seq", "id", "host", "f.category", "f.error")
+
+
+@query(f"WITH {views.ATTEMPTS} SELECT seq, category, error FROM att")
+def response_triage(v: Views) -> DataFrame:
+    return _triaged(v).select("seq", "category", "error")
+
+
+@query(
+    f"WITH {views.ATTEMPTS}, r AS (SELECT id, count(*) FILTER (category IS NULL) AS wins, min(CASE category WHEN 'transient' THEN 0 WHEN 'blocked' THEN 1 ELSE 2 END) AS worst, string_agg(error, '; ' ORDER BY seq) AS errors FROM att WHERE seq % 6 <> 0 AND seq % 7 <> 3 GROUP BY id) "
+    "SELECT c.id, ['transient', 'blocked', 'permanent'][coalesce(worst, 2) + 1] AS category, coalesce(errors, CASE WHEN c.k % 2 = 0 THEN 'no open copy found' ELSE 'no candidate URL and no DOI' END) AS errors "
+    "FROM (SELECT CAST(c_custkey AS VARCHAR) AS id, c_custkey AS k FROM customer WHERE c_custkey < 400) c LEFT JOIN r USING (id) WHERE coalesce(wins, 0) = 0"
+)
+def manual_queue_rollup(v: Views) -> DataFrame:
+    attempts = _triaged(v).where("seq % 6 <> 0 and seq % 7 <> 3").withColumn("status", F.when(F.col("category").isNull(), "downloaded").otherwise("failed"))
+    jobs = v.table("customer").where("c_custkey < 400").select(F.col("c_custkey").cast("string").alias("id"), F.when(F.col("c_custkey") % 2 == 0, "d").alias("doi"))
+    return downloads.manual_queue(jobs, attempts).select("id", "category", F.array_join("errors", "; ").alias("errors"))
+
+
+@query(f"WITH {views.ATTEMPTS}, b AS (SELECT host, min(seq) AS s FROM att WHERE category = 'blocked' GROUP BY host) SELECT att.seq, att.host, coalesce(att.seq > b.s, false) AS skipped FROM att LEFT JOIN b USING (host)")
+def sticky_host_block(v: Views) -> DataFrame:
+    return downloads.sticky_blocks(_triaged(v)).select("seq", "host", "skipped")
+
+
+@query(
+    f"WITH {views.LOG}, x AS (SELECT seq, include, CASE seq % 4 WHEN 0 THEN basis WHEN 1 THEN ['REVIEW'] WHEN 2 THEN ['REVIEW', 'REVIEW'] ELSE [] END AS basis, seq % 3 > 0 AS ev FROM log) SELECT seq, concat_ws(',', CASE WHEN len(list_distinct(basis)) < len(basis) THEN 'duplicate' END, "
+    "CASE WHEN include = 'NO' AND len(basis) > 0 THEN 'no_with_basis' END, CASE WHEN include = 'YES' AND len(list_filter(basis, lambda b: b <> 'REVIEW')) = 0 THEN 'yes_without_basis' END, CASE WHEN include = 'UNCERTAIN' AND len(list_filter(basis, lambda b: b <> 'REVIEW')) > 0 THEN 'uncertain_with_basis' END, "
+    "CASE WHEN len(basis) > 0 AND NOT ev THEN 'basis_without_evidence' END, CASE WHEN ev AND seq % 5 = 0 THEN 'page' END) AS violations FROM x"
+)
+def classification_invariants(v: Views) -> DataFrame:
+    way = F.col("seq") % 4
+    basis = F.when(way == 0, F.col("basis")).when(way == 1, F.array(F.lit("REVIEW"))).when(way == 2, F.array(F.lit("REVIEW"), F.lit("REVIEW"))).otherwise(F.array().cast("array<string>"))
+    items = F.array(F.struct(F.when(F.col("seq") % 5 == 0, 0).otherwise(1).alias("page"), F.lit("x").alias("reason")))
+    evidence = F.when(F.col("seq") % 3 > 0, items).otherwise(F.array().cast(f"array<{schemas.EVIDENCE}>"))
+    return v.log().select("seq", F.array_join(schemas.classification_violations(F.col("include"), basis, evidence), ",").alias("violations"))
+
+
+@query(f"WITH {views.LOG} SELECT seq, concat_ws(',', CASE WHEN ok AND seq % 3 = 0 THEN 'classified_without' END, CASE WHEN NOT ok AND seq % 3 <> 0 THEN 'failed_with' END, CASE WHEN NOT ok AND seq % 4 = 0 THEN 'failed_without_error' END, CASE WHEN seq % 4 = 1 THEN 'blank_error' END) AS violations FROM log")
+def status_invariants(v: Views) -> DataFrame:
+    errors = F.when(F.col("seq") % 4 == 0, F.array().cast("array<string>")).when(F.col("seq") % 4 == 1, F.array(F.lit(" "))).otherwise(F.array(F.lit("e")))
+    broken = schemas.result_violations(F.when(F.col("ok"), "CLASSIFIED").otherwise("PROCESSING_FAILED"), F.col("seq") % 3 != 0, errors)
+    return v.log().select("seq", F.array_join(broken, ",").alias("violations"))
+
+
+@query(f"WITH {views.LATEST} SELECT id, seq, first_seq, key, ok, include FROM latest")
+def latest_result(v: Views) -> DataFrame:
+    return resultlog.latest(v.log()).select("id", "seq", "first_seq", "key", "ok", "include")
+
+
+_JOBS = "jobs AS (SELECT CAST(c_custkey AS VARCHAR) AS id, CAST(c_custkey % 3 AS VARCHAR) AS key FROM customer)"
+
+
+def _jobs(v: Views) -> DataFrame:
+    return v.table("customer").select(F.col("c_custkey").cast("string").alias("id"), (F.col("c_custkey") % 3).cast("string").alias("key"))
+
+
+@query(f"WITH {views.LOG}, {_JOBS} SELECT id, key FROM jobs WHERE NOT EXISTS (SELECT 1 FROM log WHERE ok AND log.id = jobs.id AND log.key = jobs.key)")
+def resume_pending(v: Views) -> DataFrame:
+    return resultlog.pending(_jobs(v), v.log()).select("id", "key")
+
+
+@query(f"WITH {views.LOG}, {_JOBS}, j AS (SELECT * FROM jobs ORDER BY id LIMIT 200) SELECT id, key FROM j WHERE NOT EXISTS (SELECT 1 FROM log WHERE ok AND log.id = j.id AND log.key = j.key)")
+def limit_before_resume(v: Views) -> DataFrame:
+    return resultlog.pending(_jobs(v), v.log(), limit=200).select("id", "key")
+
+
+@query(f"WITH {views.LATEST} SELECT count(*) FILTER (ok AND include = 'YES') AS positive, count(*) FILTER (ok AND include = 'NO') AS negative, count(*) FILTER (ok AND include = 'UNCERTAIN') AS uncertain, count(*) FILTER (NOT ok) AS failed, 0::BIGINT AS skipped FROM latest")
+def outcome_summary(v: Views) -> DataFrame:
+    return resultlog.summary(resultlog.latest(v.log()))
+
+
+_DECISION = "CASE WHEN len(basis) > 0 THEN include || ' (' || list_aggregate(basis, 'string_agg', ', ') || ')' ELSE include END"
+
+
+def _library(v: Views) -> DataFrame:
+    return v.table("customer").where("c_custkey % 3 = 0").select(F.col("c_custkey").cast("string").alias("id"))
+
+
+@query(f"WITH {views.LATEST} SELECT id, {_DECISION} AS decision, 'https://ui.adsabs.harvard.edu/abs/' || id || '/abstract' AS link FROM latest WHERE ok AND include IN ('YES', 'UNCERTAIN') AND id NOT IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_custkey % 3 = 0)")
+def review_list(v: Views) -> DataFrame:
+    rows = resultlog.review(resultlog.latest(v.log()), _library(v))
+    return rows.select("id", T.decision(F.col("include"), F.col("basis")).alias("decision"), U.record_link(F.col("id")).alias("link"))
+
+
+@query(f"WITH {views.LATEST} SELECT id FROM latest WHERE id NOT IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_custkey % 3 = 0)")
+def stale_ids(v: Views) -> DataFrame:
+    return resultlog.stale(resultlog.latest(v.log()), _library(v))
+
+
+@query(f"WITH {views.LATEST} SELECT id, seq FROM latest WHERE id IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_custkey % 3 = 0)")
+def current_results(v: Views) -> DataFrame:
+    return resultlog.current(resultlog.latest(v.log()), _library(v)).select("id", "seq")
+
+
+_CASES = "cases AS (SELECT CAST(doc_id AS VARCHAR) AS id, CASE WHEN quality = 0 THEN 'NO' WHEN toxic = 0 THEN 'YES' ELSE 'UNCERTAIN' END AS expected_include FROM labels)"
+
+
+def _cases(v: Views) -> DataFrame:
+    include = F.when(F.col("quality") == 0, "NO").when(F.col("toxic") == 0, "YES").otherwise("UNCERTAIN")
+    basis = F.when(include == "YES", F.array(F.lit("COMPANION_PAPER"), F.lit("OBSERVATIONAL_DATA"))).when(include == "UNCERTAIN", F.array(F.lit("REVIEW"))).otherwise(F.array().cast("array<string>"))
+    return v.table("labels").select(F.col("doc_id").cast("string").alias("id"), include.alias("expected_include"), basis.alias("expected_basis"))
+
+
+@query(
+    f"WITH {views.LATEST}, {_CASES}, j AS (SELECT l.*, c.expected_include AS e, CASE c.expected_include WHEN 'YES' THEN ['COMPANION_PAPER', 'OBSERVATIONAL_DATA'] WHEN 'UNCERTAIN' THEN ['REVIEW'] ELSE [] END AS eb FROM latest l JOIN cases c USING (id)) "
+    "SELECT count(*) FILTER (ok AND include = e) AS correct, count(*) FILTER (ok AND include <> e) AS incorrect, count(*) FILTER (NOT ok) AS failed, count(*) FILTER (ok AND list_sort(list_distinct(basis)) = list_sort(list_distinct(eb))) AS basis_matches, count(*) FILTER (ok) AS classified FROM j"
+)
+def relabel_score(v: Views) -> DataFrame:
+    return resultlog.accuracy(resultlog.relabel(resultlog.latest(v.log()), _cases(v)))
+
+
+@query(f"WITH {views.LOG}, q AS (SELECT DISTINCT id FROM log WHERE NOT ok) SELECT id FROM q WHERE id NOT IN (SELECT CAST(doc_id AS VARCHAR) FROM documents WHERE doc_id % 2 = 0)")
+def missing_pdfs(v: Views) -> DataFrame:
+    files = v.table("documents").where("doc_id % 2 = 0").select(F.col("doc_id").cast("string").alias("id"))
+    return v.log().where("not ok").select("id").distinct().join(files, "id", "left_anti")
+
+
+@query(
+    "SELECT doc_id FROM documents d WHERE (contains(text, 'Apache License') OR EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = d.doc_id AND l.l_partkey < 50) OR (regexp_matches(text, '\\bThe\\b') AND (contains(lower(text), 'with the') OR contains(lower(text), 'and the')) AND lang = 'en')) AND source <> 'src0' AND n_chars BETWEEN 200 AND 20000"
+)
+def discovery_predicate(v: Views) -> DataFrame:
+    """A phrase, a citation, an acronym with any of some phrases in one field; then conjuncts."""
+    from ..operators.discovery import any_phrase, discover, phrase, word
+
+    docs = v.table("documents")
+    cites = v.table("lineitem").where("l_partkey < 50").select(F.col("l_orderkey").alias("doc_id")).distinct()
+    text = F.col("text")
+    branches = [phrase(text, "Apache License"), word(text, "The") & any_phrase(text, ["with the", "and the"]) & (F.col("lang") == "en")]
+    return discover(docs, "doc_id", branches, cites, [F.col("source") != "src0", F.col("n_chars").between(200, 20000)]).select("doc_id")
+
+
+@query("SELECT o_orderkey FROM orders WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_quantity > 45)")
+def citation_semi_join(v: Views) -> DataFrame:
+    return v.table("orders").join(v.table("lineitem").where("l_quantity > 45").select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey", "left_semi").select("o_orderkey")
+
+
+_EVIDENCE = "ev AS (SELECT paper, CAST(page + (conv_id % 3) AS INT) AS page, turn AS ord, 'a | b ' || chr(10) || ' ' || turn AS reason FROM papers)"
+
+
+def _evidence(v: Views) -> DataFrame:
+    return v.papers().select("paper", (F.col("page") + F.col("conv_id") % 3).cast("int").alias("page"), F.col("turn").alias("ord"), F.concat(F.lit("a | b \n "), F.col("turn").cast("string")).alias("reason"))
+
+
+@query(f"WITH {views.PAPERS}, {_EVIDENCE} SELECT paper, coalesce(string_agg(CAST(page AS VARCHAR), ',' ORDER BY page) FILTER (bad), '') AS invented FROM (SELECT DISTINCT e.paper, e.page, p.page IS NULL AS bad FROM ev e LEFT JOIN papers p ON p.paper = e.paper AND p.page = e.page AND trim(p.text) <> '') GROUP BY paper")
+def evidence_pages_subset(v: Views) -> DataFrame:
+    rows = papers.invented_pages(_evidence(v), v.papers())
+    return rows.select("paper", F.array_join(F.transform("invented", lambda p: p.cast("string")), ",").alias("invented"))
+
+
+@query(f"WITH {views.PAPERS}, {_EVIDENCE} SELECT paper, replace(trim(regexp_replace(string_agg('p' || page || ': ' || reason, '; ' ORDER BY ord), '\\s+', ' ', 'g')), '|', '/') AS evidence FROM ev GROUP BY paper")
+def evidence_render(v: Views) -> DataFrame:
+    return papers.render_evidence(_evidence(v))
+
+
+@query(
+    f"WITH {views.LATEST}, t AS (SELECT count(*) AS n, count(*) FILTER (ok AND include = 'YES') AS p, count(*) FILTER (ok AND include = 'NO') AS g, count(*) FILTER (ok AND include = 'UNCERTAIN') AS u, count(*) FILTER (NOT ok) AS f FROM latest), "
+    f"r AS (SELECT first_seq, '| `' || id || '` | ' || CASE WHEN ok THEN {_DECISION} ELSE '-' END || ' | ' || CASE WHEN ok THEN 'CLASSIFIED' ELSE 'PROCESSING_FAILED' END || ' |' AS line FROM latest) "
+    "SELECT 0 AS section, 0::BIGINT AS ord, '# Paper classification report' AS line UNION ALL SELECT 1, 0, '- Results: ' || n || ' papers' FROM t UNION ALL SELECT 1, 1, '- Positive: ' || p FROM t UNION ALL SELECT 1, 2, '- Negative: ' || g FROM t UNION ALL SELECT 1, 3, '- Uncertain: ' || u FROM t UNION ALL SELECT 1, 4, '- Failed: ' || f FROM t "
+    "UNION ALL SELECT 2, -2, '| Paper | Decision | Status |' UNION ALL SELECT 2, -1, '|---|---|---|' UNION ALL SELECT 2, first_seq, line FROM r"
+)
+def report_lines(v: Views) -> DataFrame:
+    return report.lines(resultlog.latest(v.log()))
+
+
+@query("SELECT lower(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1)) AS dir, count(*) AS files, CAST(sum(length(html)) AS BIGINT) AS chars, count(*) FILTER (page_id % 7 = 0) AS failed FROM pages GROUP BY 1")
+def prepare_groups(v: Views) -> DataFrame:
+    return v.table("pages").groupBy(U.host(F.col("url")).alias("dir")).agg(F.count("*").alias("files"), F.sum(F.length("html")).alias("chars"), F.count_if(F.col("page_id") % 7 == 0).alias("failed"))
+
+
+@query(
+    "SELECT 'p' || page_id AS bibcode, CASE WHEN page_id % 3 > 0 THEN url || ' ' ELSE '' END || 'https://pmc-oa-opendata.s3.amazonaws.com/PMC' || page_id || '.1/PMC' || page_id || '.1.pdf' AS urls FROM pages"
+)
+def oa_locations_flatten(v: Views) -> DataFrame:
+    url, n = F.col("url"), F.col("page_id").cast("string")
+
+    def location(is_oa, pdf, landing):
+        return F.struct(is_oa.alias("is_oa"), pdf.alias("pdf_url"), landing.alias("landing_page_url"))
+
+    landing = F.concat(F.lit("https://pmc.example/pmc/articles/PMC"), n, F.lit("/"))
+    locations = F.array(location(F.col("page_id") % 3 > 0, url, landing), location(F.lit(True), F.concat(F.lit("https://doi.org/10.1/"), n), F.lit(None).cast("string")), location(F.lit(False), F.lit("https://closed.example/x.pdf"), F.lit("https://pmc.example/articles/9")), location(F.col("page_id") % 3 > 0, url, landing))
+    return v.table("pages").select(F.concat(F.lit("p"), n).alias("bibcode"), F.array_join(U.open_locations(locations, F.lit(None).cast("string")), " ").alias("urls"))
+
+
+@query(f"WITH {views.LATEST}, mid AS (SELECT max(seq) / 2 AS m FROM log), o AS (SELECT DISTINCT id, 'old' AS category FROM log, mid WHERE seq < m AND NOT ok), n AS (SELECT l.id, l.ok FROM latest l, mid WHERE l.seq >= m) SELECT id, category FROM o WHERE id NOT IN (SELECT id FROM n) UNION ALL SELECT id, 'new' FROM n WHERE NOT ok")
+def queue_upsert(v: Views) -> DataFrame:
+    log = v.log()
+    middle = F.broadcast(log.agg((F.max("seq") / 2).alias("m")))  # one row
+    queue = log.join(middle).where("seq < m and not ok").select("id", F.lit("old").alias("category")).distinct()
+    return resultlog.upsert(queue, resultlog.latest(log).join(middle).where("seq >= m").select("id", "ok", F.lit("new").alias("category")))
+
+
+@query("SELECT d.doc_id, CASE WHEN d.doc_id % 4 = 0 THEN 'absent' WHEN NOT regexp_matches(text, '^[A-Z]') THEN 'rejected' WHEN d.doc_id % 5 = 0 THEN 'conflict' ELSE 'valid' END AS state FROM documents d")
+def existing_file_triage(v: Views) -> DataFrame:
+    expected = F.when(F.col("doc_id") % 5 == 0, "0").otherwise(T.sha256(F.col("text")))
+    state = downloads.existing_file(F.col("doc_id") % 4 != 0, F.col("text").rlike("^[A-Z]"), T.sha256(F.col("text")) == expected)
+    return v.table("documents").select("doc_id", state.alias("state"))
+
+
+@query(f"WITH {views.ATTEMPTS}, w AS (SELECT id, min(CASE WHEN category IS NULL THEN seq END) AS won FROM att GROUP BY id), j AS (SELECT CAST(id AS BIGINT) AS k, CASE WHEN CAST(id AS BIGINT) % 11 = 0 THEN 'existing' WHEN CAST(id AS BIGINT) % 11 = 1 THEN 'conflict' WHEN won IS NOT NULL THEN 'downloaded' ELSE 'failed' END AS s FROM w) SELECT count(*) AS records, count(*) FILTER (s = 'existing') AS existing, count(*) FILTER (s IN ('downloaded', 'failed')) AS attempted, count(*) FILTER (s = 'downloaded') AS downloaded, count(*) FILTER (s = 'failed') + count(*) FILTER (s = 'conflict') AS failed FROM j")
+def download_summary(v: Views) -> DataFrame:
+    won = _triaged(v).groupBy("id").agg(F.bool_or(F.col("category").isNull()).alias("won"))
+    n = F.col("id").cast("long") % 11
+    return downloads.summary(won.select("id", F.when(n == 0, "existing").when(n == 1, "conflict").when(F.col("won"), "downloaded").otherwise("failed").alias("state")))
+
+
+@query(f"WITH {views.ATTEMPTS}, w AS (SELECT id, min(CASE WHEN category IS NULL THEN seq END) AS won FROM att GROUP BY id) SELECT att.seq, att.id FROM att JOIN w USING (id) WHERE won IS NULL OR att.seq <= won")
+def first_success(v: Views) -> DataFrame:
+    rows = _triaged(v).withColumn("status", F.when(F.col("category").isNull(), "downloaded").otherwise("failed"))
+    return downloads.first_success(rows).select("seq", "id")
+
+
+_HITS = "regexp_matches(text, '(?i)\\b(?:the|der|que|les)\\b')"
+
+
+@query(
+    f"WITH {views.PAPERS}, h AS (SELECT paper, count(*) FILTER ({_HITS}) AS h, coalesce(string_agg('p' || page || ': TERM', '; ' ORDER BY page) FILTER ({_HITS}), '') AS evidence FROM papers WHERE trim(text) <> '' GROUP BY paper) "
+    "SELECT paper, CASE WHEN h >= 2 THEN 'YES' WHEN h = 1 THEN 'UNCERTAIN' ELSE 'NO' END AS include, CASE WHEN h >= 2 THEN 'OBSERVATIONAL_DATA' WHEN h = 1 THEN 'REVIEW' ELSE '' END AS basis, evidence FROM h"
+)
+def classify_udf(v: Views) -> DataFrame:
+    rows = classifier.classify(v.papers().select("paper", "page", "text"))
+    return rows.select("paper", "include", F.array_join("basis", ",").alias("basis"), F.array_join(F.transform("evidence", lambda e: F.concat(F.lit("p"), e["page"].cast("string"), F.lit(": "), e["reason"])), "; ").alias("evidence"))
+
+
+@query()
+def stream_resume(v: Views) -> DataFrame:
+    """The log appended in two incremental runs; each id and key is classified once."""
+    from ..streaming.resume import two_runs
+
+    return two_runs(v.spark, v.sf_dir)
