@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 from .common import ascii_lower, bounded, materialise
 
 WINDOW, K = 10, 4
-#: Fixed value: what is not a word character.
-_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Fixed value: runs of what is not a word character.
+_BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def words(text: Column) -> Column:
-    return F.coalesce(F.regexp_extract_all(ascii_lower(text), F.lit(_WORD), F.lit(0)), F.array().cast("array<string>"))
+    return F.coalesce(F.array_remove(F.split(ascii_lower(text), _BETWEEN), ""), F.array().cast("array<string>"))
 
 
 def _zip(column: str, gap: int, join) -> Column:
@@ -105,12 +105,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, id_column: str = "do
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text")).dropna()
     items = materialise(_hashed(items, "text").withColumn("n", F.size("h")).where("n > 0"))
     short = sorted(r[0] for r in items.where(F.col("n") < WINDOW).select("n").distinct().collect())  # at most WINDOW - 1 lengths
-    fp = [fingerprints(items.where(F.col("n") >= WINDOW).select("h"), "h", "f").select(F.explode("f").alias("f"), F.lit(WINDOW).alias("size"))]
-    windows = [_windows(items.where(F.col("n") >= WINDOW).select("item", "text"), "text", WINDOW).select("item", F.explode("windows").alias("w"), F.lit(WINDOW).alias("size"))]
+    fp = [fingerprints(items.where(F.col("n") >= WINDOW).select("h"), "h", "f").select(F.explode_outer("f").alias("f"), F.lit(WINDOW).alias("size"))]
+    windows = [_windows(items.where(F.col("n") >= WINDOW).select("item", "text"), "text", WINDOW).select("item", F.explode_outer("windows").alias("w"), F.lit(WINDOW).alias("size"))]
     for n in short:
         own = items.where(F.col("n") == n)
-        fp.append(with_runs(own.select("h"), "h", n, "f").select(F.explode("f").alias("f"), F.lit(n).alias("size")))
-        windows.append(_windows(own.select("item", "text"), "text", n).select("item", F.explode("windows").alias("w"), F.lit(n).alias("size")))
+        fp.append(with_runs(own.select("h"), "h", n, "f").select(F.explode_outer("f").alias("f"), F.lit(n).alias("size")))
+        windows.append(_windows(own.select("item", "text"), "text", n).select("item", F.explode_outer("windows").alias("w"), F.lit(n).alias("size")))
 
     def union(parts: list[DataFrame]) -> DataFrame:
         out = parts[0]
@@ -118,8 +118,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, id_column: str = "do
             out = out.unionByName(p)
         return out
 
-    prints = materialise(union(fp).distinct())
-    table = materialise(union(windows).select("item", "w.a", "w.b", "size").distinct())
+    # the outer forms keep the optimiser from copying the arrays' expressions into filters below
+    prints = materialise(union(fp).where("f is not null").distinct())
+    table = materialise(union(windows).where("w is not null").select("item", "w.a", "w.b", "size").distinct())
 
     rows = docs.select(F.col(id_column).alias("doc_id"), *_key(id_column, text_column), F.col(text_column).alias("text"))
     scanned = fingerprints(_hashed(rows, "text").drop("text").withColumn("n_words", F.size("h").cast("long")), "h", f"f{WINDOW}")
@@ -133,7 +134,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, id_column: str = "do
     found = []
     starts = table.select("a", "b", "size").distinct()
     for n in (WINDOW, *short):
-        at = _windows(near.where(F.col("size") == n).select("k1", "k2", "text"), "text", n).select("k1", "k2", F.posexplode("windows").alias("pos", "w"), F.lit(n).alias("size"))
+        at = _windows(near.where(F.col("size") == n).select("k1", "k2", "text"), "text", n).select("k1", "k2", F.posexplode_outer("windows").alias("pos", "w"), F.lit(n).alias("size"))
         found.append(at.select("k1", "k2", "pos", "w.a", "w.b", "size"))
     matched = materialise(union(found).join(bounded(starts), ["a", "b", "size"]).distinct())
 
