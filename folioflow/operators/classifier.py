@@ -26,7 +26,7 @@ class Classifier(Protocol):
 class TermClassifier:
     """Deterministic stand-in: pages with a term decide; two or more mean YES."""
 
-    def __init__(self, pattern: str = r"(?i)\b(?:the|der|que|les)\b"):
+    def __init__(self, pattern: str = r"(?ai)\b(?:the|der|que|les)\b"):
         self.pattern = re.compile(pattern)
 
     def decide(self, pages: dict[int, str]) -> dict:
