@@ -84,11 +84,4 @@ def error_text(message: Column, name: Column) -> Column:
 
 def nfkc(text: Column) -> Column:
     """Compatibility normal form; Spark has none, so this one is an Arrow function."""
-    import pandas as pd
-
-    @F.pandas_udf("string")
-    def run(values: pd.Series) -> pd.Series:
-        return values.str.normalize("NFKC")
-
-    run.func.__annotations__ = {"values": pd.Series, "return": pd.Series}
-    return run(text)
+    return F.pandas_udf(lambda values: values.str.normalize("NFKC"), "string", F.PandasUDFType.SCALAR)(text)
