@@ -1 +1,44 @@
-ORACLES: dict[str, str] = {}
+"""SQL that gives the rows of the queries which SQL can express."""
+
+from __future__ import annotations
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_SPLIT = "list_filter(regexp_split_to_array({}, '{}'), lambda x: x <> '')"
+_WHITE, _BETWEEN = "[\\x20\\x09-\\x0D]+", "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+
+NEAR_DUPLICATES = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_SPLIT.format(_LOWER, _WHITE)} AS w FROM documents),
+s AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) END)) AS g FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+m AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id, m.component_id = d.doc_id AS kept FROM d LEFT JOIN n USING (doc_id) JOIN m USING (doc_id)
+"""
+
+DECONTAMINATION = f"""
+WITH d AS (SELECT doc_id, {_SPLIT.format(_LOWER, _BETWEEN)} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_SPLIT.format(_LOWER, _BETWEEN)} AS w FROM benchmark),
+bw AS (SELECT DISTINCT item, size, array_to_string(w[i:i + size - 1], ' ') AS g FROM (SELECT item, w, least(10, len(w)) AS size, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT size FROM bw),
+dw AS (SELECT doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') AS g FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM d, sizes WHERE len(w) >= size)),
+h AS (SELECT doc_id, i, dw.size AS size, item FROM dw JOIN bw USING (size, g)),
+c AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM (SELECT DISTINCT doc_id, i, size FROM h)) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM h) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
+
+SUBSTRING_DEDUP = f"""
+WITH d AS (SELECT doc_id, {_SPLIT.format("coalesce(text, '')", _WHITE)} AS w FROM documents),
+x AS (SELECT doc_id, i, hash(g) AS h, g FROM (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20))),
+r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS n FROM x),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS p FROM r WHERE n > 1),
+word AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+k AS (SELECT word.doc_id, count(gone.p) AS n_removed, string_agg(word, ' ' ORDER BY word.p) FILTER (gone.p IS NULL) AS kept FROM word LEFT JOIN gone ON gone.doc_id = word.doc_id AND gone.p = word.p GROUP BY word.doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)
+"""
+
+ORACLES = {"op1_near_duplicates": NEAR_DUPLICATES, "op3_decontamination": DECONTAMINATION, "op8_substring_dedup": SUBSTRING_DEDUP}
