@@ -23,24 +23,28 @@ def test_latest_result_is_the_fold_in_append_order(spark):
     assert {r.id: (r.seq, r.id, r.key, r.ok) for r in got.collect()} == want
 
 
-HEADING = re.compile(r"(?m)^[ \t]*(?:\d+(?:\.\d+)*[.)]?[ \t]+)?(?:REFERENCES|References|Bibliography)[ \t]*$")
-AGAIN = re.compile(r"(?m)^[ \t]*(?:Appendix|Acknowledg|Methods[ \t]*$)")
-FIGURE = re.compile(r"(?m)^[ \t]*(?:Fig\.|Table)[ \t]*\d")
+HEADING = re.compile(r"[ \t]*(?:\d+(?:\.\d+)*[.)]?[ \t]+)?(?:REFERENCES|References|Bibliography)[ \t]*\Z").match
+AGAIN = re.compile(r"[ \t]*(?:Appendix|Acknowledg|Methods[ \t]*\Z)").match
+FIGURE = re.compile(r"[ \t]*(?:Fig\.|Table)[ \t]*\d").match
 
 
 def cut(pages):
-    found = [(i, m.start()) for i, p in enumerate(pages) for m in HEADING.finditer(p)]
-    if not found:
+    """Line by line: what a list of lines keeps after the last heading of the paper."""
+    book = [p.split("\n") for p in pages]
+    marks = [(i, k) for i, lines in enumerate(book) for k, line in enumerate(lines) if HEADING(line)]
+    if not marks:
         return pages
-    first, at = found[-1]
-    out, done = list(pages), False
-    for i in range(first, len(pages)):
-        if not done:
-            p, begin = pages[i], at if i == first else 0
-            m = AGAIN.search(p, begin)
-            end = m.start() if m else len(p)
-            c = FIGURE.search(p, begin, end)
-            out[i], done = (p[:begin].rstrip() + "\n\n" + p[c.start() if c else end :]).strip(), bool(m)
+    out, (page, line) = list(pages), max(marks)
+    for i in range(page, len(book)):
+        before, after = (book[i][:line], book[i][line:]) if i == page else ([], book[i])
+        keep, resumed = [], False
+        for text in after:
+            resumed = resumed or bool(AGAIN(text))
+            if keep or resumed or FIGURE(text):
+                keep.append(text)
+        out[i] = "\n\n".join(x for x in ("\n".join(before).rstrip(), "\n".join(keep)) if x).strip()
+        if resumed:
+            break
     return out
 
 
