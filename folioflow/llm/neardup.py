@@ -237,7 +237,9 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col
     found = components(links)
     grouped = reps.join(found, F.col("rep") == F.col("node"), "left").select("digest", "rep", "copies", F.coalesce("component", "rep").alias("component"))
     known = materialise(grouped.where("copies > 1 or component != rep").select("digest", "component"))
-    out = drawn.join(bounded(known), "digest", "left")
+    # texts without words get a key of their own, so they spread and match nothing
+    spread = F.coalesce("digest", F.col("doc_id").cast("string").cast("binary"))
+    out = drawn.withColumn("digest", spread).join(bounded(known), "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 

@@ -130,8 +130,10 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], labels: DataFrame | No
         labelled = base.withColumn("bad", F.lit(None).cast("int"))
     else:
         number = F.regexp_extract("path", r"([0-9]{1,18})(?:\.[A-Za-z]{1,5})?/*\z", 1)
-        known = labels.select("doc_id", "bad").dropna().groupBy("doc_id").agg(F.max("bad").alias("bad"))
-        labelled = base.withColumn("doc_id", number.try_cast("bigint")).join(known, "doc_id", "left")
+        known = labels.select("doc_id", "bad").dropna().where("doc_id >= 0").groupBy("doc_id").agg(F.max("bad").alias("bad"))
+        # paths without a number get keys below zero, so they spread and match nothing
+        spread = F.lit(-1) - F.pmod(F.xxhash64("page_id", "path"), F.lit(1 << 40))
+        labelled = base.withColumn("doc_id", F.coalesce(number.try_cast("bigint"), spread)).join(known, "doc_id", "left")
     tree = templates(labelled.select("host", "path", "bad"))
     names = tree.select("host", "shapes", "template").join(judged_templates(tree, prior=prior, reject=reject), ["host", "template"])
     salted = names.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
