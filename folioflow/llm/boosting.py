@@ -43,7 +43,7 @@ class Trees:
         return 1.0 / (1.0 + np.exp(-np.clip(self.margin(x), -40, 40)))
 
 
-def fit(x: np.ndarray, y: np.ndarray, *, monotone: dict[int, int] | None = None, trees: int = 60, depth: int = 3, rate: float = 0.2, bins: int = 64, l2: float = 1.0, least: int = 20) -> Trees:
+def fit(x: np.ndarray, y: np.ndarray, *, monotone: dict[int, int] | None = None, trees: int = 60, depth: int = 3, rate: float = 0.2, bins: int = 64, l2: float = 1.0, least: int = 5) -> Trees:
     """Deterministic for the same rows in the same order. One class only gives a constant model."""
     n, width = x.shape
     monotone = monotone or {}
