@@ -99,3 +99,14 @@ def summary(jobs: DataFrame) -> DataFrame:
         F.count("*").alias("records"), F.count_if(F.col("state") == "existing").alias("existing"), made.alias("attempted"),
         F.count_if(F.col("state") == "downloaded").alias("downloaded"), (made - F.count_if(F.col("state") == "downloaded") + F.count_if(F.col("state") == "conflict")).alias("failed"),
     )
+
+
+def untried(urls: Column, tried: Column) -> Column:
+    """URLs that were not tried under any scheme, in their order."""
+    return F.filter(urls, lambda u: ~F.array_contains(F.transform(tried, U.without_scheme), U.without_scheme(u)))
+
+
+def open_access_phase(jobs: DataFrame, attempts: DataFrame) -> DataFrame:
+    """Jobs for the second source: a DOI is known and no direct URL gave a file."""
+    won = attempts.where("status = 'downloaded'").select("id").distinct()
+    return jobs.where("doi is not null").join(won, "id", "left_anti")

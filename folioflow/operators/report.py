@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions import urls as U
 from . import resultlog
 
 
@@ -23,5 +24,46 @@ def lines(results: DataFrame) -> DataFrame:
 
 
 def write(report: DataFrame, path: str) -> None:
-    """The lines in order as one text file."""
-    report.orderBy("section", "ord").select("line").coalesce(1).write.mode("overwrite").text(path)
+    """The lines in order (rows of equal order by their text) as one text file."""
+    report.orderBy("section", "ord", "line").select("line").coalesce(1).write.mode("overwrite").text(path)
+
+
+def _section(number: int, head: list[str], rows: DataFrame, count_line: str | None = None) -> DataFrame:
+    """A titled table; with a count line the section is left out when it has no rows."""
+    spark = rows.sparkSession
+    body = rows.select(F.lit(number).alias("section"), "ord", "line")
+    top = spark.createDataFrame([(number, k - len(head), x) for k, x in enumerate(head)], "section int, ord long, line string")
+    if count_line is None:
+        return top.unionByName(body)
+    n = rows.agg(F.count("*").alias("n")).where("n > 0")  # one row
+    title = n.select(F.lit(number).alias("section"), F.lit(-1000).cast("long").alias("ord"), F.format_string(count_line, "n").alias("line"))
+    return title.unionByName(top.join(n.select("n")).drop("n")).unionByName(body)
+
+
+def review_lines(results: DataFrame, library: DataFrame) -> DataFrame:
+    """Papers to review: YES or UNCERTAIN and not in the library."""
+    rows = resultlog.review(results, library)
+    link = U.record_link(F.col("id"))
+    line = F.concat(F.lit("| ["), F.col("id"), F.lit("]("), link, F.lit(") | "), T.decision(F.col("include"), F.col("basis")), F.lit(" |"))
+    return _section(3, ["| Paper | Decision |", "|---|---|"], rows.select(F.col("first_seq").alias("ord"), line.alias("line")), "## To review (%d)")
+
+
+def missing_lines(queue: DataFrame) -> DataFrame:
+    """Papers without a file: (id, category, errors, target); repeated errors are told once."""
+    why = T.table_cell(F.array_join(F.array_distinct("errors"), "; "))
+    line = F.concat(F.lit("| "), F.col("id"), F.lit(" | "), F.col("category"), F.lit(": "), why, F.lit(" | `"), F.col("target"), F.lit("` |"))
+    return _section(4, ["| Paper | Why | Save as |", "|---|---|---|"], queue.select(F.lit(0).cast("long").alias("ord"), line.alias("line")), "## No file, not classified (%d)")
+
+
+def failure_lines(results: DataFrame) -> DataFrame:
+    """Papers that could not be classified, with their last error: needs a column `errors`."""
+    last = T.table_cell(F.element_at("errors", -1))
+    line = F.concat(F.lit("| `"), F.col("id"), F.lit("` | "), last, F.lit(" |"))
+    return _section(5, ["| Paper | Error |", "|---|---|"], results.where("not ok").select(F.col("first_seq").alias("ord"), line.alias("line")), "## Could not be classified (%d)")
+
+
+def accuracy_lines(results: DataFrame) -> DataFrame:
+    """The scores against labels, as one row."""
+    a = resultlog.accuracy(results)
+    line = F.format_string("| %d | %d | %d | %d of %d |", "correct", "incorrect", "failed", "basis_matches", "classified")
+    return _section(6, ["| Include correct | Include incorrect | Failed | Basis exact match |", "|---:|---:|---:|---:|"], a.select(F.lit(0).cast("long").alias("ord"), line.alias("line")))

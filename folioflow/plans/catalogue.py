@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import text as T
 from ..functions import urls as U
-from ..operators import classifier, downloads, papers, report, resultlog
+from ..operators import classifier, downloads, papers, report, responses, resultlog
 from . import views
 from .views import Views
 
@@ -392,6 +392,51 @@ def classify_udf(v: Views) -> DataFrame:
     return rows.select("paper", "include", F.array_join("basis", ",").alias("basis"), F.array_join(F.transform("evidence", lambda e: F.concat(F.lit("p"), e["page"].cast("string"), F.lit(": "), e["reason"])), "; ").alias("evidence"))
 
 
+@query("SELECT page_id, CASE WHEN page_id % 3 = 0 THEN '' ELSE 'https://b.example/' || page_id END AS left_over FROM pages")
+def already_tried_subtraction(v: Views) -> DataFrame:
+    n, url = F.col("page_id").cast("string"), F.col("url")
+    twin = F.regexp_replace(url, "^https?:", "ftp:")
+    urls = F.array(url, F.concat(F.lit("https://b.example/"), n))
+    tried = F.when(F.col("page_id") % 3 == 0, F.array(twin, F.concat(F.lit("http://b.example/"), n))).otherwise(F.array(twin))
+    return v.table("pages").select("page_id", F.array_join(downloads.untried(urls, tried), " ").alias("left_over"))
+
+
+@query(f"WITH {views.ATTEMPTS} SELECT CAST(c_custkey AS VARCHAR) AS id FROM customer WHERE c_custkey % 2 = 0 AND CAST(c_custkey AS VARCHAR) NOT IN (SELECT id FROM att WHERE category IS NULL AND seq % 3 = 0)")
+def open_access_phase(v: Views) -> DataFrame:
+    attempts = _triaged(v).where("seq % 3 = 0").withColumn("status", F.when(F.col("category").isNull(), "downloaded").otherwise("failed"))
+    jobs = v.table("customer").select(F.col("c_custkey").cast("string").alias("id"), F.when(F.col("c_custkey") % 2 == 0, "d").alias("doi"))
+    return downloads.open_access_phase(jobs, attempts).select("id")
+
+
+@query("SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'content has no PDF signature' WHEN event_id % 3 = 0 THEN 'PDF checksum does not match the expected SHA-256' WHEN event_id % 5 = 0 THEN 'PDF cannot be opened or its first page cannot be read' WHEN event_id % 7 = 0 THEN 'PDF has no pages' WHEN event_id % 13 > 0 AND event_id % 11 = 0 THEN 'PDF has no extractable text' WHEN event_id % 13 > 0 AND event_id % 17 < 5 THEN 'PDF text does not match the abstract' END AS error FROM events")
+def pdf_validation(v: Views) -> DataFrame:
+    n = F.col("event_id")
+    content = F.when(n % 2 == 0, F.concat(F.lit("x" * 1100), F.lit("%PDF-1.7"))).otherwise(F.lit("\n\n%PDF-1.7")).cast("binary")
+    pages = F.when(n % 5 == 0, F.lit(None).cast("int")).when(n % 7 == 0, F.lit(0)).otherwise(F.lit(3))
+    overlap = F.when(n % 17 < 5, 0.46).when(n % 17 < 9, F.lit(None).cast("double")).otherwise(0.64)
+    error = downloads.pdf_error(downloads.has_signature(content), n % 3 != 0, pages, F.when(n % 13 > 0, "a"), n % 11 != 0, overlap)
+    return v.table("events").select("event_id", error.alias("error"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 4 = 0 THEN 'response incomplete' || CASE WHEN event_id % 8 = 0 THEN ': max_output_tokens' ELSE '' END WHEN event_id % 4 = 1 THEN 'refused: no' WHEN event_id % 4 = 2 THEN 'no parsed output' END AS problem, event_id % 7 = 0 OR (event_id % 7 = 1 AND event_id % 2 = 0) OR (event_id % 7 = 2 AND event_id % 3 = 0) AS stops FROM events")
+def llm_response_problem(v: Views) -> DataFrame:
+    n = F.col("event_id")
+    text = responses.problem(F.when(n % 4 == 0, "incomplete").otherwise("completed"), F.when(n % 8 == 0, "max_output_tokens"), F.when(n % 4 == 1, "no"), F.when(n % 4 == 3, "{}"))
+    kind = F.when(n % 7 == 0, "authentication").when(n % 7 == 1, "rate_limit").when(n % 7 == 2, "bad_request").otherwise("timeout")
+    stops = responses.stops_run(kind, F.when(n % 2 == 0, "insufficient_quota"), F.when(n % 3 == 0, "text.format"))
+    return v.table("events").select("event_id", text.alias("problem"), stops.alias("stops"))
+
+
+@query(
+    f"WITH {views.LATEST}, rv AS (SELECT * FROM latest WHERE ok AND include IN ('YES', 'UNCERTAIN') AND id NOT IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_custkey % 3 = 0)), fl AS (SELECT * FROM latest WHERE NOT ok) "
+    f"SELECT 3 AS section, first_seq AS ord, '| [' || id || '](https://ui.adsabs.harvard.edu/abs/' || id || '/abstract) | ' || {_DECISION} || ' |' AS line FROM rv UNION ALL SELECT 3, -1000, '## To review (' || count(*) || ')' FROM rv HAVING count(*) > 0 UNION ALL SELECT 3, -2, '| Paper | Decision |' WHERE EXISTS (SELECT 1 FROM rv) UNION ALL SELECT 3, -1, '|---|---|' WHERE EXISTS (SELECT 1 FROM rv) "
+    "UNION ALL SELECT 5, first_seq, '| `' || id || '` | no text / found |' FROM fl UNION ALL SELECT 5, -1000, '## Could not be classified (' || count(*) || ')' FROM fl HAVING count(*) > 0 UNION ALL SELECT 5, -2, '| Paper | Error |' WHERE EXISTS (SELECT 1 FROM fl) UNION ALL SELECT 5, -1, '|---|---|' WHERE EXISTS (SELECT 1 FROM fl)"
+)
+def report_sections(v: Views) -> DataFrame:
+    results = resultlog.latest(v.log()).withColumn("errors", F.array(F.lit("first"), F.lit("no text |\n found")))
+    return report.review_lines(results, _library(v)).unionByName(report.failure_lines(results))
+
+
 @query()
 def stream_resume(v: Views) -> DataFrame:
     """The log appended in two incremental runs; each id and key is classified once."""
