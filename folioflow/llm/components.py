@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import bounded, materialise
 
 MOST_ROUNDS = 60
 
@@ -17,7 +17,8 @@ def components(links: DataFrame) -> DataFrame:
     pointers twice, and replaces the nodes of the links by what they point at. Random ranks make
     the longest pointer path short, so the number of links falls by a constant factor a round,
     whatever the shape; a node with many links is reduced by partial aggregates. Each round's
-    tables are written, so nothing is recomputed when an executor is lost.
+    tables are written, so nothing is recomputed when an executor is lost. Pointers that were
+    counted and are few are broadcast; else their joins shuffle.
     """
     links = materialise(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct())
     names = materialise(links.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("at", F.col("node")))
@@ -29,11 +30,12 @@ def components(links: DataFrame) -> DataFrame:
         own = F.struct(F.xxhash64(F.lit(k), "a").alias("r"), F.col("a").alias("to"))
         point = materialise(both.groupBy("a").agg(F.min(rank).alias("best")).select(F.col("a").alias("v"), F.least("best", own)["to"].alias("to")))
         for _ in range(2):
-            point = point.join(point.select(F.col("v").alias("to"), F.col("to").alias("next")), "to").select("v", F.col("next").alias("to"))
-        point = materialise(point)
-        to_a, to_b = point.toDF("a", "pa"), point.toDF("b", "pb")
+            near = bounded(point)
+            point = materialise(point.join(near.select(F.col("v").alias("to"), F.col("to").alias("next")), "to").select("v", F.col("next").alias("to")))
+        near = bounded(point)
+        to_a, to_b = near.toDF("a", "pa"), near.toDF("b", "pb")
         links = materialise(links.join(to_a, "a").join(to_b, "b").select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).where("a < b").distinct())
-        names = materialise(names.join(point.toDF("at", "to"), "at", "left").select("node", F.coalesce("to", "at").alias("at")))
+        names = materialise(names.join(near.toDF("at", "to"), "at", "left").select("node", F.coalesce("to", "at").alias("at")))
     else:
         raise RuntimeError("components did not settle")
     least = names.groupBy("at").agg(F.min("node").alias("component"))

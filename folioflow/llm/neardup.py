@@ -12,8 +12,9 @@ two sets agree in a register with a probability close to their Jaccard similarit
    greater, equal and less; pairs well below the limit are left out (five standard deviations).
 4. What is left is checked on the full sets, a leader with a bounded block of members at a time.
 5. Links give components. In buckets whose members are then not all in one component, members
-   outside the bucket's largest component are compared with all others, block by block, and the
-   pairs of different components that pass 3 are checked as well. No cap drops a pair.
+   outside the bucket's largest component are compared with all others, block by block; pairs of
+   different components that pass 3 are checked in the block, and only links leave it. No cap
+   drops a pair.
 """
 
 from __future__ import annotations
@@ -176,8 +177,13 @@ def verify(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFr
     return materialise(texts.groupBy("a", "block").applyInArrow(check, "a long, b long"))
 
 
-def _others(bands: DataFrame, sized: DataFrame, reps: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components in one bucket that the bucket's leader did not settle."""
+def _others(bands: DataFrame, sized: DataFrame, reps: DataFrame, found: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links between different components of one bucket that the bucket's leader did not show.
+
+    Members outside the bucket's largest component meet all others, a block of home rows and a
+    block of outside rows at a time. Pairs that pass the estimate are checked on their full sets
+    there and then, and of an outside member's links to one component in a block one is enough.
+    """
     member = bands.join(sized.where("members > 2").select("bucket", "leader"), "bucket").join(found, F.col("rep") == F.col("node"), "left")
     member = member.select("bucket", "leader", "rep", F.coalesce("component", "rep").alias("component"))
     mixed = member.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
@@ -185,9 +191,12 @@ def _others(bands: DataFrame, sized: DataFrame, reps: DataFrame, found: DataFram
     each = rows.groupBy("bucket", "component").agg(F.count("*").alias("n"))
     shape = each.groupBy("bucket").agg(F.sum("n").alias("n"), F.max_by("component", F.struct("n", "component")).alias("largest"), F.max("n").alias("most"))
     shape = shape.select("bucket", "largest", F.ceil(F.col("n") / HOME_BLOCK).cast("int").alias("homes"), F.ceil((F.col("n") - F.col("most")) / OUTSIDE_BLOCK).cast("int").alias("outsides"))
-    full = rows.join(shape, "bucket").join(reps.select("rep", "n_shingles", "registers"), "rep")
-    home = full.select("bucket", F.pmod(F.xxhash64("rep"), F.col("homes")).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("outsides") - 1)).alias("j"), F.lit(True).alias("home"), "leader", "rep", "component", "n_shingles", "registers")
-    outside = full.where("component != largest").select("bucket", F.explode(F.sequence(F.lit(0), F.col("homes") - 1)).alias("i"), F.pmod(F.xxhash64("rep", F.lit(1)), F.col("outsides")).cast("int").alias("j"), F.lit(False).alias("home"), "leader", "rep", "component", "n_shingles", "registers")
+    full = rows.join(shape, "bucket")
+    home = full.select("bucket", F.pmod(F.xxhash64("rep"), F.col("homes")).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("outsides") - 1)).alias("j"), F.lit(True).alias("home"), "leader", "rep", "component")
+    outside = full.where("component != largest").select("bucket", F.explode(F.sequence(F.lit(0), F.col("homes") - 1)).alias("i"), F.pmod(F.xxhash64("rep", F.lit(1)), F.col("outsides")).cast("int").alias("j"), F.lit(False).alias("home"), "leader", "rep", "component")
+    placed = materialise(home.unionByName(outside))
+    sketch = reps.select("rep", "n_shingles", "registers")
+    texts = docs.select(F.col("doc_id").alias("rep"), "text").join(bounded(placed.select("rep").distinct()), "rep", "left_semi")
     least = cutoff(percent)
 
     def compare(group):
@@ -195,20 +204,34 @@ def _others(bands: DataFrame, sized: DataFrame, reps: DataFrame, found: DataFram
         is_home = np.asarray(group.column("home").to_pylist(), dtype=bool)
         rep, part, n = (group.column(c).to_numpy() for c in ("rep", "component", "n_shingles"))
         leader = group.column("leader")[0].as_py()
-        regs = _matrix(group.column("registers"))
+        regs, raw = _matrix(group.column("registers")), group.column("text")
+        sets: dict[int, np.ndarray] = {}
+
+        def full_set(row: int) -> np.ndarray:
+            if row not in sets:
+                sets[row] = shingle_sets([(raw[row].as_py() or "").encode("utf-8", "surrogatepass")], size)[0]
+            return sets[row]
+
         at = np.flatnonzero(is_home)
         a, b = [], []
         for o in np.flatnonzero(~is_home):
             near = at[(part[at] != part[o]) & (rep[at] != leader) & (100 * np.minimum(n[at], n[o]) >= percent * np.maximum(n[at], n[o]))]
             if rep[o] == leader or not len(near):
                 continue
-            one = np.broadcast_to(regs[o], (len(near), REGISTERS))
-            good = near[estimate(one, regs[near], np.full(len(near), float(n[o])), n[near].astype(float)) >= least]
-            a += [min(rep[o], x) for x in rep[good]]
-            b += [max(rep[o], x) for x in rep[good]]
+            guess = estimate(np.broadcast_to(regs[o], (len(near), REGISTERS)), regs[near], np.full(len(near), float(n[o])), n[near].astype(float))
+            done = set()
+            for x in near[np.argsort(-guess, kind="stable")][: int((guess >= least).sum())]:
+                if part[x] not in done:
+                    one, two = full_set(int(o)), full_set(int(x))
+                    both = len(np.intersect1d(one, two, assume_unique=True))
+                    if 100 * both >= percent * (len(one) + len(two) - both):
+                        done.add(part[x])
+                        a.append(min(rep[o], rep[x]))
+                        b.append(max(rep[o], rep[x]))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return materialise(home.unionByName(outside).groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long").distinct())
+    ready = placed.join(sketch, "rep").join(texts, "rep")
+    return materialise(ready.groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long").distinct())
 
 
 def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -231,10 +254,10 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col
     sized = materialise(bands.groupBy("bucket").agg(F.min("rep").alias("leader"), F.count("*").alias("members")).where("members > 1"))
     stars = materialise(bands.join(sized, "bucket").where("rep != leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct())
     links = verify(likely(stars, reps, percent), rows, size, percent)
-    more = _others(bands, sized, reps, components(links), percent).join(stars, ["a", "b"], "left_anti")
-    links = links.unionByName(verify(more, rows, size, percent))
-    # a document with several texts has a representative for each; they are one document
     found = components(links)
+    more = _others(bands, sized, reps, found, rows, size, percent)
+    if not more.isEmpty():
+        found = components(links.unionByName(more))
     grouped = reps.join(found, F.col("rep") == F.col("node"), "left").select("digest", "rep", "copies", F.coalesce("component", "rep").alias("component"))
     known = materialise(grouped.where("copies > 1 or component != rep").select("digest", "component"))
     # texts without words get a key of their own, so they spread and match nothing
