@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -131,7 +132,6 @@ def without_repeats(docs: DataFrame, *, window: int = WINDOW, base: int = LEVEL_
     """
     spark = docs.sparkSession
     small_batches(spark)
-    kind = "long"
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")).withColumn("key", _row_key("doc_id", "text"))
     blocks = max(1, -(-docs.count() // BLOCK))
     block = F.pmod(F.xxhash64("key"), F.lit(blocks)).alias("block")
@@ -151,47 +151,41 @@ def without_repeats(docs: DataFrame, *, window: int = WINDOW, base: int = LEVEL_
             out["bucket"].append(int(bucket[part[0]]))
             for name, values in (("hashes", hashes[part]), ("ids", ids[owner[part]]), ("keys", keys[owner[part]]), ("starts", start[part])):
                 out[name].append(values.tobytes())
-        return pa.table({"bucket": pa.array(out["bucket"], pa.int64()), **{k: pa.array(out[k], pa.binary()) for k in ("hashes", "ids", "keys", "starts")}})
+        home = docs_of.column("block").slice(0, 1).to_pylist() * len(out["bucket"])
+        return pa.table({"bucket": pa.array(out["bucket"], pa.int64()), "block": pa.array(home, pa.int64()), **{k: pa.array(out[k], pa.binary()) for k in ("hashes", "ids", "keys", "starts")}})
 
     def later(group):
-        """Of the blocks' first occurrences, those that are not the corpus's first, by document."""
-        hashes, ids, keys, starts = (np.frombuffer(b"".join(group.column(c).to_pylist()), dtype=t) for c, t in (("hashes", np.uint64), ("ids", np.int64), ("keys", np.int64), ("starts", np.int32)))
+        """Of the blocks' first occurrences, those that are not the corpus's first: a record per block."""
+        blobs = {c: group.column(c).to_pylist() for c in ("hashes", "ids", "keys", "starts")}
+        hashes, ids, keys, starts = (np.frombuffer(b"".join(blobs[c]), dtype=t) for c, t in (("hashes", np.uint64), ("ids", np.int64), ("keys", np.int64), ("starts", np.int32)))
+        home = np.repeat(group.column("block").to_numpy(), [len(b) // 8 for b in blobs["hashes"]])
         order = np.lexsort((starts, keys, ids, hashes))
         again = order[1:][hashes[order][1:] == hashes[order][:-1]]
-        again = again[np.argsort(keys[again], kind="stable")]
-        cuts = np.flatnonzero(np.diff(keys[again])) + 1
+        again = again[np.argsort(home[again], kind="stable")]
+        cuts = np.flatnonzero(np.diff(home[again])) + 1
         parts = np.split(again, cuts) if len(again) else []
-        return pa.table({"key": pa.array([int(keys[p[0]]) for p in parts], pa.int64()), "starts": pa.array([starts[p].tobytes() for p in parts], pa.binary())})
+        return pa.table({"block": pa.array([int(home[p[0]]) for p in parts], pa.int64()), "keys": pa.array([keys[p].tobytes() for p in parts], pa.binary()), "starts": pa.array([starts[p].tobytes() for p in parts], pa.binary())})
 
-    def local(docs_of, runs_of):
-        """Every document, with the starts that its own block shows to be repeats."""
+    def finish(docs_of, all_of):
+        """The documents of a block without the words of repeats, its own and the corpus's."""
+        runs_of = all_of.filter(pc.is_valid(all_of.column("runs")))
+        found = all_of.filter(pc.is_valid(all_of.column("starts")))
         order, owner, start, _, first = _block_windows(docs_of, runs_of, window, base)
-        keys = docs_of.column("key").to_numpy()
-        of = {}
-        for rank, at in zip(owner[~first], start[~first], strict=True):
-            of.setdefault(int(keys[order[rank]]), []).append(at)
-        known = set(runs_of.column("key").to_pylist())
-        own = [np.asarray(of.get(int(k), []), dtype=np.int32).tobytes() for k in keys]
-        return pa.table({"doc_id": docs_of.column("doc_id"), "key": docs_of.column("key"), "text": docs_of.column("text"), "own": pa.array(own, pa.binary()), "open": pa.array([int(k) in known for k in keys])})
-
-    records = left.cogroup(right).applyInArrow(firsts, "bucket long, hashes binary, ids binary, keys binary, starts binary")
-    found = records.groupBy("bucket").applyInArrow(later, "key long, starts binary").groupBy("key").agg(F.collect_list("starts").alias("starts"))
-    marked = left.cogroup(right).applyInArrow(local, f"doc_id {kind}, key long, text string, own binary, open boolean")
-    closed = marked.where("not open").select("doc_id", "text", "own", F.lit(None).cast("array<binary>").alias("starts"))
-    opened = marked.where("open").join(found, "key", "left").select("doc_id", "text", "own", "starts")
-
-    def finish(batches):
-        for batch in batches:
-            n_words, n_removed, kept = [], [], []
-            for text, own, more in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                words = (text or "").encode("utf-8", "surrogatepass").split()
-                starts = np.frombuffer(own + b"".join(more or ()), dtype=np.int32)
-                gone = _covered(starts, len(words), window) if len(starts) else None
-                n_words.append(len(words))
-                n_removed.append(0 if gone is None else int(gone.sum()))
-                kept.append(b" ".join(words if gone is None else [w for w, g in zip(words, gone, strict=True) if not g]))
-            text = pa.array(kept, pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), text], names=["doc_id", "n_words", "n_removed", "text"])
-
-    return closed.unionByName(opened).mapInArrow(finish, f"doc_id {kind}, n_words long, n_removed long, text string")
-
+        ids, keys = docs_of.column("doc_id"), docs_of.column("key").to_numpy()
+        of = np.concatenate([keys[order][owner[~first]], np.frombuffer(b"".join(found.column("keys").to_pylist()), dtype=np.int64)])
+        at = np.concatenate([start[~first], np.frombuffer(b"".join(found.column("starts").to_pylist()), dtype=np.int32)])
+        by = np.argsort(of, kind="stable")
+        of, at = of[by], at[by]
+        n_words, n_removed, kept = [], [], []
+        for text, low, high in zip(docs_of.column("text").to_pylist(), np.searchsorted(of, keys, "left"), np.searchsorted(of, keys, "right"), strict=True):
+            words = (text or "").encode("utf-8", "surrogatepass").split()
+            gone = _covered(at[low:high], len(words), window) if high > low else None
+            n_words.append(len(words))
+            n_removed.append(0 if gone is None else int(gone.sum()))
+            kept.append(b" ".join(words if gone is None else [w for w, g in zip(words, gone, strict=True) if not g]))
+        return pa.table({"doc_id": ids, "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()), "text": pa.array(kept, pa.binary()).cast(pa.string())})
+
+    records = left.cogroup(right).applyInArrow(firsts, "bucket long, block long, hashes binary, ids binary, keys binary, starts binary")
+    found = records.groupBy("bucket").applyInArrow(later, "block long, keys binary, starts binary")
+    everything = runs.select(block, "key", "runs").unionByName(found, allowMissingColumns=True).groupBy("block")
+    return left.cogroup(everything).applyInArrow(finish, "doc_id long, n_words long, n_removed long, text string")
