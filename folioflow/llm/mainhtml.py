@@ -14,16 +14,18 @@ from __future__ import annotations
 
 import html
 import re
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import materialise, small_batches
+from .common import ARROW_ROWS, materialise, partitions, small_batches
 from .urlfilter import host, path
 
-#: Pages of one host that are ordered by path in one group.
-BLOCK = 256
+#: Open pages of a range partition, about.
+PART_ROWS = 20_000
 
 # Element names and the words of class, id and role names.
 _RAW = {"script", "style", "noscript", "template", "iframe", "svg", "math", "textarea", "title", "head", "object", "canvas"}
@@ -170,41 +172,116 @@ def structured(pages: DataFrame) -> DataFrame:
     return materialise(pages.select("page_id", "url", "html").mapInArrow(run, f"page_id {kind}, url string, text string, open array<string>"))
 
 
-def differenced(open_pages: DataFrame) -> DataFrame:
-    """(page_id, url, text) of pages with open lines, without those shared with a neighbour.
+def ordered(open_pages: DataFrame) -> DataFrame:
+    """Adds host, path, key, seq and part: all pages in the order of host, path, id, url and lines.
 
-    Pages of a host are dealt by a hash of their path to blocks of about BLOCK pages, and in a
-    block each page is compared with the one whose path sorts next to it and shares the longer
-    prefix. A host of any size so makes bounded groups. A page alone keeps its lines.
+    key is a digest of the lines. seq ascends with the order, and part is the range partition that
+    holds the page. Rows that are equal in all of these are told apart by a number, so a host, a
+    path or a copy of any count is split.
     """
+    spark = open_pages.sparkSession
     rows = open_pages.withColumn("host", host(F.col("url"))).withColumn("path", path(F.col("url")))
-    sizes = rows.groupBy("host").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = rows.join(sizes, "host").withColumn("block", F.pmod(F.xxhash64("path", "page_id"), F.col("blocks")).cast("int"))
+    # lines have no line breaks and are not empty, so joined they stay distinct
+    rows = rows.withColumn("key", F.md5(F.array_join("open", "\n").cast("binary"))).withColumn("tie", F.monotonically_increasing_id())
+    order = ["host", "path", "page_id", "url", "key", "tie"]
+    parts = max(partitions(spark), -(-open_pages.count() // PART_ROWS))
+    dealt = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).drop("tie")
+    return materialise(dealt.withColumn("seq", F.monotonically_increasing_id()).withColumn("part", F.spark_partition_id()))
+
+
+def edges(pages: DataFrame) -> list[tuple[int, int]]:
+    """(part, seq) of the pages of other parts that a part's first and last pages may be paired with.
+
+    These are the nearest pages before and after it on the same host with other lines. A part
+    that is all copies of one page is passed over. Only places and digests of four pages a part
+    come to the driver.
+    """
+    at = F.struct("seq", "host", "key")
+    ends = pages.groupBy("part").agg(F.min(at).alias("first"), F.max(at).alias("last"))
+    inner = pages.join(F.broadcast(ends), "part")
+
+    def other(end):
+        return F.when((F.col("host") != F.col(f"{end}.host")) | (F.col("key") != F.col(f"{end}.key")), at)
+
+    found = inner.groupBy("part", "first", "last").agg(F.min(other("first")).alias("second"), F.max(other("last")).alias("before")).orderBy("part").collect()
+    out = []
+    for way, own, near, far in ((found, "first", "last", "before"), (found[::-1], "last", "first", "second")):
+        seen = []  # of the parts passed so far, the nearest page and the nearest page unlike it
+        for r in way:
+            meant = next((x for x in seen if (x.host, x.key) != (r[own].host, r[own].key)), None)
+            if meant and meant.host == r[own].host:
+                out.append((r.part, meant.seq))
+            unlike = r[far] or next((x for x in seen if (x.host, x.key) != (r[near].host, r[near].key)), None)
+            seen = [r[near], unlike] if unlike else [r[near]]
+    return out
 
-    def shared_prefix(a: str, b: str) -> int:
-        n = 0
-        for x, y in zip(a, b, strict=False):
-            if x != y:
-                break
-            n += 1
-        return n
-
-    def compare(group):
-        rows = sorted(group.select(["page_id", "url", "path", "open"]).to_pylist(), key=lambda r: (r["path"], str(r["page_id"]), r["url"] or ""))
-        texts = []
-        for k, r in enumerate(rows):
-            # a copy of the page itself says nothing about what is shared
-            near = [o for o in (next((rows[i] for i in span if rows[i]["open"] != r["open"]), None) for span in (range(k - 1, -1, -1), range(k + 1, len(rows)))) if o]
-            lines = r["open"]
-            if near:
-                best = max(near, key=lambda o: shared_prefix(o["path"], r["path"]))
-                gone = common_lines(lines, best["open"])
-                lines = [x for i, x in enumerate(lines) if i not in gone]
-            texts.append("\n\n".join(lines))
-        return pa.table({"page_id": pa.array([r["page_id"] for r in rows], group.schema.field("page_id").type), "url": pa.array([r["url"] for r in rows], pa.string()), "text": pa.array(texts, pa.string())})
 
+def _shared_prefix(a: str, b: str) -> int:
+    n = 0
+    for x, y in zip(a, b, strict=False):
+        if x != y:
+            break
+        n += 1
+    return n
+
+
+def differenced(open_pages: DataFrame) -> DataFrame:
+    """(page_id, url, text) of pages with open lines, without those shared with a neighbour.
+
+    In the order of host and path each page is compared with the nearest page before or after it
+    that has other lines (a copy says nothing about what is shared), the one whose path shares
+    the longer prefix. Pages are sorted in range partitions, and each partition gets the pages
+    beyond its edges that its own are paired with, so a host of any size is compared as one. A
+    page alone keeps its lines.
+    """
+    spark = open_pages.sparkSession
+    small_batches(spark)
     kind = open_pages.schema["page_id"].dataType.simpleString()
-    return dealt.select("host", "block", "page_id", "url", "path", "open").groupBy("host", "block").applyInArrow(compare, f"page_id {kind}, url string, text string")
+    pages = ordered(open_pages)
+    # two numbers for each of at most two pages a part
+    beyond = F.broadcast(spark.createDataFrame(edges(pages), "to int, seq long"))
+    columns = ["part", "seq", "own", "page_id", "url", "host", "path", "open"]
+    guests = pages.join(beyond, "seq").withColumn("part", F.col("to")).withColumn("own", F.lit(False))
+    rows = pages.withColumn("own", F.lit(True)).select(*columns).unionByName(guests.select(*columns))
+    parts = max(partitions(spark), pages.agg(F.max("part")).first()[0] or 0)
+
+    def compare(batches):
+        # a run is a row of pages of one host with the same lines
+        where, lines, before, run = None, None, None, []
+
+        def finish(after):
+            kept = {}
+            for page_id, url, at in run:
+                near = [o for o in (before, after) if o]
+                best = max(near, key=lambda o: _shared_prefix(o[0], at)) if near else None
+                if id(best) not in kept:
+                    gone = common_lines(lines, best[1]) if best else ()
+                    kept[id(best)] = "\n\n".join(x for i, x in enumerate(lines) if i not in gone)
+                yield page_id, url, kept[id(best)]
+
+        def done():
+            for batch in batches:
+                nonlocal where, lines, before, run, last
+                for part, _, own, page_id, url, name, at, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    if where != (part, name):
+                        yield from finish(None)
+                        where, lines, before, run = (part, name), found, None, []
+                    elif lines != found:
+                        yield from finish((at, found))
+                        lines, before, run = found, (last, lines), []
+                    last = at
+                    if own:
+                        run.append((page_id, url, at))
+            yield from finish(None)
+
+        last = ""
+        rows = done()
+        while some := list(islice(rows, ARROW_ROWS)):
+            ids, urls, texts = zip(*some, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, arrow_kind), pa.array(urls, pa.string()), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
+
+    arrow_kind = to_arrow_type(open_pages.schema["page_id"].dataType)
+    return rows.repartition(parts, "part").sortWithinPartitions("part", "seq").mapInArrow(compare, f"page_id {kind}, url string, text string")
 
 
 def main_text(pages: DataFrame) -> DataFrame:

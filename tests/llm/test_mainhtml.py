@@ -1,5 +1,9 @@
+import hashlib
 import html
+import os
+import random
 import re
+from collections import Counter
 from itertools import combinations
 
 from folioflow.llm import mainhtml, queries
@@ -53,3 +57,35 @@ def test_pages_without_a_main_element_and_odd_rows(spark):
     by = {r.page_id: r.text for r in got}
     assert len(got) == len(rows) and all(by[i] == f"Text {i}" for i in range(6)) and by[10] == by[11] == "" and by[None] == "A" and by[12] == "alone"
     assert mainhtml.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_pages_of_a_large_host_meet_their_nearest_path(spark, monkeypatch):
+    monkeypatch.setattr(mainhtml, "PART_ROWS", 100)
+    pages = [(s * 4 + i, f"https://big.example/s{s:04}/{i}", f"<p>Menu of section {s}</p><p>Text {s} {i}</p>") for s in range(300) for i in range(4)]
+    # more copies of one page than a partition holds stand between two pages that share their menu
+    pages += [(5000 + i, f"https://copies.example/b/{i:04}", "<p>Menu</p><p>Copy</p>") for i in range(500)]
+    pages += [(6000, "https://copies.example/a", "<p>Menu</p><p>First</p>"), (6001, "https://copies.example/c", "<p>Menu</p><p>Last</p>")]
+    got = {r.page_id: r.text for r in mainhtml.main_text(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)).collect()}
+    want = {s * 4 + i: f"Text {s} {i}" for s in range(300) for i in range(4)}
+    want |= dict.fromkeys(range(5000, 5500), "Copy") | {6000: "First", 6001: "Last"}
+    assert got == want
+
+
+def test_differencing_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(mainhtml, "PART_ROWS", 5)
+    draw = random.Random(7)
+    rows = [(draw.choice([None, *range(40)]), f"https://{draw.choice(['one', 'two', 'two', 'two'])}.example/{''.join(draw.choices('ab/', k=4))}", draw.choices("uvwxyz", k=draw.choice([0, 2, 2, 4]))) for _ in range(200)]
+    rows += [(1, "https://two.example/b", ["u", "v"])] * 30
+    order = sorted(rows, key=lambda r: (r[1], r[0] is not None, r[0] or 0, hashlib.md5("\n".join(r[2]).encode()).hexdigest()))
+
+    def host(r):
+        return r[1].split("/")[2]
+
+    want = Counter()
+    for k, r in enumerate(order):
+        near = [o for o in (next((o for o in side if o[2] != r[2] and host(o) == host(r)), None) for side in (order[:k][::-1], order[k + 1 :])) if o]
+        best = max(near, key=lambda o: len(os.path.commonprefix([o[1], r[1]])), default=None)
+        gone = mainhtml.common_lines(r[2], best[2]) if best else ()
+        want[r[0], r[1], "\n\n".join(x for i, x in enumerate(r[2]) if i not in gone)] += 1
+    got = mainhtml.differenced(spark.createDataFrame(rows, "page_id long, url string, open array<string>"))
+    assert Counter(map(tuple, got.collect())) == want
