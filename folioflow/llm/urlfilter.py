@@ -2,7 +2,8 @@
 
 Template tree. A path's segments become a template by generalising variable ones: numbers,
 hexadecimal ids and other segments with digits by their shape, and, level by level, the values
-of a node that are too many or too rare to be directories. Branches below one node whose
+of a node that are too many or too rare to be directories, unless their labelled rate differs
+from that of the node's other values. Branches below one node whose
 labelled rates cannot be told apart from the node's pooled rate (a two-proportion test) share
 the pooled counts; the others keep their own. A template is rejected when its smoothed labelled
 purity - the share of bad labels, drawn to the host's and the corpus's rate - reaches a limit.
@@ -20,7 +21,8 @@ from .common import ascii_lower, materialise
 
 #: Segments of a path that the tree tells apart; the rest of a deeper path is one wildcard.
 DEPTH = 6
-#: A node with more different children than this keeps only those with the least share.
+#: A node with more different children than this keeps only those with the least share and
+#: those whose labels stand out.
 MOST_CHILDREN, LEAST_SHARE = 32, 0.02
 #: Pseudo-labels at the parent's rate, the rejecting purity, and the test's z value.
 PRIOR, REJECT, Z = 10.0, 0.5, 2.0
@@ -71,6 +73,25 @@ def shapes(path: Column) -> Column:
     return F.when(F.size(parts) > DEPTH, F.concat(first, F.array(F.lit("**")))).otherwise(first)
 
 
+def _fit(bad: Column, labelled: Column) -> Column:
+    """The log-likelihood of labels at their own rate."""
+    def part(k):
+        return F.when(k > 0, k * F.log(k / F.nullif(labelled, F.lit(0)))).otherwise(0.0)
+
+    return part(bad) + part(labelled - bad)
+
+
+def stands_out(bad: Column, labelled: Column, node_bad: Column, node_labelled: Column, tested: Column, z: float = Z) -> Column:
+    """Whether a child's labelled rate differs from that of the rest of its node.
+
+    A two-proportion test by likelihood ratio, which holds for few labels too. The level is that
+    of z for one child; as the `tested` children of a node are tried, it is sharpened by their
+    number, so a single label among many is too few to tell.
+    """
+    apart = _fit(bad, labelled) + _fit(node_bad - bad, node_labelled - labelled)
+    return 2 * (apart - _fit(node_bad, node_labelled)) > z * z + 2 * F.log(F.greatest(tested, F.lit(1)))
+
+
 def templates(pages: DataFrame) -> DataFrame:
     """(host, shapes, pages, labelled, bad, template) from (host, path, bad: 1, 0 or null)."""
     counted = pages.groupBy("host", shapes(F.col("path")).alias("shapes")).agg(F.count("*").alias("pages"), F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
@@ -79,10 +100,11 @@ def templates(pages: DataFrame) -> DataFrame:
     for level in range(deepest):
         at = F.get("shapes", F.lit(level))
         here = tree.withColumn("child", at)
-        children = here.where("child is not null").groupBy("host", "template", "child").agg(F.sum("pages").alias("n"))
+        children = here.where("child is not null").groupBy("host", "template", "child").agg(F.sum("pages").alias("n"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
         per_node = Window.partitionBy("host", "template")
-        sized = children.withColumn("total", F.sum("n").over(per_node)).withColumn("width", F.count("*").over(per_node))
-        rare = sized.where((F.col("width") > MOST_CHILDREN) & (F.col("n") < LEAST_SHARE * F.col("total"))).select("host", "template", "child", F.lit(True).alias("rare"))
+        sized = children.withColumns({"total": F.sum("n").over(per_node), "width": F.count("*").over(per_node), "node_labelled": F.sum("labelled").over(per_node), "node_bad": F.sum("bad").over(per_node), "tested": F.count_if(F.col("labelled") > 0).over(per_node)})
+        apart = stands_out(F.col("bad"), F.col("labelled"), F.col("node_bad"), F.col("node_labelled"), F.col("tested"))
+        rare = sized.where((F.col("width") > MOST_CHILDREN) & (F.col("n") < LEAST_SHARE * F.col("total")) & ~apart).select("host", "template", "child", F.lit(True).alias("rare"))
         step = F.when(F.col("child").isNull(), F.col("template")).otherwise(F.concat("template", F.array(F.when(F.col("rare"), F.lit(ANY)).otherwise(F.col("child")))))
         # written, since each level reads the one before twice
         tree = materialise(here.join(rare, ["host", "template", "child"], "left").select("host", "shapes", "pages", "labelled", "bad", step.alias("template")))

@@ -43,3 +43,22 @@ def test_bad_templates_are_rejected_and_odd_rows_kept(spark):
     assert (by[500].host, by[500].path, by[500].rule) == ("", "", None) and by[502].rule == "net/" and by[503].rule is None and by[505].host == "ärger.net"
     assert urlfilter.judge(pages.limit(0), queries.URL_RULES, labels).count() == 0
     assert {r.verdict for r in urlfilter.judge(pages, [], None).collect()} == {"allow"}
+
+
+def words(n):
+    return [a + b for a in "abcdefghijklmnop" for b in "qrstuvwxyz"][:n]
+
+
+def test_bad_directory_among_many_is_rejected(spark):
+    pages, labels = [], []
+    for host, names, each, bad in (("few.example", words(50), 20, {"aq"}), ("many.example", words(51), 20, {"aq"}), ("tiny.example", words(60), 1, {"aq", "bq"})):
+        for name in names:
+            for _ in range(each):
+                pages.append((len(pages), f"https://{host}/{name}/{len(pages)}"))
+                labels.append((len(labels), int(name in bad)))
+    got = urlfilter.judge(spark.createDataFrame(pages, "page_id long, url string"), [], spark.createDataFrame(labels, "doc_id long, bad int")).collect()
+    blocked = {(r.host, r.path.split("/")[1]) for r in got if r.verdict == "block"}
+    assert blocked == {("few.example", "aq"), ("many.example", "aq")}
+    assert {r.template for r in got if r.host == "many.example"} == {"/aq/{n}", "/*/{n}"}
+    # one label a directory is too few to tell them apart
+    assert {r.template for r in got if r.host == "tiny.example"} == {"/*/{n}"}
