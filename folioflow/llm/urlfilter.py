@@ -14,13 +14,13 @@ one row per task and template. Templates, not pages, go through the tree's level
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import ascii_lower, materialise
 
-#: Segments of a path that the tree tells apart; the rest of a deeper path is one wildcard.
-DEPTH = 6
 #: A node with more different children than this keeps only those with the least share and
 #: those whose labels stand out.
 MOST_CHILDREN, LEAST_SHARE = 32, 0.02
@@ -67,10 +67,8 @@ def shape(segment: Column) -> Column:
 
 
 def shapes(path: Column) -> Column:
-    """The shapes of the non-empty segments, at most DEPTH of them and a wildcard for more."""
-    parts = F.filter(F.split(path, "/"), lambda s: s != "")
-    first = F.transform(F.slice(parts, 1, DEPTH), shape)
-    return F.when(F.size(parts) > DEPTH, F.concat(first, F.array(F.lit("**")))).otherwise(first)
+    """The shapes of the non-empty segments."""
+    return F.transform(F.filter(F.split(path, "/"), lambda s: s != ""), shape)
 
 
 def _fit(bad: Column, labelled: Column) -> Column:
@@ -96,19 +94,28 @@ def templates(pages: DataFrame) -> DataFrame:
     """(host, shapes, pages, labelled, bad, template) from (host, path, bad: 1, 0 or null)."""
     counted = pages.groupBy("host", shapes(F.col("path")).alias("shapes")).agg(F.count("*").alias("pages"), F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
     tree = materialise(counted.withColumn("template", F.array().cast("array<string>")))
-    deepest = tree.agg(F.max(F.size("shapes"))).first()[0] or 0
-    for level in range(deepest):
-        at = F.get("shapes", F.lit(level))
-        here = tree.withColumn("child", at)
-        children = here.where("child is not null").groupBy("host", "template", "child").agg(F.sum("pages").alias("n"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
+    # only a level where a host has more than MOST_CHILDREN segments can have a node with as many;
+    # all other segments are kept as they are, so paths of any depth need few passes
+    segments = tree.select("host", F.posexplode("shapes").alias("level", "child")).distinct().groupBy("host", "level").count()
+    levels = [r.level for r in segments.where(F.col("count") > MOST_CHILDREN).select("level").distinct().orderBy("level").collect()]
+
+    def kept(upto):
+        at = F.size("template")
+        return F.concat("template", F.slice("shapes", at + 1, F.greatest(F.least(F.size("shapes"), upto) - at, F.lit(0))))
+
+    whole = []
+    for level in levels:
+        whole.append(tree.where(F.size("shapes") <= level))
+        here = tree.where(F.size("shapes") > level).withColumn("template", kept(F.lit(level))).withColumn("child", F.get("shapes", F.lit(level)))
+        children = here.groupBy("host", "template", "child").agg(F.sum("pages").alias("n"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
         per_node = Window.partitionBy("host", "template")
         sized = children.withColumns({"total": F.sum("n").over(per_node), "width": F.count("*").over(per_node), "node_labelled": F.sum("labelled").over(per_node), "node_bad": F.sum("bad").over(per_node), "tested": F.count_if(F.col("labelled") > 0).over(per_node)})
         apart = stands_out(F.col("bad"), F.col("labelled"), F.col("node_bad"), F.col("node_labelled"), F.col("tested"))
         rare = sized.where((F.col("width") > MOST_CHILDREN) & (F.col("n") < LEAST_SHARE * F.col("total")) & ~apart).select("host", "template", "child", F.lit(True).alias("rare"))
-        step = F.when(F.col("child").isNull(), F.col("template")).otherwise(F.concat("template", F.array(F.when(F.col("rare"), F.lit(ANY)).otherwise(F.col("child")))))
+        step = F.concat("template", F.array(F.when(F.col("rare"), F.lit(ANY)).otherwise(F.col("child"))))
         # written, since each level reads the one before twice
         tree = materialise(here.join(rare, ["host", "template", "child"], "left").select("host", "shapes", "pages", "labelled", "bad", step.alias("template")))
-    return tree
+    return reduce(DataFrame.unionByName, whole, tree).withColumn("template", kept(F.size("shapes")))
 
 
 def judged_templates(tree: DataFrame, *, prior: float = PRIOR, reject: float = REJECT, z: float = Z) -> DataFrame:
@@ -118,7 +125,7 @@ def judged_templates(tree: DataFrame, *, prior: float = PRIOR, reject: float = R
     by_host = leaves.groupBy("host").agg(F.sum("labelled").alias("host_labelled"), F.sum("bad").alias("host_bad"))
     # siblings are the templates that differ in the first segment that is no wildcard
     parent = F.when(F.size("template") > 0, F.slice("template", 1, F.size("template") - 1)).otherwise(F.col("template"))
-    trunk = F.filter("template", lambda s: ~s.isin("{n}", "{x}", ANY, "**"))
+    trunk = F.filter("template", lambda s: ~s.isin("{n}", "{x}", ANY))
     key = F.when(F.size(trunk) > 0, F.slice(trunk, 1, F.size(trunk) - 1)).otherwise(parent)
     pooled = leaves.withColumn("node", key)
     nodes = pooled.groupBy("host", "node").agg(F.sum("labelled").alias("node_labelled"), F.sum("bad").alias("node_bad"))

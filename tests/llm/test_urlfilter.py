@@ -62,3 +62,14 @@ def test_bad_directory_among_many_is_rejected(spark):
     assert {r.template for r in got if r.host == "many.example"} == {"/aq/{n}", "/*/{n}"}
     # one label a directory is too few to tell them apart
     assert {r.template for r in got if r.host == "tiny.example"} == {"/*/{n}"}
+
+
+def test_segments_at_any_depth_tell_pages_apart(spark):
+    paths = [f"en/2024/05/12/news/local/{'casino' if i % 2 else 'council'}/{i}" for i in range(120)]
+    # a level with many directories below one with few, and one path of 400 segments
+    paths += [f"a/b/c/d/e/f/g/{name}/x/{120 + 20 * k + i}" for k, name in enumerate(words(60)) for i in range(20)] + ["a/" * 400 + "1320"]
+    pages = spark.createDataFrame([(i, f"https://deep.example/{p}") for i, p in enumerate(paths)], "page_id long, url string")
+    labels = spark.createDataFrame([(i, int("casino" in p or "/cq/" in p)) for i, p in enumerate(paths[:-1])], "doc_id long, bad int")
+    got = {r.page_id: r for r in urlfilter.judge(pages, [], labels).collect()}
+    assert {i for i, r in got.items() if r.verdict == "block"} == {i for i, p in enumerate(paths) if "casino" in p or "/cq/" in p}
+    assert {r.template for r in got.values()} == {f"/en/{{n}}/{{n}}/{{n}}/news/local/{x}/{{n}}" for x in ("casino", "council")} | {"/a/b/c/d/e/f/g/*/x/{n}", "/a/b/c/d/e/f/g/cq/x/{n}", "/" + "a/" * 400 + "{n}"}
