@@ -270,12 +270,17 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col
 def keep_one(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFrame:
     """The rows of documents without the near copies of an earlier one, with their own columns.
 
-    Of rows that repeat a kept doc_id one stays.
+    Every row counts for itself, whether its doc_id is repeated, null or neither. Of a group of
+    near copies the row of the least doc_id stays, one without an id only if none has one. Of
+    equal rows without words one stays.
     """
-    marked = materialise(near_duplicates(docs, size=size, percent=percent))
-    gone = marked.where("not kept").select("doc_id").distinct()
-    out = docs.join(bounded(materialise(gone)), "doc_id", "left_anti").select(*docs.columns)
-    repeated = marked.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
-    if repeated.isEmpty():
-        return out
-    return out.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(out.where("doc_id is null"))
+    rows = materialise(docs.withColumn("_row", F.monotonically_increasing_id()))
+    marked = materialise(near_duplicates(rows, size=size, percent=percent, id_column="_row").withColumnRenamed("doc_id", "_row"))
+    later = marked.where("not kept").select("_row", "component_id")
+    group = materialise(later.unionByName(later.select(F.col("component_id").alias("_row"), "component_id").distinct()))
+    named = rows.select("_row", "doc_id").join(bounded(group), "_row")
+    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("first")).select("first._row")
+    empty = marked.where("n_shingles = 0").select("_row")
+    alike = rows.join(bounded(empty), "_row", "left_semi").groupBy(*docs.columns).agg(F.min("_row").alias("_row")).select("_row")
+    gone = materialise(group.select("_row").unionByName(empty).join(first.unionByName(alike), "_row", "left_anti"))
+    return rows.join(bounded(gone), "_row", "left_anti").select(*docs.columns)

@@ -75,3 +75,11 @@ def test_components_of_a_path_a_star_and_a_ring(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert {got[i] for i in range(100, 161)} == {100} and {got[i] for i in range(300, 340)} == {7} and {got[i] for i in range(500, 509)} == {500}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_rows_with_repeated_or_null_ids_count_for_themselves(spark):
+    one, two, three, four = (" ".join(f"{c}{i}" for i in range(30)) for c in "abcd")
+    rows = [(1, one, "x"), (1, two, "x"), (2, one, "y"), (2, three, "y"), (None, four, "x"), (None, four, "x"), (None, two, "x"), (3, "", "x"), (3, "", "x"), (3, "", "y"), (None, None, "x"), (None, None, "x"), (9, three + " more", "x"), (0, one, "z")]
+    got = neardup.keep_one(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3))
+    want = [(0, one, "z"), (1, two, "x"), (2, three, "y"), (None, four, "x"), (3, "", "x"), (3, "", "y"), (None, None, "x")]
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
