@@ -11,6 +11,7 @@ and enough distinct seeds and documents then mark the unseen instances they intr
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 import pyarrow as pa
@@ -22,6 +23,8 @@ from .common import materialise, small_batches
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS, CONFIDENT, LEAST_SEEDS, LEAST_DOCUMENTS, SMOOTHING = 3, 0.8, 3, 3, 0.5
+#: Longer tokens are known by a digest of all their characters.
+LONG = 200
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -82,9 +85,17 @@ def pattern(text: str, start: int) -> str:
     return f"~{m[1].lower()}" if m else "~"
 
 
+def instance(token: str) -> str:
+    """What stands for a token in the graph: its text, or a 128-bit digest of a long one's."""
+    value = token.lower()
+    if len(value) <= LONG:
+        return value
+    return f"\\{hashlib.blake2b(value.encode('utf-8', 'surrogatepass'), digest_size=16).hexdigest()}"
+
+
 def occurrences(text: str, base: dict[str, list[tuple[int, int]]]) -> list[dict]:
     """Base spans and identifier-like tokens outside them, with pattern, value and kind."""
-    found = [{"pattern": pattern(text, a), "instance": text[a:b].lower(), "kind": k, "start": a, "stop": b} for k in KINDS for a, b in base[k]]
+    found = [{"pattern": pattern(text, a), "instance": instance(text[a:b]), "kind": k, "start": a, "stop": b} for k in KINDS for a, b in base[k]]
     if not _DIGIT.search(text):
         return found
     taken = sorted((a, b) for k in KINDS for a, b in base[k])
@@ -96,7 +107,7 @@ def occurrences(text: str, base: dict[str, list[tuple[int, int]]]) -> list[dict]
         if i < len(taken) and taken[i][0] < b or not _DIGIT.search(m.group()):
             continue
         value = m.group()
-        found.append({"pattern": pattern(text, a), "instance": value.lower()[:200], "kind": "secret" if _HEX.match(value) else None, "start": a, "stop": b})
+        found.append({"pattern": pattern(text, a), "instance": instance(value), "kind": "secret" if _HEX.match(value) else None, "start": a, "stop": b})
     return found
 
 

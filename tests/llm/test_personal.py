@@ -66,3 +66,13 @@ def test_odd_rows(spark, odd_docs, no_docs):
     back = personal.redact(odd_docs)
     assert back.columns == odd_docs.columns and sorted(map(str, back.collect())) == sorted(map(str, odd_docs.collect()))
     assert personal.redact(no_docs).count() == 0
+
+
+def test_long_tokens_are_told_apart_by_all_of_their_text():
+    start = "Zz9/" * 60
+    texts = [f"see {start}{end} here" for end in ("one1", "two2", "ONE1")]
+    found = [personal.occurrences(t, personal.base_spans(t)) for t in texts]
+    one, two, again = ([f["instance"] for f in x] for x in found)
+    assert len(one) == 1 and one != two and one == again
+    assert [(f["start"], f["stop"]) for f in found[0]] == [(4, 4 + len(start) + 4)]
+    assert personal.instance("Ab" * 100) == "ab" * 100
