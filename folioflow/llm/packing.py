@@ -9,8 +9,6 @@ depend on that document alone.
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -18,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import small_batches
-from .tokens import encoder, id_lists, list_bytes, vocabulary
+from .tokens import crc32, encoder, id_lists, list_crc32, vocabulary
 
 SEQUENCE, END_ID = 2048, 1
 
@@ -28,51 +26,53 @@ def piece_lengths(n: int, sequence: int = SEQUENCE) -> list[int]:
     return [sequence] * full + [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
 
 
-def pack(docs: DataFrame, *, path: str | None = None, sequence: int = SEQUENCE, end_id: int = END_ID, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def pack(docs: DataFrame, *, path: str | None = None, sequence: int = SEQUENCE, end_id: int = END_ID, id_column: str = "doc_id", text_column: str = "text", digest: bool = False) -> DataFrame:
     """One row per piece: doc_id, start, length, ids, doc_tokens, sequence_id, offset (always 0).
 
-    `sequence` must be a power of two. A null or empty text has only the end id: one piece of
-    length 1. Repeated rows and repeated or null ids are packed row by row. sequence_id holds
-    the bucket (log2 of the length) in its top byte, then the input partition and a count, so
-    a bucket is a contiguous range of ids and a rerun of a lost task gives the same ids. Other
-    columns are ignored. An empty table gives no rows.
+    With `digest` ids_crc32, the CRC-32 of the ids as little-endian unsigned 32-bit numbers, stands
+    in the place of ids. `sequence` must be a power of two. A null or empty text has only the end
+    id: one piece of length 1; a text of any length is cut like all others. Repeated rows and
+    repeated or null ids are packed row by row. sequence_id holds the bucket (log2 of the length)
+    in its top byte, then the input partition and a count, so a bucket is a contiguous range of ids
+    and a rerun of a lost task gives the same ids. Other columns are ignored, whatever their names.
+    An empty table gives no rows.
     """
     if sequence & (sequence - 1) or sequence < 1:
         raise ValueError("sequence must be a power of two")
     small_batches(docs.sparkSession)
     path = path or vocabulary()
-    tail = np.asarray([end_id], dtype="<u4").tobytes()
     kind = docs.schema[id_column].dataType.simpleString()
+    content = "ids_crc32" if digest else "ids"
 
     def run(batches):
         encode, part, count = encoder(path), TaskContext.get().partitionId(), 0
         for batch in batches:
-            coded = encode((t or "" for t in batch.column(1).to_pylist()), tail)
-            rows, start, length, tokens, blobs, numbers = [], [], [], [], [], []
-            for row, ids in enumerate(coded):
-                n, at = len(ids) // 4, 0
-                for size in piece_lengths(n, sequence):
-                    rows.append(row), start.append(at), length.append(size), tokens.append(n)
-                    blobs.append(ids[4 * at : 4 * (at + size)])
-                    numbers.append((size.bit_length() - 1) << 56 | part << 36 | count)
-                    count, at = count + 1, at + size
+            flat, at = encode.ids(batch.column(1), end_id)
+            tokens = np.diff(at)
+            lengths = [piece_lengths(n, sequence) for n in tokens.tolist()]
+            row = np.repeat(np.arange(len(lengths)), [len(x) for x in lengths])
+            length = np.asarray([x for of_doc in lengths for x in of_doc], dtype=np.int64)
+            # the pieces follow each other as the ids do
+            begin = np.concatenate([[0], np.cumsum(length)])
+            bucket = np.frexp(length)[1].astype(np.int64) - 1
+            number = bucket << 56 | part << 36 | np.arange(count, count + len(length))
+            count += len(length)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(start, pa.int64()), pa.array(length, pa.int64()), id_lists(blobs), pa.array(tokens, pa.int64()), pa.array(numbers, pa.int64()), pa.array([0] * len(rows), pa.int64())],
-                names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"],
+                [batch.column(0).take(pa.array(row)), pa.array(begin[:-1] - at[row]), pa.array(length), (crc32 if digest else id_lists)(flat, begin), pa.array(tokens[row]), pa.array(number), pa.array(np.zeros(len(length), dtype=np.int64))],
+                names=["doc_id", "start", "length", content, "doc_tokens", "sequence_id", "offset"],
             )
 
-    schema = f"doc_id {kind}, start long, length long, ids array<int>, doc_tokens long, sequence_id long, offset long"
+    schema = f"doc_id {kind}, start long, length long, {content} {'long' if digest else 'array<int>'}, doc_tokens long, sequence_id long, offset long"
     return docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text")).mapInArrow(run, schema)
 
 
-def with_crc32(rows: DataFrame, drop: bool = True) -> DataFrame:
-    """Adds ids_crc32: the CRC-32 of the little-endian unsigned 32-bit ids in column ids."""
+def with_crc32(rows: DataFrame) -> DataFrame:
+    """The rows with ids_crc32, the CRC-32 of the ids as little-endian unsigned 32-bit numbers, for ids."""
     keep = [c for c in rows.columns if c != "ids"]
 
     def run(batches):
         for batch in batches:
-            crc = [zlib.crc32(b) for b in list_bytes(batch.column(batch.schema.get_field_index("ids")))]
-            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in keep), pa.array(crc, pa.int64())], names=[*keep, "ids_crc32"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), list_crc32(batch.column("ids"))], names=[*keep, "ids_crc32"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "ids")
     return rows.mapInArrow(run, f"{schema}, ids_crc32 long")

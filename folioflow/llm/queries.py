@@ -36,7 +36,7 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = packing.with_crc32(packing.pack(table(spark, sf_dir, "documents")))
+    rows = packing.pack(table(spark, sf_dir, "documents"), digest=True)
     return rows.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 

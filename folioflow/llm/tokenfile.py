@@ -25,25 +25,24 @@ ROW_GROUP_BYTES, PAGE_BYTES, END_ID = 32 << 20, 64 << 10, 1
 def write_tokens(docs: DataFrame, out: str | None = None, *, path: str | None = None, end_id: int = END_ID, id_column: str = "doc_id", text_column: str = "text") -> str:
     """Encodes every document and writes the token file; returns its path.
 
-    Null text counts as empty, so it has only the end id. Rows with one doc_id keep an order by
-    a hash of their text; null ids come first. The one shuffle deals the texts by ranges of
-    (doc_id, hash), so a doc_id that holds many rows is split too.
+    Null text counts as empty, so it has only the end id; a text of any length is one list. Rows
+    with one doc_id keep an order by a hash of their text, and equal rows are each written; null
+    ids come first. The one shuffle deals the texts by ranges of (doc_id, hash), so a doc_id that
+    holds many rows is split too. Other columns are ignored, whatever their names. An empty table
+    gives a token file without rows.
     """
     spark = docs.sparkSession
     small_batches(spark)
     path, out = path or vocabulary(), out or shared_dir(spark)
-    tail = np.asarray([end_id], dtype="<u4").tobytes()
     kind = docs.schema[id_column].dataType.simpleString()
 
     def run(batches):
         encode, part, before = encoder(path), TaskContext.get().partitionId(), 0
         for batch in batches:
-            blobs = encode((t or "" for t in batch.column(1).to_pylist()), tail)
-            n = np.asarray([len(b) // 4 for b in blobs], dtype=np.int64)
-            starts = before + np.cumsum(n) - n
-            before += int(n.sum())
+            flat, at = encode.ids(batch.column(1), end_id)
+            starts, before = before + at[:-1], before + len(flat)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.full(len(n), part, dtype=np.int32)), pa.array(starts), pa.array(n), id_lists(blobs)],
+                [batch.column(0), pa.array(np.full(len(starts), part, dtype=np.int32)), pa.array(starts), pa.array(np.diff(at)), id_lists(flat, at)],
                 names=["doc_id", "part", "local_start", "n_tokens", "ids"],
             )
 

@@ -1,16 +1,27 @@
+import functools
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from folioflow.llm import packing, queries, tokenfile
 from folioflow.llm.tokens import ChunkEncoder, vocabulary
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tests.conftest import SMALL
 
+ENCODER = ChunkEncoder(vocabulary())
 
-def whole(texts):
+
+@functools.cache
+def tokenizer():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(vocabulary())
+    return Tokenizer.from_file(vocabulary())
+
+
+def whole(texts):
+    t = tokenizer()
     return [np.asarray([*t.encode(x, add_special_tokens=False).ids, 1], dtype="<u4") for x in texts]
 
 
@@ -21,6 +32,24 @@ def test_chunks_give_the_ids_of_whole_texts(spark):
     assert ChunkEncoder(vocabulary())(texts, tail) == [x.tobytes() for x in whole(texts)]
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.sampled_from("abZsT01 \n\t'.,<|>-_ÀÞßà×÷ÿĀāĮįİĲŁ€\u0301\u0085ab "), max_size=30), max_size=4))
+def test_pieces_of_any_signs_give_the_ids_of_whole_texts(texts):
+    assert ENCODER(texts, (1).to_bytes(4, "little")) == [x.tobytes() for x in whole(texts)]
+    flat, at = ENCODER.ids(pa.array([None, *texts, "cut off"], pa.string()).slice(0, len(texts) + 1), 1)
+    assert [flat[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == [[1], *(x.tolist() for x in whole(texts))]
+
+
+def test_a_full_store_keeps_what_is_used():
+    encode = ChunkEncoder(vocabulary())
+    encode._pieces.most = 50
+    texts = [f"common words and w{a}x{b}" for a in "abcdefgh" for b in "abcdefgh"]
+    for at in range(0, len(texts), 8):
+        assert encode(texts[at : at + 8]) == [x[:-1].tobytes() for x in whole(texts[at : at + 8])]
+        assert encode._pieces.size <= 50
+    assert {"common", "words", "and"} <= set(encode._pieces.place)
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 2047, 2048, 2049, 4096, 5001])
 def test_pieces_are_powers_of_two(n):
     p = packing.piece_lengths(n)
@@ -64,3 +93,10 @@ def test_odd_rows(spark, odd_docs, no_docs):
         at += r.n_tokens
     assert packing.pack(no_docs).count() == 0
     assert tokenfile.read_tokens(spark, tokenfile.write_tokens(no_docs)).count() == 0
+
+
+def test_columns_with_names_of_the_results(spark):
+    rows = spark.createDataFrame([(1, "a b", 5, 6, 7, 8, 9)], "doc_id long, text string, ids int, start int, length int, part int, n_tokens int")
+    assert [(r.start, r.length) for r in packing.pack(rows).orderBy("start").collect()] == [(0, 2), (2, 1)]
+    assert [(r.start, r.n_tokens) for r in tokenfile.read_tokens(spark, tokenfile.write_tokens(rows)).collect()] == [(0, 3)]
+    assert packing.pack(rows, digest=True).orderBy("start").first().ids_crc32 == zlib.crc32(whole(["a b"])[0][:2].tobytes())
