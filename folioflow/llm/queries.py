@@ -58,7 +58,7 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mainhtml.main_text(table(spark, sf_dir, "pages"))
-    return rows.withColumn("n_chars", F.length("text").cast("long"))
+    return rows.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_shared")
 
 
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:

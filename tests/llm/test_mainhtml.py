@@ -71,21 +71,79 @@ def test_pages_of_a_large_host_meet_their_nearest_path(spark, monkeypatch):
     assert got == want
 
 
+def nearest(order, k):
+    """The page of the same host and other lines whose path shares the longest prefix, by a full search."""
+
+    def host(r):
+        return r[1].split("/")[2], r[3:] and any(m for _, m in r[3])
+
+    r, near = order[k], []
+    for side in (order[:k][::-1], order[k + 1 :]):
+        near += [o for o in [next((o for o in side if o[2] != r[2] and host(o) == host(r)), None)] if o]
+    return max(near, key=lambda o: len(os.path.commonprefix([o[1], r[1]])), default=None)
+
+
+def in_order(rows):
+    return sorted(rows, key=lambda r: (r[1], r[0] is not None, r[0] or 0, hashlib.md5("\n".join(r[2]).encode()).hexdigest()))
+
+
 def test_differencing_against_brute_force(spark, monkeypatch):
     monkeypatch.setattr(mainhtml, "PART_ROWS", 5)
     draw = random.Random(7)
     rows = [(draw.choice([None, *range(40)]), f"https://{draw.choice(['one', 'two', 'two', 'two'])}.example/{''.join(draw.choices('ab/', k=4))}", draw.choices("uvwxyz", k=draw.choice([0, 2, 2, 4]))) for _ in range(200)]
     rows += [(1, "https://two.example/b", ["u", "v"])] * 30
-    order = sorted(rows, key=lambda r: (r[1], r[0] is not None, r[0] or 0, hashlib.md5("\n".join(r[2]).encode()).hexdigest()))
-
-    def host(r):
-        return r[1].split("/")[2]
-
+    order = in_order(rows)
     want = Counter()
     for k, r in enumerate(order):
-        near = [o for o in (next((o for o in side if o[2] != r[2] and host(o) == host(r)), None) for side in (order[:k][::-1], order[k + 1 :])) if o]
-        best = max(near, key=lambda o: len(os.path.commonprefix([o[1], r[1]])), default=None)
-        gone = mainhtml.common_lines(r[2], best[2]) if best else ()
-        want[r[0], r[1], "\n\n".join(x for i, x in enumerate(r[2]) if i not in gone)] += 1
-    got = mainhtml.differenced(spark.createDataFrame(rows, "page_id long, url string, open array<string>"))
-    assert Counter(map(tuple, got.collect())) == want
+        best = nearest(order, k)
+        if gone := best and sorted(mainhtml.common_lines(r[2], best[2])):
+            want[r[0], r[1], tuple(r[2]), tuple(gone)] += 1
+    pages = spark.createDataFrame([(i, *r, [False for _ in r[2]]) for i, r in enumerate(rows)], "row_key long, page_id long, url string, lines array<string>, main array<boolean>")
+    got = mainhtml.differenced(pages).collect()
+    assert Counter((*rows[r.row_key][:2], tuple(rows[r.row_key][2]), tuple(i for i, x in enumerate(r.own) if not x)) for r in got) == want
+
+
+def test_the_whole_query_against_brute_force(spark):
+    """Of the table: its pages, and its pages without <article> or with lines that their host shares."""
+    pages = [(p.page_id, p.url, p.html) for p in spark.read.parquet(f"{SMALL}/pages.parquet").collect()]
+    pages += [(p + 1000, u, re.sub("</?article>", "", h).replace("<nav>", f"<p>All of {u.split('/')[2]}</p><nav>")) for p, u, h in pages]
+    pages += [(p + 2000, u, h.replace("<article>", f"<article><p>All of {u.split('/')[2]}</p>")) for p, u, h in pages[:50]]
+    found = [(p, u, [(t, main) for t, main, dropped in mainhtml.blocks(h) if not dropped]) for p, u, h in pages]
+    order, want = in_order([(p, u, tuple(t for t, _ in x), x) for p, u, x in found]), {}
+    # urls of the table have no # or ? that would change their order
+    order.sort(key=lambda r: (re.match(r"[^:]*://([^/?#]*)([^?#]*)", r[1]).groups(), r[0]))
+    for k, (p, u, lines, x) in enumerate(order):
+        best = nearest(order, k)
+        gone = mainhtml.common_lines(lines, best[2]) if best else set()
+        some = any(m for _, m in x)
+        want[p] = (u, "\n\n".join(t for i, (t, m) in enumerate(x) if (m if some else i not in gone)), len(gone))
+    got = {r.page_id: (r.url, r.text, r.n_shared) for r in mainhtml.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got == want
+    opened = [p for p, _, _ in pages if 1000 <= p < 2000]
+    assert any("All of" in got[p][1] for p in opened) and sum("All of" not in got[p][1] for p in opened) > len(opened) / 2
+    assert all(got[p + 2000][1].startswith("All of") for p in range(50))
+
+
+def test_long_pages_are_aligned_in_little_memory(spark):
+    import tracemalloc
+
+    draw = random.Random(3)
+    a, b = ([str(draw.choice([0, draw.randrange(40_000)])) for _ in range(20_000)] for _ in range(2))
+    menu = [f"menu {i}" for i in range(3_000)]
+    tracemalloc.start()
+    found = mainhtml.common_lines(menu + a, menu + b)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert set(range(3_000)) <= found and most < 100 << 20
+    pages = [(k, f"https://long.example/{k}", "".join(f"<p>{x}</p>" for x in menu + [f"{k} {i}" for i in range(20_000)])) for k in range(2)]
+    got = {r.page_id: r for r in mainhtml.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert all(got[k].text == "\n\n".join(f"{k} {i}" for i in range(20_000)) and got[k].n_shared == 3_000 for k in range(2))
+
+
+def test_letters_whose_lower_case_is_longer_move_nothing():
+    assert texts("\u0130" * 30 + "<script>x</SCRIPT><article><p>A</p></article>") == ["A"]
+
+
+def test_columns_with_names_of_the_results(spark):
+    rows = spark.createDataFrame([(1, "https://a.example/", "<p>x</p>", "t", "h", "p", 3)], "page_id long, url string, html string, text string, host string, path string, row_key int")
+    assert [tuple(r) for r in mainhtml.main_text(rows).collect()] == [(1, "https://a.example/", "x", 0)]
