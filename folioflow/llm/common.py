@@ -61,3 +61,12 @@ def bounded(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     count, such as a written table.
     """
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
+#: Bytes of rows with columns of any length that may be broadcast.
+BROADCAST_BYTES = 32 << 20
+
+
+def bounded_bytes(df: DataFrame, size: Column, most: int = BROADCAST_BYTES) -> DataFrame:
+    """As `bounded`, for rows with a column of any length: `size` is about its bytes in a row."""
+    return F.broadcast(df) if (df.agg(F.sum(size + 32)).first()[0] or 0) <= most else df

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ARROW_ROWS, bounded, materialise, partitions, small_batches
+from .common import ARROW_ROWS, bounded_bytes, materialise, partitions, small_batches
 from .urlfilter import host, path
 
 #: Pages of a range partition, about.
@@ -317,7 +317,7 @@ def main_text(pages: DataFrame) -> DataFrame:
     names. An empty table gives no rows.
     """
     found = structured(pages).withColumn("protects", F.exists("main", lambda m: m))
-    rows = found.join(bounded(differenced(found)), "row_key", "left")
+    rows = found.join(bounded_bytes(differenced(found), F.size("own")), "row_key", "left")
     kept = F.when(F.col("protects"), F.col("main")).otherwise(F.col("own"))
     # array_join leaves nulls out
     text = F.array_join(F.when(kept.isNull(), F.col("lines")).otherwise(F.zip_with("lines", kept, lambda x, k: F.when(k, x))), "\n\n")

@@ -1,116 +1,218 @@
 """Substring dedup by level-wise doubling of repeated windows.
 
-A run's hash is joined from the hashes of runs of half its length, so one pass over a text gives
-all levels. Level one has runs of a quarter of the window; only those repeated anywhere in the
-corpus can lie in a repeated window, and only windows over such a run are extended to the full
-length and compared. (The level between would cost another pass over the corpus and removes
-next to nothing here, so two doublings are taken at once.) At level one a text is represented
-by the least run hash of each window, which equal windows share, so the first exchange carries
-about one row in eight words.
-
-Exchanges are kept free of hot keys: repeated runs are counted with partial aggregates and
-joined back by a join that splits skewed keys; windows are first reduced within blocks of
-documents, so the most common window sends one record per block.
+A window's hash is joined from the hashes of runs of half its length, so one pass over a text
+gives all lengths: 5, 10 and 20 words by default. At each length a window is represented by the
+least hash of its runs of that length, which equal windows share; consecutive windows mostly have
+the same one, so a level carries about one row in eight words. Windows whose run is repeated
+anywhere in the corpus are extended to twice the length; all others are left out, until the full
+length is reached or no candidates survive. Only the candidates' starts and hashes go from level
+to level, never texts.
+
+Exchanges are kept free of hot keys: runs are counted with partial aggregates and joined back by
+a join that splits skewed keys; full windows are first reduced within blocks of documents, so the
+most common window sends one entry per block.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, small_batches
-from .textkit import chunks, window_hashes, word_hashes
+from .common import bounded_bytes, materialise, small_batches
+from .textkit import chunks, valid_starts, window_hashes, word_hashes
 
 WINDOW, LEVEL_ONE = 20, 5
-#: Documents that are reduced together.
-BLOCK = 1000
+#: Documents that are reduced together, and windows that are compared together, about.
+BLOCK, BUCKET = 1000, 500_000
 _NULL_ID = np.iinfo(np.int64).min
 
 
-def _least_runs(h: np.ndarray, window: int, base: int) -> np.ndarray:
-    """For each window start the least hash of the runs inside it."""
-    low, have, want = window_hashes(h, base), 1, window - base + 1
+def levels(window: int, base: int) -> list[int]:
+    """The lengths of runs before the full window, each twice the one before."""
+    out = []
+    while base < window:
+        out.append(base)
+        base *= 2
+    return out
+
+
+def _least_runs(h: np.ndarray, window: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each window start the least hash of the runs inside it, and where the first such is."""
+    low, have, want = window_hashes(h, size), 1, window - size + 1
+    at = np.arange(len(low))
     while have < want:
         step = min(have, want - have)
-        low = np.minimum(low[:-step], low[step:])
+        less = low[step:] < low[:-step]
+        low, at = np.where(less, low[step:], low[:-step]), np.where(less, at[step:], at[:-step])
         have += step
-    return low
+    return low, at
+
+
+def _segments(of: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Where windows begin whose text or least run is not that of the window before."""
+    return np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (at[1:] != at[:-1])])) if len(of) else np.zeros(0, dtype=np.int64)
+
+
+def _texts(column) -> list[bytes]:
+    return [(t or "").encode("utf-8", "surrogatepass") for t in column.to_pylist()]
 
 
-def _row_key(id_column: str, text_column: str) -> Column:
-    return F.xxhash64(id_column, text_column)
+def _windows(part: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(word hashes, the texts' offsets in them, start and text of each window)."""
+    h, offsets = word_hashes(part)
+    start = np.flatnonzero(valid_starts(offsets, window, len(h))) if len(h) >= window else np.zeros(0, dtype=np.int64)
+    return h, offsets, start, np.searchsorted(offsets, start, "right") - 1
 
 
-def _repeated_runs(rows: DataFrame, window: int, base: int) -> DataFrame:
-    """(key, runs): the level-one runs of each document that the corpus has more than once."""
+def _lists(values: np.ndarray, of: np.ndarray, n: int) -> pa.ListArray:
+    """Lists of the values of each of n texts; of ascends."""
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(of, np.arange(n + 1)).astype(np.int32)), pa.array(values))
+
+
+def _blobs(values: np.ndarray, of: np.ndarray, n: int) -> pa.Array:
+    cuts = np.searchsorted(of, np.arange(n + 1)) * values.itemsize
+    raw = memoryview(np.ascontiguousarray(values)).cast("B")
+    return pa.array([raw[a:b].tobytes() for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)], pa.binary())
+
+
+def first_level(rows: DataFrame, window: int, base: int) -> DataFrame:
+    """(key, runs): the least runs of a document's windows, an entry for each place of one."""
 
     def run(batches):
         for batch in batches:
-            keys = batch.column(0).to_numpy()
-            texts = [(t or "").encode("utf-8", "surrogatepass") for t in batch.column(1).to_pylist()]
-            for first, part in chunks(texts):
-                h, offsets = word_hashes(part)
-                if len(h) < window:
-                    continue
-                runs, low = window_hashes(h, base), _least_runs(h, window, base)
-                owners, found, counts = [], [], []
-                for i, (a, b) in enumerate(zip(offsets[:-1], offsets[1:], strict=True)):
-                    if b - a >= window:
-                        mine = np.unique(low[a : b - window + 1])
-                        all_runs = np.sort(runs[a : b - base + 1])
-                        twice = np.searchsorted(all_runs, mine, "right") - np.searchsorted(all_runs, mine, "left") > 1
-                        found.append(mine)
-                        counts.append(twice.astype(np.int32) + 1)
-                        owners.append(np.full(len(mine), keys[first + i]))
-                if found:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), pa.array(np.concatenate(owners)), pa.array(np.concatenate(counts))], names=["run", "key", "n"])
-
-    each = rows.select("key", "text").mapInArrow(run, "run long, key long, n int")
-    repeated = each.groupBy("run").agg(F.sum("n").alias("total")).where("total > 1").select("run")
-    return each.select("run", "key").join(repeated.hint("merge"), "run").groupBy("key").agg(F.collect_list("run").alias("runs"))
-
-
-def _candidates(text: bytes, runs: np.ndarray, window: int, base: int) -> tuple[np.ndarray, np.ndarray]:
-    """(starts, hashes) of the windows of a text that lie over one of the given runs."""
-    h, _ = word_hashes([text])
-    if len(h) < window or not len(runs):
-        return np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.uint64)
-    at = np.flatnonzero(np.isin(_least_runs(h, window, base), runs)).astype(np.int32)
-    return at, window_hashes(h, window)[at]
-
-
-def _block_windows(docs: pa.Table, runs: pa.Table, window: int, base: int):
-    """Candidate windows of a block and, of each hash, whether an occurrence is the block's first.
-
-    Returns (rows of the block in order of id and key, row of each window, start, hash, first).
+            for first, part in chunks(_texts(batch.column(1))):
+                h, _, start, of = _windows(part, window)
+                if len(start):
+                    low, at = _least_runs(h, window, base)
+                    cut = _segments(of, at[start])
+                    runs = _lists(low[start[cut]].view(np.int64), of[cut], len(part))
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(part)), runs], names=["key", "runs"]).filter(pa.array(np.bincount(of, minlength=len(part)) > 0))
+
+    return materialise(rows.select("key", "text").mapInArrow(run, "key long, runs array<long>"))
+
+
+def repeated(level: DataFrame) -> DataFrame:
+    """(key, alive): of each document's runs those that the corpus has at two places or more."""
+    each = level.select("key", F.explode("runs").alias("run"))
+    twice = each.groupBy("run").agg(F.count("*").alias("n")).where("n > 1").select("run")
+    return materialise(each.join(twice.hint("merge"), "run").groupBy("key").agg(F.collect_set("run").alias("alive")))
+
+
+def _extended(rows: DataFrame, window: int, lengths: list[int]) -> DataFrame:
+    """Candidate windows of each document, from its text and the runs of level one that live.
+
+    One row per document: starts and full hashes as binary, and for each further level the least
+    runs with the number of windows that each stands for.
     """
-    ids = docs.column("doc_id").fill_null(_NULL_ID).to_numpy()
-    keys = docs.column("key").to_numpy()
-    order = np.lexsort((keys, ids))
-    known = dict(zip(runs.column("key").to_pylist(), runs.column("runs").to_pylist(), strict=True))
-    texts = docs.column("text").to_pylist()
-    owner, start, hashes = [], [], []
-    before = None
-    for rank, row in enumerate(order):
-        # equal rows are one document: only the first of them counts
-        same, before = before == (ids[row], keys[row]), (ids[row], keys[row])
-        found = known.get(int(keys[row]))
-        if found and not same:
-            at, h = _candidates((texts[row] or "").encode("utf-8", "surrogatepass"), np.asarray(found, dtype=np.int64).view(np.uint64), window, base)
-            owner.append(np.full(len(at), rank, dtype=np.int64))
-            start.append(at)
-            hashes.append(h)
-    if not owner:
-        return order, *(np.zeros(0, dtype=t) for t in (np.int64, np.int32, np.uint64, bool))
-    owner, start, hashes = map(np.concatenate, (owner, start, hashes))
-    by_hash = np.argsort(hashes, kind="stable")
-    sorted_hashes = hashes[by_hash]
-    first = np.empty(len(hashes), dtype=bool)
-    first[by_hash] = np.concatenate([[True], sorted_hashes[1:] != sorted_hashes[:-1]]) if len(hashes) else True
-    return order, owner, start, hashes, first
+
+    def run(batches):
+        for batch in batches:
+            alive_of = batch.column(3)
+            for first, part in chunks(_texts(batch.column(2))):
+                h, offsets, start, of = _windows(part, window)
+                if not len(start):
+                    continue
+                # a run that lives in one document lives in all that have it
+                alive = np.unique(alive_of.slice(first, len(part)).flatten().to_numpy()).view(np.uint64)
+                ok = np.isin(_least_runs(h, window, lengths[0])[0][start], alive)
+                start, of = start[ok], of[ok]
+                n, out, names = len(part), [], []
+                for size in lengths[1:]:
+                    low, at = _least_runs(h, window, size)
+                    cut = _segments(of, at[start])
+                    out += [_lists(low[start[cut]].view(np.int64), of[cut], n), _blobs(np.diff(cut, append=len(of)).astype(np.int32), of[cut], n)]
+                    names += [f"runs{size}", f"sizes{size}"]
+                full = window_hashes(h, window)[start]
+                out = [batch.column(0).slice(first, n), batch.column(1).slice(first, n), _blobs((start - offsets[of]).astype(np.int32), of, n), _blobs(full, of, n), *out]
+                yield pa.RecordBatch.from_arrays(out, names=["key", "doc_id", "starts", "hashes", *names]).filter(pa.array(np.bincount(of, minlength=n) > 0))
+
+    more = "".join(f", runs{size} array<long>, sizes{size} binary" for size in lengths[1:])
+    return materialise(rows.select("key", "doc_id", "text", "alive").mapInArrow(run, f"key long, doc_id long, starts binary, hashes binary{more}"))
+
+
+def _narrowed(found: DataFrame, lengths: list[int]) -> DataFrame:
+    """The candidates whose run of the first of the lengths lives; that level's columns go."""
+    names = ["key", "doc_id", "starts", "hashes", *(c for size in lengths[1:] for c in (f"runs{size}", f"sizes{size}"))]
+
+    def run(batches):
+        for batch in batches:
+            rows = {c: [] for c in names}
+            for r in batch.to_pylist():
+                def of_windows(size, r=r):
+                    return np.repeat(np.asarray(r[f"runs{size}"], dtype=np.int64), np.frombuffer(r[f"sizes{size}"], dtype=np.int32))
+
+                ok = np.isin(of_windows(lengths[0]), np.asarray(r["alive"], dtype=np.int64))
+                if not ok.any():
+                    continue
+                for c in ("key", "doc_id"):
+                    rows[c].append(r[c])
+                rows["starts"].append(np.frombuffer(r["starts"], dtype=np.int32)[ok].tobytes())
+                rows["hashes"].append(np.frombuffer(r["hashes"], dtype=np.uint64)[ok].tobytes())
+                for size in lengths[1:]:
+                    own = of_windows(size)[ok]
+                    cut = _segments(own, own)
+                    rows[f"runs{size}"].append(own[cut].tolist())
+                    rows[f"sizes{size}"].append(np.diff(cut, append=len(own)).astype(np.int32).tobytes())
+            yield pa.RecordBatch.from_pydict(rows, schema=pa.schema([batch.schema.field(c) for c in names]))
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in found.schema if f.name in names)
+    return materialise(found.select(*names[:4], *(c for size in lengths for c in (f"runs{size}", f"sizes{size}")), "alive").mapInArrow(run, kinds))
+
+
+def _by(group: np.ndarray) -> list[np.ndarray]:
+    """The positions of each value of a group, values ascending."""
+    order = np.argsort(group, kind="stable")
+    return np.split(order, np.flatnonzero(np.diff(group[order])) + 1) if len(order) else []
+
+
+def _joined(column, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=kind)
+
+
+def repeats(found: DataFrame) -> DataFrame:
+    """(key, starts): of candidate windows those whose sequence also starts earlier, by document."""
+    size = found.agg(F.count("*"), F.sum(F.length("starts"))).first()
+    blocks, buckets = max(1, -(-size[0] // BLOCK)), max(1, -(-(size[1] or 0) // 4 // BUCKET))
+
+    def firsts(group):
+        """The block's first occurrence of each window by bucket, and its others under bucket -1."""
+        ids, keys = group.column("doc_id").fill_null(_NULL_ID).to_numpy(), group.column("key").to_numpy()
+        # equal rows are one document: only one of them counts
+        rank = np.lexsort((keys, ids))
+        once = rank[np.concatenate([[True], keys[rank][1:] != keys[rank][:-1]])]
+        starts, hashes = group.column("starts").to_pylist(), group.column("hashes").to_pylist()
+        owner = np.repeat(once, [len(starts[i]) // 4 for i in once])
+        start = np.frombuffer(b"".join(starts[i] for i in once), dtype=np.int32)
+        h = np.frombuffer(b"".join(hashes[i] for i in once), dtype=np.uint64)
+        by_hash = np.argsort(h, kind="stable")
+        first = np.empty(len(h), dtype=bool)
+        first[by_hash] = np.concatenate([[True], h[by_hash][1:] != h[by_hash][:-1]])
+        bucket = np.where(first, ((h >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64), -1)
+        parts = _by(bucket)
+        values = {"hashes": h, "ids": ids[owner], "keys": keys[owner], "starts": start}
+        block = group.column("block").slice(0, 1).to_pylist() * len(parts)
+        return pa.table({"bucket": pa.array([int(bucket[p[0]]) for p in parts], pa.int64()), "block": pa.array(block, pa.int64()), **{k: pa.array([v[p].tobytes() for p in parts], pa.binary()) for k, v in values.items()}})
+
+    def later(group):
+        """Of the blocks' first occurrences those that are not the corpus's first, by block."""
+        hashes, ids, keys, starts = (_joined(group.column(c), t) for c, t in (("hashes", np.uint64), ("ids", np.int64), ("keys", np.int64), ("starts", np.int32)))
+        home = np.repeat(group.column("block").to_numpy(), [len(b) // 8 for b in group.column("hashes").to_pylist()])
+        order = np.lexsort((starts, keys, ids, hashes))
+        again = order[1:][hashes[order][1:] == hashes[order][:-1]]
+        parts = [again[p] for p in _by(home[again])]
+        return pa.table({"block": pa.array([int(home[p[0]]) for p in parts], pa.int64()), "keys": pa.array([keys[p].tobytes() for p in parts], pa.binary()), "starts": pa.array([starts[p].tobytes() for p in parts], pa.binary())})
+
+    def gathered(group):
+        keys, starts = _joined(group.column("keys"), np.int64), _joined(group.column("starts"), np.int32)
+        parts = _by(keys)
+        return pa.table({"key": pa.array([int(keys[p[0]]) for p in parts], pa.int64()), "starts": pa.array([starts[p].tobytes() for p in parts], pa.binary())})
+
+    block = F.pmod(F.xxhash64("key"), F.lit(blocks)).alias("block")
+    records = materialise(found.select(block, "key", "doc_id", "starts", "hashes").groupBy("block").applyInArrow(firsts, "bucket long, block long, hashes binary, ids binary, keys binary, starts binary"))
+    others = records.where("bucket >= 0").groupBy("bucket").applyInArrow(later, "block long, keys binary, starts binary")
+    return materialise(records.where("bucket < 0").select("block", "keys", "starts").unionByName(others).groupBy("block").applyInArrow(gathered, "key long, starts binary"))
 
 
 def _covered(starts: np.ndarray, n: int, window: int) -> np.ndarray:
@@ -122,70 +224,35 @@ def _covered(starts: np.ndarray, n: int, window: int) -> np.ndarray:
 
 
 def without_repeats(docs: DataFrame, *, window: int = WINDOW, base: int = LEVEL_ONE, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_words, n_removed, text (the words left, joined by a space).
+    """One row per document: doc_id (as a long), n_words, n_removed, text (the words left).
 
     A word goes if it lies in a window of `window` words whose sequence also starts earlier: in
-    a document of smaller doc_id, or earlier in the same one. A null id is before all others.
-    Rows that share an id but not the text are ordered by a hash; equal rows are one document
-    and get the same result. Null and empty texts have no words. Windows are compared by a
-    64-bit hash of all their words.
+    a document of smaller doc_id, or earlier in the same one. Words left are joined by a space. A
+    null id is before all others. Rows that share an id but not the text are ordered by a hash;
+    equal rows are one document and get the same result. Null and empty texts have no words; a
+    very long text is worked on alone. Windows are compared by a 64-bit hash of all their words.
+    Other columns are ignored, whatever their names. An empty table gives no rows.
     """
-    spark = docs.sparkSession
-    small_batches(spark)
-    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")).withColumn("key", _row_key("doc_id", "text"))
-    blocks = max(1, -(-docs.count() // BLOCK))
-    block = F.pmod(F.xxhash64("key"), F.lit(blocks)).alias("block")
-    runs = materialise(_repeated_runs(rows, window, base))
-    left, right = rows.select(block, "doc_id", "key", "text").groupBy("block"), runs.select(block, "key", "runs").groupBy("block")
-
-    def firsts(docs_of, runs_of):
-        """The block's first occurrence of each window, as one record per bucket."""
-        order, owner, start, hashes, first = _block_windows(docs_of, runs_of, window, base)
-        owner, start, hashes = owner[first], start[first], hashes[first]
-        ids, keys = docs_of.column("doc_id").fill_null(_NULL_ID).to_numpy()[order], docs_of.column("key").to_numpy()[order]
-        bucket = ((hashes >> np.uint64(20)) % np.uint64(blocks)).astype(np.int64)
-        by = np.argsort(bucket, kind="stable")
-        cuts = np.flatnonzero(np.diff(bucket[by])) + 1
-        out = {"bucket": [], "hashes": [], "ids": [], "keys": [], "starts": []}
-        for part in np.split(by, cuts) if len(by) else []:
-            out["bucket"].append(int(bucket[part[0]]))
-            for name, values in (("hashes", hashes[part]), ("ids", ids[owner[part]]), ("keys", keys[owner[part]]), ("starts", start[part])):
-                out[name].append(values.tobytes())
-        home = docs_of.column("block").slice(0, 1).to_pylist() * len(out["bucket"])
-        return pa.table({"bucket": pa.array(out["bucket"], pa.int64()), "block": pa.array(home, pa.int64()), **{k: pa.array(out[k], pa.binary()) for k in ("hashes", "ids", "keys", "starts")}})
+    small_batches(docs.sparkSession)
+    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")).withColumn("key", F.xxhash64("doc_id", "text"))
+    lengths = levels(window, base)
+    alive = repeated(first_level(rows, window, base))
+    found = _extended(rows.join(alive, "key"), window, lengths)
+    for k, size in enumerate(lengths[1:], start=1):
+        if found.isEmpty():
+            break
+        found = _narrowed(found.join(repeated(found.select("key", F.col(f"runs{size}").alias("runs"))), "key"), lengths[k:])
+    gone = repeats(found)
 
-    def later(group):
-        """Of the blocks' first occurrences, those that are not the corpus's first: a record per block."""
-        blobs = {c: group.column(c).to_pylist() for c in ("hashes", "ids", "keys", "starts")}
-        hashes, ids, keys, starts = (np.frombuffer(b"".join(blobs[c]), dtype=t) for c, t in (("hashes", np.uint64), ("ids", np.int64), ("keys", np.int64), ("starts", np.int32)))
-        home = np.repeat(group.column("block").to_numpy(), [len(b) // 8 for b in blobs["hashes"]])
-        order = np.lexsort((starts, keys, ids, hashes))
-        again = order[1:][hashes[order][1:] == hashes[order][:-1]]
-        again = again[np.argsort(home[again], kind="stable")]
-        cuts = np.flatnonzero(np.diff(home[again])) + 1
-        parts = np.split(again, cuts) if len(again) else []
-        return pa.table({"block": pa.array([int(home[p[0]]) for p in parts], pa.int64()), "keys": pa.array([keys[p].tobytes() for p in parts], pa.binary()), "starts": pa.array([starts[p].tobytes() for p in parts], pa.binary())})
+    def finish(batches):
+        for batch in batches:
+            n_words, n_removed, kept = [], [], []
+            for text, starts in zip(_texts(batch.column(1)), batch.column(2).to_pylist(), strict=True):
+                words = text.split()
+                mask = _covered(np.frombuffer(starts, dtype=np.int32), len(words), window) if starts else None
+                n_words.append(len(words))
+                n_removed.append(0 if mask is None else int(mask.sum()))
+                kept.append(b" ".join(words if mask is None else [w for w, g in zip(words, mask.tolist(), strict=True) if not g]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], names=["doc_id", "n_words", "n_removed", "text"])
 
-    def finish(docs_of, all_of):
-        """The documents of a block without the words of repeats, its own and the corpus's."""
-        runs_of = all_of.filter(pc.is_valid(all_of.column("runs")))
-        found = all_of.filter(pc.is_valid(all_of.column("starts")))
-        order, owner, start, _, first = _block_windows(docs_of, runs_of, window, base)
-        ids, keys = docs_of.column("doc_id"), docs_of.column("key").to_numpy()
-        of = np.concatenate([keys[order][owner[~first]], np.frombuffer(b"".join(found.column("keys").to_pylist()), dtype=np.int64)])
-        at = np.concatenate([start[~first], np.frombuffer(b"".join(found.column("starts").to_pylist()), dtype=np.int32)])
-        by = np.argsort(of, kind="stable")
-        of, at = of[by], at[by]
-        n_words, n_removed, kept = [], [], []
-        for text, low, high in zip(docs_of.column("text").to_pylist(), np.searchsorted(of, keys, "left"), np.searchsorted(of, keys, "right"), strict=True):
-            words = (text or "").encode("utf-8", "surrogatepass").split()
-            gone = _covered(at[low:high], len(words), window) if high > low else None
-            n_words.append(len(words))
-            n_removed.append(0 if gone is None else int(gone.sum()))
-            kept.append(b" ".join(words if gone is None else [w for w, g in zip(words, gone, strict=True) if not g]))
-        return pa.table({"doc_id": ids, "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()), "text": pa.array(kept, pa.binary()).cast(pa.string())})
-
-    records = left.cogroup(right).applyInArrow(firsts, "bucket long, block long, hashes binary, ids binary, keys binary, starts binary")
-    found = records.groupBy("bucket").applyInArrow(later, "block long, keys binary, starts binary")
-    everything = runs.select(block, "key", "runs").unionByName(found, allowMissingColumns=True).groupBy("block")
-    return left.cogroup(everything).applyInArrow(finish, "doc_id long, n_words long, n_removed long, text string")
+    return rows.join(bounded_bytes(gone, F.length("starts")), "key", "left").select("doc_id", "text", "starts").mapInArrow(finish, "doc_id long, n_words long, n_removed long, text string")

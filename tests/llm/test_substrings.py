@@ -38,3 +38,24 @@ def test_small_windows_and_odd_rows(spark, odd_docs, no_docs):
     got = substrings.without_repeats(odd_docs).collect()
     assert len(got) == odd_docs.count() and {r.n_removed for r in got if r.doc_id == 4} == {29_999}
     assert substrings.without_repeats(no_docs).count() == 0
+
+
+def test_each_level_leaves_out_what_is_repeated_at_half_its_length_only(spark, monkeypatch):
+    assert substrings.levels(20, 5) == [5, 10] and substrings.levels(6, 2) == [2, 4]
+    words = [[f"{k}{i}" for i in range(40)] for k in "abc"]
+    words[1][3:11] = words[0][3:11]  # eight shared words: four runs of five, none of ten
+    words[2][9:24] = words[0][20:35]  # fifteen shared words: six runs of ten, no window
+    rows = [(k, " ".join(w)) for k, w in enumerate(words)]
+    met = []
+    narrow, whole = substrings._narrowed, substrings.repeats
+    monkeypatch.setattr(substrings, "_narrowed", lambda found, lengths: met.append({r.doc_id for r in found.collect()}) or narrow(found, lengths))
+    monkeypatch.setattr(substrings, "repeats", lambda found: met.append({r.doc_id for r in found.collect()}) or whole(found))
+    got = substrings.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.n_removed for r in got} == {0} and met[-1] <= {0, 2}
+    alone = substrings.without_repeats(spark.createDataFrame(rows[:1], "doc_id long, text string")).collect()
+    assert [(r.n_words, r.n_removed) for r in alone] == [(40, 0)] and met[-1] == set()
+
+
+def test_columns_with_names_of_the_results(spark):
+    rows = spark.createDataFrame([(1, "a b", 1, 2, "k", 3)], "doc_id long, text string, n_words int, n_removed int, key string, starts int")
+    assert [tuple(r) for r in substrings.without_repeats(rows).collect()] == [(1, 2, 0, "a b")]
