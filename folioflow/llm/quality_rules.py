@@ -60,29 +60,38 @@ def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", most: i
     return fit(x, y, monotone=LOWERS)
 
 
+def verdicts(texts: list[str | None], model: Trees, threshold: float) -> tuple[np.ndarray, ...]:
+    """(base counts, whether they break a limit, whether the text is kept, its score) of whole texts."""
+    done = [statistics(t) for t in texts]
+    base = np.asarray([b for b, _ in done], dtype=np.int64).reshape(-1, len(BASE))
+    score = model.score(np.asarray([f for _, f in done], dtype=np.float64).reshape(-1, len(FEATURES)))
+    failed = (base[:, 0] < LEAST_WORDS) | (100 * base[:, 4] > MOST_REPEATED * base[:, 0])
+    return base, failed, ~failed & ((score >= threshold) | (len(model.roots) == 0)), score
+
+
 def apply_rules(docs: DataFrame, model: Trees, *keep: str, threshold: float = THRESHOLD, text_column: str = "text") -> DataFrame:
-    """The kept columns, the base counts, base_failed, score and kept, for each row.
+    """The kept columns, the base counts, base_failed, kept and score, for each row.
 
-    Null or empty text has no words, fails the base limits and is not kept. Without labels of
-    both classes the model has no trees and the base limits alone decide.
+    Null or empty text has no words, fails the base limits and is not kept. Every row is judged on
+    its own whole text, so repeated rows get equal results; an empty table gives no rows. A score
+    at the threshold is kept. Without labels of both classes the model has no trees and the base
+    limits alone decide. Columns to keep must not have the names of the results.
     """
     trees, n = model, len(keep)
+    if clash := {*BASE, "base_failed", "kept", "score"}.intersection(keep):
+        raise ValueError(f"columns {sorted(clash)} have names of the results")
     small_batches(docs.sparkSession)
 
     def run(batches):
         for batch in batches:
-            done = [statistics(t) for t in batch.column(n).to_pylist()]
-            base = np.asarray([b for b, _ in done], dtype=np.int64).reshape(-1, len(BASE))
-            score = trees.score(np.asarray([f for _, f in done], dtype=np.float64).reshape(-1, len(FEATURES)))
-            words, repeated = base[:, 0], base[:, 4]
-            failed = (words < LEAST_WORDS) | (100 * repeated > MOST_REPEATED * words)
-            kept = ~failed & ((score >= threshold) | (len(trees.roots) == 0))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:n], *(pa.array(base[:, k]) for k in range(len(BASE))), pa.array(failed), pa.array(score), pa.array(kept)], names=[*keep, *BASE, "base_failed", "score", "kept"])
+            base, failed, kept, score = verdicts(batch.column(n).to_pylist(), trees, threshold)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:n], *(pa.array(base[:, k]) for k in range(len(BASE))), pa.array(failed), pa.array(kept), pa.array(score)], names=[*names, *BASE, "base_failed", "kept", "score"])
 
-    types = ", ".join(f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keep)
+    names = [f"k{i}" for i in range(n)]
+    types = ", ".join(f"k{i} {docs.schema[k].dataType.simpleString()}" for i, k in enumerate(keep))
     counts = ", ".join(f"{k} long" for k in BASE)
-    rows = docs.select(*keep, F.col(text_column).alias("text"))
-    return rows.mapInArrow(run, f"{types}, {counts}, base_failed boolean, score double, kept boolean")
+    rows = docs.select(*keep, F.col(text_column).alias("_text"))
+    return rows.mapInArrow(run, f"{types}, {counts}, base_failed boolean, kept boolean, score double").toDF(*keep, *BASE, "base_failed", "kept", "score")
 
 
 def keep_good(docs: DataFrame, model: Trees, *, threshold: float = THRESHOLD) -> DataFrame:
@@ -94,10 +103,6 @@ def keep_good(docs: DataFrame, model: Trees, *, threshold: float = THRESHOLD) ->
 
     def run(batches):
         for batch in batches:
-            done = [statistics(t) for t in batch.column(at).to_pylist()]
-            base = np.asarray([b for b, _ in done], dtype=np.int64).reshape(-1, len(BASE))
-            score = trees.score(np.asarray([f for _, f in done], dtype=np.float64).reshape(-1, len(FEATURES)))
-            failed = (base[:, 0] < LEAST_WORDS) | (100 * base[:, 4] > MOST_REPEATED * base[:, 0])
-            yield batch.filter(pa.array(~failed & ((score >= threshold) | (len(trees.roots) == 0))))
+            yield batch.filter(pa.array(verdicts(batch.column(at).to_pylist(), trees, threshold)[2]))
 
     return docs.mapInArrow(run, docs.schema)

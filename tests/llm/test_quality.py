@@ -3,8 +3,9 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from folioflow.llm import boosting, quality_rules, queries, ranking
-from folioflow.llm.docstats import FEATURES
+from folioflow.llm.docstats import FEATURES, statistics
 from tests.conftest import SMALL
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -78,6 +79,43 @@ def test_trees_keep_their_direction_and_match_a_walk():
     assert np.allclose(m.margin(x[:50]), [walk(r) for r in x[:50]])
 
 
+def test_verdicts_and_scores_against_plain_versions(spark):
+    """The whole result of both queries, text by text: trees walked, strengths summed."""
+    docs, labels = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
+    rules, order, texts = quality_rules.train(docs, labels), ranking.train(docs, labels), {r.doc_id: r.text for r in docs.collect()}
+
+    def by_trees(x):
+        total = rules.start
+        for node in rules.roots:
+            while rules.feature[node] >= 0:
+                node = rules.left[node] if x[rules.feature[node]] <= rules.threshold[node] else rules.right[node]
+            total += rules.value[node]
+        return 1 / (1 + np.exp(-total))
+
+    def by_strength(x):
+        z = [min(8, max(-8, (v - c) / s)) for v, c, s in zip(x, order.centre, order.scale, strict=True)]
+        terms = z + [max(0, v - k) for knots in order.knots for v, k in zip(z, knots, strict=True)]
+        return 1 / (1 + np.exp(-(sum(t * w for t, w in zip(terms, order.weights, strict=True)) - order.cut) / order.width))
+
+    found = queries.op6_quality_rules(spark, SMALL)
+    assert found.columns[:8] == ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    for r in found.collect():
+        want = by_trees(statistics(texts[r.doc_id])[1])
+        assert abs(r.score - want) < 1e-9 and r.kept == (not r.base_failed and want >= 0.5)
+    for r in queries.op2_quality_classifier(spark, SMALL).collect():
+        want = by_strength(statistics(texts[r.doc_id])[1])
+        assert abs(r.score - want) < 1e-6 and r.predicted == (r.score >= 0.5)
+
+
+def test_names_of_the_results(spark):
+    rows = spark.createDataFrame([(1, "a b", "s", 1.0, True)], "doc_id long, text string, features string, score double, kept boolean")
+    model = quality_rules.train(rows, spark.createDataFrame([], "doc_id long, quality int"))
+    assert quality_rules.apply_rules(rows, model, "doc_id", "features").columns[:2] == ["doc_id", "features"]
+    with pytest.raises(ValueError, match="score"):
+        quality_rules.apply_rules(rows, model, "score")
+    assert quality_rules.keep_good(rows, model).count() == 0
+
+
 def test_odd_rows(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(1, 1, 0), (3, 0, 0), (None, 1, 0), (4, None, 0), (4, 0, 0), (4, 0, 0)], "doc_id long, quality int, toxic int")
     model = quality_rules.train(odd_docs, labels)
