@@ -171,29 +171,38 @@ def _joined(column, kind) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=kind)
 
 
-def repeats(found: DataFrame) -> DataFrame:
-    """(key, starts): of candidate windows those whose sequence also starts earlier, by document."""
+def repeats(found: DataFrame, window: int, last: int | None = None, alive: DataFrame | None = None) -> DataFrame:
+    """(key, spans): of each document the words covered by windows whose sequence also starts earlier.
+
+    spans holds pairs of first word and end as 32-bit numbers. With a last level its living runs
+    are given too, and the candidates are narrowed by them here.
+    """
     size = found.agg(F.count("*"), F.sum(F.length("starts"))).first()
     blocks, buckets = max(1, -(-size[0] // BLOCK)), max(1, -(-(size[1] or 0) // 4 // BUCKET))
+    block = F.pmod(F.xxhash64("key"), F.lit(blocks)).alias("block")
 
-    def firsts(group):
+    def firsts(group, living=None):
         """The block's first occurrence of each window by bucket, and its others under bucket -1."""
         ids, keys = group.column("doc_id").fill_null(_NULL_ID).to_numpy(), group.column("key").to_numpy()
         # equal rows are one document: only one of them counts
         rank = np.lexsort((keys, ids))
-        once = rank[np.concatenate([[True], keys[rank][1:] != keys[rank][:-1]])]
-        starts, hashes = group.column("starts").to_pylist(), group.column("hashes").to_pylist()
-        owner = np.repeat(once, [len(starts[i]) // 4 for i in once])
-        start = np.frombuffer(b"".join(starts[i] for i in once), dtype=np.int32)
-        h = np.frombuffer(b"".join(hashes[i] for i in once), dtype=np.uint64)
+        once = rank[np.concatenate([[True], keys[rank][1:] != keys[rank][:-1]])] if len(rank) else rank
+        group = group.take(pa.array(once))
+        ids, keys = ids[once], keys[once]
+        owner = np.repeat(np.arange(len(once)), [len(x) // 4 for x in group.column("starts").to_pylist()])
+        start, h = _joined(group.column("starts"), np.int32), _joined(group.column("hashes"), np.uint64)
+        if living is not None:
+            runs = group.column(f"runs{last}").combine_chunks().flatten().to_numpy()
+            ok = np.isin(np.repeat(runs, _joined(group.column(f"sizes{last}"), np.int32)), living.column("alive").combine_chunks().flatten().to_numpy())
+            owner, start, h = owner[ok], start[ok], h[ok]
         by_hash = np.argsort(h, kind="stable")
         first = np.empty(len(h), dtype=bool)
-        first[by_hash] = np.concatenate([[True], h[by_hash][1:] != h[by_hash][:-1]])
+        first[by_hash] = np.concatenate([[True], h[by_hash][1:] != h[by_hash][:-1]]) if len(h) else first
         bucket = np.where(first, ((h >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64), -1)
         parts = _by(bucket)
         values = {"hashes": h, "ids": ids[owner], "keys": keys[owner], "starts": start}
-        block = group.column("block").slice(0, 1).to_pylist() * len(parts)
-        return pa.table({"bucket": pa.array([int(bucket[p[0]]) for p in parts], pa.int64()), "block": pa.array(block, pa.int64()), **{k: pa.array([v[p].tobytes() for p in parts], pa.binary()) for k, v in values.items()}})
+        home = group.column("block").slice(0, 1).to_pylist() * len(parts)
+        return pa.table({"bucket": pa.array([int(bucket[p[0]]) for p in parts], pa.int64()), "block": pa.array(home, pa.int64()), **{k: pa.array([v[p].tobytes() for p in parts], pa.binary()) for k, v in values.items()}})
 
     def later(group):
         """Of the blocks' first occurrences those that are not the corpus's first, by block."""
@@ -206,21 +215,24 @@ def repeats(found: DataFrame) -> DataFrame:
 
     def gathered(group):
         keys, starts = _joined(group.column("keys"), np.int64), _joined(group.column("starts"), np.int32)
+        spans = []
         parts = _by(keys)
-        return pa.table({"key": pa.array([int(keys[p[0]]) for p in parts], pa.int64()), "starts": pa.array([starts[p].tobytes() for p in parts], pa.binary())})
-
-    block = F.pmod(F.xxhash64("key"), F.lit(blocks)).alias("block")
-    records = materialise(found.select(block, "key", "doc_id", "starts", "hashes").groupBy("block").applyInArrow(firsts, "bucket long, block long, hashes binary, ids binary, keys binary, starts binary"))
+        for p in parts:
+            at = np.sort(starts[p])
+            gap = np.flatnonzero(at[1:] > at[:-1] + window)
+            spans.append(np.stack([at[np.concatenate([[0], gap + 1])], at[np.append(gap, len(at) - 1)] + window], axis=1).astype(np.int32).tobytes())
+        return pa.table({"key": pa.array([int(keys[p[0]]) for p in parts], pa.int64()), "spans": pa.array(spans, pa.binary())})
+
+    kind = "bucket long, block long, hashes binary, ids binary, keys binary, starts binary"
+    own = [c for c in found.columns if c in ("key", "doc_id", "starts", "hashes", f"runs{last}", f"sizes{last}")]
+    grouped = found.select(block, *own).groupBy("block")
+    if alive is None:
+        records = grouped.applyInArrow(firsts, kind)
+    else:
+        records = grouped.cogroup(alive.select(block, "alive").groupBy("block")).applyInArrow(firsts, kind)
+    records = materialise(records)
     others = records.where("bucket >= 0").groupBy("bucket").applyInArrow(later, "block long, keys binary, starts binary")
-    return materialise(records.where("bucket < 0").select("block", "keys", "starts").unionByName(others).groupBy("block").applyInArrow(gathered, "key long, starts binary"))
-
-
-def _covered(starts: np.ndarray, n: int, window: int) -> np.ndarray:
-    """Mask of the words that a window from one of the starts covers."""
-    edges = np.zeros(n + 1, dtype=np.int32)
-    np.add.at(edges, starts, 1)
-    np.add.at(edges, np.minimum(starts + window, n), -1)
-    return np.cumsum(edges[:-1]) > 0
+    return materialise(records.where("bucket < 0").select("block", "keys", "starts").unionByName(others).groupBy("block").applyInArrow(gathered, "key long, spans binary"))
 
 
 def without_repeats(docs: DataFrame, *, window: int = WINDOW, base: int = LEVEL_ONE, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -236,23 +248,31 @@ def without_repeats(docs: DataFrame, *, window: int = WINDOW, base: int = LEVEL_
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")).withColumn("key", F.xxhash64("doc_id", "text"))
     lengths = levels(window, base)
+    if not lengths:
+        raise ValueError("level one must be shorter than the window")
     alive = repeated(first_level(rows, window, base))
     found = _extended(rows.join(alive, "key"), window, lengths)
+    alive = None
     for k, size in enumerate(lengths[1:], start=1):
         if found.isEmpty():
             break
-        found = _narrowed(found.join(repeated(found.select("key", F.col(f"runs{size}").alias("runs"))), "key"), lengths[k:])
-    gone = repeats(found)
+        alive = repeated(found.select("key", F.col(f"runs{size}").alias("runs")))
+        if size != lengths[-1]:
+            found = _narrowed(found.join(alive, "key"), lengths[k:])
+    gone = repeats(found, window, lengths[-1], alive)
 
     def finish(batches):
         for batch in batches:
             n_words, n_removed, kept = [], [], []
-            for text, starts in zip(_texts(batch.column(1)), batch.column(2).to_pylist(), strict=True):
-                words = text.split()
-                mask = _covered(np.frombuffer(starts, dtype=np.int32), len(words), window) if starts else None
+            for text, spans in zip(_texts(batch.column(1)), batch.column(2).to_pylist(), strict=True):
+                words, at, left = text.split(), 0, []
+                for a, b in np.frombuffer(spans or b"", dtype=np.int32).reshape(-1, 2).tolist():
+                    left += words[at:a]
+                    at = b
+                left += words[at:]
                 n_words.append(len(words))
-                n_removed.append(0 if mask is None else int(mask.sum()))
-                kept.append(b" ".join(words if mask is None else [w for w, g in zip(words, mask.tolist(), strict=True) if not g]))
+                n_removed.append(len(words) - len(left))
+                kept.append(b" ".join(left))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], names=["doc_id", "n_words", "n_removed", "text"])
 
-    return rows.join(bounded_bytes(gone, F.length("starts")), "key", "left").select("doc_id", "text", "starts").mapInArrow(finish, "doc_id long, n_words long, n_removed long, text string")
+    return rows.join(bounded_bytes(gone, F.length("spans")), "key", "left").select("doc_id", "text", "spans").mapInArrow(finish, "doc_id long, n_words long, n_removed long, text string")

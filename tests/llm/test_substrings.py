@@ -46,14 +46,19 @@ def test_each_level_leaves_out_what_is_repeated_at_half_its_length_only(spark, m
     words[1][3:11] = words[0][3:11]  # eight shared words: four runs of five, none of ten
     words[2][9:24] = words[0][20:35]  # fifteen shared words: six runs of ten, no window
     rows = [(k, " ".join(w)) for k, w in enumerate(words)]
-    met = []
-    narrow, whole = substrings._narrowed, substrings.repeats
-    monkeypatch.setattr(substrings, "_narrowed", lambda found, lengths: met.append({r.doc_id for r in found.collect()}) or narrow(found, lengths))
-    monkeypatch.setattr(substrings, "repeats", lambda found: met.append({r.doc_id for r in found.collect()}) or whole(found))
-    got = substrings.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert {r.n_removed for r in got} == {0} and met[-1] <= {0, 2}
-    alone = substrings.without_repeats(spark.createDataFrame(rows[:1], "doc_id long, text string")).collect()
-    assert [(r.n_words, r.n_removed) for r in alone] == [(40, 0)] and met[-1] == set()
+    met, whole = [], substrings.repeated
+    monkeypatch.setattr(substrings, "repeated", lambda level: met.append(level.count()) or whole(level))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = substrings.without_repeats(docs).collect()
+    # the level of ten words looks only at documents whose windows have a repeated run of five
+    alive = {r.key for r in whole(substrings.first_level(docs.withColumn("key", docs.doc_id), 20, 5)).collect()}
+    assert {r.n_removed for r in got} == {0} and met == [3, len(alive)] and 0 < len(alive) < 4
+    alone = substrings.without_repeats(docs.limit(1)).collect()
+    assert [(r.n_words, r.n_removed) for r in alone] == [(40, 0)] and met[2:] == [1]  # nothing lives, so there is no second level
+    for window, base in ((20, 5), (20, 3), (13, 6), (16, 2), (9, 1)):
+        texts = [(k, " ".join(w[:30])) for k, w in enumerate([*words, words[0][10:] + words[1]])]
+        got = substrings.without_repeats(spark.createDataFrame(texts, "doc_id long, text string"), window=window, base=base).collect()
+        assert sorted((r.doc_id, r.n_words, r.n_removed, hashlib.sha256(r.text.encode()).hexdigest()) for r in got) == brute(texts, window)
 
 
 def test_columns_with_names_of_the_results(spark):
