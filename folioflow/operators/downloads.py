@@ -7,7 +7,12 @@ from pyspark.sql import functions as F
 
 from ..functions import urls as U
 
+# States of a response that may pass, and the words of failed file checks.
 TRANSIENT_STATUS = (408, 425, 429)
+NO_SIGNATURE = "content has no PDF signature"
+WRONG_CHECKSUM = "PDF checksum does not match the expected SHA-256"
+UNREADABLE = "PDF cannot be opened or its first page cannot be read"
+NO_PAGES, NO_TEXT, OTHER_TEXT = "PDF has no pages", "PDF has no extractable text", "PDF text does not match the abstract"
 
 
 def candidate_urls(records: DataFrame) -> DataFrame:
@@ -53,19 +58,20 @@ def pdf_error(signature: Column, checksum_fits: Column, page_count: Column, abst
     """The first failing test of a file, or null; page_count is null for an unreadable one."""
     judged = F.coalesce(abstract, F.lit("")) != ""
     return (
-        F.when(~signature, "content has no PDF signature").when(~checksum_fits, "PDF checksum does not match the expected SHA-256")
-        .when(page_count.isNull(), "PDF cannot be opened or its first page cannot be read").when(page_count < 1, "PDF has no pages")
-        .when(judged & ~has_text, "PDF has no extractable text").when(judged & (overlap < 0.6), "PDF text does not match the abstract")
+        F.when(~signature, NO_SIGNATURE).when(~checksum_fits, WRONG_CHECKSUM).when(page_count.isNull(), UNREADABLE).when(page_count < 1, NO_PAGES)
+        .when(judged & ~has_text, NO_TEXT).when(judged & (overlap < 0.6), OTHER_TEXT)
     )
 
 
 def sticky_blocks(attempts: DataFrame) -> DataFrame:
     """Adds `skipped`: an earlier attempt (by seq) on the host was blocked, so this one is not made.
 
-    The first block of a host decides, so a minimum per host is enough.
+    The first block of a host decides. It is a partial aggregate, joined back: a host's rows are
+    never gathered in one task.
     """
-    first = F.min(F.when(F.col("category") == "blocked", F.col("seq"))).over(Window.partitionBy("host"))
-    return attempts.withColumn("skipped", F.coalesce(F.col("seq") > first, F.lit(False)))
+    first = attempts.where("category = 'blocked'").groupBy("host").agg(F.min("seq").alias("_first"))
+    joined = attempts.join(first, "host", "left")
+    return joined.select(*attempts.columns, F.coalesce(F.col("seq") > F.col("_first"), F.lit(False)).alias("skipped"))
 
 
 def first_success(attempts: DataFrame) -> DataFrame:

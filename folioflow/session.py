@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -16,3 +18,12 @@ def session(name: str = "folioflow", master: str | None = None, **settings: str)
     """A session with the engine's settings; on a cluster, set spark.checkpoint.dir to a shared folder."""
     builder = SparkSession.builder.appName(name).config(map=SETTINGS | settings)
     return (builder.master(master) if master else builder).getOrCreate()
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """A new path in the folder that driver and executors share: spark.checkpoint.dir.
+
+    Where that is unset (tests, one machine) a folder below the warehouse is used.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_intermediate"
+    return f"{base.rstrip('/')}/folioflow-{uuid.uuid4().hex}"

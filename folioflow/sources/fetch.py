@@ -1,29 +1,34 @@
-"""The fetch boundary: candidate URLs to attempts, host by host, with spacing and sticky blocks.
-
-A transport has `get(url)` and returns (status, headers, body, final_url) or raises OSError. The
-rows of one host are one keyed group in order of seq, so the block of a host holds for all its
-later requests; spacing is kept by that group's task. Triage is the same ladder as the column
-operators', for one response.
+"""The fetch boundary: candidate URLs to attempts, in rounds.
+
+A transport has `get(url)` and returns (status, headers, body, final_url) or raises OSError. A
+round asks for each job's next URL, one at most of each host, and what the answers mean is decided
+by the column operators of `operators.downloads`. So a job ends with its first file, and a host
+that blocked a request, also after a redirect, gets no other one in this run. All requests of a
+round are made by one task, which keeps them apart: the stage is bound by that spacing, whatever
+the cluster. Each round's attempts are written, so a lost executor costs one round.
 """
 
 from __future__ import annotations
 
-import re
 import time
-from collections.abc import Callable
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from functools import reduce
 from typing import Protocol
-from urllib.parse import urlparse
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import urls as U
-from ..operators.downloads import TRANSIENT_STATUS
+from ..operators import downloads
+from ..session import shared_dir
 
 SPACING, PREPRINT_SPACING = 3.0, 15.0
-ATTEMPT = "seq long, bibcode string, url string, final_url string, method string, status string, category string, error string, content binary"
+# The header names and body texts that the walls of vendors leave in a response.
+HEADER_MARKS = ("x-datadome", "cf-mitigated")
+BODY_MARKS = {"captcha-delivery": b"captcha-delivery", "just-a-moment": b"<title>Just a moment", "edgesuite": b"edgesuite"}
+ANSWER = "seq long, bibcode string, url string, final_url string, at timestamp, status int, server string, content_type string, marks array<string>, content binary, problem string"
+ATTEMPT = ("seq", "at", "bibcode", "url", "final_url", "method", "status", "category", "error", "content")
 Response = tuple[int, dict[str, str], bytes, str]
 
 
@@ -32,6 +37,8 @@ class Transport(Protocol):
 
 
 def is_preprint(url: str) -> bool:
+    from urllib.parse import urlparse
+
     host = urlparse(url).hostname or ""
     return host == U.PREPRINT_HOST or host.endswith(f".{U.PREPRINT_HOST}")
 
@@ -39,10 +46,15 @@ def is_preprint(url: str) -> bool:
 class Spacer:
     """Keeps requests apart: each kind of request has a time before which it may not start."""
 
-    def __init__(self, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep):
+    def __init__(self, clock: Callable[[], float] = time.time, sleep: Callable[[float], None] = time.sleep):
         self.clock, self.sleep = clock, sleep
         self.due = {"any": clock(), "preprint": clock()}
 
+    def resume(self, ended: dict[str, float]) -> None:
+        """Goes on after requests of the kinds that ended at the given times."""
+        gaps = {"any": SPACING, "preprint": PREPRINT_SPACING}
+        self.due |= {k: at + gaps[k] for k, at in ended.items()}
+
     def run(self, url: str, request: Callable[[], Response]) -> Response:
         kinds = {"any": SPACING} | ({"preprint": PREPRINT_SPACING} if is_preprint(url) else {})
         self.sleep(max(0.0, max(self.due[k] for k in kinds) - self.clock()))
@@ -52,75 +64,95 @@ class Spacer:
             self.due |= {k: self.clock() + gap for k, gap in kinds.items()}
 
 
-@dataclass(frozen=True)
-class Sign:
-    """What shows that a vendor's wall answered; of the signs given, one is enough."""
-
-    vendor: str
-    status: int | None = None
-    header: str | None = None
-    body: bytes | None = None
-    server: str | None = None
-    preprint: bool = False
-
-    def fits(self, response: Response) -> bool:
-        status, headers, body, url = response
-        tests = (
-            (self.status, lambda: status == self.status), (self.header, lambda: self.header in headers), (self.body, lambda: self.body in body),
-            (self.server, lambda: re.match(self.server, headers.get("server", "").lower())), (self.preprint, lambda: is_preprint(url)),
-        )
-        return all(test() for given, test in tests if given)
-
-
-# Fixed values, in order of precedence.
-SIGNS = (
-    Sign("DataDome", header="x-datadome"), Sign("DataDome", body=b"captcha-delivery"),
-    Sign("Cloudflare", header="cf-mitigated"), Sign("Cloudflare", body=b"<title>Just a moment"), Sign("Cloudflare", status=403, server=r"cloudflare\Z"),
-    Sign("Akamai", status=403, server="akamaighost"), Sign("Akamai", status=403, body=b"edgesuite"),
-    Sign("arXiv", status=403, preprint=True),
-)
-
-
-def failure(response: Response) -> tuple[str, str] | None:
-    """(category, error) of a response that is no file; the column ladder gives the same."""
-    status, headers, body, url = response
-    headers = {k.lower(): v for k, v in headers.items()}
-    kind = headers.get("content-type", "").lower()
-    problem = f"HTTP {status}" if status // 100 != 2 else None
-    if problem is None and kind and not re.search("pdf|octet-stream", kind) and b"%PDF-" not in body[:1024]:
-        problem = f"unexpected content type: {kind}"
-    if problem is None:
-        return None
-    wall = next((s.vendor for s in SIGNS if s.fits((status, headers, body, url))), None)
-    if wall:
-        return "blocked", f"{problem} (bot protection: {wall})"
-    return ("transient" if status in TRANSIENT_STATUS or status // 100 >= 5 else "permanent"), problem
-
-
-def fetch(urls: DataFrame, transport: Transport, make_spacer: Callable[[], Spacer] = Spacer) -> DataFrame:
-    """Attempts for (seq, bibcode, url), one host's rows after another in one task."""
-
-    def run(group):
-        spacer, blocked, rows = make_spacer(), set(), []
-        for r in group.sort_values("seq").itertuples():
-            base = {"seq": r.seq, "bibcode": r.bibcode, "url": r.url, "method": "http"}
-            host = urlparse(r.url).netloc
-            if host in blocked:
-                rows.append(base | {"status": "skipped", "category": "blocked", "error": f"skipped: {host} already blocked a request in this run"})
-                continue
-            try:
-                response = spacer.run(r.url, lambda u=r.url: transport.get(u))
-            except OSError as e:
-                rows.append(base | {"status": "failed", "category": "transient", "error": str(e) or type(e).__name__})
-                continue
-            found = failure(response)
-            if found is None and b"%PDF-" not in response[2][:1024]:
-                found = "permanent", "content has no PDF signature"
-            if found and found[0] == "blocked":
-                blocked.add(urlparse(response[3]).netloc)
-            done = {"status": "failed", "category": found[0], "error": found[1]} if found else {"status": "downloaded", "content": response[2]}
-            rows.append(base | {"final_url": response[3]} | done)
-        names = [c.split()[0] for c in ATTEMPT.split(", ")]
-        return pd.DataFrame({n: pd.Series([r.get(n) for r in rows], dtype="int64" if n == "seq" else object) for n in names})
-
-    return urls.withColumn("host", U.netloc(F.col("url"))).groupBy("host").applyInPandas(run, ATTEMPT)
+def answers(asked: DataFrame, transport: Transport, make_spacer: Callable[[], Spacer], ended: dict[str, float]) -> DataFrame:
+    """What came back for (seq, bibcode, url), one request after the other: ANSWER, not judged."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        spacer = make_spacer()
+        spacer.resume(ended)
+        for batch in batches:
+            for r in batch.itertuples():
+                row = {"seq": r.seq, "bibcode": r.bibcode, "url": r.url, "status": 0, "marks": []}
+                try:
+                    status, headers, body, final_url = spacer.run(r.url, lambda u=r.url: transport.get(u))
+                    headers = {k.lower(): v for k, v in headers.items()}
+                    marks = [m for m in HEADER_MARKS if m in headers] + [m for m, text in BODY_MARKS.items() if text in body]
+                    row |= {"status": status, "final_url": final_url, "server": headers.get("server"), "content_type": headers.get("content-type"), "marks": marks, "content": body}
+                except OSError as e:
+                    row["problem"] = str(e) or type(e).__name__
+                row["at"] = pd.Timestamp.now(tz="UTC")
+                names = [c.split()[0] for c in ANSWER.split(", ")]
+                # a frame for each answer, so that one body at a time is held
+                yield pd.DataFrame([[row.get(n) for n in names]], columns=names)
+
+    return asked.select("seq", "bibcode", "url").coalesce(1).sortWithinPartitions("seq").mapInPandas(run, ANSWER)
+
+
+Check = Callable[[DataFrame], DataFrame]
+
+
+def signature_only(rows: DataFrame) -> DataFrame:
+    """Adds `invalid`, why the content is no file, or null."""
+    return rows.withColumn("invalid", F.when(~downloads.has_signature(F.col("content")), downloads.NO_SIGNATURE))
+
+
+def judged(rows: DataFrame, check: Check, method: str) -> DataFrame:
+    """Attempts from answers: transport problems, the triage of responses, and the check of files."""
+    magic = F.coalesce(downloads.has_signature(F.col("content")), F.lit(False))
+    wall = downloads.bot_protection(F.col("status"), F.coalesce("server", F.lit("")), F.col("marks"), U.is_preprint_host(U.host(F.col("final_url"))))
+    found = rows.withColumn("failure", downloads.response_failure(F.col("status"), F.col("content_type"), magic, wall))
+    found = check(found)
+    category = F.when(F.col("problem").isNotNull(), "transient").when(F.col("failure").isNotNull(), F.col("failure.category")).when(F.col("invalid").isNotNull(), "permanent")
+    error = F.coalesce("problem", "failure.error", "invalid")
+    state = F.when(error.isNull(), "downloaded").otherwise("failed")
+    content = F.when(error.isNull(), F.col("content"))
+    return found.select("seq", "at", "bibcode", "url", "final_url", F.lit(method).alias("method"), state.alias("status"), category.alias("category"), error.alias("error"), content.alias("content"))
+
+
+def _skipped(rows: DataFrame, method: str) -> DataFrame:
+    error = F.concat(F.lit("skipped: "), F.col("host"), F.lit(" already blocked a request in this run"))
+    none = F.lit(None)
+    return rows.select("seq", F.current_timestamp().alias("at"), "bibcode", "url", none.cast("string").alias("final_url"), F.lit(method).alias("method"), F.lit("skipped").alias("status"), F.lit("blocked").alias("category"), error.alias("error"), none.cast("binary").alias("content"))
+
+
+def walls(attempts: DataFrame) -> DataFrame:
+    """The hosts that answered a request with a block."""
+    return attempts.where("category = 'blocked' and status = 'failed'").select(U.netloc(F.col("final_url")).alias("host")).distinct()
+
+
+def fetch(urls: DataFrame, transport: Transport, make_spacer: Callable[[], Spacer] = Spacer, *, check: Check = signature_only, save: Callable[[DataFrame], DataFrame] | None = None, method: str = "http", before: DataFrame | None = None) -> DataFrame:
+    """Attempts for (seq, bibcode, url) in order of seq; ATTEMPT, content of files only.
+
+    `before` are earlier attempts of the run, whose blocks hold. `save` takes (id, content) of new
+    files and returns (id, status, category, error); a file that it could not keep is a failed
+    attempt of method `write`, and the job goes on. There are as many rounds as the URLs of the
+    job, or the requests to the host, that has most.
+    """
+    spark = urls.sparkSession
+    path = shared_dir(spark)
+    urls.select("seq", "bibcode", "url", U.netloc(F.col("url")).alias("host")).write.parquet(f"{path}/urls")
+    urls = spark.read.parquet(f"{path}/urls")
+    attempts = spark.createDataFrame([], "seq long, at timestamp, bibcode string, url string, final_url string, method string, status string, category string, error string, content binary")
+    rounds, ended = [], {}
+    while True:
+        won = attempts.where("status = 'downloaded'").select("bibcode").distinct()
+        left = urls.join(attempts.select("seq").distinct(), "seq", "left_anti").join(won, "bibcode", "left_anti")
+        coming = left.groupBy("bibcode").agg(F.min_by(F.struct("seq", "url", "host"), "seq").alias("x")).select("bibcode", "x.*")
+        closed = walls(attempts if before is None else attempts.unionByName(before.select(*ATTEMPT)))
+        asked = coming.join(closed, "host", "left_anti").groupBy("host").agg(F.min_by(F.struct("seq", "bibcode", "url"), "seq").alias("x")).select("x.*")
+        new = judged(answers(asked, transport, make_spacer, ended), check, method).unionByName(_skipped(coming.join(closed, "host", "left_semi"), method))
+        here = f"{path}/round-{len(rounds)}"
+        new.write.parquet(f"{here}/attempts")
+        new = spark.read.parquet(f"{here}/attempts")
+        if new.isEmpty():
+            return attempts.orderBy("seq")
+        if save:
+            save(new.where("status = 'downloaded'").select(F.col("bibcode").alias("id"), "content")).write.parquet(f"{here}/saved")
+            lost = spark.read.parquet(f"{here}/saved").where("status = 'failed'").select(F.col("id").alias("bibcode"), F.col("category").alias("why"), F.col("error").alias("lost"))
+            joined = new.join(lost, "bibcode", "left")
+            bad = F.col("lost").isNotNull() & (F.col("status") == "downloaded")
+            new = joined.select(*(F.when(bad, v).otherwise(F.col(c)).alias(c) if v is not None else F.col(c) for c, v in zip(ATTEMPT, (None,) * 5 + (F.lit("write"), F.lit("failed"), F.col("why"), F.col("lost"), F.lit(None)), strict=True)))
+        rounds.append(new)
+        attempts = reduce(DataFrame.unionByName, rounds)
+        last = new.where("status <> 'skipped'").agg(F.max(F.unix_micros("at")), F.max(F.when(U.is_preprint_host(U.host(F.col("url"))), F.unix_micros("at")))).first()
+        ended |= {k: at / 1e6 for k, at in zip(("any", "preprint"), last, strict=True) if at}
