@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import argparse
 import importlib
+import importlib.util
 import json
 import sys
 
@@ -16,8 +17,8 @@ from pyspark.sql import functions as F
 from . import schemas
 from .functions import text as T
 from .operators import classifier, papers, report, resultlog
-from .session import session
-from .sources import fetch, files, jsonl, remote
+from .session import session, shared_dir
+from .sources import download_stage, files, jsonl, remote
 
 MODEL, EFFORT, PIPELINE, PROMPT = "term-classifier", "medium", "whole-paper-1", "0" * 64
 
@@ -44,7 +45,7 @@ def build_parser() -> argparse.ArgumentParser:
     add("download", "fetch candidates and write attempts and the manual queue", (("candidates",), {}), (("output",), {}), limit, transport)
     add("classify", "classify a page table, resuming from the log", (("pages",), {}), (("log",), {}), limit, (("--force",), {"action": "store_true"}), (("--library",), {}))
     add("evaluate", "score the log against labelled cases", (("log",), {}), (("cases",), {}), (("--case-id",), {"action": "append"}))
-    add("run", "search, download, classify and report", (("query",), {}), (("output",), {}), (("--pages",), {"required": True}), limit, transport)
+    add("run", "search, download, classify and report", (("query",), {}), (("output",), {}), (("--pages",), {"help": "a page table; without it the files' texts are extracted"}), limit, transport)
     return parser
 
 
@@ -55,23 +56,27 @@ def search(spark, args) -> dict:
 
 
 def download(spark, args) -> dict:
-    from .operators import downloads
+    """Files below the output's pdfs folder, attempts and the manual queue beside it.
 
+    A service with a method `work` is the second source too. Pages are checked where the optional
+    extractor library is there.
+    """
     service = _named(args.transport, "download")
     records = jsonl.read(spark, args.candidates, schemas.CANDIDATES)
     if args.limit is not None:
         records = records.orderBy("bibcode").limit(args.limit)
-    urls = downloads.candidate_urls(records).withColumn("seq", F.monotonically_increasing_id())
-    fetch.fetch(urls, service).write.mode("overwrite").parquet(f"{args.output}/attempts")  # written once: requests are not repeated
-    attempts = downloads.first_success(spark.read.parquet(f"{args.output}/attempts").withColumnRenamed("bibcode", "id"))
-    jobs = records.select(F.col("bibcode").alias("id"), F.get("doi", F.lit(0)).alias("doi"))
-    jsonl.write(downloads.manual_queue(jobs, attempts).orderBy("id"), f"{args.output}/manual_downloads")
-    done = attempts.where("status = 'downloaded'").select("id").distinct().count()
-    return {"attempted": records.count(), "downloaded": done}
-
-
-def _log(spark, path: str):
-    schema = "seq long, id string, key string, ok boolean, include string, basis array<string>"
+    extract = files.pages if importlib.util.find_spec("pymupdf") else None
+    queue = _read(spark, f"{args.output}/manual_downloads", "id string, category string, errors array<string>, target string")
+    attempts, entries, counts = download_stage.run(records, f"{args.output}/pdfs", service, service if hasattr(service, "work") else None, extract=extract, queue=queue)
+    attempts.write.mode("append").parquet(f"{args.output}/attempts")
+    kept = shared_dir(spark)  # the queue is read while the new one is made
+    entries.write.parquet(kept)
+    jsonl.write(spark.read.parquet(kept).orderBy("id"), f"{args.output}/manual_downloads")
+    return counts | {"manual_queue": spark.read.parquet(kept).count()}
+
+
+def _read(spark, path: str, schema: str):
+    """The table, or an empty one if it was never written."""
     try:
         return jsonl.read(spark, path, schema)
     except Exception as e:
@@ -80,17 +85,21 @@ def _log(spark, path: str):
         raise
 
 
+def _log(spark, path: str):
+    return _read(spark, path, "seq long, id string, key string, pdf_sha256 string, ok boolean, include string, basis array<string>")
+
+
 def classify(spark, args) -> dict:
     pages = jsonl.read(spark, args.pages, schemas.PAGES)
     content = pages.groupBy(F.col("paper").alias("id")).agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page", "text"))), lambda x: x["text"]), "\f"), 256).alias("sha"))
-    jobs = content.select("id", T.evaluation_key(F.col("sha"), MODEL, EFFORT, PIPELINE, PROMPT).alias("key"))
+    jobs = content.select("id", "sha", T.evaluation_key(F.col("sha"), MODEL, EFFORT, PIPELINE, PROMPT).alias("key"))
     log = _log(spark, args.log)
     todo = jobs if args.force else resultlog.pending(jobs, log, args.limit)
     start = jsonl.next_seq(log)
     rows = pages.join(todo.select(F.col("id").alias("paper")), "paper", "left_semi").select("paper", "page", T.normalise_white(F.col("text")).alias("text"))
-    done = classifier.classify(papers.strip_references(rows)).join(todo.select(F.col("id").alias("paper"), "key"), "paper")
-    jsonl.append(done.select((F.monotonically_increasing_id() + start).alias("seq"), F.col("paper").alias("id"), "key", F.col("include").isNotNull().alias("ok"), "include", "basis"), args.log)
-    latest = resultlog.latest(_log(spark, args.log))
+    done = classifier.classify(papers.strip_references(rows)).join(todo.select(F.col("id").alias("paper"), "key", "sha"), "paper")
+    jsonl.append(done.select((F.monotonically_increasing_id() + start).alias("seq"), F.col("paper").alias("id"), "key", F.col("sha").alias("pdf_sha256"), F.col("include").isNotNull().alias("ok"), "include", "basis"), args.log)
+    latest = resultlog.latest(resultlog.of_configuration(_log(spark, args.log), MODEL, EFFORT, PIPELINE, PROMPT))
     report.write(report.lines(latest), f"{args.log.rstrip('/')}.report")
     if args.library:
         review = resultlog.review(latest, jsonl.library(spark, args.library)).select("id", T.decision(F.col("include"), F.col("basis")).alias("decision"))
@@ -100,12 +109,22 @@ def classify(spark, args) -> dict:
 
 def evaluate(spark, args) -> dict:
     cases = files.case_jobs(jsonl.read(spark, args.cases, schemas.CASES), args.case_id)
-    return resultlog.accuracy(resultlog.relabel(resultlog.latest(_log(spark, args.log)), cases)).first().asDict()
+    return resultlog.accuracy(resultlog.relabel(resultlog.latest(resultlog.of_configuration(_log(spark, args.log), MODEL, EFFORT, PIPELINE, PROMPT)), cases)).first().asDict()
 
 
 def run(spark, args) -> dict:
-    found = search(spark, argparse.Namespace(transport=args.transport, query=args.query, output=f"{args.output}/candidates", limit=args.limit))
-    return found | classify(spark, argparse.Namespace(pages=args.pages, log=f"{args.output}/log", limit=None, force=False, library=None))
+    """Search, download, classify and report, one stage's output being the next one's input."""
+    def given(**values):
+        return argparse.Namespace(transport=args.transport, limit=args.limit, **values)
+
+    found = search(spark, given(query=args.query, output=f"{args.output}/candidates"))
+    saved = download(spark, given(candidates=f"{args.output}/candidates", output=args.output))
+    pages = args.pages
+    if pages is None:
+        pages = f"{args.output}/pages"
+        texts = files.pages(files.discover(spark, f"{args.output}/pdfs")).where("error is null")
+        jsonl.write(texts.select(F.col("id").alias("paper"), "page", "text"), pages)
+    return found | saved | classify(spark, argparse.Namespace(pages=pages, log=f"{args.output}/log", limit=None, force=False, library=None))
 
 
 def main(argv: list[str] | None = None) -> int:

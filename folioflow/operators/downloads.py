@@ -15,12 +15,22 @@ UNREADABLE = "PDF cannot be opened or its first page cannot be read"
 NO_PAGES, NO_TEXT, OTHER_TEXT = "PDF has no pages", "PDF has no extractable text", "PDF text does not match the abstract"
 
 
+def routed_links(records: DataFrame) -> DataFrame:
+    """(bibcode, pos, class, url) of the open links that lead to a file."""
+    links = records.select("bibcode", F.posexplode("links_data").alias("pos", "link"))
+    parsed = links.withColumns({"_host": U.host(F.col("link.url")), "_path": U.path(F.col("link.url")), "_doi": U.doi_of(F.col("link.url"))})
+    resolved = parsed.withColumn("_resolved", U.from_doi(F.col("_doi")))
+    found = U.route(F.col("link"), F.col("_host"), F.col("_path"), F.col("_resolved"), F.col("bibcode"))
+    # exploded instead of filtered: a filter would be pushed below with a copy of the expression
+    return resolved.select("bibcode", "pos", F.explode(F.array_compact(F.array(found))).alias("r")).select("bibcode", "pos", "r.class", "r.url")
+
+
 def candidate_urls(records: DataFrame) -> DataFrame:
     """(bibcode, ord, url): each record's URLs by class and position, once whatever the scheme.
 
     A URL stands where its first variant stood; an https variant is preferred.
     """
-    links = records.select("bibcode", F.posexplode("links_data").alias("pos", "link")).withColumn("r", U.route(F.col("link"), F.col("bibcode"))).where("r is not null").select("bibcode", F.col("r.class").alias("class"), F.lit(1).alias("of_link"), "pos", F.col("r.url").alias("url"))
+    links = routed_links(records).select("bibcode", "class", F.lit(1).alias("of_link"), "pos", "url")
     given = records.select("bibcode", F.posexplode("pdf_links").alias("pos", "url")).select("bibcode", F.lit(1).alias("class"), F.lit(0).alias("of_link"), "pos", "url")
     ordered = given.unionByName(links).where("url != ''").withColumn("ord", F.row_number().over(Window.partitionBy("bibcode").orderBy("class", "of_link", "pos")))
     keyed = ordered.groupBy("bibcode", U.without_scheme(F.col("url")).alias("key"))

@@ -5,9 +5,11 @@ A log has `seq` (append position), `id`, `key` (evaluation key) and `ok` (classi
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text as T
+
 
 def latest(log: DataFrame) -> DataFrame:
     """The current row of each id, with first_seq (its order of first appearance).
@@ -15,13 +17,19 @@ def latest(log: DataFrame) -> DataFrame:
     A later row replaces the current one unless it failed and the current one succeeded under the
     same key. So only the last run of rows with one key counts, and in it the last success.
     """
-    of_id = Window.partitionBy("id")
-    ends = of_id.orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    a = log.withColumn("last_key", F.last("key").over(ends)).withColumn("first_seq", F.min("seq").over(of_id))
-    a = a.withColumn("broken", F.max(F.when(~F.col("key").eqNullSafe(F.col("last_key")), F.col("seq"))).over(of_id))
-    a = a.where(F.col("broken").isNull() | (F.col("seq") > F.col("broken")))
-    best = of_id.orderBy(F.when(F.col("ok"), 0).otherwise(1), F.desc("seq"))
-    return a.withColumn("rank", F.row_number().over(best)).where("rank = 1").drop("rank", "last_key", "broken")
+    # the last key's run begins after the last row of any other key; each step is a partial aggregate
+    won = F.when(F.col("ok"), F.col("seq"))
+    rows = log.withColumn("row", F.struct(*log.columns))
+    by_key = rows.groupBy("id", "key").agg(F.min("seq").alias("low"), F.max("seq").alias("top"), F.max(won).alias("won"), F.max_by("row", "seq").alias("last"), F.max_by("row", won).alias("best"))
+    tops = F.sort_array(F.collect_list("top"), asc=False)
+    by_id = by_key.groupBy("id").agg(F.min("low").alias("first_seq"), F.get(tops, F.lit(1)).alias("broken"), F.max_by(F.struct("won", "last", "best"), "top").alias("x"))
+    kept = F.col("x.won") > F.coalesce(F.col("broken"), F.col("x.won") - 1)
+    return by_id.select(F.when(F.coalesce(kept, F.lit(False)), F.col("x.best")).otherwise(F.col("x.last")).alias("row"), "first_seq").select("row.*", "first_seq")
+
+
+def of_configuration(log: DataFrame, model: str, effort: str, pipeline: str, prompt_sha256: str) -> DataFrame:
+    """The rows whose key is that of their own pdf_sha256 under the given configuration."""
+    return log.where(F.col("key") == T.evaluation_key(F.col("pdf_sha256"), model, effort, pipeline, prompt_sha256))
 
 
 def pending(jobs: DataFrame, log: DataFrame, limit: int | None = None) -> DataFrame:

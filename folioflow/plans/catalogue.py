@@ -96,13 +96,13 @@ _LONG = f"list_filter({_WORDS.format('abstract')}, lambda w: length(w) >= 5)"
 
 
 @query(
-    "WITH d AS (SELECT a.doc_id, substr(CASE WHEN a.doc_id % 5 = 0 THEN b.text ELSE a.text END, 1, 600) AS abstract, a.text FROM documents a LEFT JOIN documents b ON b.doc_id = a.doc_id + 1), "
+    "WITH d AS (SELECT a.doc_id, CASE WHEN a.doc_id % 5 = 0 THEN b.text ELSE a.text END AS abstract, a.text FROM documents a LEFT JOIN documents b ON b.doc_id = a.doc_id + 1), "
     f"w AS (SELECT doc_id, {_LONG} AS aw, {_WORDS.format('text')} AS tw FROM d) SELECT doc_id, CASE WHEN len(aw) >= 20 THEN len(list_intersect(aw, tw)) / len(aw) END AS overlap FROM w"
 )
 def abstract_overlap_self(v: Views) -> DataFrame:
     docs = v.table("documents").select("doc_id", "text")
     after = docs.select((F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("next"))
-    abstract = F.substring(F.when(F.col("doc_id") % 5 == 0, F.col("next")).otherwise(F.col("text")), 1, 600)
+    abstract = F.when(F.col("doc_id") % 5 == 0, F.col("next")).otherwise(F.col("text"))
     return docs.join(after, "doc_id", "left").select("doc_id", T.overlap(abstract, F.col("text")).alias("overlap"))
 
 
@@ -115,7 +115,8 @@ def abstract_overlap_cross(v: Views) -> DataFrame:
     long = F.filter(T.word_set(F.col("text")), lambda w: F.length(w) >= T.LONG_WORD)
     items = v.table("benchmark").select("item_id", long.alias("words")).where(F.size("words") >= T.LEAST_ABSTRACT_WORDS)
     items = items.select("item_id", F.size("words").alias("n"), F.explode_outer("words").alias("word"))
-    docs = v.table("documents").select("doc_id", F.explode_outer(T.word_set(F.col("text"))).alias("word"))
+    # only long words can be shared with an item
+    docs = v.table("documents").select("doc_id", F.explode_outer(long).alias("word"))
     shared = docs.join(items, "word").groupBy("item_id", "doc_id", "n").agg(F.count("*").alias("shared"))
     return shared.select("item_id", "doc_id", (F.col("shared") / F.col("n")).alias("overlap")).where(F.col("overlap") >= T.LEAST_OVERLAP)
 
@@ -137,8 +138,7 @@ def url_host_path(v: Views) -> DataFrame:
 
 @query(f"WITH {views.LINKS} SELECT bibcode, class, url FROM routed WHERE of_link = 1")
 def candidate_urls_routed(v: Views) -> DataFrame:
-    rows = v.links().select("bibcode", F.explode("links_data").alias("link")).select("bibcode", U.route(F.col("link"), F.col("bibcode")).alias("r"))
-    return rows.where("r is not null").select("bibcode", "r.class", "r.url")
+    return downloads.routed_links(v.links()).select("bibcode", "class", "url")
 
 
 @query(f"WITH {views.LINKS} SELECT bibcode, CAST(min(ord) AS INT) AS ord, coalesce(max(CASE WHEN url LIKE 'https://%' THEN url END), min_by(url, ord)) AS url FROM ordered GROUP BY bibcode, regexp_replace(url, '^.*?://', '')")
@@ -178,13 +178,13 @@ def response_triage(v: Views) -> DataFrame:
 
 
 @query(
-    f"WITH {views.ATTEMPTS}, r AS (SELECT id, count(*) FILTER (category IS NULL) AS wins, min(CASE category WHEN 'transient' THEN 0 WHEN 'blocked' THEN 1 ELSE 2 END) AS worst, string_agg(error, '; ' ORDER BY seq) AS errors FROM att WHERE seq % 6 <> 0 AND seq % 7 <> 3 GROUP BY id) "
+    f"WITH {views.ATTEMPTS}, r AS (SELECT id, count(*) FILTER (category IS NULL) AS wins, min(CASE category WHEN 'transient' THEN 0 WHEN 'blocked' THEN 1 ELSE 2 END) AS worst, string_agg(error, '; ' ORDER BY seq) AS errors FROM att GROUP BY id) "
     "SELECT c.id, ['transient', 'blocked', 'permanent'][coalesce(worst, 2) + 1] AS category, coalesce(errors, CASE WHEN c.k % 2 = 0 THEN 'no open copy found' ELSE 'no candidate URL and no DOI' END) AS errors "
-    "FROM (SELECT CAST(c_custkey AS VARCHAR) AS id, c_custkey AS k FROM customer WHERE c_custkey < 400) c LEFT JOIN r USING (id) WHERE coalesce(wins, 0) = 0"
+    "FROM (SELECT CAST(c_custkey AS VARCHAR) AS id, c_custkey AS k FROM customer) c LEFT JOIN r USING (id) WHERE coalesce(wins, 0) = 0"
 )
 def manual_queue_rollup(v: Views) -> DataFrame:
-    attempts = _triaged(v).where("seq % 6 <> 0 and seq % 7 <> 3").withColumn("status", F.when(F.col("category").isNull(), "downloaded").otherwise("failed"))
-    jobs = v.table("customer").where("c_custkey < 400").select(F.col("c_custkey").cast("string").alias("id"), F.when(F.col("c_custkey") % 2 == 0, "d").alias("doi"))
+    attempts = _triaged(v).withColumn("status", F.when(F.col("category").isNull(), "downloaded").otherwise("failed"))
+    jobs = v.table("customer").select(F.col("c_custkey").cast("string").alias("id"), F.when(F.col("c_custkey") % 2 == 0, "d").alias("doi"))
     return downloads.manual_queue(jobs, attempts).select("id", "category", F.array_join("errors", "; ").alias("errors"))
 
 
@@ -401,9 +401,9 @@ def already_tried_subtraction(v: Views) -> DataFrame:
     return v.table("pages").select("page_id", F.array_join(downloads.untried(urls, tried), " ").alias("left_over"))
 
 
-@query(f"WITH {views.ATTEMPTS} SELECT CAST(c_custkey AS VARCHAR) AS id FROM customer WHERE c_custkey % 2 = 0 AND CAST(c_custkey AS VARCHAR) NOT IN (SELECT id FROM att WHERE category IS NULL AND seq % 3 = 0)")
+@query(f"WITH {views.ATTEMPTS} SELECT CAST(c_custkey AS VARCHAR) AS id FROM customer WHERE c_custkey % 2 = 0 AND CAST(c_custkey AS VARCHAR) NOT IN (SELECT id FROM att WHERE category IS NULL)")
 def open_access_phase(v: Views) -> DataFrame:
-    attempts = _triaged(v).where("seq % 3 = 0").withColumn("status", F.when(F.col("category").isNull(), "downloaded").otherwise("failed"))
+    attempts = _triaged(v).withColumn("status", F.when(F.col("category").isNull(), "downloaded").otherwise("failed"))
     jobs = v.table("customer").select(F.col("c_custkey").cast("string").alias("id"), F.when(F.col("c_custkey") % 2 == 0, "d").alias("doi"))
     return downloads.open_access_phase(jobs, attempts).select("id")
 

@@ -140,8 +140,10 @@ def fetch(urls: DataFrame, transport: Transport, make_spacer: Callable[[], Space
         coming = left.groupBy("bibcode").agg(F.min_by(F.struct("seq", "url", "host"), "seq").alias("x")).select("bibcode", "x.*")
         closed = walls(attempts if before is None else attempts.unionByName(before.select(*ATTEMPT)))
         asked = coming.join(closed, "host", "left_anti").groupBy("host").agg(F.min_by(F.struct("seq", "bibcode", "url"), "seq").alias("x")).select("x.*")
-        new = judged(answers(asked, transport, make_spacer, ended), check, method).unionByName(_skipped(coming.join(closed, "host", "left_semi"), method))
         here = f"{path}/round-{len(rounds)}"
+        # written at once: what is derived from the answers below must not ask again
+        answers(asked, transport, make_spacer, ended).write.parquet(f"{here}/answers")
+        new = judged(spark.read.schema(ANSWER).parquet(f"{here}/answers"), check, method).unionByName(_skipped(coming.join(closed, "host", "left_semi"), method))
         new.write.parquet(f"{here}/attempts")
         new = spark.read.parquet(f"{here}/attempts")
         if new.isEmpty():

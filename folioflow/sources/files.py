@@ -58,6 +58,26 @@ def cases_to_fetch(cases: DataFrame, on_disk: DataFrame) -> DataFrame:
     return rows.groupBy(F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("dir")).agg(F.count("*").alias("wanted"))
 
 
+def set_aside(rejected: DataFrame) -> None:
+    """Renames files (path, pdf_sha256) beside their place, under a name that discovery passes over."""
+
+    def run(batch: pd.DataFrame) -> None:
+        import os
+        from urllib.parse import unquote, urlparse
+
+        for path, digest in zip(batch["path"], batch["pdf_sha256"], strict=True):
+            at = unquote(urlparse(path).path)
+            if os.path.exists(at):  # else an earlier try of this task renamed it
+                os.replace(at, f"{os.path.splitext(at)[0]}.{digest}.rejected")
+
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            run(batch)
+            yield batch[["path"]]
+
+    rejected.mapInPandas(each, "path string").write.format("noop").mode("overwrite").save()
+
+
 def save(contents: DataFrame, folder: str) -> DataFrame:
     """(id, status, category, error): writes (id, content) to files of a shared folder.
 

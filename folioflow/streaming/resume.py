@@ -7,11 +7,11 @@ and the anti-join makes that harmless.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
+
 JOB = "seq long, id string, key string"
 
 
@@ -34,8 +34,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, key): the events as jobs, in two arrivals and three runs; the third has nothing to do."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_intermediate"
-    root = f"{base.rstrip('/')}/resume-{uuid.uuid4().hex}"
+    root = shared_dir(spark)
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     jobs = events.select(F.col("event_id").alias("seq"), F.col("user_id").cast("string").alias("id"), (F.get_json_object("props", "$.k").cast("int") % 3).cast("string").alias("key"))
     for half in (0, 1):
