@@ -3,10 +3,11 @@
 Template tree. A path's segments become a template by generalising variable ones: numbers,
 hexadecimal ids and other segments with digits by their shape, and, level by level, the values
 of a node that are too many or too rare to be directories, unless their labelled rate differs
-from that of the node's other values. Branches below one node whose
-labelled rates cannot be told apart from the node's pooled rate (a two-proportion test) share
-the pooled counts; the others keep their own. A template is rejected when its smoothed labelled
-purity - the share of bad labels, drawn to the host's and the corpus's rate - reaches a limit.
+from that of the node's other values. Then branches are merged from the
+leaves up: a node whose labelled rate cannot be told apart from that of the rest of its parent (a
+two-proportion test) shares the parent's counts. A template is rejected when the smoothed labelled
+purity of its branch - the share of bad labels, drawn to the host's and the corpus's rate -
+reaches a limit.
 
 Every step aggregates rows before they are shuffled, so a host with a third of all pages sends
 one row per task and template. Templates, not pages, go through the tree's levels.
@@ -16,7 +17,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import ascii_lower, materialise
@@ -108,10 +109,12 @@ def templates(pages: DataFrame) -> DataFrame:
         whole.append(tree.where(F.size("shapes") <= level))
         here = tree.where(F.size("shapes") > level).withColumn("template", kept(F.lit(level))).withColumn("child", F.get("shapes", F.lit(level)))
         children = here.groupBy("host", "template", "child").agg(F.sum("pages").alias("n"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
-        per_node = Window.partitionBy("host", "template")
-        sized = children.withColumns({"total": F.sum("n").over(per_node), "width": F.count("*").over(per_node), "node_labelled": F.sum("labelled").over(per_node), "node_bad": F.sum("bad").over(per_node), "tested": F.count_if(F.col("labelled") > 0).over(per_node)})
+        # written, since it is grouped and joined; few nodes are wide, and their children are salted
+        children = materialise(children.withColumn("salt", F.pmod(F.xxhash64("child"), F.lit(SALTS)).cast("int")))
+        wide = children.groupBy("host", "template").agg(F.sum("n").alias("total"), F.count("*").alias("width"), F.sum("labelled").alias("node_labelled"), F.sum("bad").alias("node_bad"), F.count_if(F.col("labelled") > 0).alias("tested")).where(F.col("width") > MOST_CHILDREN)
+        sized = children.join(wide.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["host", "template", "salt"])
         apart = stands_out(F.col("bad"), F.col("labelled"), F.col("node_bad"), F.col("node_labelled"), F.col("tested"))
-        rare = sized.where((F.col("width") > MOST_CHILDREN) & (F.col("n") < LEAST_SHARE * F.col("total")) & ~apart).select("host", "template", "child", F.lit(True).alias("rare"))
+        rare = sized.where((F.col("n") < LEAST_SHARE * F.col("total")) & ~apart).select("host", "template", "child", F.lit(True).alias("rare"))
         step = F.concat("template", F.array(F.when(F.col("rare"), F.lit(ANY)).otherwise(F.col("child"))))
         # written, since each level reads the one before twice
         tree = materialise(here.join(rare, ["host", "template", "child"], "left").select("host", "shapes", "pages", "labelled", "bad", step.alias("template")))
@@ -119,28 +122,38 @@ def templates(pages: DataFrame) -> DataFrame:
 
 
 def judged_templates(tree: DataFrame, *, prior: float = PRIOR, reject: float = REJECT, z: float = Z) -> DataFrame:
-    """(host, template, purity, rejected): one row per template, its branch merged or not."""
-    leaves = tree.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
+    """(host, template, branch, purity, rejected): one row per template.
+
+    A node of a host's tree is a template's beginning, with the counts of all templates below it.
+    A node whose labelled rate cannot be told apart from that of the rest of its parent is merged
+    with the parent, from the leaves up, so that a template has the counts of the deepest node on
+    its way that stands out, or of the whole host. `branch` is that node's number of segments.
+    """
+    # nodes are known by a digest of their segments, which have no slash, so long paths stay small
+    def digest(depth: Column) -> Column:
+        return F.md5(F.array_join(F.slice("template", F.lit(1), depth), "/").cast("binary"))
+
+    leaves = materialise(tree.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad")).withColumn("leaf", digest(F.size("template"))))
     whole = leaves.agg(F.sum("bad").alias("all_bad"), F.sum("labelled").alias("all_labelled"))
-    by_host = leaves.groupBy("host").agg(F.sum("labelled").alias("host_labelled"), F.sum("bad").alias("host_bad"))
-    # siblings are the templates that differ in the first segment that is no wildcard
-    parent = F.when(F.size("template") > 0, F.slice("template", 1, F.size("template") - 1)).otherwise(F.col("template"))
-    trunk = F.filter("template", lambda s: ~s.isin("{n}", "{x}", ANY))
-    key = F.when(F.size(trunk) > 0, F.slice(trunk, 1, F.size(trunk) - 1)).otherwise(parent)
-    pooled = leaves.withColumn("node", key)
-    nodes = pooled.groupBy("host", "node").agg(F.sum("labelled").alias("node_labelled"), F.sum("bad").alias("node_bad"))
+    steps = leaves.select("*", F.explode(F.sequence(F.lit(0), F.size("template"))).alias("depth"))
+    parent = F.when(F.col("depth") > 0, digest(F.col("depth") - 1))
+    on_way = materialise(steps.select("host", "leaf", "depth", digest(F.col("depth")).alias("node"), parent.alias("parent"), "labelled", "bad"))
+    nodes = materialise(on_way.groupBy("host", "node", "parent").agg(F.sum("labelled").alias("node_labelled"), F.sum("bad").alias("node_bad")))
+    # only a child with labels can stand out
+    child = nodes.where("parent is not null and node_labelled > 0").select("host", "node", "parent", F.col("node_labelled").alias("labelled"), F.col("node_bad").alias("bad"))
+    tested = child.groupBy("host", "parent").agg(F.count("*").alias("tested"))
+    pairs = child.join(nodes.select("host", F.col("node").alias("parent"), "node_labelled", "node_bad"), ["host", "parent"]).join(tested, ["host", "parent"])
+    apart = pairs.where(stands_out(F.col("bad"), F.col("labelled"), F.col("node_bad"), F.col("node_labelled"), F.col("tested"), z)).select("host", "node", F.lit(True).alias("apart"))
+    own = on_way.select("host", "leaf", "depth", "node").join(apart, ["host", "node"], "left").where(F.col("apart") | (F.col("depth") == 0))
+    branch = own.groupBy("host", "leaf").agg(F.max("depth").alias("branch"), F.max_by("node", "depth").alias("node"))
+    found = leaves.select("host", "template", "leaf").join(branch, ["host", "leaf"]).join(nodes.drop("parent"), ["host", "node"])
+    by_host = nodes.where("parent is null").select("host", F.col("node_labelled").alias("host_labelled"), F.col("node_bad").alias("host_bad"))
     # one row for the corpus: a single aggregate, so its broadcast has a fixed size
-    rows = pooled.join(nodes, ["host", "node"]).join(by_host, "host").join(F.broadcast(whole))
+    rows = found.join(by_host, "host").join(F.broadcast(whole))
     base = F.coalesce(F.col("all_bad") / F.nullif(F.col("all_labelled"), F.lit(0)), F.lit(0.0))
     host_rate = (F.col("host_bad") + prior * base) / (F.col("host_labelled") + prior)
-    p = F.col("node_bad") / F.nullif(F.col("node_labelled"), F.lit(0))
-    own = F.col("bad") / F.nullif(F.col("labelled"), F.lit(0))
-    spread = F.sqrt(p * (1 - p) / F.col("labelled"))
-    alike = F.coalesce(F.abs(own - p) <= z * spread, F.lit(True))
-    bad = F.when(alike, F.col("node_bad")).otherwise(F.col("bad"))
-    labelled = F.when(alike, F.col("node_labelled")).otherwise(F.col("labelled"))
-    purity = (bad + prior * host_rate) / (labelled + prior)
-    return rows.select("host", "template", alike.alias("merged"), purity.alias("purity"), (purity >= reject).alias("rejected"))
+    purity = (F.col("node_bad") + prior * host_rate) / (F.col("node_labelled") + prior)
+    return rows.select("host", "template", "branch", purity.alias("purity"), (purity >= reject).alias("rejected"))
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str]], labels: DataFrame | None = None, *, key: str = "page_id", url: str = "url", prior: float = PRIOR, reject: float = REJECT) -> DataFrame:
@@ -148,7 +161,10 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], labels: DataFrame | No
 
     `rules` are (host and path prefix, block or allow). `labels` is (doc_id, bad: 1 or 0) for the
     documents whose number is the last number of a path; without it every template is allowed.
-    A null url has an empty host and path and its host's verdict. Keys may repeat or be null.
+    A null url has an empty host and path and its host's verdict. Keys may repeat or be null, and
+    each row is judged. Paths of any length count with all their segments. At a tie of purity and
+    limit a template is rejected. Other columns are ignored, whatever their names. An empty table
+    gives no rows; without labels nothing is rejected by the method.
     """
     verdicts = F.lit(None).cast("string")
     for rule, verdict in rules:

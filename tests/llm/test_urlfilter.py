@@ -1,4 +1,7 @@
+import math
+import random
 import re
+from collections import defaultdict
 
 from folioflow.llm import queries, urlfilter
 from tests.conftest import SMALL
@@ -73,3 +76,81 @@ def test_segments_at_any_depth_tell_pages_apart(spark):
     got = {r.page_id: r for r in urlfilter.judge(pages, [], labels).collect()}
     assert {i for i, r in got.items() if r.verdict == "block"} == {i for i, p in enumerate(paths) if "casino" in p or "/cq/" in p}
     assert {r.template for r in got.values()} == {f"/en/{{n}}/{{n}}/{{n}}/news/local/{x}/{{n}}" for x in ("casino", "council")} | {"/a/b/c/d/e/f/g/*/x/{n}", "/a/b/c/d/e/f/g/cq/x/{n}", "/" + "a/" * 400 + "{n}"}
+
+
+def shape(x):
+    bare = re.sub(r"\.[A-Za-z]{1,5}\Z", "", x)
+    if re.fullmatch("[0-9]+", bare):
+        return "{n}"
+    if re.fullmatch("[0-9a-fA-F-]{8,}", bare) and re.search("[0-9]", bare):
+        return "{x}"
+    return "*" if re.search("[0-9]{3}|[0-9].*[0-9].*[0-9]", bare) or len(bare) > 40 else bare
+
+
+def apart(bad, n, all_bad, all_n, tested):
+    def fit(b, k):
+        return sum(x * math.log(x / k) for x in (b, k - b) if x > 0)
+
+    return 2 * (fit(bad, n) + fit(all_bad - bad, all_n - n) - fit(all_bad, all_n)) > 4 + 2 * math.log(max(tested, 1))
+
+
+def plain_verdicts(pages, labels):
+    """(page_id, path) to the method's verdict, by a walk over each host's tree."""
+    rows, out = defaultdict(list), {}
+    for key, url in pages:
+        host, path = parts(url)
+        m = re.search(r"([0-9]{1,18})(?:\.[A-Za-z]{1,5})?/*\Z", path)
+        rows[host].append([key, path, [shape(x) for x in path.split("/") if x], labels.get(int(m[1])) if m else None])
+    known = [r[3] for of_host in rows.values() for r in of_host if r[3] is not None]
+    base = sum(known) / len(known) if known else 0.0
+    for of_host in rows.values():
+        for level in range(max(len(r[2]) for r in of_host)):
+            nodes = defaultdict(lambda: defaultdict(list))
+            for r in of_host:
+                if len(r[2]) > level:
+                    nodes[tuple(r[2][:level])][r[2][level]].append(r)
+            for children in nodes.values():
+                n, bad, total = ({k: f(v) for k, v in children.items()} for f in (lambda v: sum(r[3] is not None for r in v), lambda v: sum(r[3] or 0 for r in v), len))
+                if len(children) > 32:
+                    for k, v in children.items():
+                        if total[k] < 0.02 * sum(total.values()) and not apart(bad[k], n[k], sum(bad.values()), sum(n.values()), sum(x > 0 for x in n.values())):
+                            for r in v:
+                                r[2][level] = "*"
+        count = defaultdict(lambda: [0, 0])
+        for r in of_host:
+            for d in range(len(r[2]) + 1):
+                if r[3] is not None:
+                    count[tuple(r[2][:d])][0] += r[3]
+                    count[tuple(r[2][:d])][1] += 1
+        tested = defaultdict(int)
+        for node, (_, n) in count.items():
+            tested[node[:-1]] += bool(node and n)
+        rate = (count[()][0] + 10 * base) / (count[()][1] + 10)
+        for key, path, template, _ in of_host:
+            node = tuple(template)
+            while node and not (count[node][1] and apart(*count[node], *count[node[:-1]], tested[node[:-1]])):
+                node = node[:-1]
+            out[key, path] = "block" if (count[node][0] + 10 * rate) / (count[node][1] + 10) >= 0.5 else "allow"
+    return out
+
+
+def test_every_verdict_against_brute_force(spark):
+    """The whole query over the small table with a planted bad branch, and a random tree."""
+    pages = [(r.page_id, r.url) for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()]
+    draw = random.Random(5)
+    names = words(45)
+    pages += [(10_000 + i, f"https://www.big.example.org/{draw.choice(['a', 'b', 'c'])}/{draw.choice(names)}/{draw.choice(['x', 'y', 'z9'])}/{10_000 + i}.html") for i in range(3000)]
+    pages += [(20_000 + i, f"https://blog.example.org/{'spam' if i % 3 else 'news'}/{20_000 + i}") for i in range(90)]
+    labels = {i: int(p.split("/")[3] == "c" and "z9" in p or "/spam/" in p or draw.random() < 0.1) for i, p in pages if i >= 10_000 and draw.random() < 0.7}
+    want = plain_verdicts(pages, labels)
+    got = urlfilter.judge(spark.createDataFrame(pages, "page_id long, url string"), queries.URL_RULES, spark.createDataFrame(list(labels.items()), "doc_id long, bad int")).collect()
+    assert len(got) == len(pages)
+    for r in got:
+        assert r.verdict == (dict(queries.URL_RULES)[r.rule] if r.rule else want[r.page_id, r.path]), r
+    blocked = {r.page_id for r in got if r.rule is None and r.verdict == "block"}
+    assert {i for i, p in pages if "/spam/" in p} <= blocked and any(10_000 <= i < 20_000 for i in blocked) and not any("/news/" in p and i in blocked for i, p in pages)
+
+
+def test_columns_with_names_of_the_results(spark):
+    rows = spark.createDataFrame([(1, "http://a.net/x", "h", "p", "r", "v", "t", 0)], "page_id long, url string, host string, path string, rule string, verdict string, template string, doc_id long")
+    assert [tuple(r)[:5] for r in urlfilter.judge(rows, queries.URL_RULES).collect()] == [(1, "a.net", "/x", "net/", "block")]
