@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, bounded, materialise
+from .common import ascii_lower, bounded, free_name, materialise
 
 WINDOW, K = 10, 4
 #: Fixed value: runs of what is not a word character.
@@ -96,13 +96,16 @@ def _key(id_column: str, text: str) -> list[Column]:
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_words, n_hit, items (sorted strings), contaminated.
+    """One row per document: doc_id, n_words, n_hit, n_items, items (sorted strings), contaminated.
 
-    Null and empty texts have no words and no hits. Benchmark items with null text, no words or
-    a null id are left out. Equal rows get equal results. The benchmark's windows are broadcast
+    Null and empty texts have no words and no hits; benchmark items without words are left out.
+    Items with a null id are hit like others and count as one item, which has no name among
+    items. Items of one id are one item. Equal rows get equal results, and a text of any length is
+    looked at as a whole. Other columns are ignored, whatever their names. An empty table gives no
+    rows; an empty benchmark hits nothing. The benchmark's windows are broadcast
     only if they were counted and are few; else both sides are shuffled by hash.
     """
-    items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text")).dropna()
+    items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text")).where("text is not null")
     items = materialise(_hashed(items, "text").withColumn("n", F.size("h")).where("n > 0"))
     short = sorted(r[0] for r in items.where(F.col("n") < WINDOW).select("n").distinct().collect())  # at most WINDOW - 1 lengths
     fp = [fingerprints(items.where(F.col("n") >= WINDOW).select("h"), "h", "f").select(F.explode_outer("f").alias("f"), F.lit(WINDOW).alias("size"))]
@@ -143,15 +146,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, id_column: str = "do
     fresh = F.greatest(F.lit(0), F.col("stop") - F.greatest(F.col("pos"), F.coalesce(F.max("stop").over(before), F.lit(0))))
     covered = ends.withColumn("fresh", fresh).groupBy("k1", "k2").agg(F.sum("fresh").alias("n_hit"))
     of_items = matched.select("k1", "k2", "a", "b", "size").distinct().join(bounded(table), ["a", "b", "size"]).select("k1", "k2", "item").distinct()
-    named = of_items.groupBy("k1", "k2").agg(F.sort_array(F.collect_list("item")).alias("items"))
+    named = of_items.groupBy("k1", "k2").agg(F.count("*").alias("n_items"), F.sort_array(F.collect_list("item")).alias("items"))
     hits = covered.join(named, ["k1", "k2"])
     out = scanned.select("doc_id", "k1", "k2", "n_words").join(hits, ["k1", "k2"], "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
-    return out.select("doc_id", "k1", "k2", "n_words", n_hit.alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), (n_hit > 0).alias("contaminated"))
+    return out.select("doc_id", "k1", "k2", "n_words", n_hit.alias("n_hit"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), (n_hit > 0).alias("contaminated"))
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of documents without a hit, with their own columns."""
+    one, two = free_name(docs, "k1"), free_name(docs, "k2")
     dirty = materialise(contamination(docs, benchmark, id_column=id_column, text_column=text_column).where("contaminated").select("k1", "k2").distinct())
     k1, k2 = _key(id_column, text_column)
-    return docs.select("*", k1.alias("_k1"), k2.alias("_k2")).join(bounded(dirty.toDF("_k1", "_k2")), ["_k1", "_k2"], "left_anti").select(*docs.columns)
+    return docs.select("*", k1.alias(one), k2.alias(two)).join(bounded(dirty.toDF(one, two)), [one, two], "left_anti").select(*docs.columns)

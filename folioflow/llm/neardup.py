@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded, materialise, small_batches
+from .common import bounded, free_name, materialise, small_batches
 from .components import components
 from .textkit import chunks, mix, window_hashes, word_hashes
 
@@ -241,7 +241,8 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col
     component_id is the least doc_id that links reach. Texts without words (null, empty) have no
     shingles, are linked with nothing and are kept. Rows with one doc_id are one document whose
     links are those of any of its texts. A null doc_id takes no part: its component_id is null
-    and it is kept. doc_id must be a whole number.
+    and it is kept. doc_id must be a whole number. A text of any length is sketched and checked as
+    a whole. Other columns are ignored, whatever their names. An empty table gives no rows.
     """
     if percent < 80:
         raise ValueError("the bands are laid out for 80 percent or more")
@@ -274,13 +275,14 @@ def keep_one(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFrame:
     near copies the row of the least doc_id stays, one without an id only if none has one. Of
     equal rows without words one stays.
     """
-    rows = materialise(docs.withColumn("_row", F.monotonically_increasing_id()))
-    marked = materialise(near_duplicates(rows, size=size, percent=percent, id_column="_row").withColumnRenamed("doc_id", "_row"))
-    later = marked.where("not kept").select("_row", "component_id")
-    group = materialise(later.unionByName(later.select(F.col("component_id").alias("_row"), "component_id").distinct()))
-    named = rows.select("_row", "doc_id").join(bounded(group), "_row")
-    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("first")).select("first._row")
-    empty = marked.where("n_shingles = 0").select("_row")
-    alike = rows.join(bounded(empty), "_row", "left_semi").groupBy(*docs.columns).agg(F.min("_row").alias("_row")).select("_row")
-    gone = materialise(group.select("_row").unionByName(empty).join(first.unionByName(alike), "_row", "left_anti"))
-    return rows.join(bounded(gone), "_row", "left_anti").select(*docs.columns)
+    row = free_name(docs, "row")
+    rows = materialise(docs.withColumn(row, F.monotonically_increasing_id()))
+    marked = materialise(near_duplicates(rows, size=size, percent=percent, id_column=row).withColumnRenamed("doc_id", row))
+    later = marked.where("not kept").select(row, "component_id")
+    group = materialise(later.unionByName(later.select(F.col("component_id").alias(row), "component_id").distinct()))
+    named = rows.select(row, "doc_id").join(bounded(group), row)
+    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col(row).alias("at"))).alias("first")).select(F.col("first.at").alias(row))
+    empty = marked.where("n_shingles = 0").select(row)
+    alike = rows.join(bounded(empty), row, "left_semi").groupBy(*docs.columns).agg(F.min(row).alias(row)).select(row)
+    gone = materialise(group.select(row).unionByName(empty).join(first.unionByName(alike), row, "left_anti"))
+    return rows.join(bounded(gone), row, "left_anti").select(*docs.columns)

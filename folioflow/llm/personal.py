@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, small_batches
+from .common import free_name, materialise, small_batches
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS, CONFIDENT, LEAST_SEEDS, LEAST_DOCUMENTS, SMOOTHING = 3, 0.8, 3, 3, 0.5
@@ -139,7 +139,7 @@ def scan(docs: DataFrame, *keep: str, text_column: str = "text") -> DataFrame:
     types = "".join(f"k{i} {docs.schema[k].dataType.simpleString()}, " for i, k in enumerate(keep))
     counts = ", ".join(f"n_{k} long" for k in KINDS)
     found = "found array<struct<pattern:string,instance:string,kind:string,start:bigint,stop:bigint>>"
-    return materialise(docs.select(*keep, F.col(text_column).alias("_text")).mapInArrow(run, f"row_key long, {types}{counts}, base_spans string, {found}"))
+    return materialise(docs.select(*keep, F.col(text_column).alias(free_name(docs, "_text"))).mapInArrow(run, f"row_key long, {types}{counts}, base_spans string, {found}"))
 
 
 def confident_patterns(scanned: DataFrame, *, rounds: int = ROUNDS, confident: float = CONFIDENT, least_seeds: int = LEAST_SEEDS, least_documents: int = LEAST_DOCUMENTS) -> DataFrame:

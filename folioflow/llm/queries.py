@@ -23,7 +23,7 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
-    return rows.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest, "contaminated")
+    return rows.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
 
 
 #: Host and path prefix, verdict.

@@ -38,3 +38,21 @@ def test_stages_against_plain_versions(spark):
 
     pieces = stages["packing"](spark, hidden, SMALL).collect()
     assert {r.doc_id for r in pieces} == after.keys() and all(len(r.ids) == r.length for r in pieces)
+
+
+def test_odd_rows_and_empty_tables_pass_every_stage(spark, odd_docs, no_docs):
+    """Each stage keeps the columns, drops nothing but what it is for, and takes a table without rows."""
+    docs = odd_docs.withColumnRenamed("score", "component_id").withColumn("row", odd_docs.n_chars).withColumn("K1", odd_docs.doc_id)
+    plain = odd_docs.where("doc_id is null or doc_id <> 4").count()
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SMALL)
+        assert out.columns == docs.columns and stage(spark, no_docs, SMALL).count() == 0, name
+        ids = sorted(str(r.doc_id) for r in out.collect())
+        if name == "quality_rules":
+            assert not {"1", "2", "3", "6", "None"} & set(ids)  # all under 50 words
+        elif name == "near_dedup":
+            assert ids.count("1") == 1 and {"4", "5", "None"} <= set(ids)
+        else:
+            assert len(ids) == plain + 1 and ids.count("1") == 2, name
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).collect()
+    assert sum(r.start == 0 for r in pieces) == docs.count()
