@@ -20,7 +20,7 @@ from .operators import classifier, papers, report, resultlog
 from .session import session, shared_dir
 from .sources import download_stage, files, jsonl, remote
 
-MODEL, EFFORT, PIPELINE, PROMPT = "term-classifier", "medium", "whole-paper-1", "0" * 64
+MODEL, EFFORT, PIPELINE, PROMPT_VERSION, PROMPT = "term-classifier", "medium", "whole-paper-1", "prompt-1", "0" * 64
 
 
 def _named(name: str | None, what: str):
@@ -43,8 +43,8 @@ def build_parser() -> argparse.ArgumentParser:
     limit = (("--limit",), {"type": int})
     add("search", "write the candidates of a query", (("query",), {}), (("output",), {}), limit, transport)
     add("download", "fetch candidates and write attempts and the manual queue", (("candidates",), {}), (("output",), {}), limit, transport)
-    add("classify", "classify a page table, resuming from the log", (("pages",), {}), (("log",), {}), limit, (("--force",), {"action": "store_true"}), (("--library",), {}))
-    add("evaluate", "score the log against labelled cases", (("log",), {}), (("cases",), {}), (("--case-id",), {"action": "append"}))
+    add("classify", "classify a page table, resuming from the log", (("pages",), {}), (("log",), {}), limit, (("--force",), {"action": "store_true"}), (("--library",), {}), (("--queue",), {"help": "the manual queue of a download"}))
+    add("evaluate", "score the log against labelled cases", (("log",), {}), (("cases",), {}), (("--case-id",), {"action": "append"}), (("--prepare-pdfs",), {"action": "store_true"}), transport)
     add("run", "search, download, classify and report", (("query",), {}), (("output",), {}), (("--pages",), {"help": "a page table; without it the files' texts are extracted"}), limit, transport)
     return parser
 
@@ -66,7 +66,7 @@ def download(spark, args) -> dict:
     if args.limit is not None:
         records = records.orderBy("bibcode").limit(args.limit)
     extract = files.pages if importlib.util.find_spec("pymupdf") else None
-    queue = _read(spark, f"{args.output}/manual_downloads", "id string, category string, errors array<string>, target string")
+    queue = _read(spark, f"{args.output}/manual_downloads", QUEUE)
     attempts, entries, counts = download_stage.run(records, f"{args.output}/pdfs", service, service if hasattr(service, "work") else None, extract=extract, queue=queue)
     attempts.write.mode("append").parquet(f"{args.output}/attempts")
     kept = shared_dir(spark)  # the queue is read while the new one is made
@@ -85,31 +85,58 @@ def _read(spark, path: str, schema: str):
         raise
 
 
-def _log(spark, path: str):
-    return _read(spark, path, "seq long, id string, key string, pdf_sha256 string, ok boolean, include string, basis array<string>")
+QUEUE = "id string, category string, errors array<string>, target string"
+
+
+def _latest(spark, path: str):
+    """The current results of this configuration."""
+    log = resultlog.flat(_read(spark, path, schemas.RESULTS))
+    return resultlog.latest(resultlog.of_configuration(log, MODEL, EFFORT, PIPELINE, PROMPT))
+
+
+def _report(spark, log: str, results, library: str | None = None, queue: str | None = None) -> None:
+    """The report beside the log and, with a library, the links of the papers to review."""
+    members = jsonl.library(spark, library) if library else None
+    waiting = _read(spark, queue, QUEUE) if queue else None
+    name = library.rstrip("/").rpartition("/")[2] if library else ""
+    base = log.rstrip("/")
+    report.write(report.full(results, MODEL, EFFORT, PROMPT_VERSION, PROMPT, library=members, library_name=name, queue=waiting), f"{base}.report")
+    if library:
+        report.write(report.review_links(results, members), f"{base}_to_review")
 
 
 def classify(spark, args) -> dict:
+    """Appends a record of each paper that the log has no success of; then reports on the log."""
     pages = jsonl.read(spark, args.pages, schemas.PAGES)
     content = pages.groupBy(F.col("paper").alias("id")).agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page", "text"))), lambda x: x["text"]), "\f"), 256).alias("sha"))
-    jobs = content.select("id", "sha", T.evaluation_key(F.col("sha"), MODEL, EFFORT, PIPELINE, PROMPT).alias("key"))
-    log = _log(spark, args.log)
+    jobs = content.select("id", F.col("id").alias("bibcode"), "sha", T.evaluation_key(F.col("sha"), MODEL, EFFORT, PIPELINE, PROMPT).alias("key"))
+    log = resultlog.flat(_read(spark, args.log, schemas.RESULTS))
     todo = jobs if args.force else resultlog.pending(jobs, log, args.limit)
     start = jsonl.next_seq(log)
     rows = pages.join(todo.select(F.col("id").alias("paper")), "paper", "left_semi").select("paper", "page", T.normalise_white(F.col("text")).alias("text"))
-    done = classifier.classify(papers.strip_references(rows)).join(todo.select(F.col("id").alias("paper"), "key", "sha"), "paper")
-    jsonl.append(done.select((F.monotonically_increasing_id() + start).alias("seq"), F.col("paper").alias("id"), "key", F.col("sha").alias("pdf_sha256"), F.col("include").isNotNull().alias("ok"), "include", "basis"), args.log)
-    latest = resultlog.latest(resultlog.of_configuration(_log(spark, args.log), MODEL, EFFORT, PIPELINE, PROMPT))
-    report.write(report.lines(latest), f"{args.log.rstrip('/')}.report")
-    if args.library:
-        review = resultlog.review(latest, jsonl.library(spark, args.library)).select("id", T.decision(F.col("include"), F.col("basis")).alias("decision"))
-        review.write.mode("overwrite").json(f"{args.log.rstrip('/')}.to_review")
+    kept = shared_dir(spark)  # answers are asked for once, whatever becomes of the later steps
+    papers.strip_references(rows).write.parquet(f"{kept}/pages")
+    texts = spark.read.parquet(f"{kept}/pages")
+    classifier.classify(texts).write.parquet(f"{kept}/decided")
+    decided = spark.read.parquet(f"{kept}/decided")
+    done = resultlog.records(todo, decided, papers.context(texts).drop("context"), model=MODEL, effort=EFFORT, pipeline=PIPELINE, prompt_version=PROMPT_VERSION, prompt_sha256=PROMPT, start=start)
+    jsonl.append(done, args.log)
+    classifier.stopped(decided)
+    latest = _latest(spark, args.log)
+    _report(spark, args.log, latest, args.library, args.queue)
     return resultlog.summary(latest).first().asDict()
 
 
 def evaluate(spark, args) -> dict:
+    """Scores of the log; missing files of the cases are fetched first if that is wanted."""
     cases = files.case_jobs(jsonl.read(spark, args.cases, schemas.CASES), args.case_id)
-    return resultlog.accuracy(resultlog.relabel(resultlog.latest(resultlog.of_configuration(_log(spark, args.log), MODEL, EFFORT, PIPELINE, PROMPT)), cases)).first().asDict()
+    prepared = {}
+    if args.prepare_pdfs:
+        extract = files.pages if importlib.util.find_spec("pymupdf") else None
+        prepared = {f"prepared_{k}": n for k, n in download_stage.prepare(jsonl.read(spark, args.cases, schemas.CASES), _named(args.transport, "prepare-pdfs"), extract=extract).items()}
+    results = resultlog.relabel(_latest(spark, args.log), cases)
+    _report(spark, args.log, results)
+    return prepared | resultlog.accuracy(results).first().asDict()
 
 
 def run(spark, args) -> dict:
@@ -122,9 +149,11 @@ def run(spark, args) -> dict:
     pages = args.pages
     if pages is None:
         pages = f"{args.output}/pages"
-        texts = files.pages(files.discover(spark, f"{args.output}/pdfs")).where("error is null")
-        jsonl.write(texts.select(F.col("id").alias("paper"), "page", "text"), pages)
-    return found | saved | classify(spark, argparse.Namespace(pages=pages, log=f"{args.output}/log", limit=None, force=False, library=None))
+        texts = files.pages(files.discover(spark, f"{args.output}/pdfs")).select(F.col("id").alias("paper"), F.coalesce("page", F.lit(1)).alias("page"), F.coalesce("text", F.lit("")).alias("text"))
+        # a file without usable text has a record too: that of a paper without text
+        enough = papers.usable(texts).where("usable").select("paper", "usable")
+        jsonl.write(texts.join(enough, "paper", "left").select("paper", "page", F.when(F.col("usable"), F.col("text")).otherwise("").alias("text")), pages)
+    return found | saved | classify(spark, argparse.Namespace(pages=pages, log=f"{args.output}/log", limit=None, force=False, library=None, queue=f"{args.output}/manual_downloads"))
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -132,7 +161,7 @@ def main(argv: list[str] | None = None) -> int:
     args = parser.parse_args(argv)
     try:
         print(json.dumps(globals()[args.command](session(), args), sort_keys=True))
-    except (OSError, ValueError) as e:
+    except (OSError, ValueError, classifier.RunStopped) as e:
         parser.error(str(e))
     return 0
 

@@ -2,6 +2,8 @@
 
 A decision must obey the classification rules and cite only pages that were sent; one that does
 not is asked for once more, and a second failure makes a failed result that keeps both errors.
+An error of the service fails its paper, except one that every paper would meet: then the task asks
+no more, what it has is kept, and `stopped` tells the caller to end the run.
 """
 
 from __future__ import annotations
@@ -14,13 +16,28 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import BASES, CLASSIFICATION, DECISIONS
+from ..functions import text as T
+from ..schemas import BASES, CLASSIFICATION, DECISIONS, RESPONSE
+from .responses import account_wide
 
 TRIES = 2
 
 
+class ServiceError(Exception):
+    """An error of the service, with the code and the parameter it names, if any."""
+
+    def __init__(self, text: str, kind: str, code: str | None = None, param: str | None = None):
+        super().__init__(text)
+        self.kind, self.code, self.param = kind, code, param
+
+
+class RunStopped(RuntimeError):
+    """The service refuses every paper; results from before are kept."""
+
+
 class Classifier(Protocol):
-    def decide(self, pages: dict[int, str]) -> dict: ...
+    def decide(self, pages: dict[int, str]) -> dict:
+        """A decision, with what the service tells of its answer under `response`, if anything."""
 
 
 class TermClassifier:
@@ -52,31 +69,56 @@ def problems(decision: dict, sent: set[int]) -> list[str]:
     return [text for broken, text in rules if broken]
 
 
+def _ask(client: Classifier, texts: dict[int, str]) -> tuple[dict, list[str], str | None]:
+    """(fields of the row, errors, why the run must stop or None) of one paper."""
+    errors, told = [], None
+    try:
+        for _ in range(TRIES):
+            answer = client.decide(texts)
+            told = answer.get("response")
+            found = problems(answer, set(texts))
+            if not found:
+                return {k: answer[k] for k in FIELDS} | {"response": told}, errors, None
+            errors.append("; ".join(found))
+    except ServiceError as e:
+        errors.append(str(e) or type(e).__name__)
+        if account_wide(e.kind, e.code, e.param):
+            return dict.fromkeys(FIELDS) | {"response": told}, errors, errors[-1]
+    except (OSError, KeyError, TypeError, ValueError) as e:  # no answer, or none with a decision's shape
+        errors.append(str(e) or type(e).__name__)
+    return dict.fromkeys(FIELDS) | {"response": told}, errors, None
+
+
+FIELDS = ("include", "basis", "mission_mentioned", "evidence")
+
+
 def classify(pages: DataFrame, make=TermClassifier) -> DataFrame:
-    """(paper, include, basis, mission_mentioned, evidence, errors) for papers with any text.
+    """(paper, include, basis, mission_mentioned, evidence, response, errors, stop) for papers with any text.
 
     One client is made in each task. Put resume joins below this: no plan moves them through it.
+    Rows with `stop` are no results: see `stopped`; papers that were not asked for have no row.
     """
-    sent = pages.where("trim(text) <> ''").groupBy("paper").agg(F.collect_list(F.struct("page", "text")).alias("pages"))
+    sent = pages.where(T.strip(F.col("text")) != "").groupBy("paper").agg(F.collect_list(F.struct("page", "text")).alias("pages"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        client = make()
+        client, stop = make(), None
         for batch in batches:
             rows = []
             for paper, items in zip(batch["paper"], batch["pages"], strict=True):
-                texts, errors, done = {int(x["page"]): x["text"] for x in items}, [], None
-                for _ in range(TRIES):
-                    answer = client.decide(texts)
-                    found = problems(answer, set(texts))
-                    if not found:
-                        done = answer
-                        break
-                    errors.append("; ".join(found))
-                rows.append({"paper": paper, **(done or dict.fromkeys(("include", "basis", "mission_mentioned", "evidence"))), "errors": errors})
-            yield pd.DataFrame(rows, columns=["paper", "include", "basis", "mission_mentioned", "evidence", "errors"])
+                if stop is None:
+                    fields, errors, stop = _ask(client, {int(x["page"]): x["text"] for x in items})
+                    rows.append({"paper": paper, **fields, "errors": errors, "stop": stop})
+            yield pd.DataFrame(rows, columns=["paper", *FIELDS, "response", "errors", "stop"])
 
     inner = CLASSIFICATION.removeprefix("struct<").removesuffix(">")
-    return sent.mapInPandas(run, f"paper string, {_columns(inner)}, errors array<string>")
+    return sent.mapInPandas(run, f"paper string, {_columns(inner)}, response {RESPONSE}, errors array<string>, stop string")
+
+
+def stopped(decided: DataFrame) -> None:
+    """Raises RunStopped if the service refused all; call it after the other rows were kept."""
+    row = decided.where("stop is not null").select("stop").first()
+    if row:
+        raise RunStopped(row.stop)
 
 
 def _columns(inner: str) -> str:

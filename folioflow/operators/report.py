@@ -2,68 +2,119 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions import urls as U
 from . import resultlog
 
+# The headings and titles that readers of the report look for; {n} is a number of rows.
+TITLE = "# Paper classification report"
+REVIEW = "## To review: YES or UNCERTAIN, not in `{library}` ({n})"
+MISSING = "## No PDF, not classified ({n})"
+FAILED = "## Could not be classified ({n})"
+REVIEW_TABLE = ["| Paper | Decision | Evidence |", "|---|---|---|"]
+MISSING_TABLE = ["| Paper | Why | Save the PDF as |", "|---|---|---|"]
+FAILED_TABLE = ["| Paper | Error |", "|---|---|"]
+ACCURACY_TABLE = ["| Include correct | Include incorrect | Failed | Basis exact match |", "|---:|---:|---:|---:|"]
+PAPER_TABLE = ["| Paper | Expected | Predicted | Basis | Status |", "|---|---|---|---|---|"]
 
-def lines(results: DataFrame) -> DataFrame:
-    """Header, counts and one row per paper. Counts are one row; papers are never gathered."""
-    counts = resultlog.summary(results).crossJoin(results.agg(F.count("*").alias("n")))  # one row each
-    names = (("- Results: ", "n", " papers"), ("- Positive: ", "positive", ""), ("- Negative: ", "negative", ""), ("- Uncertain: ", "uncertain", ""), ("- Failed: ", "failed", ""))
-    items = F.array(*(F.struct(F.lit(k).cast("long").alias("ord"), F.concat(F.lit(a), F.col(c).cast("string"), F.lit(b)).alias("line")) for k, (a, c, b) in enumerate(names)))
-    head = counts.select(F.explode(F.concat(F.array(F.struct(F.lit(-1).cast("long").alias("ord"), F.lit("# Paper classification report").alias("line"))), items)).alias("x"))
-    head = head.select(F.when(F.col("x.ord") < 0, 0).otherwise(1).alias("section"), F.greatest(F.col("x.ord"), F.lit(0)).alias("ord"), "x.line")
-    titles = results.sparkSession.createDataFrame([(2, -2, "| Paper | Decision | Status |"), (2, -1, "|---|---|---|")], "section int, ord long, line string")
-    decided = F.when(F.col("ok"), T.decision(F.col("include"), F.col("basis"))).otherwise("-")
-    row = F.concat(F.lit("| `"), F.col("id"), F.lit("` | "), decided, F.lit(" | "), F.when(F.col("ok"), "CLASSIFIED").otherwise("PROCESSING_FAILED"), F.lit(" |"))
-    return head.unionByName(titles).unionByName(results.select(F.lit(2).alias("section"), F.col("first_seq").alias("ord"), row.alias("line")))
 
+def _numbered(one: DataFrame, section: int, first: int, items: list[Column]) -> DataFrame:
+    """A one-row table's lines in order, from the given position on."""
+    rows = F.array(*(F.struct(F.lit(first + k).cast("long").alias("ord"), x.alias("line")) for k, x in enumerate(items)))
+    return one.select(F.explode(rows).alias("x")).select(F.lit(section).alias("section"), "x.ord", "x.line")
 
-def write(report: DataFrame, path: str) -> None:
-    """The lines in order (rows of equal order by their text) as one text file."""
-    report.orderBy("section", "ord", "line").select("line").coalesce(1).write.mode("overwrite").text(path)
+
+def _section(section: int, titles: list[str], rows: DataFrame, heading: str | None = None, always: bool = False) -> DataFrame:
+    """The rows (ord, line) below a blank line, a heading and a table's titles.
+
+    A section without rows is left out unless it is always told.
+    """
+    n = rows.agg(F.count("*").alias("n"))  # one row
+    top = ["", *([heading, ""] if heading else []), *titles]
+    lines = [F.replace(F.lit(x), F.lit("{n}"), F.col("n").cast("string")) for x in top]
+    return _numbered(n if always else n.where("n > 0"), section, -len(top), lines).unionByName(rows.select(F.lit(section).alias("section"), "ord", "line"))
+
+
+def _link() -> Column:
+    return F.concat(F.lit("["), F.col("id"), F.lit("]("), U.record_link(F.col("id")), F.lit(")"))
 
 
-def _section(number: int, head: list[str], rows: DataFrame, count_line: str | None = None) -> DataFrame:
-    """A titled table; with a count line the section is left out when it has no rows."""
-    spark = rows.sparkSession
-    body = rows.select(F.lit(number).alias("section"), "ord", "line")
-    top = spark.createDataFrame([(number, k - len(head), x) for k, x in enumerate(head)], "section int, ord long, line string")
-    if count_line is None:
-        return top.unionByName(body)
-    n = rows.agg(F.count("*").alias("n")).where("n > 0")  # one row
-    title = n.select(F.lit(number).alias("section"), F.lit(-1000).cast("long").alias("ord"), F.format_string(count_line, "n").alias("line"))
-    return title.unionByName(top.join(n.select("n")).drop("n")).unionByName(body)
+def lines(results: DataFrame, model: str, effort: str, prompt_version: str, prompt_sha256: str, queue: DataFrame | None = None) -> DataFrame:
+    """Title, counts and configuration. The counts are one row; papers are never gathered."""
+    one = resultlog.summary(results).crossJoin(results.agg(F.count("*").alias("n")))  # one row each
+    counts = [("- Results: ", "n", " papers"), ("- Positive: ", "positive", ""), ("- Negative: ", "negative", ""), ("- Uncertain: ", "uncertain", ""), ("- Failed: ", "failed", "")]
+    if queue is not None:
+        one = one.crossJoin(queue.agg(F.count("*").alias("missing")))
+        counts.append(("- No PDF, not classified: ", "missing", ""))
+    told = [F.concat(F.lit(a), F.col(c).cast("string"), F.lit(b)) for a, c, b in counts]
+    fixed = [f"- Model: `{model}`, reasoning effort `{effort}`", f"- Prompt: `{prompt_version}`, SHA-256 `{prompt_sha256}`"]
+    return _numbered(one, 1, 0, [F.lit(TITLE), F.lit(""), *told, *map(F.lit, fixed)])
 
 
-def review_lines(results: DataFrame, library: DataFrame) -> DataFrame:
-    """Papers to review: YES or UNCERTAIN and not in the library."""
-    rows = resultlog.review(results, library)
-    link = U.record_link(F.col("id"))
-    line = F.concat(F.lit("| ["), F.col("id"), F.lit("]("), link, F.lit(") | "), T.decision(F.col("include"), F.col("basis")), F.lit(" |"))
-    return _section(3, ["| Paper | Decision |", "|---|---|"], rows.select(F.col("first_seq").alias("ord"), line.alias("line")), "## To review (%d)")
+def review_lines(results: DataFrame, library: DataFrame, name: str) -> DataFrame:
+    """Papers to review: YES or UNCERTAIN and not in the library. Needs a column `evidence`."""
+    cited = T.table_cell(F.array_join(F.transform("evidence", lambda e: F.concat(F.lit("p"), e["page"].cast("string"), F.lit(": "), e["reason"])), "; "))
+    line = F.concat(F.lit("| "), _link(), F.lit(" | "), T.decision(F.col("include"), F.col("basis")), F.lit(" | "), F.coalesce(cited, F.lit("")), F.lit(" |"))
+    rows = resultlog.review(results, library).select(F.col("first_seq").alias("ord"), line.alias("line"))
+    return _section(2, REVIEW_TABLE, rows, REVIEW.replace("{library}", name), always=True)
+
+
+def review_links(results: DataFrame, library: DataFrame) -> DataFrame:
+    """The same papers as links with their decisions, one a line."""
+    line = F.concat(U.record_link(F.col("id")), F.lit("  # "), T.decision(F.col("include"), F.col("basis")))
+    return resultlog.review(results, library).select(F.lit(0).alias("section"), F.col("first_seq").alias("ord"), line.alias("line"))
 
 
 def missing_lines(queue: DataFrame) -> DataFrame:
     """Papers without a file: (id, category, errors, target); repeated errors are told once."""
     why = T.table_cell(F.array_join(F.array_distinct("errors"), "; "))
-    line = F.concat(F.lit("| "), F.col("id"), F.lit(" | "), F.col("category"), F.lit(": "), why, F.lit(" | `"), F.col("target"), F.lit("` |"))
-    return _section(4, ["| Paper | Why | Save as |", "|---|---|---|"], queue.select(F.lit(0).cast("long").alias("ord"), line.alias("line")), "## No file, not classified (%d)")
+    line = F.concat(F.lit("| "), _link(), F.lit(" | "), F.col("category"), F.lit(": "), why, F.lit(" | `"), F.col("target"), F.lit("` |"))
+    return _section(3, MISSING_TABLE, queue.select(F.lit(0).cast("long").alias("ord"), line.alias("line")), MISSING)
 
 
 def failure_lines(results: DataFrame) -> DataFrame:
-    """Papers that could not be classified, with their last error: needs a column `errors`."""
-    last = T.table_cell(F.element_at("errors", -1))
-    line = F.concat(F.lit("| `"), F.col("id"), F.lit("` | "), last, F.lit(" |"))
-    return _section(5, ["| Paper | Error |", "|---|---|"], results.where("not ok").select(F.col("first_seq").alias("ord"), line.alias("line")), "## Could not be classified (%d)")
+    """Papers that could not be classified, with their last error. Needs a column `errors`."""
+    line = F.concat(F.lit("| `"), F.col("id"), F.lit("` | "), T.table_cell(F.element_at("errors", -1)), F.lit(" |"))
+    return _section(4, FAILED_TABLE, results.where("not ok").select(F.col("first_seq").alias("ord"), line.alias("line")), FAILED)
 
 
 def accuracy_lines(results: DataFrame) -> DataFrame:
-    """The scores against labels, as one row."""
-    a = resultlog.accuracy(results)
+    """The scores against labels, as one row; nothing where no result has a label."""
     line = F.format_string("| %d | %d | %d | %d of %d |", "correct", "incorrect", "failed", "basis_matches", "classified")
-    return _section(6, ["| Include correct | Include incorrect | Failed | Basis exact match |", "|---:|---:|---:|---:|"], a.select(F.lit(0).cast("long").alias("ord"), line.alias("line")))
+    scored = resultlog.accuracy(results).where("correct + incorrect + failed > 0")
+    return _section(5, ACCURACY_TABLE, scored.select(F.lit(0).cast("long").alias("ord"), line.alias("line")))
+
+
+def paper_lines(results: DataFrame) -> DataFrame:
+    """One row a paper: its label if it has one, and what was decided."""
+    expected = F.lit("-")
+    if "expected_include" in results.columns:
+        expected = F.coalesce(T.decision(F.col("expected_include"), F.col("expected_basis")), expected)
+    basis = F.when(F.col("ok") & (F.size("basis") > 0), F.array_join("basis", ", ")).otherwise("-")
+    cells = [F.concat(F.lit("`"), "id", F.lit("`")), expected, F.when(F.col("ok"), F.col("include")).otherwise("-"), basis, F.when(F.col("ok"), "CLASSIFIED").otherwise("PROCESSING_FAILED")]
+    line = F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |"))
+    return _section(6, PAPER_TABLE, results.select(F.col("first_seq").alias("ord"), line.alias("line")), always=True)
+
+
+def full(results: DataFrame, model: str, effort: str, prompt_version: str, prompt_sha256: str, *, library: DataFrame | None = None, library_name: str = "library", queue: DataFrame | None = None) -> DataFrame:
+    """All sections in their order; those of a library, a queue or labels only where these are given."""
+    parts = [lines(results, model, effort, prompt_version, prompt_sha256, queue)]
+    if library is not None:
+        parts.append(review_lines(results, library, library_name))
+    if queue is not None:
+        parts.append(missing_lines(queue))
+    parts.append(failure_lines(results))
+    if "expected_include" in results.columns:
+        parts.append(accuracy_lines(results))
+    out = parts[0]
+    for part in [*parts[1:], paper_lines(results)]:
+        out = out.unionByName(part)
+    return out
+
+
+def write(report: DataFrame, path: str) -> None:
+    """The lines as text files that are in order by name; rows of equal order by their text."""
+    report.orderBy("section", "ord", "line").select("line").write.mode("overwrite").text(path)

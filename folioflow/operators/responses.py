@@ -15,8 +15,18 @@ def problem(status: Column, reason: Column, refusal: Column, parsed: Column) ->
     )
 
 
+# Errors that every paper would meet.
+EVERYWHERE = ("authentication", "permission_denied", "not_found")
+PARAMETERS = ("reasoning", "text")
+NO_QUOTA = "insufficient_quota"
+
+
+def account_wide(kind: str, code: str | None = None, param: str | None = None) -> bool:
+    """`stops_run` for one error, in the task that meets it."""
+    return kind in EVERYWHERE or (kind == "bad_request" and (param or "").startswith(PARAMETERS)) or (kind == "rate_limit" and code == NO_QUOTA)
+
+
 def stops_run(kind: Column, code: Column, param: Column) -> Column:
     """Errors that every paper would meet, so that the run must end; all others fail one paper."""
-    everywhere = kind.isin("authentication", "permission_denied", "not_found")
-    request = (kind == "bad_request") & (F.coalesce(param, F.lit("")).startswith("reasoning") | F.coalesce(param, F.lit("")).startswith("text"))
-    return everywhere | request | ((kind == "rate_limit") & (F.coalesce(code, F.lit("")) == "insufficient_quota"))
+    first, second = (F.coalesce(param, F.lit("")).startswith(p) for p in PARAMETERS)
+    return kind.isin(*EVERYWHERE) | ((kind == "bad_request") & (first | second)) | ((kind == "rate_limit") & F.coalesce(code == NO_QUOTA, F.lit(False)))

@@ -8,8 +8,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..functions import text as T
 
+NO_TEXT = "The paper has no text to classify"
+
 
 def latest(log: DataFrame) -> DataFrame:
     """The current row of each id, with first_seq (its order of first appearance).
@@ -27,6 +30,29 @@ def latest(log: DataFrame) -> DataFrame:
     return by_id.select(F.when(F.coalesce(kept, F.lit(False)), F.col("x.best")).otherwise(F.col("x.last")).alias("row"), "first_seq").select("row.*", "first_seq")
 
 
+def records(jobs: DataFrame, decided: DataFrame, sent: DataFrame, *, model: str, effort: str, pipeline: str, prompt_version: str, prompt_sha256: str, start: int = 0) -> DataFrame:
+    """Rows of the log (schemas.RESULTS) for jobs (id, bibcode, key, sha).
+
+    decided is what the classifier gave, sent (paper, pages_sent, characters_sent) what it was
+    given. A job without text is a failed record; one that was sent but not asked for has none.
+    """
+    got = jobs.join(sent, F.col("id") == sent["paper"], "left").drop("paper").join(decided.where("stop is null"), F.col("id") == decided["paper"], "left")
+    got = got.where("pages_sent is null or paper is not null")
+    done = F.col("include").isNotNull()
+    said = {k: F.col(f"response.{k}") for k in ("request_id", "input_tokens", "output_tokens")}
+    source = {"pipeline_version": F.lit(pipeline), "prompt_version": F.lit(prompt_version), "prompt_sha256": F.lit(prompt_sha256), "model": F.coalesce("response.model", F.lit(model)), "reasoning_effort": F.lit(effort), **said}
+    kind = F.when(done, F.struct("include", "basis", "mission_mentioned", "evidence"))
+    result = F.struct(F.lit(1).alias("schema_version"), "bibcode", F.col("sha").alias("pdf_sha256"), F.when(done, "CLASSIFIED").otherwise("PROCESSING_FAILED").alias("status"), kind.alias("classification"), F.struct(*(c.alias(k) for k, c in source.items())).alias("provenance"), F.coalesce("errors", F.array(F.lit(NO_TEXT))).alias("errors"))
+    number = F.coalesce(F.col("pages_sent"), F.lit(0)).cast("int"), F.coalesce(F.col("characters_sent"), F.lit(0)).cast("long")
+    return got.select((F.monotonically_increasing_id() + start).alias("seq"), F.col("key").alias("evaluation_key"), "id", "bibcode", number[0].alias("pages_sent"), number[1].alias("characters_sent"), result.cast(schemas.RESULT).alias("result"))
+
+
+def flat(log: DataFrame) -> DataFrame:
+    """(seq, id, key, pdf_sha256, ok, include, basis, evidence, errors) of rows of schemas.RESULTS."""
+    r, c = F.col("result"), F.col("result.classification")
+    return log.select("seq", "id", F.col("evaluation_key").alias("key"), r["pdf_sha256"].alias("pdf_sha256"), (r["status"] == "CLASSIFIED").alias("ok"), c["include"].alias("include"), c["basis"].alias("basis"), c["evidence"].alias("evidence"), r["errors"].alias("errors"))
+
+
 def of_configuration(log: DataFrame, model: str, effort: str, pipeline: str, prompt_sha256: str) -> DataFrame:
     """The rows whose key is that of their own pdf_sha256 under the given configuration."""
     return log.where(F.col("key") == T.evaluation_key(F.col("pdf_sha256"), model, effort, pipeline, prompt_sha256))

@@ -323,14 +323,21 @@ def evidence_render(v: Views) -> DataFrame:
     return papers.render_evidence(_evidence(v))
 
 
-@query(
-    f"WITH {views.LATEST}, t AS (SELECT count(*) AS n, count(*) FILTER (ok AND include = 'YES') AS p, count(*) FILTER (ok AND include = 'NO') AS g, count(*) FILTER (ok AND include = 'UNCERTAIN') AS u, count(*) FILTER (NOT ok) AS f FROM latest), "
-    f"r AS (SELECT first_seq, '| `' || id || '` | ' || CASE WHEN ok THEN {_DECISION} ELSE '-' END || ' | ' || CASE WHEN ok THEN 'CLASSIFIED' ELSE 'PROCESSING_FAILED' END || ' |' AS line FROM latest) "
-    "SELECT 0 AS section, 0::BIGINT AS ord, '# Paper classification report' AS line UNION ALL SELECT 1, 0, '- Results: ' || n || ' papers' FROM t UNION ALL SELECT 1, 1, '- Positive: ' || p FROM t UNION ALL SELECT 1, 2, '- Negative: ' || g FROM t UNION ALL SELECT 1, 3, '- Uncertain: ' || u FROM t UNION ALL SELECT 1, 4, '- Failed: ' || f FROM t "
-    "UNION ALL SELECT 2, -2, '| Paper | Decision | Status |' UNION ALL SELECT 2, -1, '|---|---|---|' UNION ALL SELECT 2, first_seq, line FROM r"
+_COUNTS = "t AS (SELECT count(*) AS n, count(*) FILTER (ok AND include = 'YES') AS p, count(*) FILTER (ok AND include = 'NO') AS g, count(*) FILTER (ok AND include = 'UNCERTAIN') AS u, count(*) FILTER (NOT ok) AS f FROM latest)"
+_HEAD = (
+    "SELECT 1 AS section, 0::BIGINT AS ord, '# Paper classification report' AS line UNION ALL SELECT 1, 1, '' UNION ALL SELECT 1, 2, '- Results: ' || n || ' papers' FROM t UNION ALL SELECT 1, 3, '- Positive: ' || p FROM t UNION ALL SELECT 1, 4, '- Negative: ' || g FROM t UNION ALL SELECT 1, 5, '- Uncertain: ' || u FROM t UNION ALL SELECT 1, 6, '- Failed: ' || f FROM t"
 )
+_STATED = " UNION ALL SELECT 1, {0}, '- Model: `model-a`, reasoning effort `medium`' UNION ALL SELECT 1, {1}, '- Prompt: `prompt-1`, SHA-256 `" + "0" * 64 + "`'"
+_PAPER_TABLE = " UNION ALL SELECT 6, -3, '' UNION ALL SELECT 6, -2, '| Paper | Expected | Predicted | Basis | Status |' UNION ALL SELECT 6, -1, '|---|---|---|---|---|'"
+_PREDICTED = "CASE WHEN ok THEN include ELSE '-' END || ' | ' || CASE WHEN ok AND len(basis) > 0 THEN array_to_string(basis, ', ') ELSE '-' END || ' | ' || CASE WHEN ok THEN 'CLASSIFIED' ELSE 'PROCESSING_FAILED' END || ' |'"
+_CONFIGURATION = (MODEL, EFFORT, "prompt-1", PROMPT)
+
+
+@query(f"WITH {views.LATEST}, {_COUNTS} {_HEAD}{_STATED.format(7, 8)}{_PAPER_TABLE} UNION ALL SELECT 6, first_seq, '| `' || id || '` | - | ' || {_PREDICTED} FROM latest")
 def report_lines(v: Views) -> DataFrame:
-    return report.lines(resultlog.latest(v.log()))
+    """Without labels, library or queue: counts, configuration and the papers."""
+    results = resultlog.latest(v.log())
+    return report.lines(results, *_CONFIGURATION).unionByName(report.paper_lines(results))
 
 
 @query("SELECT lower(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1)) AS dir, count(*) AS files, CAST(sum(length(html)) AS BIGINT) AS chars, count(*) FILTER (page_id % 7 = 0) AS failed FROM pages GROUP BY 1")
@@ -427,19 +434,42 @@ def llm_response_problem(v: Views) -> DataFrame:
     return v.table("events").select("event_id", text.alias("problem"), stops.alias("stops"))
 
 
+_LABELLED = f"{views.LATEST}, {_CASES}, j AS (SELECT l.*, c.expected_include AS e, CASE c.expected_include WHEN 'YES' THEN ['COMPANION_PAPER', 'OBSERVATIONAL_DATA'] WHEN 'UNCERTAIN' THEN ['REVIEW'] WHEN 'NO' THEN [] END AS eb FROM latest l LEFT JOIN cases c USING (id))"
+
+
 @query(
-    f"WITH {views.LATEST}, rv AS (SELECT * FROM latest WHERE ok AND include IN ('YES', 'UNCERTAIN') AND id NOT IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_custkey % 3 = 0)), fl AS (SELECT * FROM latest WHERE NOT ok) "
-    f"SELECT 3 AS section, first_seq AS ord, '| [' || id || '](https://ui.adsabs.harvard.edu/abs/' || id || '/abstract) | ' || {_DECISION} || ' |' AS line FROM rv UNION ALL SELECT 3, -1000, '## To review (' || count(*) || ')' FROM rv HAVING count(*) > 0 UNION ALL SELECT 3, -2, '| Paper | Decision |' WHERE EXISTS (SELECT 1 FROM rv) UNION ALL SELECT 3, -1, '|---|---|' WHERE EXISTS (SELECT 1 FROM rv) "
-    "UNION ALL SELECT 5, first_seq, '| `' || id || '` | no text / found |' FROM fl UNION ALL SELECT 5, -1000, '## Could not be classified (' || count(*) || ')' FROM fl HAVING count(*) > 0 UNION ALL SELECT 5, -2, '| Paper | Error |' WHERE EXISTS (SELECT 1 FROM fl) UNION ALL SELECT 5, -1, '|---|---|' WHERE EXISTS (SELECT 1 FROM fl)"
+    f"WITH {_LABELLED}, {_COUNTS}, rv AS (SELECT * FROM latest WHERE ok AND include IN ('YES', 'UNCERTAIN') AND id NOT IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_custkey % 3 = 0)), fl AS (SELECT * FROM latest WHERE NOT ok), "
+    "s AS (SELECT count(*) FILTER (ok AND include = e) AS c, count(*) FILTER (ok AND include <> e) AS i, count(*) FILTER (NOT ok) AS f, count(*) FILTER (ok AND list_sort(list_distinct(basis)) = list_sort(list_distinct(eb))) AS b, count(*) FILTER (ok) AS k FROM j WHERE e IS NOT NULL), "
+    f"r AS ({_HEAD} UNION ALL SELECT 1, 7, '- No PDF, not classified: ' || count(*) FROM supplier{_STATED.format(8, 9)} "
+    "UNION ALL SELECT 2, -5, '' UNION ALL SELECT 2, -4, '## To review: YES or UNCERTAIN, not in `members` (' || count(*) || ')' FROM rv UNION ALL SELECT 2, -3, '' UNION ALL SELECT 2, -2, '| Paper | Decision | Evidence |' UNION ALL SELECT 2, -1, '|---|---|---|' "
+    f"UNION ALL SELECT 2, first_seq, '| [' || id || '](https://ui.adsabs.harvard.edu/abs/' || id || '/abstract) | ' || {_DECISION} || ' | p' || (seq % 9 + 1) || ': a / b; p2: c |' FROM rv "
+    "UNION ALL SELECT 3, unnest([-5, -4, -3, -2, -1]), unnest(['', '## No PDF, not classified (' || n || ')', '', '| Paper | Why | Save the PDF as |', '|---|---|---|']) FROM (SELECT count(*) AS n FROM supplier) WHERE n > 0 "
+    "UNION ALL SELECT 3, 0, '| [' || s_suppkey || '](https://ui.adsabs.harvard.edu/abs/' || s_suppkey || '/abstract) | blocked: HTTP 403; x / y | `pdfs/' || s_suppkey || '.pdf` |' FROM supplier "
+    "UNION ALL SELECT 4, unnest([-5, -4, -3, -2, -1]), unnest(['', '## Could not be classified (' || n || ')', '', '| Paper | Error |', '|---|---|']) FROM (SELECT count(*) AS n FROM fl) WHERE n > 0 UNION ALL SELECT 4, first_seq, '| `' || id || '` | no text / found |' FROM fl "
+    "UNION ALL SELECT 5, unnest([-3, -2, -1, 0]), unnest(['', '| Include correct | Include incorrect | Failed | Basis exact match |', '|---:|---:|---:|---:|', '| ' || c || ' | ' || i || ' | ' || f || ' | ' || b || ' of ' || k || ' |']) FROM s WHERE c + i + f > 0"
+    f"{_PAPER_TABLE} UNION ALL SELECT 6, first_seq, '| `' || id || '` | ' || CASE WHEN e IS NULL THEN '-' WHEN len(eb) > 0 THEN e || ' (' || array_to_string(eb, ', ') || ')' ELSE e END || ' | ' || {_PREDICTED} FROM j) SELECT section, CAST(ord AS BIGINT) AS ord, line FROM r"
 )
 def report_sections(v: Views) -> DataFrame:
-    results = resultlog.latest(v.log()).withColumn("errors", F.array(F.lit("first"), F.lit("no text |\n found")))
-    return report.review_lines(results, _library(v)).unionByName(report.failure_lines(results))
+    """All sections: library, queue and labels are given."""
+    cited = F.array(F.struct((F.col("seq") % 9 + 1).cast("int").alias("page"), F.lit("a | b").alias("reason")), F.struct(F.lit(2).alias("page"), F.lit("c").alias("reason")))
+    results = resultlog.latest(v.log()).withColumn("errors", F.array(F.lit("first"), F.lit("no text |\n found"))).withColumn("evidence", cited)
+    key = F.col("s_suppkey").cast("string")
+    queue = v.table("supplier").select(key.alias("id"), F.lit("blocked").alias("category"), F.array(F.lit("HTTP 403"), F.lit("x |\ny"), F.lit("HTTP 403")).alias("errors"), F.concat(F.lit("pdfs/"), key, F.lit(".pdf")).alias("target"))
+    return report.full(resultlog.relabel(results, _cases(v)), *_CONFIGURATION, library=_library(v), library_name="members", queue=queue)
 
 
-@query()
+@query(
+    f"WITH {views.PAPERS}, h AS (SELECT paper, count(*) FILTER ({_HITS}) AS h FROM papers WHERE trim(text) <> '' GROUP BY paper), j AS (SELECT DISTINCT paper, CAST(turn % 2 AS VARCHAR) AS key FROM papers) "
+    "SELECT j.paper AS id, key, CASE WHEN h >= 2 THEN 'YES' WHEN h = 1 THEN 'UNCERTAIN' WHEN h = 0 THEN 'NO' END AS include, CAST(CASE WHEN h IS NULL THEN 0 ELSE 1 END AS BIGINT) AS successes FROM j LEFT JOIN h USING (paper)"
+)
 def stream_resume(v: Views) -> DataFrame:
-    """The log appended in two incremental runs; each id and key is classified once."""
-    from ..streaming.resume import two_runs
+    """A job for each page of a paper, under two keys, in three arrivals and four runs.
+
+    However often an id and key come, they are classified once.
+    """
+    from ..streaming.resume import arrivals
 
-    return two_runs(v.spark, v.sf_dir)
+    jobs = v.papers().select(F.col("conv_id").cast("long").alias("seq"), F.col("paper").alias("id"), (F.col("turn") % 2).cast("string").alias("key"), "turn")
+    parts = [jobs.where(F.col("turn") % 3 == k).drop("turn") for k in range(3)]
+    rows = arrivals(v.spark, parts, v.papers().select("paper", "page", "text"))
+    return rows.groupBy("id", "key").agg(F.max("include").alias("include"), F.count_if("ok").alias("successes"))

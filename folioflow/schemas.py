@@ -12,6 +12,7 @@ MANUAL = "bibcode string, target string, urls array<string>, category string, er
 PAGES = "paper string, page int, text string"
 EVIDENCE = "struct<page:int,reason:string>"
 CLASSIFICATION = f"struct<include:string,basis:array<string>,mission_mentioned:boolean,evidence:array<{EVIDENCE}>>"
+RESPONSE = "struct<model:string,request_id:string,input_tokens:bigint,output_tokens:bigint>"
 PROVENANCE = "struct<pipeline_version:string,prompt_version:string,prompt_sha256:string,model:string,reasoning_effort:string,request_id:string,input_tokens:bigint,output_tokens:bigint>"
 RESULT = f"struct<schema_version:int,bibcode:string,pdf_sha256:string,status:string,classification:{CLASSIFICATION},provenance:{PROVENANCE},errors:array<string>>"
 RESULTS = f"seq long, evaluation_key string, id string, bibcode string, pages_sent int, characters_sent long, result {RESULT}"

@@ -146,3 +146,32 @@ def run(records: DataFrame, folder: str, transport: fetch.Transport, source: Sou
     state = F.when(F.col("state") == "valid", "existing").when(F.col("state") == "conflict", "conflict").when(F.col("won"), "downloaded").otherwise("failed")
     counts = downloads.summary(there.join(won, "id", "left").select(state.alias("state"))).first().asDict()
     return attempts, entries, counts
+
+
+def prepare(cases: DataFrame, transport: fetch.Transport, source: Source | None = None, *, extract: Extract | None = None, make_spacer: Callable[[], fetch.Spacer] = fetch.Spacer) -> dict:
+    """Fetches the labelled cases' files that are missing or differ from their hash; summed counts.
+
+    A missing file must be named after its bibcode, else ValueError is raised before any request.
+    One run of the stage serves a folder; only the folders' names come to the driver.
+    """
+    spark = cases.sparkSession
+    folder, name = F.regexp_extract("path", r"^(.*)/[^/]*$", 1), F.regexp_extract("path", r"([^/]*)$", 1)
+    placed = cases.withColumn("dir", folder)
+    have = spark.createDataFrame([], "path string, pdf_sha256 string")
+    for row in placed.select("dir").distinct().toLocalIterator():
+        if os.path.isdir(row.dir):
+            have = have.unionByName(files.discover(spark, row.dir).select(F.regexp_replace("path", "^file:/+", "/").alias("path"), "pdf_sha256"))
+    fits = have.select("path", F.col("pdf_sha256").alias("have"))
+    missing = placed.join(fits, "path", "left").where(F.col("have").isNull() | (F.col("have") != F.col("pdf_sha256"))).drop("have")
+    path = shared_dir(spark)
+    missing.write.parquet(path)
+    missing = spark.read.parquet(path)
+    odd = missing.where(F.coalesce(F.nullif("bibcode", F.lit("")), F.lit("")).eqNullSafe("") | (name != F.concat("bibcode", F.lit(".pdf")))).select("path").first()
+    if odd:
+        raise ValueError(f"Missing reviewed PDF cannot be acquired automatically: {odd.path}")
+    total = dict.fromkeys(("records", "existing", "attempted", "downloaded", "failed"), 0)
+    for row in missing.select("dir").distinct().toLocalIterator():
+        records = missing.where(F.col("dir") == row.dir).withColumn("links_data", F.array().cast("array<struct<access:string,type:string,url:string>>")).withColumn("abstract", F.lit(None).cast("string"))
+        _, _, counts = run(records, row.dir, transport, source, extract=extract, make_spacer=make_spacer)
+        total = {k: n + counts[k] for k, n in total.items()}
+    return total

@@ -87,3 +87,20 @@ def test_a_file_that_cannot_be_kept(spark, tmp_path):
     attempts, entries, counts = download_stage.run(records, str(tmp_path / "blocked"), Web(tmp_path / "log"), make_spacer=NoWait)
     assert [(r.method, r.status, r.category) for r in attempts.collect()] == [("write", "failed", "transient")]
     assert counts["failed"] == 1 and [r.category for r in entries.collect()] == ["transient"]
+
+
+def test_missing_files_of_cases_are_prepared(spark, tmp_path):
+    good = hashlib.sha256(GOOD).hexdigest()
+    (tmp_path / "one").mkdir()
+    (tmp_path / "one/have.pdf").write_bytes(GOOD)
+
+    def case(name, folder, bibcode, sha=good, url="https://good.example/"):
+        return {"id": name, "path": f"{tmp_path}/{folder}/{name}.pdf", "pdf_sha256": sha, "bibcode": bibcode, "pdf_links": [f"{url}{name}"], "doi": []}
+
+    cases = [case("have", "one", None), case("lost", "one", "lost"), case("far", "two", "far"), case("bad", "two", "bad", url="https://bad.example/")]
+    web = Web(tmp_path / "log")
+    got = download_stage.prepare(spark.createDataFrame(cases, schemas.CASES), web, extract=pages, make_spacer=NoWait)
+    assert (got["records"], got["downloaded"], got["failed"]) == (3, 2, 1) and len((tmp_path / "log").read_text().split()) == 3
+    assert (tmp_path / "one/lost.pdf").read_bytes() == GOOD and (tmp_path / "two/far.pdf").read_bytes() == GOOD
+    with pytest.raises(ValueError, match="cannot be acquired"):
+        download_stage.prepare(spark.createDataFrame([case("x", "three", "y")], schemas.CASES), web, make_spacer=NoWait)

@@ -6,7 +6,7 @@ import pytest
 from folioflow import cli, schemas
 from folioflow.functions import text as T
 from folioflow.functions import urls as U
-from folioflow.operators import classifier, downloads, papers, resultlog
+from folioflow.operators import classifier, downloads, papers, responses, resultlog
 from folioflow.sources import fetch, files, jsonl, remote
 from pyspark.sql import functions as F
 
@@ -155,6 +155,46 @@ def test_classifier_asks_twice_and_checks_pages(spark):
     assert row.include == "UNCERTAIN" and row.errors == []
 
 
+class Moody:
+    """A paper each for an answer with provenance, an error of one paper and one of the account."""
+
+    def decide(self, pages):
+        text = " ".join(pages.values())
+        if "timeout" in text:
+            raise classifier.ServiceError("", "timeout")
+        if "closed" in text:
+            raise classifier.ServiceError("no such model", "not_found")
+        if "odd" in text:
+            return {"include": "NO"}
+        return classifier.TermClassifier().decide(pages) | {"response": {"model": "m-2", "request_id": "r1", "input_tokens": 7, "output_tokens": 3}}
+
+
+def test_records_of_answers_and_errors(spark):
+    pages = spark.createDataFrame([("a", 1, "the one"), ("a", 2, "two"), ("b", 1, "timeout"), ("c", 1, "odd"), ("d", 1, "closed"), ("e", 1, " ")], "paper string, page int, text string")
+    decided = classifier.classify(pages, Moody)
+    jobs = spark.createDataFrame([(x, x, f"k{x}", f"s{x}") for x in "abcde"], "id string, bibcode string, key string, sha string")
+    log = resultlog.records(jobs, decided, papers.context(pages).drop("context"), model="m", effort="low", pipeline="p", prompt_version="v", prompt_sha256="h", start=5)
+    assert log.schema.simpleString() == spark.createDataFrame([], schemas.RESULTS).schema.simpleString()
+    got = {r.id: r for r in log.collect()}
+    assert set(got) == set("abce") and min(r.seq for r in got.values()) >= 5
+    a = got["a"]
+    assert (a.evaluation_key, a.pages_sent, a.characters_sent, a.result.status, a.result.classification.include, a.result.pdf_sha256) == ("ka", 2, 10, "CLASSIFIED", "UNCERTAIN", "sa")
+    assert a.result.provenance.asDict() == {"pipeline_version": "p", "prompt_version": "v", "prompt_sha256": "h", "model": "m-2", "reasoning_effort": "low", "request_id": "r1", "input_tokens": 7, "output_tokens": 3}
+    assert got["b"].result.errors == ["ServiceError"] and got["b"].result.provenance.model == "m" and got["b"].result.classification is None
+    assert got["c"].result.errors == ["'basis'"] and got["e"].result.errors == [resultlog.NO_TEXT] and got["e"].pages_sent == 0
+    broken = schemas.result_violations(F.col("result.status"), F.col("result.classification").isNotNull(), F.col("result.errors"))
+    assert log.where(F.size(broken) > 0).count() == 0
+    with pytest.raises(classifier.RunStopped, match="no such model"):
+        classifier.stopped(decided)
+
+
+def test_errors_that_stop_a_run_are_told_alike(spark):
+    cases = [(k, c, p) for k in ("authentication", "permission_denied", "not_found", "bad_request", "rate_limit", "timeout") for c in (None, "insufficient_quota", "slow") for p in (None, "text.format", "reasoning.effort", "input")]
+    rows = spark.createDataFrame(cases, "kind string, code string, param string")
+    for r in rows.withColumn("stops", responses.stops_run(F.col("kind"), F.col("code"), F.col("param"))).collect():
+        assert r.stops == responses.account_wide(r.kind, r.code, r.param)
+
+
 def test_files(spark, tmp_path):
     for name in ("b/2.pdf", "b.pdf", "a/1.PDF", "a/skip.txt"):
         (tmp_path / name).parent.mkdir(exist_ok=True)
@@ -172,5 +212,14 @@ def test_command_line(spark, tmp_path, capsys):
     out = capsys.readouterr().out.strip().splitlines()
     assert out[0] == out[1] and '"positive": 1' in out[0] and '"negative": 1' in out[0]
     assert jsonl.read(spark, f"{tmp_path}/log", "seq long, id string").count() == 2
+    (tmp_path / "members").write_text("q other\n")
+    jsonl.write(spark.createDataFrame([("z", "blocked", ["HTTP 403"], "pdfs/z.pdf")], cli.QUEUE), f"{tmp_path}/queue")
+    assert cli.main(["classify", f"{tmp_path}/pages", f"{tmp_path}/log", "--library", f"{tmp_path}/members", "--queue", f"{tmp_path}/queue"]) == 0
+    text = "".join(f.read_text() for f in sorted((tmp_path / "log.report").glob("part-*")))
+    heads = ["# Paper", "- No PDF, not classified: 1", "- Model: `term-classifier`", "- Prompt: `prompt-1`", "not in `members` (1)", "p1: TERM; p2: TERM", "## No PDF, not classified (1)", "| Paper | Expected |"]
+    at = [text.index(h) for h in heads]
+    assert at == sorted(at) and "Could not" not in text and "| `q` | - | NO | - | CLASSIFIED |" in text
+    links = "".join(f.read_text() for f in sorted((tmp_path / "log_to_review").glob("part-*")))
+    assert links.endswith("/abstract  # YES (OBSERVATIONAL_DATA)\n") and links.count("\n") == 1
     with pytest.raises(SystemExit):
         cli.main(["search", "q", f"{tmp_path}/out"])
