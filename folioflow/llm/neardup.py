@@ -23,7 +23,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import bounded, free_name, materialise, small_batches
@@ -37,6 +37,8 @@ BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 1
 DEVIATIONS = 5.0
 #: Members that are checked with a leader in one group; home and outside rows of a block.
 CHECK_BLOCK, HOME_BLOCK, OUTSIDE_BLOCK = 64, 256, 1024
+#: Bits of a row's place in its file; the rest of 63 number the files.
+PLACE_BITS = 40
 _chance = np.random.default_rng(20240229)
 _FACTORS = _chance.integers(1, 1 << 63, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _TURNS = _chance.integers(0, 1 << 63, REGISTERS, dtype=np.uint64)
@@ -268,6 +270,22 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
+def numbered(docs: DataFrame, row: str) -> DataFrame:
+    """The rows with a number of their own in column `row`, the same whenever they are read.
+
+    Rows of a plain Parquet table have it from their file and their place in it, so no text is
+    written again; others are written together with a number.
+    """
+    plan = docs._jdf.queryExecution().analyzed()
+    if plan.getClass().getSimpleName() != "LogicalRelation" or plan.relation().toString() != "parquet":
+        return materialise(docs.withColumn(row, F.monotonically_increasing_id()))
+    file, place, number = (free_name(docs, x) for x in ("file", "place", "number"))
+    at = docs.metadataColumn("_metadata")
+    placed = docs.select("*", at["file_path"].alias(file), at["row_index"].alias(place))
+    files = placed.select(file).distinct().select(file, F.row_number().over(Window.orderBy(file)).cast("long").alias(number))  # a row a file
+    return placed.join(bounded(materialise(files)), file).withColumn(row, F.shiftleft(number, PLACE_BITS) + F.col(place)).drop(file, place, number)
+
+
 def keep_one(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFrame:
     """The rows of documents without the near copies of an earlier one, with their own columns.
 
@@ -276,7 +294,7 @@ def keep_one(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFrame:
     equal rows without words one stays.
     """
     row = free_name(docs, "row")
-    rows = materialise(docs.withColumn(row, F.monotonically_increasing_id()))
+    rows = numbered(docs, row)
     marked = materialise(near_duplicates(rows, size=size, percent=percent, id_column=row).withColumnRenamed("doc_id", row))
     later = marked.where("not kept").select(row, "component_id")
     group = materialise(later.unionByName(later.select(F.col("component_id").alias(row), "component_id").distinct()))
