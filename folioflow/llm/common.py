@@ -15,10 +15,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession) -> None:
+def small_batches(spark: SparkSession, most_bytes: int = ARROW_BYTES) -> None:
     """Bounds Arrow batches by rows and, where this Spark has it, by bytes."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most_bytes))
 
 
 def shared_dir(spark: SparkSession) -> str:

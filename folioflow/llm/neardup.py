@@ -37,6 +37,8 @@ BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 1
 DEVIATIONS = 5.0
 #: Members that are checked with a leader in one group; home and outside rows of a block.
 CHECK_BLOCK, HOME_BLOCK, OUTSIDE_BLOCK = 64, 256, 1024
+#: Bytes of texts that a worker holds with their shingles at once.
+BATCH_BYTES = 4 << 20
 #: Bits of a row's place in its file; the rest of 63 number the files.
 PLACE_BITS = 40
 _chance = np.random.default_rng(20240229)
@@ -106,7 +108,7 @@ def cutoff(percent: int) -> float:
 
 def sketches(docs: DataFrame, size: int, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, n_shingles, digest, registers) in a written table; null text has no shingles."""
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, BATCH_BYTES)
     kind = docs.schema[id_column].dataType.simpleString()
 
     def run(batches):
@@ -159,7 +161,7 @@ def verify(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFr
     members = pairs.join(blocks, "a").select("a", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int").alias("block"), F.col("b").alias("doc_id"))
     leaders = blocks.select("a", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("a").alias("doc_id"))
     need = materialise(members.unionByName(leaders))
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, BATCH_BYTES)
 
     def check(keys, group):
         leader = keys[0].as_py()
