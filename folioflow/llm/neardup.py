@@ -37,8 +37,6 @@ BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 1
 DEVIATIONS = 5.0
 #: Members that are checked with a leader in one group; home and outside rows of a block.
 CHECK_BLOCK, HOME_BLOCK, OUTSIDE_BLOCK = 64, 256, 1024
-#: Bytes of texts that a worker holds with their shingles at once.
-BATCH_BYTES = 4 << 20
 #: Bits of a row's place in its file; the rest of 63 number the files.
 PLACE_BITS = 40
 _chance = np.random.default_rng(20240229)
@@ -108,7 +106,7 @@ def cutoff(percent: int) -> float:
 
 def sketches(docs: DataFrame, size: int, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, n_shingles, digest, registers) in a written table; null text has no shingles."""
-    small_batches(docs.sparkSession, BATCH_BYTES)
+    small_batches(docs.sparkSession)
     kind = docs.schema[id_column].dataType.simpleString()
 
     def run(batches):
@@ -161,7 +159,7 @@ def verify(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFr
     members = pairs.join(blocks, "a").select("a", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int").alias("block"), F.col("b").alias("doc_id"))
     leaders = blocks.select("a", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("a").alias("doc_id"))
     need = materialise(members.unionByName(leaders))
-    small_batches(docs.sparkSession, BATCH_BYTES)
+    small_batches(docs.sparkSession)
 
     def check(keys, group):
         leader = keys[0].as_py()
@@ -276,16 +274,19 @@ def numbered(docs: DataFrame, row: str) -> DataFrame:
     """The rows with a number of their own in column `row`, the same whenever they are read.
 
     Rows of a plain Parquet table have it from their file and their place in it, so no text is
-    written again; others are written together with a number.
+    written again; others, and those of files whose names share a hash, are written with a number.
     """
     plan = docs._jdf.queryExecution().analyzed()
-    if plan.getClass().getSimpleName() != "LogicalRelation" or plan.relation().toString() != "parquet":
-        return materialise(docs.withColumn(row, F.monotonically_increasing_id()))
-    file, place, number = (free_name(docs, x) for x in ("file", "place", "number"))
-    at = docs.metadataColumn("_metadata")
-    placed = docs.select("*", at["file_path"].alias(file), at["row_index"].alias(place))
-    files = placed.select(file).distinct().select(file, F.row_number().over(Window.orderBy(file)).cast("long").alias(number))  # a row a file
-    return placed.join(bounded(materialise(files)), file).withColumn(row, F.shiftleft(number, PLACE_BITS) + F.col(place)).drop(file, place, number)
+    if plan.getClass().getSimpleName() == "LogicalRelation" and plan.relation().toString() == "parquet":
+        file, place, number = (free_name(docs, x) for x in ("file", "place", "number"))
+        at = docs.metadataColumn("_metadata")
+        path = at["file_path"]
+        placed = docs.select("*", F.xxhash64(path).alias(file), at["row_index"].alias(place))
+        # a row a file; long keys make a small broadcast, text keys one of a whole memory page a plan
+        files = materialise(docs.select(path.alias("path")).distinct().select(F.xxhash64("path").alias(file), F.row_number().over(Window.orderBy("path")).cast("long").alias(number)))
+        if files.groupBy(file).count().where("count > 1").isEmpty():
+            return placed.join(bounded(files), file).withColumn(row, F.shiftleft(number, PLACE_BITS) + F.col(place)).drop(file, place, number)
+    return materialise(docs.withColumn(row, F.monotonically_increasing_id()))
 
 
 def keep_one(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFrame:
