@@ -83,27 +83,3 @@ def test_rows_with_repeated_or_null_ids_count_for_themselves(spark):
     got = neardup.keep_one(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3))
     want = [(0, one, "z"), (1, two, "x"), (2, three, "y"), (None, four, "x"), (3, "", "x"), (3, "", "y"), (None, None, "x")]
     assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
-
-
-def test_rows_of_a_table_are_numbered_by_their_files(spark, tmp_path):
-    rows = [(k % 7, f"text {k}", k, "m") for k in range(90)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, file int, _metadata string")
-    docs.repartition(5).write.partitionBy("doc_id").parquet(f"{tmp_path}/a b%20c")
-    table = spark.read.parquet(f"{tmp_path}/a b%20c")
-    for source in (table, table.where("file >= 0"), docs):
-        named = neardup.numbered(source, "row")
-        first = {r.file: r.row for r in named.collect()}
-        assert named.columns == [*source.columns, "row"] and len(set(first.values())) == 90
-        assert {r.file: r.row for r in named.orderBy("text").collect()} == first
-
-
-def test_one_of_each_group_stays_however_rows_are_numbered(spark, tmp_path):
-    one, two, three, four = (" ".join(f"{c}{i}" for i in range(30)) for c in "abcd")
-    rows = [(1, one, "x"), (1, two, "x"), (2, one, "y"), (2, three, "y"), (None, four, "x"), (None, four, "x"), (None, two, "x"), (3, "", "x"), (3, "", "x"), (3, "", "y"), (None, None, "x"), (None, None, "x"), (9, three + " more", "x"), (0, one, "z")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    docs.repartition(4).write.parquet(f"{tmp_path}/docs")
-    want = [(0, one, "z"), (1, two, "x"), (2, three, "y"), (None, four, "x"), (3, "", "x"), (3, "", "y"), (None, None, "x")]
-    got = neardup.keep_one(spark.read.parquet(f"{tmp_path}/docs"))
-    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
-    docs.where("false").write.parquet(f"{tmp_path}/none")
-    assert neardup.keep_one(spark.read.parquet(f"{tmp_path}/none")).count() == 0
