@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mainhtml, neardup, packing, personal, quality_rules, ranking, substrings, tokenfile, urlfilter
+from . import decontaminate, fim, langid, mainhtml, neardup, packing, personal, quality_rules, ranking, substrings, tokenfile, urlfilter, veccodes
 from .common import table
 
 
@@ -66,6 +66,22 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *(f"n_{k}" for k in personal.KINDS), F.sha2("base_spans", 256).alias("base_sha256"), "spans")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fim.arrange(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "fim.*")
+    digest = F.sha2("output", 256).alias("output_sha256"), F.sha2(fim.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256")
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digest)
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, books = veccodes.compress(table(spark, sf_dir, "embeddings"))
+    return rows.select("vec_id", "code", "error", "label_error", F.lit(books.digest if books else None).alias("codebooks_sha256"))
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.train(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_near_duplicates, op2_quality_classifier, op3_decontamination, op4_url_filter, op5_packing, op6_quality_rules, op7_token_file, op8_substring_dedup, op9_html_extraction, op10_personal_data)
+    f.__name__: f for f in (op1_near_duplicates, op2_quality_classifier, op3_decontamination, op4_url_filter, op5_packing, op6_quality_rules, op7_token_file, op8_substring_dedup, op9_html_extraction, op10_personal_data, op11_fill_in_middle, op12_vector_codes, op13_language_id)
 }
