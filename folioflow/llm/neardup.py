@@ -268,6 +268,32 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
+def numbered(docs: DataFrame, row: str) -> DataFrame:
+    """The rows with a column `row`, a whole number of its own for each: its doc_id where no other
+    row has that one, else a number that is no doc_id.
+
+    Only rows whose doc_id is null or repeated are written again, whatever their share; all others
+    are read where they are. Should doc_ids leave no room for other numbers, all rows are numbered.
+    """
+    number = F.col("doc_id").cast("long")
+    odd = materialise(docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 or doc_id is null").select(F.col("doc_id").alias("_odd")))
+    if odd.isEmpty():
+        return docs.withColumn(row, number)
+    ends = docs.agg(F.min(number).alias("low"), F.max(number).alias("high")).first()
+    low, high = (0, -1) if ends.low is None else (ends.low, ends.high)
+    room = 1 << 62  # over what monotonically_increasing_id gives
+    if high < room:
+        other = F.lit(high + 1) + F.monotonically_increasing_id()
+    elif low > -room:
+        other = F.lit(low - 1) - F.monotonically_increasing_id()
+    else:
+        return materialise(docs.withColumn(row, F.monotonically_increasing_id()))
+    same = docs["doc_id"].eqNullSafe(F.col("_odd"))
+    ids = bounded(odd)
+    again = materialise(docs.join(ids, same, "left_semi").withColumn(row, other))
+    return docs.join(ids, same, "left_anti").withColumn(row, number).unionByName(again)
+
+
 def keep_one(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFrame:
     """The rows of documents without the near copies of an earlier one, with their own columns.
 
@@ -276,7 +302,7 @@ def keep_one(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFrame:
     equal rows without words one stays.
     """
     row = free_name(docs, "row")
-    rows = materialise(docs.withColumn(row, F.monotonically_increasing_id()))
+    rows = numbered(docs, row)
     marked = materialise(near_duplicates(rows, size=size, percent=percent, id_column=row).withColumnRenamed("doc_id", row))
     later = marked.where("not kept").select(row, "component_id")
     group = materialise(later.unionByName(later.select(F.col("component_id").alias(row), "component_id").distinct()))

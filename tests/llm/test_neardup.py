@@ -83,3 +83,26 @@ def test_rows_with_repeated_or_null_ids_count_for_themselves(spark):
     got = neardup.keep_one(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3))
     want = [(0, one, "z"), (1, two, "x"), (2, three, "y"), (None, four, "x"), (3, "", "x"), (3, "", "y"), (None, None, "x")]
     assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
+
+
+def test_rows_have_numbers_of_their_own(spark):
+    kind = "doc_id long, text string"
+    plain = spark.createDataFrame([(5, "a"), (7, "b")], kind)
+    assert {(r.doc_id, r.at) for r in neardup.numbered(plain, "at").collect()} == {(5, 5), (7, 7)}
+    for low, high in ((-3, 90), (1 << 61, (1 << 63) - 1), (-(1 << 63), 4), (-(1 << 63), (1 << 63) - 1)):
+        rows = [(low, "a"), (high, "b"), (high, "b"), (high, "c"), (None, "d"), (None, "d"), (0, "e")]
+        got = neardup.numbered(spark.createDataFrame(rows, kind), "at").collect()
+        assert len({r.at for r in got}) == len(rows) and sorted(((r.doc_id, r.text) for r in got), key=repr) == sorted(rows, key=repr)
+        if (low, high) != (-(1 << 63), (1 << 63) - 1):
+            ids = {low, high, 0}
+            assert all(r.at == r.doc_id if r.doc_id in (low, 0) else r.at not in ids for r in got)
+    nothing = spark.createDataFrame([(None, "x"), (None, "x")], kind)
+    assert len({r.at for r in neardup.numbered(nothing, "at").collect()}) == 2
+
+
+def test_of_each_group_one_row_stays_whatever_the_ids(spark):
+    text = " ".join(f"w{i}" for i in range(200))
+    near = text.replace("w150", "x")
+    rows = [(4, text, 1), (9, near, 2), (9, "quite another text of its own " * 9, 3), (None, text, 4), (None, near + " more", 5), (2, "alone " * 40, 6), (4, text, 1), (None, None, 7), (None, None, 7), (3, "", 8)]
+    got = neardup.keep_one(spark.createDataFrame(rows, "doc_id long, text string, row int")).collect()
+    assert sorted(r.row for r in got) == [1, 3, 6, 7, 8]
