@@ -78,10 +78,6 @@ def evaluation_key(pdf_sha256: Column, model: str, effort: str, pipeline: str, p
     return F.sha2(plain, 256)
 
 
-def error_text(message: Column, name: Column) -> Column:
-    return F.coalesce(F.nullif(message, F.lit("")), name)
-
-
 def nfkc(text: Column) -> Column:
     """Compatibility normal form; Spark has none, so this one is an Arrow function."""
     return F.pandas_udf(lambda values: values.str.normalize("NFKC"), "string", F.PandasUDFType.SCALAR)(text)

@@ -98,7 +98,7 @@ def manual_queue(jobs: DataFrame, attempts: DataFrame) -> DataFrame:
         F.transform(F.array_sort(F.collect_list(F.when(F.col("error").isNotNull(), F.struct("seq", "error")))), lambda x: x["error"]).alias("errors"),
     )
     category = F.element_at(F.array(F.lit("transient"), F.lit("blocked"), F.lit("permanent")), F.coalesce(F.col("worst"), F.lit(2)) + 1)
-    nothing = F.when(F.col("doi").isNotNull(), "no open copy found").otherwise("no candidate URL and no DOI")
+    nothing = F.concat(F.lit("no open-access PDF URL was found in "), F.when(F.col("doi").isNotNull(), "the search index or the open-access source").otherwise("the search index (no DOI for the open-access source)"))
     rows = jobs.join(rolled, "id", "left").where(F.coalesce("wins", F.lit(0)) == 0)
     return rows.select("id", category.alias("category"), F.when(F.coalesce(F.size("errors"), F.lit(0)) > 0, F.col("errors")).otherwise(F.array(nothing)).alias("errors"))
 

@@ -30,19 +30,24 @@ def latest(log: DataFrame) -> DataFrame:
     return by_id.select(F.when(F.coalesce(kept, F.lit(False)), F.col("x.best")).otherwise(F.col("x.last")).alias("row"), "first_seq").select("row.*", "first_seq")
 
 
-def records(jobs: DataFrame, decided: DataFrame, sent: DataFrame, *, model: str, effort: str, pipeline: str, prompt_version: str, prompt_sha256: str, start: int = 0) -> DataFrame:
+def records(jobs: DataFrame, decided: DataFrame, sent: DataFrame, *, model: str, effort: str, pipeline: str, prompt_version: str, prompt_sha256: str, start: int = 0, failed: DataFrame | None = None) -> DataFrame:
     """Rows of the log (schemas.RESULTS) for jobs (id, bibcode, key, sha).
 
     decided is what the classifier gave, sent (paper, pages_sent, characters_sent) what it was
-    given. A job without text is a failed record; one that was sent but not asked for has none.
+    given, failed (paper, problem) why other papers have no text. A job without text is a failed
+    record with that problem; one that was sent but not asked for has none.
     """
+    if failed is None:
+        jobs = jobs.withColumn("problem", F.lit(NO_TEXT))
+    else:
+        jobs = jobs.join(failed.groupBy(F.col("paper").alias("id")).agg(F.min("problem").alias("problem")), "id", "left").withColumn("problem", F.coalesce("problem", F.lit(NO_TEXT)))
     got = jobs.join(sent, F.col("id") == sent["paper"], "left").drop("paper").join(decided.where("stop is null"), F.col("id") == decided["paper"], "left")
     got = got.where("pages_sent is null or paper is not null")
     done = F.col("include").isNotNull()
     said = {k: F.col(f"response.{k}") for k in ("request_id", "input_tokens", "output_tokens")}
     source = {"pipeline_version": F.lit(pipeline), "prompt_version": F.lit(prompt_version), "prompt_sha256": F.lit(prompt_sha256), "model": F.coalesce("response.model", F.lit(model)), "reasoning_effort": F.lit(effort), **said}
     kind = F.when(done, F.struct("include", "basis", "mission_mentioned", "evidence"))
-    result = F.struct(F.lit(1).alias("schema_version"), "bibcode", F.col("sha").alias("pdf_sha256"), F.when(done, "CLASSIFIED").otherwise("PROCESSING_FAILED").alias("status"), kind.alias("classification"), F.struct(*(c.alias(k) for k, c in source.items())).alias("provenance"), F.coalesce("errors", F.array(F.lit(NO_TEXT))).alias("errors"))
+    result = F.struct(F.lit(1).alias("schema_version"), "bibcode", F.col("sha").alias("pdf_sha256"), F.when(done, "CLASSIFIED").otherwise("PROCESSING_FAILED").alias("status"), kind.alias("classification"), F.struct(*(c.alias(k) for k, c in source.items())).alias("provenance"), F.coalesce("errors", F.array("problem")).alias("errors"))
     number = F.coalesce(F.col("pages_sent"), F.lit(0)).cast("int"), F.coalesce(F.col("characters_sent"), F.lit(0)).cast("long")
     return got.select((F.monotonically_increasing_id() + start).alias("seq"), F.col("key").alias("evaluation_key"), "id", "bibcode", number[0].alias("pages_sent"), number[1].alias("characters_sent"), result.cast(schemas.RESULT).alias("result"))
 
@@ -69,10 +74,11 @@ def outcome(ok: Column, include: Column) -> Column:
     return F.when(~ok, "failed").when(include == "YES", "positive").when(include == "NO", "negative").otherwise("uncertain")
 
 
-def summary(results: DataFrame) -> DataFrame:
-    """One row of counts, zeros included; skipped is added by the caller's resume step."""
+def summary(results: DataFrame, skipped: int | Column = 0) -> DataFrame:
+    """One row of counts, zeros included; skipped are the jobs that the resume step left out."""
     kind = outcome(F.col("ok"), F.col("include"))
-    return results.agg(*(F.count_if(kind == k).alias(k) for k in ("positive", "negative", "uncertain", "failed")), F.lit(0).cast("long").alias("skipped"))
+    skipped = skipped if isinstance(skipped, Column) else F.lit(skipped)
+    return results.agg(*(F.count_if(kind == k).alias(k) for k in ("positive", "negative", "uncertain", "failed")), skipped.cast("long").alias("skipped"))
 
 
 def review(results: DataFrame, library: DataFrame) -> DataFrame:

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import text as T
 from ..functions import urls as U
-from ..operators import classifier, downloads, papers, report, responses, resultlog
+from ..operators import classifier, containment, discovery, downloads, papers, report, responses, resultlog
+from ..operators.discovery import Branch, Term
 from . import views
 from .views import Views
 
@@ -111,14 +112,12 @@ def abstract_overlap_self(v: Views) -> DataFrame:
     "SELECT item_id, doc_id, len(list_intersect(bw, dw)) / len(bw) AS overlap FROM b, d WHERE len(bw) >= 20 AND len(list_intersect(bw, dw)) / len(bw) >= 0.6"
 )
 def abstract_overlap_cross(v: Views) -> DataFrame:
-    """Items against all documents by an inverted join on words: no pair is made without a shared word."""
+    """Items against all documents, each looked up by its rarest words."""
     long = F.filter(T.word_set(F.col("text")), lambda w: F.length(w) >= T.LONG_WORD)
-    items = v.table("benchmark").select("item_id", long.alias("words")).where(F.size("words") >= T.LEAST_ABSTRACT_WORDS)
-    items = items.select("item_id", F.size("words").alias("n"), F.explode_outer("words").alias("word"))
+    items = v.table("benchmark").select(F.col("item_id").alias("short"), long.alias("words")).where(F.size("words") >= T.LEAST_ABSTRACT_WORDS)
     # only long words can be shared with an item
-    docs = v.table("documents").select("doc_id", F.explode_outer(long).alias("word"))
-    shared = docs.join(items, "word").groupBy("item_id", "doc_id", "n").agg(F.count("*").alias("shared"))
-    return shared.select("item_id", "doc_id", (F.col("shared") / F.col("n")).alias("overlap")).where(F.col("overlap") >= T.LEAST_OVERLAP)
+    docs = v.table("documents").select(F.col("doc_id").alias("text"), long.alias("words"))
+    return containment.containing(items, docs, T.LEAST_OVERLAP).select(F.col("short").alias("item_id"), F.col("text").alias("doc_id"), "overlap")
 
 
 @query("SELECT sha256(text) AS digest, count(*) AS copies, min(doc_id) AS first_id FROM documents GROUP BY 1 HAVING count(*) > 1")
@@ -179,7 +178,7 @@ def response_triage(v: Views) -> DataFrame:
 
 @query(
     f"WITH {views.ATTEMPTS}, r AS (SELECT id, count(*) FILTER (category IS NULL) AS wins, min(CASE category WHEN 'transient' THEN 0 WHEN 'blocked' THEN 1 ELSE 2 END) AS worst, string_agg(error, '; ' ORDER BY seq) AS errors FROM att GROUP BY id) "
-    "SELECT c.id, ['transient', 'blocked', 'permanent'][coalesce(worst, 2) + 1] AS category, coalesce(errors, CASE WHEN c.k % 2 = 0 THEN 'no open copy found' ELSE 'no candidate URL and no DOI' END) AS errors "
+    "SELECT c.id, ['transient', 'blocked', 'permanent'][coalesce(worst, 2) + 1] AS category, coalesce(errors, 'no open-access PDF URL was found in ' || CASE WHEN c.k % 2 = 0 THEN 'the search index or the open-access source' ELSE 'the search index (no DOI for the open-access source)' END) AS errors "
     "FROM (SELECT CAST(c_custkey AS VARCHAR) AS id, c_custkey AS k FROM customer) c LEFT JOIN r USING (id) WHERE coalesce(wins, 0) = 0"
 )
 def manual_queue_rollup(v: Views) -> DataFrame:
@@ -286,18 +285,38 @@ def missing_pdfs(v: Views) -> DataFrame:
     return v.log().where("not ok").select("id").distinct().join(files, "id", "left_anti")
 
 
+_SPOKEN = "' ' || lower(array_to_string(regexp_extract_all({}, '[\\p{{L}}\\p{{N}}]+'), ' ')) || ' '"
+_ANY = "({})"
+
+
+def _says(column: str, *phrases: str) -> str:
+    return _ANY.format(" OR ".join(f"contains({column}, ' {p} ')" for p in phrases))
+
+
+# Words that the tables have in the places of the standard query's phrases.
+NAME, SHORT_NAME, THANKS = "Apache License", "The", ("All rights reserved", "Released under the MIT License")
+SIDES = ("with the", "and the")
+FIRST, SECOND, THIRD = ("the and", "of of", "the of", "orre orre"), ("attion to", "thanedble the", "in the", "that that"), ("of the", "to to", "is the")
+
+
 @query(
-    "SELECT doc_id FROM documents d WHERE (contains(text, 'Apache License') OR EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = d.doc_id AND l.l_partkey < 50) OR (regexp_matches(text, '\\bThe\\b') AND (contains(lower(text), 'with the') OR contains(lower(text), 'and the')) AND lang = 'en')) AND source <> 'src0' AND n_chars BETWEEN 200 AND 20000"
+    f"WITH c AS (SELECT doc_id, lang, {_SPOKEN.format('text')} AS t, {_SPOKEN.format('substr(text, 1, 600)')} AS a, regexp_matches(text, '(^|[^\\p{{L}}\\p{{N}}])The($|[^\\p{{L}}\\p{{N}}])') AS named FROM documents JOIN orders ON o_orderkey = doc_id "
+    "WHERE source <> 'src0' AND n_chars BETWEEN 200 AND 20000 AND o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1999-01-01') "
+    f"SELECT doc_id FROM c WHERE {_says('t', NAME.lower())} OR EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = c.doc_id AND l.l_partkey < 50) OR (named AND {_says('t', *SIDES)} AND lang = 'en') "
+    f"OR {_says('t', *(x.lower() for x in THANKS))} OR ({_says('a', *FIRST)} AND {_says('a', *SECOND)} AND {_says('a', *THIRD)} AND lang = 'en')"
 )
 def discovery_predicate(v: Views) -> DataFrame:
-    """A phrase, a citation, an acronym with any of some phrases in one field; then conjuncts."""
-    from ..operators.discovery import any_phrase, discover, phrase, word
-
-    docs = v.table("documents")
-    cites = v.table("lineitem").where("l_partkey < 50").select(F.col("l_orderkey").alias("doc_id")).distinct()
-    text = F.col("text")
-    branches = [phrase(text, "Apache License"), word(text, "The") & any_phrase(text, ["with the", "and the"]) & (F.col("lang") == "en")]
-    return discover(docs, "doc_id", branches, cites, [F.col("source") != "src0", F.col("n_chars").between(200, 20000)]).select("doc_id")
+    """All five branches and the conjuncts, a range of months among them."""
+    dates = v.table("orders").select(F.col("o_orderkey").alias("doc_id"), F.col("o_orderdate").cast("date").alias("date"))
+    docs = v.table("documents").join(dates, "doc_id")
+    cites = v.table("lineitem").where("l_partkey < 50").select(F.col("l_orderkey").alias("doc_id"))
+    english = F.col("lang") == "en"
+    branches = [
+        Branch((Term("full", (NAME,)),)), Branch((Term("full", (SHORT_NAME,), cased=True), Term("full", SIDES)), english),
+        Branch((Term("full", THANKS),)), Branch((Term("abstract", FIRST), Term("abstract", SECOND), Term("abstract", THIRD)), english),
+    ]
+    conjuncts = [F.col("source") != "src0", F.col("n_chars").between(200, 20000), discovery.months(F.col("date"), "1996-01", "1998-12")]
+    return discovery.discover(docs, "doc_id", {"full": F.col("text"), "abstract": F.substring("text", 1, 600)}, branches, cites, conjuncts).select("doc_id")
 
 
 @query("SELECT o_orderkey FROM orders WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_quantity > 45)")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 LINK = "struct<access:string,type:string,url:string>"
 CANDIDATES = f"bibcode string, links_data array<{LINK}>, doi array<string>, abstract string, pdf_links array<string>, pdf_sha256 string"
 ATTEMPTS = "seq long, timestamp timestamp, bibcode string, url string, final_url string, method string, status string, category string, error string"
-MANUAL = "bibcode string, target string, urls array<string>, category string, errors array<string>, updated_at timestamp"
+MANUAL = "id string, target string, urls array<string>, category string, errors array<string>, updated_at timestamp"
 PAGES = "paper string, page int, text string"
 EVIDENCE = "struct<page:int,reason:string>"
 CLASSIFICATION = f"struct<include:string,basis:array<string>,mission_mentioned:boolean,evidence:array<{EVIDENCE}>>"
@@ -18,7 +18,6 @@ RESULT = f"struct<schema_version:int,bibcode:string,pdf_sha256:string,status:str
 RESULTS = f"seq long, evaluation_key string, id string, bibcode string, pages_sent int, characters_sent long, result {RESULT}"
 CASES = "id string, path string, pdf_sha256 string, bibcode string, title string, expected_include string, expected_basis array<string>, evidence_note string, pdf_links array<string>, doi array<string>, label_source string"
 WORKS = "doi string, ids struct<pmcid:string>, locations array<struct<is_oa:boolean,pdf_url:string,landing_page_url:string>>"
-RESPONSES = "url string, status int, headers map<string,string>, body binary"
 
 # Decisions, their bases, and result states.
 DECISIONS = ("YES", "NO", "UNCERTAIN")

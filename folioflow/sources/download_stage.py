@@ -7,7 +7,6 @@ which returns its record of a DOI as a dict, None if it knows none, or raises OS
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
@@ -15,6 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..functions import text as T
 from ..functions import urls as U
 from ..operators import downloads, resultlog
@@ -30,10 +30,16 @@ class Source(Protocol):
     def work(self, doi: str) -> dict | None: ...
 
 
-def jobs(records: DataFrame) -> DataFrame:
-    """(id, doi, sha, abstract): ids as text, empty hashes and abstracts as null."""
-    blank = F.lit("")
-    return records.select(F.col("bibcode").cast("string").alias("id"), U.first_doi(F.col("doi"), F.col("links_data")).alias("doi"), F.nullif(F.col("pdf_sha256"), blank).alias("sha"), F.nullif(F.col("abstract"), blank).alias("abstract"))
+def jobs(records: DataFrame, folder: str) -> DataFrame:
+    """(id, doi, sha, abstract, target): ids as text, empty hashes and abstracts as null.
+
+    A record's own `target` is the place of its file; without one it is named after the id.
+    """
+    blank, key = F.lit(""), F.col("bibcode").cast("string")
+    target = F.concat(F.lit(folder.rstrip("/") + "/"), files.name(key))
+    if "target" in records.columns:
+        target = F.coalesce(F.col("target"), target)
+    return records.select(key.alias("id"), U.first_doi(F.col("doi"), F.col("links_data")).alias("doi"), F.nullif(F.col("pdf_sha256"), blank).alias("sha"), F.nullif(F.col("abstract"), blank).alias("abstract"), target.alias("target"))
 
 
 def checked(rows: DataFrame, extract: Extract | None) -> DataFrame:
@@ -53,20 +59,18 @@ def checked(rows: DataFrame, extract: Extract | None) -> DataFrame:
     return full.withColumn("invalid", error).select(*rows.columns, "invalid")
 
 
-def existing(spark: SparkSession, wanted: DataFrame, folder: str, extract: Extract | None) -> DataFrame:
-    """(id, state, error): what the files of the folder mean to the jobs; see downloads.existing_file.
+def existing(spark: SparkSession, wanted: DataFrame, extract: Extract | None) -> DataFrame:
+    """(id, state, error): what the files at the jobs' targets mean; see downloads.existing_file.
 
     A rejected file is renamed, so that it is no longer found, and its error names the new file.
     """
-    if not os.path.isdir(folder):
-        return wanted.select("id", F.lit("absent").alias("state"), F.lit(None).cast("string").alias("error"))
-    found = files.discover(spark, folder).join(wanted, "id").withColumn("expected", F.col("sha")).withColumn("sha", F.lit(None).cast("string"))
+    found = files.contents(wanted.select("id", F.col("target").alias("path"), F.col("sha").alias("expected"), F.lit(None).cast("string").alias("sha"), "abstract"))
     state = downloads.existing_file(F.lit(True), F.col("invalid").isNull(), F.coalesce(F.col("pdf_sha256") == F.col("expected"), F.lit(True)))
     kept = shared_dir(spark)
-    checked(found, extract).select("id", "path", "pdf_sha256", state.alias("state"), F.col("invalid").alias("error")).write.parquet(kept)
+    checked(found.withColumn("pdf_sha256", F.sha2("content", 256)), extract).select("id", "path", "pdf_sha256", state.alias("state"), F.col("invalid").alias("error")).write.parquet(kept)
     seen = spark.read.parquet(kept)
     files.set_aside(seen.where("state = 'rejected'").select("path", "pdf_sha256"))
-    aside = F.concat("error", F.lit("; file preserved as "), "id", F.lit("."), "pdf_sha256", F.lit(".rejected"))
+    aside = F.concat("error", F.lit("; file preserved as "), F.regexp_extract("path", r"([^/]*\.)[^./]*$", 1), "pdf_sha256", F.lit(".rejected"))
     error = F.when(F.col("state") == "rejected", aside).when(F.col("state") == "conflict", CONFLICT)
     return wanted.select("id").join(seen.select("id", "state", error.alias("error")), "id", "left").select("id", F.coalesce("state", F.lit("absent")).alias("state"), "error")
 
@@ -101,14 +105,14 @@ def _numbered(urls: DataFrame, start: int = 0) -> DataFrame:
 
 
 def run(records: DataFrame, folder: str, transport: fetch.Transport, source: Source | None = None, *, extract: Extract | None = None, make_spacer: Callable[[], fetch.Spacer] = fetch.Spacer, queue: DataFrame | None = None) -> tuple[DataFrame, DataFrame, dict]:
-    """(attempts, manual queue, counts); files are written to the folder as <id>.pdf.
+    """(attempts, manual queue as schemas.MANUAL, counts); files are written to the jobs' targets.
 
     `queue` is the queue of an earlier run: its entries stay for ids that are still among the
     records and were not settled now. A conflict is never fetched again.
     """
     spark = records.sparkSession
-    wanted = jobs(records)
-    there = existing(spark, wanted, folder, extract)
+    wanted = jobs(records, folder)
+    there = existing(spark, wanted, extract)
     open_jobs = wanted.join(there.where("state in ('absent', 'rejected')").select("id"), "id")
 
     def check(rows: DataFrame) -> DataFrame:
@@ -116,11 +120,11 @@ def run(records: DataFrame, folder: str, transport: fetch.Transport, source: Sou
         return checked(rows.withColumn("id", F.col("bibcode")).join(known, "id", "left"), extract).drop("id", "sha", "abstract")
 
     def save(contents: DataFrame) -> DataFrame:
-        return files.save(contents, folder)
+        return files.save(contents.join(wanted.select("id", "target"), "id"))
 
     direct = downloads.candidate_urls(records).join(open_jobs.select(F.col("id").alias("bibcode")), "bibcode", "left_semi")
-    tries = {"check": check, "save": save, "make_spacer": make_spacer}
-    attempts = fetch.fetch(_numbered(direct), transport, **tries)
+    how = {"check": check, "save": save, "make_spacer": make_spacer}
+    attempts = fetch.fetch(_numbered(direct), transport, **how)
     more = []
     if source is not None:
         second = downloads.open_access_phase(open_jobs, attempts.withColumnRenamed("bibcode", "id"))
@@ -129,49 +133,46 @@ def run(records: DataFrame, folder: str, transport: fetch.Transport, source: Sou
         copies = U.open_locations(F.col("locations"), F.col("pmcid"))
         extra = known.join(tried, "id", "left").select(F.col("id").alias("bibcode"), F.posexplode(downloads.untried(copies, F.coalesce("tried", F.array().cast("array<string>")))).alias("ord", "url"))
         after = (attempts.agg(F.max("seq")).first()[0] or 0) + 1
-        more = [_attempt(known.where("error is not null"), "open_access", "transient"), fetch.fetch(_numbered(extra, after), transport, method="open_access", before=attempts, **tries)]
+        more = [_attempt(known.where("error is not null"), "open_access", "transient"), fetch.fetch(_numbered(extra, after), transport, method="open_access", before=attempts, **how)]
     for part in (_attempt(there.where("error is not null"), "existing", "permanent"), *more):
         attempts = attempts.unionByName(part.select(*attempts.columns))
     path = shared_dir(spark)
     attempts.drop("content").write.parquet(path)
     attempts = spark.read.parquet(path)
 
-    target = F.concat(F.lit(folder.rstrip("/") + "/"), "id", F.lit(".pdf"))
     todo = wanted.join(there.where("state <> 'valid'").select("id"), "id")
-    entries = downloads.manual_queue(todo, attempts.withColumnRenamed("bibcode", "id")).withColumn("target", target)
+    tries = direct.select(F.col("bibcode").alias("id"), F.lit(0).alias("phase"), "ord", "url")
+    if source is not None:
+        tries = tries.unionByName(extra.select(F.col("bibcode").alias("id"), F.lit(1).alias("phase"), "ord", "url"))
+    urls = tries.groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("phase", "ord", "url"))), lambda x: x["url"]).alias("urls"))
+    entries = downloads.manual_queue(todo, attempts.withColumnRenamed("bibcode", "id")).join(todo.select("id", "target"), "id").join(urls, "id", "left")
+    entries = entries.select("id", "target", F.coalesce("urls", F.array().cast("array<string>")).alias("urls"), "category", "errors", F.current_timestamp().alias("updated_at"))
     if queue is not None:
         settled = wanted.select("id").join(entries.select("id"), "id", "left_anti").select("id", F.lit(True).alias("ok"), *(F.lit(None).cast(entries.schema[c].dataType).alias(c) for c in entries.columns if c != "id"))
         entries = resultlog.upsert(resultlog.current(queue.select(*entries.columns), wanted), settled.unionByName(entries.withColumn("ok", F.lit(False))))
     won = attempts.where("status = 'downloaded'").select(F.col("bibcode").alias("id"), F.lit(True).alias("won"))
     state = F.when(F.col("state") == "valid", "existing").when(F.col("state") == "conflict", "conflict").when(F.col("won"), "downloaded").otherwise("failed")
+    path = shared_dir(spark)
+    entries.write.parquet(path)
+    entries = spark.read.parquet(path)
     counts = downloads.summary(there.join(won, "id", "left").select(state.alias("state"))).first().asDict()
-    return attempts, entries, counts
+    return attempts, entries, counts | {"manual_queue": entries.count()}
 
 
 def prepare(cases: DataFrame, transport: fetch.Transport, source: Source | None = None, *, extract: Extract | None = None, make_spacer: Callable[[], fetch.Spacer] = fetch.Spacer) -> dict:
-    """Fetches the labelled cases' files that are missing or differ from their hash; summed counts.
+    """Fetches the labelled cases' files that are missing or differ from their hash; counts.
 
     A missing file must be named after its bibcode, else ValueError is raised before any request.
-    One run of the stage serves a folder; only the folders' names come to the driver.
+    One run of the stage serves the cases of all folders; each is known by its path.
     """
     spark = cases.sparkSession
-    folder, name = F.regexp_extract("path", r"^(.*)/[^/]*$", 1), F.regexp_extract("path", r"([^/]*)$", 1)
-    placed = cases.withColumn("dir", folder)
-    have = spark.createDataFrame([], "path string, pdf_sha256 string")
-    for row in placed.select("dir").distinct().toLocalIterator():
-        if os.path.isdir(row.dir):
-            have = have.unionByName(files.discover(spark, row.dir).select(F.regexp_replace("path", "^file:/+", "/").alias("path"), "pdf_sha256"))
-    fits = have.select("path", F.col("pdf_sha256").alias("have"))
-    missing = placed.join(fits, "path", "left").where(F.col("have").isNull() | (F.col("have") != F.col("pdf_sha256"))).drop("have")
+    have = files.hashed(cases.select("path").distinct()).withColumnRenamed("pdf_sha256", "have")
     path = shared_dir(spark)
-    missing.write.parquet(path)
+    cases.join(have, "path").where(F.col("have").isNull() | (F.col("have") != F.col("pdf_sha256"))).drop("have").write.parquet(path)
     missing = spark.read.parquet(path)
-    odd = missing.where(F.coalesce(F.nullif("bibcode", F.lit("")), F.lit("")).eqNullSafe("") | (name != F.concat("bibcode", F.lit(".pdf")))).select("path").first()
+    named = F.regexp_extract("path", r"([^/]*)$", 1) == F.concat("bibcode", F.lit(".pdf"))
+    odd = missing.where(F.coalesce("bibcode", F.lit("")).eqNullSafe("") | ~named).select("path").first()
     if odd:
         raise ValueError(f"Missing reviewed PDF cannot be acquired automatically: {odd.path}")
-    total = dict.fromkeys(("records", "existing", "attempted", "downloaded", "failed"), 0)
-    for row in missing.select("dir").distinct().toLocalIterator():
-        records = missing.where(F.col("dir") == row.dir).withColumn("links_data", F.array().cast("array<struct<access:string,type:string,url:string>>")).withColumn("abstract", F.lit(None).cast("string"))
-        _, _, counts = run(records, row.dir, transport, source, extract=extract, make_spacer=make_spacer)
-        total = {k: n + counts[k] for k, n in total.items()}
-    return total
+    records = missing.select(F.col("path").alias("bibcode"), F.col("path").alias("target"), "pdf_sha256", "pdf_links", "doi", F.array().cast(f"array<{schemas.LINK}>").alias("links_data"), F.lit(None).cast("string").alias("abstract")).dropDuplicates(["target"])
+    return run(records, "", transport, source, extract=extract, make_spacer=make_spacer)[2]

@@ -2,18 +2,45 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import storage
 
-def discover(spark: SparkSession, path: str) -> DataFrame:
-    """(path, id, pdf_sha256, content) of the PDF files below a folder, or of one file."""
+NOT_THERE = (FileNotFoundError, NotADirectoryError)
+
+
+def name(key: Column) -> Column:
+    """The file name that stands for an id: what would lead out of the folder or hide the file is coded."""
+    coded = F.replace(F.replace(F.replace(key, F.lit("%"), F.lit("%25")), F.lit("/"), F.lit("%2F")), F.lit("\0"), F.lit("%00"))
+    return F.concat(F.regexp_replace(F.regexp_replace(coded, r"\A\.", "%2E"), r"\A_", "%5F"), F.lit(".pdf"))
+
+
+def _key(path: Column) -> Column:
+    """The id that a file's name stands for."""
+    coded = F.regexp_extract(path, r"([^/]*)\.[^./]*$", 1)
+    for code, plain in (("%5F", "_"), ("%2E", "."), ("%00", "\0"), ("%2F", "/"), ("%25", "%")):
+        coded = F.replace(coded, F.lit(code), F.lit(plain))
+    return coded
+
+
+def listing(spark: SparkSession, path: str) -> DataFrame:
+    """(path, id, length, modified) of the PDF files below a folder, or of one file; none is opened.
+
+    A path that is not there, or a single file with another ending, is an error before any work.
+    """
+    system, root = storage.of(path)
+    found = storage.kind(system, root)
+    if found == "absent":
+        raise FileNotFoundError(f"PDF input does not exist: {path}")
+    if found == "file" and not root.lower().endswith(".pdf"):
+        raise ValueError(f"input file is not a PDF: {path}")
     rows = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[pP][dD][fF]").load(path)
-    stem = F.regexp_extract("path", r"([^/]*)\.[^./]*$", 1)
-    return rows.select("path", stem.alias("id"), F.sha2("content", 256).alias("pdf_sha256"), "content")
+    return rows.select("path", _key(F.col("path")).alias("id"), "length", F.col("modificationTime").alias("modified"))
 
 
 def jobs(files: DataFrame, limit: int | None = None) -> DataFrame:
@@ -22,10 +49,71 @@ def jobs(files: DataFrame, limit: int | None = None) -> DataFrame:
     return out if limit is None else out.limit(limit)
 
 
+def _blocks(path: str) -> Iterator[bytes]:
+    system, at = storage.of(path)
+    with system.open_input_stream(at) as data:
+        while block := data.read(storage.COPY):
+            yield block
+
+
+def _digest(path: str) -> str | None:
+    """SHA-256 of a file; None if it is not there."""
+    out = hashlib.sha256()
+    try:
+        for block in _blocks(path):
+            out.update(block)
+    except NOT_THERE:
+        return None
+    return out.hexdigest()
+
+
+def hashed(files: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """The rows of `listing` with pdf_sha256, which `known` (path, length, modified, pdf_sha256) may give.
+
+    Only files that `known` lacks, or that have changed since, are opened, and read in blocks.
+    """
+    digest = F.pandas_udf(lambda paths: paths.map(_digest), "string", F.PandasUDFType.SCALAR).asNondeterministic()
+    if known is None:
+        return files.withColumn("pdf_sha256", digest("path"))
+    same = ["path", "length", "modified"]
+    old = known.groupBy(*same).agg(F.max("pdf_sha256").alias("pdf_sha256"))
+    new = files.join(old, same, "left_anti").withColumn("pdf_sha256", digest("path"))
+    return files.join(old, same).select(*new.columns).unionByName(new)
+
+
+def contents(files: DataFrame) -> DataFrame:
+    """The rows with `content`, but for those whose file is not there (path, ...).
+
+    One file at a time is held in a task. Put filters below this: only the files of its rows are opened.
+    """
+    names = [*files.columns, "content"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                try:
+                    yield pd.DataFrame([[*row, b"".join(_blocks(row.path))]], columns=names)
+                except NOT_THERE:
+                    continue
+
+    return files.mapInPandas(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema.fields) + ", content binary")
+
+
+def absent(rows: DataFrame, column: str = "target") -> DataFrame:
+    """The rows whose file, named in the column, is not there."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch[[storage.kind(*storage.of(at)) != "file" for at in batch["at"]]]
+
+    missing = rows.select(F.col(column).alias("at")).distinct().mapInPandas(run, "at string")
+    return rows.join(missing, F.col(column) == F.col("at"), "left_semi")
+
+
 def pages(files: DataFrame) -> DataFrame:
-    """(id, page, text) by an optional extractor library, one file at a time; errors are rows.
+    """(id, page, text, error) by an optional extractor library, one file at a time; errors are rows.
 
-    Columns: id, page (from 1), text, error. The page table is where tests enter the engine.
+    The page table is where tests enter the engine.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -51,58 +139,36 @@ def case_jobs(cases: DataFrame, ids: list[str] | None = None, limit: int | None
     return rows.withColumn("expected", F.struct(F.col("expected_include").alias("include"), F.col("expected_basis").alias("basis")))
 
 
-def cases_to_fetch(cases: DataFrame, on_disk: DataFrame) -> DataFrame:
-    """(dir, wanted): labelled files that are missing or differ from their hash, by folder."""
-    found = on_disk.select(F.col("path"), F.col("pdf_sha256").alias("have"))
-    rows = cases.join(found, "path", "left").where(F.col("have").isNull() | (F.col("have") != F.col("pdf_sha256")))
-    return rows.groupBy(F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("dir")).agg(F.count("*").alias("wanted"))
-
-
 def set_aside(rejected: DataFrame) -> None:
     """Renames files (path, pdf_sha256) beside their place, under a name that discovery passes over."""
 
-    def run(batch: pd.DataFrame) -> None:
-        import os
-        from urllib.parse import unquote, urlparse
-
-        for path, digest in zip(batch["path"], batch["pdf_sha256"], strict=True):
-            at = unquote(urlparse(path).path)
-            if os.path.exists(at):  # else an earlier try of this task renamed it
-                os.replace(at, f"{os.path.splitext(at)[0]}.{digest}.rejected")
-
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            run(batch)
+            for path, digest in zip(batch["path"], batch["pdf_sha256"], strict=True):
+                system, at = storage.of(path)
+                if storage.kind(system, at) == "file":  # else an earlier try of this task renamed it
+                    system.move(at, f"{at.rpartition('.')[0]}.{digest}.rejected")
             yield batch[["path"]]
 
     rejected.mapInPandas(each, "path string").write.format("noop").mode("overwrite").save()
 
 
-def save(contents: DataFrame, folder: str) -> DataFrame:
-    """(id, status, category, error): writes (id, content) to files of a shared folder.
+def save(contents: DataFrame) -> DataFrame:
+    """(id, status, category, error): writes (id, target, content) to files of a shared storage.
 
     Each file is written beside its place and renamed, so a reader or a task that is run again
     never sees half of one. A failure is a transient attempt row.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import os
-        import uuid
-
         for batch in batches:
             rows = []
-            for key, content in zip(batch["id"], batch["content"], strict=True):
-                target, part = os.path.join(folder, f"{key}.pdf"), os.path.join(folder, f".{key}.{uuid.uuid4().hex}")
+            for key, target, content in zip(batch["id"], batch["target"], batch["content"], strict=True):
                 try:
-                    os.makedirs(folder, exist_ok=True)
-                    with open(part, "wb") as out:
-                        out.write(content)
-                        out.flush()
-                        os.fsync(out.fileno())
-                    os.replace(part, target)
+                    storage.put(target, content)
                     rows.append((key, "downloaded", None, None))
                 except OSError as e:
                     rows.append((key, "failed", "transient", str(e) or type(e).__name__))
             yield pd.DataFrame(rows, columns=["id", "status", "category", "error"])
 
-    return contents.select("id", "content").mapInPandas(run, "id string, status string, category string, error string")
+    return contents.select("id", "target", "content").mapInPandas(run, "id string, status string, category string, error string")

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import os
 import re
+import uuid
 
 from pyarrow import fs
 
@@ -64,3 +65,21 @@ def extend(system: fs.FileSystem, path: str, sources: list[str], head: bytes = b
             with system.open_input_file(source) as data:
                 while block := data.read(COPY):
                     out.write(block)
+
+
+def put(path: str, content: bytes) -> None:
+    """Writes a file beside its place and renames it, so that nobody ever sees half of it."""
+    system, at = of(path)
+    folder, _, name = at.rpartition("/")
+    part = f"{folder}/.{name}.{uuid.uuid4().hex}"
+    system.create_dir(folder, recursive=True)
+    try:
+        with system.open_output_stream(part) as out:
+            out.write(content)
+        if isinstance(system, fs.LocalFileSystem):
+            with open(part, "rb") as written:
+                os.fsync(written.fileno())
+        system.move(part, at)
+    finally:
+        if kind(system, part) == "file":
+            system.delete_file(part)

@@ -1,0 +1,175 @@
+import hashlib
+import json
+import logging
+import threading
+from http.server import BaseHTTPRequestHandler, HTTPServer
+from urllib.parse import parse_qs, urlsplit
+
+import pytest
+from folioflow import cli, schemas
+from folioflow.operators import resultlog, snapshots
+from folioflow.sources import jsonl, remote
+from pyspark.sql import functions as F
+
+LONG = "the letters of a paper that is long enough to be judged, with a term on every page of it; " * 3
+FAKES = ["--transport", "tests.fakes:Service", "--extract", "tests.fakes:extract"]
+
+
+def text_of(folder):
+    return "".join(f.read_text() for f in sorted(folder.glob("part-*")))
+
+
+@pytest.fixture
+def service(tmp_path, monkeypatch):
+    def tell(records, texts, library=()):
+        (tmp_path / "service.json").write_text(json.dumps({"records": records, "texts": texts, "library": list(library)}))
+        monkeypatch.setenv("FAKE_SERVICE", str(tmp_path / "service.json"))
+
+    return tell
+
+
+def record(bibcode, *urls):
+    return {"bibcode": bibcode, "links_data": [json.dumps({"access": "open", "type": "pdf", "url": u}) for u in urls], "doi": None, "abstract": None}
+
+
+def said(capsys):
+    return json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+
+
+def test_classify_a_page_table(spark, tmp_path, capsys):
+    pages = spark.createDataFrame([("p", 1, "the one"), ("p", 2, "the two"), ("q", 1, "nothing")], schemas.PAGES)
+    jsonl.write(pages, f"{tmp_path}/pages")
+    assert cli.main(["classify", f"{tmp_path}/pages", f"{tmp_path}/log"]) == 0
+    assert said(capsys) == {"positive": 1, "negative": 1, "uncertain": 0, "failed": 0, "skipped": 0}
+    assert cli.main(["classify", f"{tmp_path}/pages", f"{tmp_path}/log"]) == 0
+    assert said(capsys) == {"positive": 0, "negative": 0, "uncertain": 0, "failed": 0, "skipped": 2}
+    assert jsonl.read(spark, f"{tmp_path}/log", "seq long, id string").count() == 2
+    (tmp_path / "members").write_text("q other\n")
+    queue = [(k, f"{tmp_path}/{k}.pdf", [], "blocked", ["HTTP 403"], None) for k in ("z", "saved")]
+    (tmp_path / "saved.pdf").write_text("saved by hand since")
+    jsonl.write(spark.createDataFrame(queue, schemas.MANUAL), f"{tmp_path}/queue")
+    assert cli.main(["classify", f"{tmp_path}/pages", f"{tmp_path}/log", "--library", f"{tmp_path}/members", "--queue", f"{tmp_path}/queue", "--force", "--limit", "1"]) == 0
+    assert said(capsys)["positive"] == 1
+    text = text_of(tmp_path / "log.report")
+    heads = ["# Paper", "- No PDF, not classified: 1", "- Model: `term-classifier`", "- Prompt: `prompt-1`", "not in `members` (1)", "p1: TERM; p2: TERM", "## No PDF, not classified (1)", "| Paper | Expected |"]
+    at = [text.index(h) for h in heads]
+    assert at == sorted(at) and "Could not" not in text and "| `q` | - | NO | - | CLASSIFIED |" in text and "saved.pdf" not in text
+    links = text_of(tmp_path / "log_to_review")
+    assert links.endswith("/abstract  # YES (OBSERVATIONAL_DATA)\n") and links.count("\n") == 1
+
+
+def test_what_is_missing_is_told_before_any_work(spark, tmp_path, capsys, service):
+    service([record("a", "https://files.example/a")], {"a": LONG})
+    out = f"{tmp_path}/out"
+    for args, why in (
+        (["search", "q", out], "needs --transport"), (["run", "q", out, "--transport", "tests.fakes:Service"], "need --extract"),
+        (["run", "q", out, *FAKES, "--library", f"{tmp_path}/none"], "library file not found"),
+        (["run", "q", out, *FAKES, "--classifier", "tests.fakes:Refusing", "--model", "m9"], "no such model: m9"),
+        (["classify", f"{tmp_path}/none", f"{tmp_path}/log", "--pdfs", "--extract", "tests.fakes:extract"], "does not exist"),
+    ):
+        with pytest.raises(SystemExit):
+            cli.main(args)
+        assert why in capsys.readouterr().err
+    assert not (tmp_path / "out").exists() and not (tmp_path / "log").exists()
+
+
+def test_a_second_run_after_an_id_was_replaced(spark, tmp_path, capsys, service, caplog):
+    """In January a paper has a provisional id; in July the search gives its final one, which the library has."""
+    old, new, out = "2025MNRAS.tmp..123X", "2025MNRAS.540..123X", tmp_path / "out"
+    service([record(old, "https://files.example/one"), record("2025none", "https://files.example/lost")], {"one": LONG + "\f" + LONG})
+    assert cli.main(["run", "year:{year}", str(out), "--year", "2025", *FAKES]) == 0
+    assert said(capsys) == {"positive": 1, "negative": 0, "uncertain": 0, "failed": 0, "skipped": 0, "downloaded": 1, "manual_downloads": 1, "metadata_found": 2}
+    assert old in text_of(out / "log.report") and text_of(out / "log_to_review").count("\n") == 1 and "2025none" in text_of(out / "log.report")
+
+    service([record(new, "https://files.example/two")], {"two": LONG + "\f" + LONG}, library=[new])
+    with caplog.at_level(logging.WARNING):
+        assert cli.main(["run", "year:{year}", str(out), "--year", "2025", *FAKES]) == 0
+    assert said(capsys) == {"positive": 1, "negative": 0, "uncertain": 0, "failed": 0, "skipped": 1, "downloaded": 1, "manual_downloads": 0, "metadata_found": 1}
+    report = text_of(out / "log.report")
+    assert "- Results: 1 papers" in report and old not in report and "2025none" not in report and text_of(out / "log_to_review") == ""
+    assert f"no longer finds, such as {old}" in caplog.text
+    state = jsonl.read(spark, f"{out}/candidates.state", snapshots.STATE)
+    assert {(r.id, r.current) for r in state.collect()} == {(old, False), ("2025none", False), (new, True)}
+    results = resultlog.flat(jsonl.read(spark, f"{out}/log", schemas.RESULTS))
+    assert [tuple(r) for r in snapshots.replaced(results, state, F.col("pdf_sha256")).collect()] == [(old, new)]
+
+
+def test_files_that_cannot_be_read_are_failed_records(spark, tmp_path, capsys):
+    for name, text in (("a", LONG), ("b", "broken"), ("c", "too short")):
+        (tmp_path / "pdfs").mkdir(exist_ok=True)
+        (tmp_path / f"pdfs/{name}.pdf").write_text(f"%PDF-1.7 {text}")
+    args = ["classify", f"{tmp_path}/pdfs", f"{tmp_path}/log", "--pdfs", "--extract", "tests.fakes:extract", "--classifier", "tests.fakes:Named", "--model", "m1", "--effort", "high"]
+    assert cli.main(args) == 0
+    assert said(capsys) == {"positive": 0, "negative": 0, "uncertain": 1, "failed": 2, "skipped": 0}
+    got = {r.id: r.result for r in jsonl.read(spark, f"{tmp_path}/log", schemas.RESULTS).collect()}
+    assert got["b"].errors == ["cannot open broken document"] and got["c"].errors == [resultlog.NO_TEXT] and got["a"].provenance.model == "m1-high" and got["a"].provenance.reasoning_effort == "high"
+    assert cli.main(args) == 0 and said(capsys)["skipped"] == 1
+    assert cli.main([*args[:-4], "--model", "m2"]) == 0 and said(capsys)["skipped"] == 0  # another configuration is another key
+
+
+def test_cases_are_classified_and_checked_against_their_hash(spark, tmp_path, capsys):
+    good = hashlib.sha256(f"%PDF-1.7 {LONG}".encode()).hexdigest()
+
+    def case(name, sha, include):
+        (tmp_path / f"{name}.pdf").write_text(f"%PDF-1.7 {LONG}")
+        return {"id": f"case-{name}", "path": f"{tmp_path}/{name}.pdf", "pdf_sha256": sha, "bibcode": name, "expected_include": include, "expected_basis": ["REVIEW"]}
+
+    cases = [case("a", good, "UNCERTAIN"), case("b", good, "YES"), case("c", "f" * 64, "YES")]
+    jsonl.write(spark.createDataFrame(cases, schemas.CASES), f"{tmp_path}/cases")
+    assert cli.main(["evaluate", f"{tmp_path}/log", f"{tmp_path}/cases", "--extract", "tests.fakes:extract"]) == 0
+    got = said(capsys)
+    assert (got["correct"], got["incorrect"], got["uncertain"], got["classified"]) == (1, 1, 2, 2) and got["failed"] == 1
+    errors = {r.id: r.result.errors for r in jsonl.read(spark, f"{tmp_path}/log", schemas.RESULTS).collect()}
+    assert errors["case-c"] == [f"PDF checksum does not match reviewed manifest: {tmp_path}/c.pdf"]
+    assert cli.main(["evaluate", f"{tmp_path}/log", f"{tmp_path}/cases"]) == 0 and said(capsys)["correct"] == 1  # scored only
+
+
+def test_states_of_a_search(spark):
+    def table(rows):
+        return spark.createDataFrame(rows, "id string, digest string")
+
+    state = spark.createDataFrame([], snapshots.STATE)
+    for run, rows in (("r1", [("a", "1"), ("b", "1")]), ("r2", [("b", "2"), ("c", "1")]), ("r3", [("a", "3")]), ("r4", [])):
+        state = snapshots.fold(state, table(rows), run)
+    assert sorted(tuple(r) for r in state.collect()) == [("a", "3", "r1", "r3", False), ("b", "2", "r1", "r2", False), ("c", "1", "r2", "r2", False)]
+    got = snapshots.changes(table([("a", "1"), ("b", "1"), ("c", None)]), table([("b", "2"), ("c", "1"), ("d", "1")])).collect()
+    assert {r.id: r.change for r in got}["a"] == "dropped" and {r.id: r.change for r in got}["b"] == "changed" and {r.id: r.change for r in got}["d"] == "added"
+    odd = snapshots.digested(spark.createDataFrame([("x", None, [1]), ("x", None, [1]), (None, "y", None)], "k string, v string, w array<int>"), "k")
+    assert [r.id for r in odd.collect()] == ["x"]
+
+
+class Index(BaseHTTPRequestHandler):
+    asked: list = []
+
+    def do_GET(self):  # noqa: N802
+        q = {k: v[0] for k, v in parse_qs(urlsplit(self.path).query).items()}
+        self.asked.append((self.headers["Authorization"], q))
+        start, rows = int(q["start"]), min(int(q["rows"]), 2)  # the server caps a page at 2 rows
+        if "fl" in q:
+            docs = [{"bibcode": "A", "links_data": ['{"access":"open","type":"pdf","url":"https://x.example/a.pdf"}']}, {"bibcode": "B"}, {"bibcode": "C", "links_data": [{"access": "open", "type": "pdf", "url": "u"}]}]
+            body = {"response": {"numFound": 3, "docs": docs[start : start + rows]}}
+        else:
+            body = {"documents": ["2014A", "2015B", "2016C"][start : start + rows], "metadata": {"num_documents": 4}}
+        self.send_response(200)
+        self.end_headers()
+        self.wfile.write(json.dumps(body).encode())
+
+    def log_message(self, *_):
+        pass
+
+
+def test_indexes_over_http(spark, monkeypatch):
+    server = HTTPServer(("127.0.0.1", 0), Index)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    url = f"http://127.0.0.1:{server.server_port}/search"
+    monkeypatch.delenv("FOLIOFLOW_TOKEN", raising=False)
+    with pytest.raises(ValueError, match="token"):
+        remote.HttpIndex(url)
+    assert Index.asked == []
+    monkeypatch.setenv("FOLIOFLOW_TOKEN", "secret")
+    rows = remote.search(spark, remote.HttpIndex(url), "solar flares").collect()
+    assert [r.bibcode for r in rows] == ["A", "B", "C"] and rows[1].links_data == [] and rows[0].links_data[0].url == "https://x.example/a.pdf" and rows[2].links_data[0].url == "u"
+    pages = [q for _, q in Index.asked if q.get("rows") != "0"]
+    assert {a for a, _ in Index.asked} == {"Bearer secret"} and {q["fl"] for q in pages} == {"bibcode,links_data,doi,abstract"} and [q["start"] for q in pages] == ["0", "2"]
+    assert sorted(r.bibcode for r in remote.library(spark, remote.HttpLibrary(url)).collect()) == ["2014A", "2015B", "2016C"]
+    server.shutdown()

@@ -3,7 +3,7 @@ import re
 from urllib.parse import urlparse
 
 import pytest
-from folioflow import cli, schemas
+from folioflow import schemas
 from folioflow.functions import text as T
 from folioflow.functions import urls as U
 from folioflow.operators import classifier, downloads, papers, responses, resultlog
@@ -199,27 +199,7 @@ def test_files(spark, tmp_path):
     for name in ("b/2.pdf", "b.pdf", "a/1.PDF", "a/skip.txt"):
         (tmp_path / name).parent.mkdir(exist_ok=True)
         (tmp_path / name).write_bytes(name.encode())
-    found = files.discover(spark, str(tmp_path))
+    found = files.listing(spark, str(tmp_path))
     assert [r.id for r in files.jobs(found).collect()] == ["1", "2", "b"] and files.jobs(found, 2).count() == 2
-    out = files.save(spark.createDataFrame([("k", b"x")], "id string, content binary"), str(tmp_path / "out")).collect()
+    out = files.save(spark.createDataFrame([("k", f"{tmp_path}/out/k.pdf", b"x")], "id string, target string, content binary")).collect()
     assert out[0].status == "downloaded" and (tmp_path / "out/k.pdf").read_bytes() == b"x"
-
-
-def test_command_line(spark, tmp_path, capsys):
-    pages = spark.createDataFrame([("p", 1, "the one"), ("p", 2, "the two"), ("q", 1, "nothing")], schemas.PAGES)
-    jsonl.write(pages, f"{tmp_path}/pages")
-    assert cli.main(["classify", f"{tmp_path}/pages", f"{tmp_path}/log"]) == 0 and cli.main(["classify", f"{tmp_path}/pages", f"{tmp_path}/log"]) == 0
-    out = capsys.readouterr().out.strip().splitlines()
-    assert out[0] == out[1] and '"positive": 1' in out[0] and '"negative": 1' in out[0]
-    assert jsonl.read(spark, f"{tmp_path}/log", "seq long, id string").count() == 2
-    (tmp_path / "members").write_text("q other\n")
-    jsonl.write(spark.createDataFrame([("z", "blocked", ["HTTP 403"], "pdfs/z.pdf")], cli.QUEUE), f"{tmp_path}/queue")
-    assert cli.main(["classify", f"{tmp_path}/pages", f"{tmp_path}/log", "--library", f"{tmp_path}/members", "--queue", f"{tmp_path}/queue"]) == 0
-    text = "".join(f.read_text() for f in sorted((tmp_path / "log.report").glob("part-*")))
-    heads = ["# Paper", "- No PDF, not classified: 1", "- Model: `term-classifier`", "- Prompt: `prompt-1`", "not in `members` (1)", "p1: TERM; p2: TERM", "## No PDF, not classified (1)", "| Paper | Expected |"]
-    at = [text.index(h) for h in heads]
-    assert at == sorted(at) and "Could not" not in text and "| `q` | - | NO | - | CLASSIFIED |" in text
-    links = "".join(f.read_text() for f in sorted((tmp_path / "log_to_review").glob("part-*")))
-    assert links.endswith("/abstract  # YES (OBSERVATIONAL_DATA)\n") and links.count("\n") == 1
-    with pytest.raises(SystemExit):
-        cli.main(["search", "q", f"{tmp_path}/out"])
