@@ -37,7 +37,7 @@ def letters(text: Column) -> Column:
 
 
 def word_set(text: Column) -> Column:
-    """Distinct runs of a-z in the lower-cased text, which should be NFKC-normalised."""
+    """Distinct runs of a-z in the lower-cased text; give it `fold.fold` of texts that may hold ligatures."""
     return F.array_distinct(F.array_remove(F.split(F.lower(text), r"[^a-z]+"), ""))
 
 
@@ -76,8 +76,3 @@ def evaluation_key(pdf_sha256: Column, model: str, effort: str, pipeline: str, p
         F.lit(f'", "pipeline_version": "{pipeline}", "prompt_sha256": "{prompt_sha256}", "reasoning_effort": "{effort}"}}'),
     )
     return F.sha2(plain, 256)
-
-
-def nfkc(text: Column) -> Column:
-    """Compatibility normal form; Spark has none, so this one is an Arrow function."""
-    return F.pandas_udf(lambda values: values.str.normalize("NFKC"), "string", F.PandasUDFType.SCALAR)(text)

@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import text as T
 from ..functions import urls as U
-from ..operators import classifier, containment, discovery, downloads, papers, report, responses, resultlog
+from ..functions.fold import fold
+from ..operators import classifier, containment, discovery, downloads, papers, report, responses, resultlog, snapshots
 from ..operators.discovery import Branch, Term
+from ..session import shared_dir
+from ..sources import jsonl, storage
 from . import views
 from .views import Views
 
@@ -93,6 +96,16 @@ def word_sets(v: Views) -> DataFrame:
     return v.table("documents").where(F.lower("text").rlike("[a-z]")).select("doc_id", F.size(words).alias("n"), F.array_join(F.array_sort(words), " ").alias("words"))
 
 
+@query(f"SELECT doc_id, CAST(len({_WORDS.format('text')}) AS INT) AS n, sha256(coalesce(list_aggregate(list_sort({_WORDS.format('text')}), 'string_agg', ' '), '')) AS words_sha256 FROM documents")
+def compatibility_words(v: Views) -> DataFrame:
+    """Texts with ligatures, full-width and long letters and parted accents have the words of the plain texts."""
+    odd = F.col("text")
+    for plain, coded in (("ffi", "\ufb03"), ("fi", "\ufb01"), ("the", "\uff54\uff48\uff45"), ("ss", "\u017fs"), ("\u00e9", "e\u0301"), ("\u00f1", "n\u0303"), ("\u00fc", "u\u0308"), ("on ", "o\U0001d427 ")):
+        odd = F.replace(odd, F.lit(plain), F.lit(coded))
+    words = T.word_set(fold(odd))
+    return v.table("documents").select("doc_id", F.size(words).alias("n"), F.sha2(F.array_join(F.array_sort(words), " "), 256).alias("words_sha256"))
+
+
 _LONG = f"list_filter({_WORDS.format('abstract')}, lambda w: length(w) >= 5)"
 
 
@@ -189,7 +202,9 @@ def manual_queue_rollup(v: Views) -> DataFrame:
 
 @query(f"WITH {views.ATTEMPTS}, b AS (SELECT host, min(seq) AS s FROM att WHERE category = 'blocked' GROUP BY host) SELECT att.seq, att.host, coalesce(att.seq > b.s, false) AS skipped FROM att LEFT JOIN b USING (host)")
 def sticky_host_block(v: Views) -> DataFrame:
-    return downloads.sticky_blocks(_triaged(v)).select("seq", "host", "skipped")
+    path = shared_dir(v.spark)  # the first block of a host and the join both need the verdicts
+    _triaged(v).select("seq", "host", "category").write.parquet(path)
+    return downloads.sticky_blocks(v.spark.read.parquet(path)).select("seq", "host", "skipped")
 
 
 @query(
@@ -492,3 +507,73 @@ def stream_resume(v: Views) -> DataFrame:
     parts = [jobs.where(F.col("turn") % 3 == k).drop("turn") for k in range(3)]
     rows = arrivals(v.spark, parts, v.papers().select("paper", "page", "text"))
     return rows.groupBy("id", "key").agg(F.max("include").alias("include"), F.count_if("ok").alias("successes"))
+
+
+@query(f"WITH {views.LOG} SELECT seq, id, key, ok, include, array_to_string(basis, ',') AS basis FROM log")
+def jsonl_log(v: Views) -> DataFrame:
+    """The log in two appends as JSON Lines, torn behind each and repaired by the next, then read with a torn tail."""
+    path = shared_dir(v.spark)
+    rows = v.log().select("seq", "id", "key", "ok", "include", "basis")
+    for part in range(2):
+        jsonl.append(rows.where(F.col("seq") % 2 == part), path)
+        system, root = storage.of(path)
+        last = storage.visible(system, root)[-1][0]
+        storage.extend(system, last, [], '{"seq": 1, "id": "\u00e9'.encode()[:-1])
+    read = jsonl.read(v.spark, path, "seq long, id string, key string, ok boolean, include string, basis array<string>", split=1 << 16)
+    return read.withColumn("basis", F.array_join("basis", ","))
+
+
+@query(
+    "WITH o AS (SELECT CAST(c_custkey AS VARCHAR) AS id, c_custkey % 5 AS d FROM customer WHERE c_custkey % 3 <> 0), n AS (SELECT CAST(c_custkey AS VARCHAR) AS id, CASE WHEN c_custkey % 7 = 0 THEN 9 ELSE c_custkey % 5 END AS d FROM customer WHERE c_custkey % 3 <> 1) "
+    "SELECT coalesce(o.id, n.id) AS id, CASE WHEN o.id IS NULL THEN 'added' WHEN n.id IS NULL THEN 'dropped' WHEN o.d <> n.d THEN 'changed' ELSE 'kept' END AS change, CASE WHEN o.id IS NULL THEN 'r2' ELSE 'r1' END AS first_run, CASE WHEN n.id IS NULL THEN 'r1' ELSE 'r2' END AS last_run, n.id IS NOT NULL AS current FROM o FULL JOIN n USING (id)"
+)
+def search_states(v: Views) -> DataFrame:
+    """Two snapshots of a search: what changed, and the state that keeps every id."""
+    key = F.col("c_custkey")
+    old = snapshots.digested(v.table("customer").where(key % 3 != 0).select(key.alias("id"), (key % 5).alias("d")), "id")
+    new = snapshots.digested(v.table("customer").where(key % 3 != 1).select(key.alias("id"), F.when(key % 7 == 0, 9).otherwise(key % 5).alias("d")), "id")
+    state = snapshots.fold(snapshots.fold(v.spark.createDataFrame([], snapshots.STATE), old, "r1"), new, "r2")
+    return snapshots.changes(old, new).join(state, "id").select("id", "change", "first_run", "last_run", "current")
+
+
+@query(f"WITH {views.LOG} SELECT seq, id, CAST(k AS VARCHAR) AS key FROM l0 JOIN log ON seq = event_id WHERE k = 1")
+def configuration_filter(v: Views) -> DataFrame:
+    """Rows whose key is that of their own hash under the model in use; the others were made by two other models."""
+    log = v.log().withColumn("pdf_sha256", T.sha256(F.col("id")))
+    made = F.when(F.col("key") == "1", T.evaluation_key(F.col("pdf_sha256"), MODEL, EFFORT, PIPELINE, PROMPT)).when(F.col("key") == "0", T.evaluation_key(F.col("pdf_sha256"), "model-b", EFFORT, PIPELINE, PROMPT)).otherwise(T.evaluation_key(F.col("pdf_sha256"), MODEL, "low", PIPELINE, PROMPT))
+    kept = resultlog.of_configuration(log.withColumn("plain", F.col("key")).withColumn("key", made), MODEL, EFFORT, PIPELINE, PROMPT)
+    return kept.select("seq", "id", F.col("plain").alias("key"))
+
+
+@query(
+    f"WITH {views.PAPERS}, h AS (SELECT paper, count(*) FILTER ({_HITS}) AS h, count(*) AS pages, sum(length(text)) AS chars FROM papers WHERE trim(text) <> '' AND conv_id % 5 > 0 GROUP BY paper), j AS (SELECT DISTINCT paper, conv_id FROM papers) "
+    f"SELECT paper AS id, coalesce(CAST(pages AS INT), 0) AS pages_sent, coalesce(CAST(chars AS BIGINT), 0) AS characters_sent, CASE WHEN h IS NULL THEN 'PROCESSING_FAILED' ELSE 'CLASSIFIED' END AS status, CASE WHEN h >= 2 THEN 'YES' WHEN h = 1 THEN 'UNCERTAIN' WHEN h = 0 THEN 'NO' END AS include, "
+    "CASE WHEN h IS NOT NULL THEN '' WHEN conv_id % 2 = 0 THEN 'cannot open' ELSE 'The paper has no text to classify' END AS errors, 0 AS violations FROM j LEFT JOIN h USING (paper)"
+)
+def result_records(v: Views) -> DataFrame:
+    """Records of the log: decisions, papers that could not be opened, and papers without text."""
+    pages = v.papers()
+    jobs = pages.select(F.col("paper").alias("id"), F.col("paper").alias("bibcode"), "conv_id").distinct().withColumns({"sha": T.sha256(F.col("id")), "key": F.lit("k")})
+    sent = pages.where(F.col("conv_id") % 5 > 0).select("paper", "page", "text")
+    failed = jobs.where((F.col("conv_id") % 5 == 0) & (F.col("conv_id") % 2 == 0)).select(F.col("id").alias("paper"), F.lit("cannot open").alias("problem"))
+    rows = resultlog.records(jobs.drop("conv_id"), classifier.classify(sent), papers.context(sent).drop("context"), model=MODEL, effort=EFFORT, pipeline=PIPELINE, prompt_version="v", prompt_sha256=PROMPT, failed=failed)
+    broken = schemas.result_violations(F.col("result.status"), F.col("result.classification").isNotNull(), F.col("result.errors"))
+    return rows.select("id", "pages_sent", "characters_sent", "result.status", "result.classification.include", F.array_join("result.errors", "; ").alias("errors"), F.size(broken).alias("violations"))
+
+
+@query(
+    "WITH e AS (SELECT CAST(user_id AS VARCHAR) AS lane, event_id AS seq, epoch_us(ts) // 1000 AS ms, event_id % 4 = 3 AS wall FROM events), "
+    "n AS (SELECT *, count(CASE WHEN NOT wall THEN 1 END) OVER (PARTITION BY lane ORDER BY ms, seq) AS n FROM e), "
+    "m AS (SELECT *, max(CASE WHEN NOT wall THEN ms - n * 3000 END) OVER (PARTITION BY lane ORDER BY ms, seq) + n * 3000 AS made FROM n) "
+    "SELECT lane, seq, CAST(CASE WHEN wall THEN greatest(ms, coalesce(made + 3000, 0)) ELSE made END AS BIGINT) AS lease_ms, wall AS skipped FROM m"
+)
+def stream_leases(v: Views) -> DataFrame:
+    """A user's events as requests to four hosts, one of them a wall: when each may start, or that it is skipped."""
+    from ..streaming import leases
+
+    host = F.concat(F.lit("h"), (F.col("event_id") % 4).cast("string"))
+    none, no = F.lit(None).cast("string"), F.lit(False)
+    events = v.table("events")
+    asked = events.select(F.col("user_id").cast("string").alias("lane"), F.col("event_id").alias("seq"), F.col("ts").cast("timestamp").alias("at"), F.concat(F.lit("https://"), host, F.lit("/")).alias("url"), host.alias("host"), no.alias("preprint"), no.alias("wall"))
+    walls = events.groupBy(F.col("user_id").cast("string").alias("lane")).agg(F.min("ts").cast("timestamp").alias("at")).select("lane", F.lit(-1).cast("long").alias("seq"), "at", none.alias("url"), F.lit("h3").alias("host"), no.alias("preprint"), F.lit(True).alias("wall"))
+    return leases.schedule([asked.unionByName(walls)], delay="1 hour").select("lane", "seq", "lease_ms", "skipped")

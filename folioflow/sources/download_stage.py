@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import text as T
 from ..functions import urls as U
+from ..functions.fold import fold
 from ..operators import downloads, resultlog
 from ..session import shared_dir
 from . import fetch, files
@@ -54,7 +55,7 @@ def checked(rows: DataFrame, extract: Extract | None) -> DataFrame:
     front = F.transform(F.array_sort(F.collect_list(F.when(F.col("page") <= 3, F.struct("page", "text")))), lambda x: x["text"])
     pages = extract(rows.where(signature).select("id", "content")).groupBy("id").agg(F.when(F.max("error").isNull(), F.coalesce(F.max("page"), F.lit(0))).alias("page_count"), F.array_join(front, " ").alias("front"))
     full = rows.join(pages, "id", "left")
-    overlap = T.overlap(T.nfkc(F.col("abstract")), T.nfkc(F.coalesce("front", F.lit(""))))
+    overlap = T.overlap(fold(F.col("abstract")), fold(F.coalesce("front", F.lit(""))))
     error = downloads.pdf_error(signature, fits, F.col("page_count"), F.col("abstract"), T.strip(F.col("front")) != "", overlap)
     return full.withColumn("invalid", error).select(*rows.columns, "invalid")
 
