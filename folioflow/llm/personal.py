@@ -35,8 +35,8 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _CANDIDATE = re.compile(r"[A-Za-z0-9][A-Za-z0-9_+/.@-]{4,}[A-Za-z0-9]")
 _HEX = re.compile(r"(?=.*[a-f])(?=(?:.*[0-9]){4})[0-9a-f]{16,}\Z")
-_KEYED = re.compile(r"([A-Za-z_][A-Za-z_-]{1,23})\x20{0,2}([=:])\x20{0,2}[\"']?\Z")
-_WORD_BEFORE = re.compile(r"([^\x20\x09-\x0D]{1,24})[\x20\x09-\x0D]+\Z")
+_KEY = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz_-")
+_WHITE = frozenset(" \t\n\x0b\x0c\r")
 
 
 def _luhn(digits: str) -> bool:
@@ -76,26 +76,46 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
     return out
 
 
-def pattern(text: str, start: int) -> str:
-    """The left context of a position: a key with its sign, or else the word before."""
-    left = text[max(0, start - 48) : start]
-    if m := _KEYED.search(left):
-        return f"{m[1].lower()}{m[2]}"
-    m = _WORD_BEFORE.search(left)
-    return f"~{m[1].lower()}" if m else "~"
-
-
-def instance(token: str) -> str:
-    """What stands for a token in the graph: its text, or a 128-bit digest of a long one's."""
-    value = token.lower()
+def known(value: str) -> str:
+    """What stands for a word in the graph: its text, or a 128-bit digest of a long one's."""
+    value = value.lower()
     if len(value) <= LONG:
         return value
     return f"\\{hashlib.blake2b(value.encode('utf-8', 'surrogatepass'), digest_size=16).hexdigest()}"
 
 
+def pattern(text: str, start: int) -> str:
+    """The left context of a position: a key with its sign, or else the word before, both whole.
+
+    Between key, sign, an opening quote and the position there may be any number of blanks. Only
+    the context itself is looked at, so all contexts of a text together are about as long as it.
+    """
+    at = start - (start > 0 and text[start - 1] in "\"'")
+    while at and text[at - 1] == " ":
+        at -= 1
+    if at and text[at - 1] in "=:":
+        sign = text[at - 1]
+        at -= 1
+        while at and text[at - 1] == " ":
+            at -= 1
+        end = at
+        while at and text[at - 1] in _KEY:
+            at -= 1
+        key = text[at:end].lstrip("-")
+        if len(key) > 1:
+            return f"{known(key)}{sign}"
+    at = start
+    while at and text[at - 1] in _WHITE:
+        at -= 1
+    end = at
+    while at and text[at - 1] not in _WHITE:
+        at -= 1
+    return f"~{known(text[at:end])}" if end < start else "~"
+
+
 def occurrences(text: str, base: dict[str, list[tuple[int, int]]]) -> list[dict]:
     """Base spans and identifier-like tokens outside them, with pattern, value and kind."""
-    found = [{"pattern": pattern(text, a), "instance": instance(text[a:b]), "kind": k, "start": a, "stop": b} for k in KINDS for a, b in base[k]]
+    found = [{"pattern": pattern(text, a), "instance": known(text[a:b]), "kind": k, "start": a, "stop": b} for k in KINDS for a, b in base[k]]
     if not _DIGIT.search(text):
         return found
     taken = sorted((a, b) for k in KINDS for a, b in base[k])
@@ -107,7 +127,7 @@ def occurrences(text: str, base: dict[str, list[tuple[int, int]]]) -> list[dict]
         if i < len(taken) and taken[i][0] < b or not _DIGIT.search(m.group()):
             continue
         value = m.group()
-        found.append({"pattern": pattern(text, a), "instance": instance(value), "kind": "secret" if _HEX.match(value) else None, "start": a, "stop": b})
+        found.append({"pattern": pattern(text, a), "instance": known(value), "kind": "secret" if _HEX.match(value) else None, "start": a, "stop": b})
     return found
 
 
@@ -172,7 +192,13 @@ def discovered(scanned: DataFrame, patterns: DataFrame) -> DataFrame:
 def find(docs: DataFrame, *, id_column: str = "doc_id") -> DataFrame:
     """doc_id, counts of the base kinds, base_spans and all spans (kind:start:end, joined).
 
-    Spans count code points and their end is exclusive. Base kinds come first, in their order.
+    Spans count code points and their end is exclusive. Base kinds come first, in their order; of
+    one kind the base spans come before those that patterns found. A span may have several kinds,
+    and spans of different kinds may overlap. Null texts count as empty and have no spans. Rows
+    that repeat are found each for itself and count as documents of their own for the patterns; a
+    null id stays null. A text of any length is looked through as a whole. Where two kinds score
+    alike in a pattern, the kind that comes later in the alphabet counts. Other columns are left
+    out, and an empty table gives no rows.
     """
     scanned = scan(docs, id_column)
     extra = discovered(scanned, confident_patterns(scanned))
@@ -202,6 +228,8 @@ def redact_spans(text: str, spans: list[tuple[int, int, str]]) -> str:
 def redact(docs: DataFrame, *, text_column: str = "text") -> DataFrame:
     """The rows of documents with personal data in the text replaced; other columns as they are.
 
+    A null text stays null, an empty one empty. Rows are never dropped, whatever repeats or is
+    null, and columns keep their names, also where helpers have the same.
     Only documents with a token that the base kinds leave open are joined with what the patterns
     found; the rest are rewritten from their own row.
     """
