@@ -48,7 +48,8 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = tokenfile.write_tokens(table(spark, sf_dir, "documents"))
-    return packing.with_crc32(tokenfile.read_tokens(spark, out))
+    # the length is that of the list as read, not the one that was written beside it
+    return packing.with_crc32(tokenfile.read_tokens(spark, out).withColumn("n_tokens", F.size("ids").cast("long")))
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

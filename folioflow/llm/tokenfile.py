@@ -22,9 +22,12 @@ from .tokens import encoder, id_lists, vocabulary
 ROW_GROUP_BYTES, PAGE_BYTES, END_ID = 32 << 20, 64 << 10, 1
 
 
-def write_tokens(docs: DataFrame, out: str | None = None, *, path: str | None = None, end_id: int = END_ID, id_column: str = "doc_id", text_column: str = "text") -> str:
+def write_tokens(docs: DataFrame, out: str | None = None, *, path: str | None = None, end_id: int = END_ID, id_column: str = "doc_id", text_column: str = "text", encoding: str = "dictionary", row_group_bytes: int = ROW_GROUP_BYTES, page_bytes: int = PAGE_BYTES) -> str:
     """Encodes every document and writes the token file; returns its path.
 
+    `encoding` is that of numbers: dictionary, with delta where a dictionary grows too large, or
+    delta for all, which suits ids without frequent values.
+
     Null text counts as empty, so it has only the end id; a text of any length is one list. Rows
     with one doc_id keep an order by a hash of their text, and equal rows are each written; null
     ids come first. The one shuffle deals the texts by ranges of (doc_id, hash), so a doc_id that
@@ -50,21 +53,32 @@ def write_tokens(docs: DataFrame, out: str | None = None, *, path: str | None =
     dealt = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text")).repartitionByRange(*order).sortWithinPartitions(*order)
     rows = dealt.mapInArrow(run, f"doc_id {kind}, part int, local_start long, n_tokens long, ids array<int>")
     (
-        rows.write.option("compression", "zstd").option("parquet.block.size", ROW_GROUP_BYTES).option("parquet.page.size", PAGE_BYTES)
-        .option("parquet.enable.dictionary", "true").option("parquet.writer.version", "PARQUET_2_0").parquet(out)
+        rows.write.option("compression", "zstd").option("parquet.block.size", row_group_bytes).option("parquet.page.size", page_bytes)
+        .option("parquet.enable.dictionary", str(encoding == "dictionary").lower()).option("parquet.writer.version", "PARQUET_2_0").parquet(out)
     )
     return out
 
 
-def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, start (ids of all documents before), n_tokens (of the list as read) and ids.
+def _placed(rows: DataFrame, path: str) -> DataFrame:
+    """Rows of a token file with `start`, the ids of all documents before.
 
-    The totals by part come from the metadata columns only; there are as many as the writer had
-    range partitions, whatever the corpus, and so they are broadcast.
+    The totals by part come from two metadata columns; there are as many as the writer had range
+    partitions, whatever the corpus, and so they are broadcast.
     """
-    small_batches(spark)
-    rows = spark.read.parquet(path)
-    totals = rows.groupBy("part").agg(F.sum("n_tokens").alias("total"))
+    totals = rows.sparkSession.read.parquet(path).groupBy("part").agg(F.sum("n_tokens").alias("total"))
     earlier = F.sum("total").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     bases = totals.select("part", F.coalesce(earlier, F.lit(0)).alias("base"))
-    return rows.join(F.broadcast(bases), "part").select("doc_id", (F.col("base") + F.col("local_start")).alias("start"), F.size("ids").cast("long").alias("n_tokens"), "ids")
+    return rows.join(F.broadcast(bases), "part").withColumn("start", F.col("base") + F.col("local_start"))
+
+
+def read_tokens(spark: SparkSession, path: str, doc_ids: list | None = None) -> DataFrame:
+    """doc_id, start (ids of all documents before), n_tokens and ids; of some documents only, if given.
+
+    Columns that are not used are not read, so positions and lengths alone open no page of ids.
+    Chosen documents are looked for in the row groups and pages whose range of doc_ids has them.
+    """
+    small_batches(spark)
+    rows = spark.read.parquet(path)
+    if doc_ids is not None:
+        rows = rows.where(F.col("doc_id").isin(doc_ids))
+    return _placed(rows, path).select("doc_id", "start", "n_tokens", "ids")

@@ -1,4 +1,5 @@
 import functools
+import glob
 import zlib
 
 import numpy as np
@@ -100,3 +101,73 @@ def test_columns_with_names_of_the_results(spark):
     assert [(r.start, r.length) for r in packing.pack(rows).orderBy("start").collect()] == [(0, 2), (2, 1)]
     assert [(r.start, r.n_tokens) for r in tokenfile.read_tokens(spark, tokenfile.write_tokens(rows)).collect()] == [(0, 3)]
     assert packing.pack(rows, digest=True).orderBy("start").first().ids_crc32 == zlib.crc32(whole(["a b"])[0][:2].tobytes())
+
+
+def footers(path):
+    import pyarrow.parquet as pq
+
+    return [pq.ParquetFile(f).metadata for f in sorted(glob.glob(f"{path}/*.parquet"))]
+
+
+def columns(meta, name):
+    return [meta.row_group(g).column(c) for g in range(meta.num_row_groups) for c in range(meta.num_columns) if meta.row_group(g).column(c).path_in_schema.split(".")[0] == name]
+
+
+@pytest.fixture(scope="module")
+def token_file(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    return tokenfile.write_tokens(docs, row_group_bytes=256 << 10, page_bytes=16 << 10)
+
+
+def test_encodings_row_groups_and_page_indexes(spark, token_file):
+    metas = footers(token_file)
+    chunks = [c for m in metas for c in columns(m, "ids")]
+    assert all("RLE_DICTIONARY" in c.encodings and c.compression == "ZSTD" for c in chunks)
+    assert all(c.has_column_index and c.has_offset_index for m in metas for name in ("doc_id", "n_tokens", "local_start") for c in columns(m, name))
+    assert sum(m.num_row_groups for m in metas) > len(metas) and max(c.total_compressed_size for c in chunks) < 512 << 10
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    delta = tokenfile.write_tokens(docs, encoding="delta")
+    assert all("DELTA_BINARY_PACKED" in c.encodings and "RLE_DICTIONARY" not in c.encodings for m in footers(delta) for c in columns(m, "ids"))
+    same = tokenfile.write_tokens(docs)
+    key = lambda r: r.start
+    assert sorted(tokenfile.read_tokens(spark, delta).collect(), key=key) == sorted(tokenfile.read_tokens(spark, same).collect(), key=key)
+
+
+def test_row_groups_follow_the_ids(token_file):
+    ends = []
+    for m in footers(token_file):
+        for c in columns(m, "doc_id"):
+            ends.append((c.statistics.min, c.statistics.max))
+    assert ends == sorted(ends) and all(a[1] <= b[0] for a, b in zip(ends, ends[1:], strict=False))
+
+
+def test_metadata_alone_opens_no_ids(spark, token_file):
+    plan = tokenfile.read_tokens(spark, token_file).select("doc_id", "start", "n_tokens")._jdf.queryExecution().executedPlan().toString()
+    assert "ids:array" not in plan and plan.count("ReadSchema") == 2
+    rows = tokenfile.read_tokens(spark, token_file)
+    assert rows.where("n_tokens <> size(ids)").count() == 0
+    total = spark.read.parquet(token_file).agg({"n_tokens": "sum"}).first()[0]
+    last = rows.orderBy("start", ascending=False).first()
+    assert last.start + last.n_tokens == total
+
+
+def test_chosen_documents_are_read_from_few_row_groups(spark, token_file):
+    wanted = [3, 500, 501]
+    everything = {r.doc_id: r for r in tokenfile.read_tokens(spark, token_file).collect()}
+    rows = tokenfile.read_tokens(spark, token_file, wanted)
+    assert {r.doc_id: r for r in rows.collect()} == {k: everything[k] for k in wanted}
+    scan = spark.read.parquet(token_file).where("doc_id in (3, 500, 501)").select("doc_id", "ids")
+    scan.collect()
+    leaf = scan._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert leaf.metrics().get("numOutputRows").get().value() < len(everything) / 2
+    assert "In(doc_id" in str(leaf.metadata().get("PushedFilters").get())
+
+
+def test_buckets_hold_pieces_of_one_length(spark, tmp_path):
+    pieces = packing.pack(spark.read.parquet(f"{SMALL}/documents.parquet"))
+    packing.write_buckets(pieces, str(tmp_path / "buckets"))
+    back = spark.read.parquet(str(tmp_path / "buckets"))
+    assert back.count() == pieces.count() and back.where("length <> size(ids)").count() == 0
+    one = back.where("length = 512")
+    assert one.count() == pieces.where("length = 512").count() and "PartitionFilters: [isnotnull(length" in one._jdf.queryExecution().executedPlan().toString()
+    assert {p.name for p in (tmp_path / "buckets").iterdir() if p.is_dir()} <= {f"length={1 << b}" for b in range(12)}
