@@ -1,34 +1,35 @@
 """URL filter: fixed rules first, then a tree of path templates per host. DataFrame code only.
 
-Template tree. A path's segments become a template by generalising variable ones: numbers,
-hexadecimal ids and other segments with digits by their shape, and, level by level, the values
-of a node that are too many or too rare to be directories, unless their labelled rate differs
-from that of the node's other values. Then branches are merged from the
-leaves up: a node whose labelled rate cannot be told apart from that of the rest of its parent (a
-two-proportion test) shares the parent's counts. A template is rejected when the smoothed labelled
-purity of its branch - the share of bad labels, drawn to the host's and the corpus's rate -
-reaches a limit.
-
-Every step aggregates rows before they are shuffled, so a host with a third of all pages sends
-one row per task and template. Templates, not pages, go through the tree's levels.
+Template tree. A path's segments are generalised by their shape: numbers, hexadecimal ids and other
+segments with many digits become wildcards. The tree's nodes are the beginnings of these paths, with
+the labels of the pages below. Branches are merged unless labels tell them apart:
+
+1. A node stands out by itself if its labelled rate differs from that of the rest of its parent (a
+   likelihood-ratio test, sharpened by the number of siblings that are tried).
+2. Siblings that are too small for that are merged with each other: half of the labels picks those
+   that look bad, the other half tells what they are like, and the same the other way round. If the
+   picked ones then differ from the others, each sibling joins the side that its labels are likelier
+   under. Labels never judge a choice that they have made, so noise makes no branch.
+3. All other nodes are merged with their parent, and their segments become wildcards.
+
+A page has the counts of the deepest node on its way that stands out, or of its host. It is blocked
+when the smoothed purity of these labels, drawn to the host's and the corpus's rate, reaches a limit.
+
+Every step aggregates rows before they are shuffled. Only labelled branches make nodes, and only
+paths below rejected branches are looked up for the pages.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, materialise
+from .common import BROADCAST_ROWS, ascii_lower, bounded, materialise
 
-#: A node with more different children than this keeps only those with the least share and
-#: those whose labels stand out.
-MOST_CHILDREN, LEAST_SHARE = 32, 0.02
-#: Pseudo-labels at the parent's rate, the rejecting purity, and the test's z value.
+#: Pseudo-labels at the host's rate, the rejecting purity, and the test's z value.
 PRIOR, REJECT, Z = 10.0, 0.5, 2.0
-#: Copies of each template row in the join back to pages, so that a hot template is split.
-SALTS = 32
+#: Pages of one path from which on its row is broadcast instead of shuffled to them.
+HOT_PATH = 1_000_000
 ANY = "*"
 
 
@@ -91,98 +92,146 @@ def stands_out(bad: Column, labelled: Column, node_bad: Column, node_labelled: C
     return 2 * (apart - _fit(node_bad, node_labelled)) > z * z + 2 * F.log(F.greatest(tested, F.lit(1)))
 
 
-def templates(pages: DataFrame) -> DataFrame:
-    """(host, shapes, pages, labelled, bad, template) from (host, path, bad: 1, 0 or null)."""
-    counted = pages.groupBy("host", shapes(F.col("path")).alias("shapes")).agg(F.count("*").alias("pages"), F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
-    tree = materialise(counted.withColumn("template", F.array().cast("array<string>")))
-    # only a level where a host has more than MOST_CHILDREN segments can have a node with as many;
-    # all other segments are kept as they are, so paths of any depth need few passes
-    segments = tree.select("host", F.posexplode("shapes").alias("level", "child")).distinct().groupBy("host", "level").count()
-    levels = [r.level for r in segments.where(F.col("count") > MOST_CHILDREN).select("level").distinct().orderBy("level").collect()]
-
-    def kept(upto):
-        at = F.size("template")
-        return F.concat("template", F.slice("shapes", at + 1, F.greatest(F.least(F.size("shapes"), upto) - at, F.lit(0))))
-
-    whole = []
-    for level in levels:
-        whole.append(tree.where(F.size("shapes") <= level))
-        here = tree.where(F.size("shapes") > level).withColumn("template", kept(F.lit(level))).withColumn("child", F.get("shapes", F.lit(level)))
-        children = here.groupBy("host", "template", "child").agg(F.sum("pages").alias("n"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
-        # written, since it is grouped and joined; few nodes are wide, and their children are salted
-        children = materialise(children.withColumn("salt", F.pmod(F.xxhash64("child"), F.lit(SALTS)).cast("int")))
-        wide = children.groupBy("host", "template").agg(F.sum("n").alias("total"), F.count("*").alias("width"), F.sum("labelled").alias("node_labelled"), F.sum("bad").alias("node_bad"), F.count_if(F.col("labelled") > 0).alias("tested")).where(F.col("width") > MOST_CHILDREN)
-        sized = children.join(wide.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["host", "template", "salt"])
-        apart = stands_out(F.col("bad"), F.col("labelled"), F.col("node_bad"), F.col("node_labelled"), F.col("tested"))
-        rare = sized.where((F.col("n") < LEAST_SHARE * F.col("total")) & ~apart).select("host", "template", "child", F.lit(True).alias("rare"))
-        step = F.concat("template", F.array(F.when(F.col("rare"), F.lit(ANY)).otherwise(F.col("child"))))
-        # written, since each level reads the one before twice
-        tree = materialise(here.join(rare, ["host", "template", "child"], "left").select("host", "shapes", "pages", "labelled", "bad", step.alias("template")))
-    return reduce(DataFrame.unionByName, whole, tree).withColumn("template", kept(F.size("shapes")))
-
-
-def judged_templates(tree: DataFrame, *, prior: float = PRIOR, reject: float = REJECT, z: float = Z) -> DataFrame:
-    """(host, template, branch, purity, rejected): one row per template.
-
-    A node of a host's tree is a template's beginning, with the counts of all templates below it.
-    A node whose labelled rate cannot be told apart from that of the rest of its parent is merged
-    with the parent, from the leaves up, so that a template has the counts of the deepest node on
-    its way that stands out, or of the whole host. `branch` is that node's number of segments.
-    """
-    # nodes are known by a digest of their segments, which have no slash, so long paths stay small
-    def digest(depth: Column) -> Column:
-        return F.md5(F.array_join(F.slice("template", F.lit(1), depth), "/").cast("binary"))
-
-    leaves = materialise(tree.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad")).withColumn("leaf", digest(F.size("template"))))
-    whole = leaves.agg(F.sum("bad").alias("all_bad"), F.sum("labelled").alias("all_labelled"))
-    steps = leaves.select("*", F.explode(F.sequence(F.lit(0), F.size("template"))).alias("depth"))
-    parent = F.when(F.col("depth") > 0, digest(F.col("depth") - 1))
-    on_way = materialise(steps.select("host", "leaf", "depth", digest(F.col("depth")).alias("node"), parent.alias("parent"), "labelled", "bad"))
-    nodes = materialise(on_way.groupBy("host", "node", "parent").agg(F.sum("labelled").alias("node_labelled"), F.sum("bad").alias("node_bad")))
-    # only a child with labels can stand out
-    child = nodes.where("parent is not null and node_labelled > 0").select("host", "node", "parent", F.col("node_labelled").alias("labelled"), F.col("node_bad").alias("bad"))
+def chain(shapes: Column) -> Column:
+    """Digests of all beginnings of a path, each made from the one before: memory is linear in the path."""
+    first = F.array(F.lit("").cast("string"))
+    return F.aggregate(shapes, first, lambda acc, x: F.concat(acc, F.array(F.md5(F.concat(F.element_at(acc, -1), F.lit("/"), x).cast("binary")))))
+
+
+def path_key(shapes: Column) -> Column:
+    """A digest that stands for the shapes of a path."""
+    return F.md5(F.array_join(shapes, "/").cast("binary"))
+
+
+COUNTS = ("labelled", "bad", "labelled0", "bad0")
+
+
+def paths(pages: DataFrame) -> DataFrame:
+    """(host, key, shapes, pages, and COUNTS) from (host, path, bad: 1, 0 or null, half: 0 or 1)."""
+    first = F.col("half") == 0
+    counts = F.count("bad"), F.coalesce(F.sum("bad"), F.lit(0)), F.count(F.when(first, F.col("bad"))), F.coalesce(F.sum(F.when(first, F.col("bad"))), F.lit(0))
+    counted = pages.groupBy("host", shapes(F.col("path")).alias("shapes")).agg(F.count("*").alias("pages"), *(c.alias(n) for c, n in zip(counts, COUNTS, strict=True)))
+    return materialise(counted.select("host", path_key(F.col("shapes")).alias("key"), "shapes", "pages", *COUNTS))
+
+
+def nodes(tree: DataFrame) -> DataFrame:
+    """(host, node, parent, depth, and COUNTS) of all beginnings of labelled paths; a root has no parent."""
+    ways = tree.where("labelled > 0").select("host", F.col("shapes"), *COUNTS).withColumn("chain", chain(F.col("shapes")))
+    steps = ways.select("host", "chain", F.explode(F.sequence(F.lit(0), F.size("chain") - 1)).alias("depth"), *COUNTS)
+    parent = F.when(F.col("depth") > 0, F.get("chain", F.col("depth") - 1))
+    each = steps.select("host", F.get("chain", "depth").alias("node"), parent.alias("parent"), "depth", *COUNTS)
+    return materialise(each.groupBy("host", "node", "parent", "depth").agg(*(F.sum(c).alias(c) for c in COUNTS)))
+
+
+def alone(found: DataFrame, z: float = Z) -> DataFrame:
+    """The children of `nodes` with `apart`: whether each stands out from its parent by itself."""
+    child = found.where("parent is not null")
     tested = child.groupBy("host", "parent").agg(F.count("*").alias("tested"))
-    pairs = child.join(nodes.select("host", F.col("node").alias("parent"), "node_labelled", "node_bad"), ["host", "parent"]).join(tested, ["host", "parent"])
-    apart = pairs.where(stands_out(F.col("bad"), F.col("labelled"), F.col("node_bad"), F.col("node_labelled"), F.col("tested"), z)).select("host", "node", F.lit(True).alias("apart"))
-    own = on_way.select("host", "leaf", "depth", "node").join(apart, ["host", "node"], "left").where(F.col("apart") | (F.col("depth") == 0))
-    branch = own.groupBy("host", "leaf").agg(F.max("depth").alias("branch"), F.max_by("node", "depth").alias("node"))
-    found = leaves.select("host", "template", "leaf").join(branch, ["host", "leaf"]).join(nodes.drop("parent"), ["host", "node"])
-    by_host = nodes.where("parent is null").select("host", F.col("node_labelled").alias("host_labelled"), F.col("node_bad").alias("host_bad"))
+    above = found.select("host", F.col("node").alias("parent"), F.col("labelled").alias("node_labelled"), F.col("bad").alias("node_bad"))
+    told = child.join(bounded(materialise(tested.join(above, ["host", "parent"]))), ["host", "parent"])
+    apart = stands_out(F.col("bad"), F.col("labelled"), F.col("node_bad"), F.col("node_labelled"), F.col("tested"), z)
+    return materialise(told.select("host", "node", "parent", "depth", *COUNTS, apart.alias("apart")))
+
+
+def _rate(bad: Column, labelled: Column) -> Column:
+    return bad / F.nullif(labelled, F.lit(0))
+
+
+def sides(children: DataFrame, z: float = Z) -> DataFrame:
+    """(host, node, depth, labelled, bad) of siblings that are merged into two sides of their parent.
+
+    From (host, node, parent, depth, COUNTS) of nodes that do not stand out alone. The counts are
+    those of the node's side, made of labels that had no part in picking it.
+    """
+    halves = children.withColumns({"labelled1": F.col("labelled") - F.col("labelled0"), "bad1": F.col("bad") - F.col("bad0")})
+    pool = halves.groupBy("host", "parent").agg(*(F.sum(c).alias(f"all_{c}") for c in ("labelled0", "bad0", "labelled1", "bad1")), F.count("*").alias("siblings")).where("siblings > 1")
+    told = halves.join(bounded(materialise(pool)), ["host", "parent"])
+
+    def honest(high: bool, what: str) -> Column:
+        out = F.lit(0)
+        for own, other in ((0, 1), (1, 0)):
+            over = _rate(F.col(f"bad{own}"), F.col(f"labelled{own}")) > _rate(F.col(f"all_bad{own}"), F.col(f"all_labelled{own}"))
+            out = out + F.coalesce(F.sum(F.when(over if high else ~over, F.col(f"{what}{other}"))), F.lit(0))
+        return out
+
+    split = told.groupBy("host", "parent").agg(honest(True, "labelled").alias("high_labelled"), honest(True, "bad").alias("high_bad"), honest(False, "labelled").alias("low_labelled"), honest(False, "bad").alias("low_bad"))
+    high, low = ((F.col(f"{k}_bad") + 0.5) / (F.col(f"{k}_labelled") + 1) for k in ("high", "low"))
+    both = (F.col("high_bad") + F.col("low_bad"), F.col("high_labelled") + F.col("low_labelled"))
+    real = split.where((F.col("high_labelled") > 0) & (F.col("low_labelled") > 0) & (high > low) & stands_out(F.col("high_bad"), F.col("high_labelled"), *both, F.lit(1), z))
+    joined = children.join(bounded(materialise(real)), ["host", "parent"])
+    likelier = F.col("bad") * F.log(high / low) + (F.col("labelled") - F.col("bad")) * F.log((1 - high) / (1 - low)) > 0
+    return joined.select("host", "node", "depth", *(F.when(likelier, F.col(f"high_{c}")).otherwise(F.col(f"low_{c}")).alias(c) for c in ("labelled", "bad")))
+
+
+def branches(tree: DataFrame, *, prior: float = PRIOR, reject: float = REJECT, z: float = Z) -> DataFrame:
+    """(host, node, depth, purity, rejected): the nodes that stand out, and the roots of all hosts with labels."""
+    found = nodes(tree)
+    tested = alone(found, z)
+    own = tested.where("apart").select("host", "node", "depth", "labelled", "bad")
+    roots = found.where("parent is null").select("host", "node", "depth", "labelled", "bad")
+    marks = own.unionByName(sides(tested.where("not apart").drop("apart"), z)).unionByName(roots)
+    whole = roots.agg(F.sum("bad").alias("all_bad"), F.sum("labelled").alias("all_labelled"))
+    by_host = roots.select("host", F.col("labelled").alias("host_labelled"), F.col("bad").alias("host_bad"))
     # one row for the corpus: a single aggregate, so its broadcast has a fixed size
-    rows = found.join(by_host, "host").join(F.broadcast(whole))
-    base = F.coalesce(F.col("all_bad") / F.nullif(F.col("all_labelled"), F.lit(0)), F.lit(0.0))
+    rows = marks.join(bounded(by_host), "host").join(F.broadcast(whole))
+    base = F.coalesce(_rate(F.col("all_bad"), F.col("all_labelled")), F.lit(0.0))
     host_rate = (F.col("host_bad") + prior * base) / (F.col("host_labelled") + prior)
-    purity = (F.col("node_bad") + prior * host_rate) / (F.col("node_labelled") + prior)
-    return rows.select("host", "template", "branch", purity.alias("purity"), (purity >= reject).alias("rejected"))
+    purity = (F.col("bad") + prior * host_rate) / (F.col("labelled") + prior)
+    return materialise(rows.select("host", "node", "depth", purity.alias("purity"), (purity >= reject).alias("rejected")))
+
+
+def rejected_paths(tree: DataFrame, marks: DataFrame) -> DataFrame:
+    """(host, key, pages, template) of the paths whose deepest mark is rejected."""
+    hosts = bounded(materialise(marks.where("rejected").select("host").distinct()))
+    ways = tree.join(hosts, "host", "left_semi").select("host", "key", "pages", "shapes", F.posexplode(chain(F.col("shapes"))).alias("depth", "node"))
+    on_way = ways.join(bounded(marks.select("host", "node", "rejected")), ["host", "node"])
+    last = on_way.groupBy("host", "key").agg(F.max_by(F.struct("rejected", "pages", "shapes", "depth"), "depth").alias("x")).select("host", "key", "x.*").where("rejected")
+    kept, rest = F.slice("shapes", F.lit(1), F.col("depth")), F.size("shapes") - F.col("depth")
+    wild = F.transform(F.slice("shapes", F.col("depth") + 1, F.greatest(rest, F.lit(0))), lambda _: F.lit(ANY))
+    return materialise(last.select("host", "key", "pages", F.concat(F.lit("/"), F.array_join(F.concat(kept, wild), "/")).alias("template")))
+
+
+def _looked_up(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """rows with `template` of the paths that `found` has, else null.
+
+    Few paths are broadcast. Of many, those with many pages are, whose number is bounded by the
+    pages over HOT_PATH, and the rest are joined by host and key.
+    """
+    short = found.select("host", "key", "template")
+    if found.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(short), ["host", "key"], "left")
+    hot = bounded(found.where(F.col("pages") > HOT_PATH).select("host", "key", "template"))
+    return rows.join(hot, ["host", "key"]).unionByName(rows.join(hot, ["host", "key"], "left_anti").join(short, ["host", "key"], "left"))
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str]], labels: DataFrame | None = None, *, key: str = "page_id", url: str = "url", prior: float = PRIOR, reject: float = REJECT) -> DataFrame:
     """One row per page: key, host, path, rule, verdict, template.
 
     `rules` are (host and path prefix, block or allow). `labels` is (doc_id, bad: 1 or 0) for the
-    documents whose number is the last number of a path; without it every template is allowed.
-    A null url has an empty host and path and its host's verdict. Keys may repeat or be null, and
-    each row is judged. Paths of any length count with all their segments. At a tie of purity and
-    limit a template is rejected. Other columns are ignored, whatever their names. An empty table
-    gives no rows; without labels nothing is rejected by the method.
+    documents whose number is the last number of a path; without it every page is allowed.
+    `template` is that of the rejected branch a page belongs to, else null. A null url has an empty
+    host and path and its host's verdict. Keys may repeat or be null, and each row is judged. Paths
+    of any length count with all their segments. At a tie of purity and limit a branch is rejected.
+    Other columns are ignored, whatever their names. An empty table gives no rows; without labels
+    nothing is rejected by the method.
     """
     verdicts = F.lit(None).cast("string")
     for rule, verdict in rules:
         verdicts = F.when(F.col("rule") == rule, F.lit(verdict)).otherwise(verdicts)
     base = pages.select(F.col(key).alias("page_id"), host(F.col(url)).alias("host"), path(F.col(url)).alias("path"))
     base = base.withColumn("rule", matching_rule(F.col("host"), F.col("path"), rules))
+    rows = base.withColumn("key", path_key(shapes(F.col("path"))))
     if labels is None:
-        labelled = base.withColumn("bad", F.lit(None).cast("int"))
+        out = rows.withColumn("template", F.lit(None).cast("string"))
     else:
         number = F.regexp_extract("path", r"([0-9]{1,18})(?:\.[A-Za-z]{1,5})?/*\z", 1)
-        known = labels.select("doc_id", "bad").dropna().where("doc_id >= 0").groupBy("doc_id").agg(F.max("bad").alias("bad"))
+        known = materialise(labels.select("doc_id", "bad").dropna().where("doc_id >= 0").groupBy("doc_id").agg(F.max("bad").alias("bad")))
+        # a cryptographic digest: sums such as CRC-32 put neighbouring numbers in the same half
+        half = F.conv(F.substring(F.md5(F.col("doc_id").cast("string").cast("binary")), 1, 8), 16, 10).cast("long") % 2
         # paths without a number get keys below zero, so they spread and match nothing
         spread = F.lit(-1) - F.pmod(F.xxhash64("page_id", "path"), F.lit(1 << 40))
-        labelled = base.withColumn("doc_id", F.coalesce(number.try_cast("bigint"), spread)).join(known, "doc_id", "left")
-    tree = templates(labelled.select("host", "path", "bad"))
-    names = tree.select("host", "shapes", "template").join(judged_templates(tree, prior=prior, reject=reject), ["host", "template"])
-    salted = names.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    rows = base.withColumn("shapes", shapes(F.col("path"))).withColumn("salt", F.pmod(F.xxhash64("page_id", "path"), F.lit(SALTS)).cast("int"))
-    out = rows.join(salted, ["host", "shapes", "salt"], "left")
-    method = F.when(F.coalesce(F.col("rejected"), F.lit(False)), F.lit("block")).otherwise(F.lit("allow"))
-    return out.select("page_id", "host", "path", "rule", F.coalesce(verdicts, method).alias("verdict"), F.concat(F.lit("/"), F.array_join("template", "/")).alias("template"))
+        labelled = base.withColumn("doc_id", F.coalesce(number.try_cast("bigint"), spread)).join(bounded(known), "doc_id", "left").withColumn("half", half)
+        tree = paths(labelled.select("host", "path", "bad", "half"))
+        out = _looked_up(rows, rejected_paths(tree, branches(tree, prior=prior, reject=reject)))
+    method = F.when(F.col("template").isNotNull(), F.lit("block")).otherwise(F.lit("allow"))
+    return out.select("page_id", "host", "path", "rule", F.coalesce(verdicts, method).alias("verdict"), "template")

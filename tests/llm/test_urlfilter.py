@@ -1,3 +1,4 @@
+import hashlib
 import math
 import random
 import re
@@ -62,9 +63,46 @@ def test_bad_directory_among_many_is_rejected(spark):
     got = urlfilter.judge(spark.createDataFrame(pages, "page_id long, url string"), [], spark.createDataFrame(labels, "doc_id long, bad int")).collect()
     blocked = {(r.host, r.path.split("/")[1]) for r in got if r.verdict == "block"}
     assert blocked == {("few.example", "aq"), ("many.example", "aq")}
-    assert {r.template for r in got if r.host == "many.example"} == {"/aq/{n}", "/*/{n}"}
-    # one label a directory is too few to tell them apart
-    assert {r.template for r in got if r.host == "tiny.example"} == {"/*/{n}"}
+    assert {r.template for r in got if r.verdict == "block"} == {"/aq/*"}
+
+
+def test_small_bad_directories_are_merged_with_each_other(spark):
+    """None of 30 directories stands out alone, nor does the host; half of the pages have no label."""
+    names = [f"{a}{b}" for a in words(160) for b in "xy"][:300]
+    pages, labels = [], {}
+    for k, name in enumerate(names):
+        for i in range(40):
+            pages.append((len(pages), f"https://wide.example/{name}/{len(pages)}"))
+            if i < 3:
+                labels[len(pages) - 1] = int(k < 30)
+    got = urlfilter.judge(spark.createDataFrame(pages, "page_id long, url string"), [], spark.createDataFrame(list(labels.items()), "doc_id long, bad int")).collect()
+    blocked = {r.page_id for r in got if r.verdict == "block"}
+    assert blocked == set(range(30 * 40)) and len({r.template for r in got if r.verdict == "block"}) == 30
+
+
+def test_noise_makes_no_branch(spark):
+    """Labels that are bad by chance alone, at any rate below the limit, block nothing."""
+    draw = random.Random(8)
+    names = [f"{a}{b}" for a in words(160) for b in "xy"][:300]
+    for rate in (0.05, 0.15, 0.3):
+        pages = [(i, f"https://noise.example/{names[i % 300]}/{i}") for i in range(1500)]
+        labels = [(i, int(draw.random() < rate)) for i in range(1500)]
+        got = urlfilter.judge(spark.createDataFrame(pages, "page_id long, url string"), [], spark.createDataFrame(labels, "doc_id long, bad int"))
+        assert got.where("verdict = 'block'").count() == 0
+
+
+def test_only_rejected_paths_are_looked_up(spark, monkeypatch):
+    pages = [(i, f"https://slugs.example/{'good' if i % 4 else 'junk'}/{''.join(words(160)[int(c)] for c in str(i))}/{i}") for i in range(4000)]
+    rows = spark.createDataFrame(pages, "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(0, 400)], "doc_id long, bad int")
+    kept = []
+    real = urlfilter._looked_up
+    monkeypatch.setattr(urlfilter, "_looked_up", lambda r, f: kept.append(f.count()) or real(r, f))
+    assert {r.page_id for r in urlfilter.judge(rows, [], labels).where("verdict = 'block'").collect()} == set(range(0, 4000, 4))
+    assert kept == [1000]
+    monkeypatch.setattr(urlfilter, "BROADCAST_ROWS", 10)
+    monkeypatch.setattr(urlfilter, "HOT_PATH", 0)
+    assert urlfilter.judge(rows, [], labels).where("verdict = 'block'").count() == 1000
 
 
 def test_segments_at_any_depth_tell_pages_apart(spark):
@@ -75,7 +113,7 @@ def test_segments_at_any_depth_tell_pages_apart(spark):
     labels = spark.createDataFrame([(i, int("casino" in p or "/cq/" in p)) for i, p in enumerate(paths[:-1])], "doc_id long, bad int")
     got = {r.page_id: r for r in urlfilter.judge(pages, [], labels).collect()}
     assert {i for i, r in got.items() if r.verdict == "block"} == {i for i, p in enumerate(paths) if "casino" in p or "/cq/" in p}
-    assert {r.template for r in got.values()} == {f"/en/{{n}}/{{n}}/{{n}}/news/local/{x}/{{n}}" for x in ("casino", "council")} | {"/a/b/c/d/e/f/g/*/x/{n}", "/a/b/c/d/e/f/g/cq/x/{n}", "/" + "a/" * 400 + "{n}"}
+    assert {r.template for r in got.values()} == {None, "/en/{n}/{n}/{n}/news/local/casino/*", "/a/b/c/d/e/f/g/cq/*/*"}
 
 
 def shape(x):
@@ -100,37 +138,51 @@ def plain_verdicts(pages, labels):
     for key, url in pages:
         host, path = parts(url)
         m = re.search(r"([0-9]{1,18})(?:\.[A-Za-z]{1,5})?/*\Z", path)
-        rows[host].append([key, path, [shape(x) for x in path.split("/") if x], labels.get(int(m[1])) if m else None])
+        number = int(m[1]) if m else None
+        rows[host].append((key, path, tuple(shape(x) for x in path.split("/") if x), labels.get(number), int(hashlib.md5(str(number).encode()).hexdigest()[:8], 16) % 2))
     known = [r[3] for of_host in rows.values() for r in of_host if r[3] is not None]
     base = sum(known) / len(known) if known else 0.0
     for of_host in rows.values():
-        for level in range(max(len(r[2]) for r in of_host)):
-            nodes = defaultdict(lambda: defaultdict(list))
-            for r in of_host:
-                if len(r[2]) > level:
-                    nodes[tuple(r[2][:level])][r[2][level]].append(r)
-            for children in nodes.values():
-                n, bad, total = ({k: f(v) for k, v in children.items()} for f in (lambda v: sum(r[3] is not None for r in v), lambda v: sum(r[3] or 0 for r in v), len))
-                if len(children) > 32:
-                    for k, v in children.items():
-                        if total[k] < 0.02 * sum(total.values()) and not apart(bad[k], n[k], sum(bad.values()), sum(n.values()), sum(x > 0 for x in n.values())):
-                            for r in v:
-                                r[2][level] = "*"
-        count = defaultdict(lambda: [0, 0])
-        for r in of_host:
-            for d in range(len(r[2]) + 1):
-                if r[3] is not None:
-                    count[tuple(r[2][:d])][0] += r[3]
-                    count[tuple(r[2][:d])][1] += 1
-        tested = defaultdict(int)
-        for node, (_, n) in count.items():
-            tested[node[:-1]] += bool(node and n)
-        rate = (count[()][0] + 10 * base) / (count[()][1] + 10)
-        for key, path, template, _ in of_host:
-            node = tuple(template)
-            while node and not (count[node][1] and apart(*count[node], *count[node[:-1]], tested[node[:-1]])):
+        count = defaultdict(lambda: [[0, 0], [0, 0]])  # by half: labelled, bad
+        for _, _, way, bad, half in of_host:
+            for d in range(len(way) + 1):
+                if bad is not None:
+                    count[way[:d]][half][0] += 1
+                    count[way[:d]][half][1] += bad
+        total = {k: tuple(map(sum, zip(*v, strict=True))) for k, v in count.items()}
+        children = defaultdict(list)
+        for node in total:
+            if node:
+                children[node[:-1]].append(node)
+        marks = {}
+        for above, below in children.items():
+            n, bad = total[above]
+            single = [c for c in below if apart(total[c][1], total[c][0], bad, n, len(below))]
+            marks |= {c: total[c] for c in single}
+            rest = [c for c in below if c not in single]
+            sides = {True: [0, 0], False: [0, 0]}
+            for own in (0, 1):
+                pool = [sum(count[c][own][i] for c in rest) for i in (0, 1)]
+                for c in rest:
+                    if count[c][own][0]:
+                        high = count[c][own][1] / count[c][own][0] > pool[1] / pool[0]
+                        for i in (0, 1):
+                            sides[high][i] += count[c][1 - own][i]
+            (hn, hb), (ln, lb) = sides[True], sides[False]
+            if len(rest) > 1 and hn and ln:
+                high, low = (hb + 0.5) / (hn + 1), (lb + 0.5) / (ln + 1)
+                if high > low and apart(hb, hn, hb + lb, hn + ln, 1):
+                    for c in rest:
+                        k, b = total[c]
+                        marks[c] = (hn, hb) if b * math.log(high / low) + (k - b) * math.log((1 - high) / (1 - low)) > 0 else (ln, lb)
+        n, bad = total.get((), (0, 0))
+        rate = (bad + 10 * base) / (n + 10)
+        for key, path, way, _, _ in of_host:
+            node = way
+            while node and node not in marks:
                 node = node[:-1]
-            out[key, path] = "block" if (count[node][0] + 10 * rate) / (count[node][1] + 10) >= 0.5 else "allow"
+            k, b = marks.get(node, (n, bad))
+            out[key, path] = "block" if n and (b + 10 * rate) / (k + 10) >= 0.5 else "allow"
     return out
 
 
