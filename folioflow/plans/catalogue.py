@@ -509,40 +509,40 @@ def stream_resume(v: Views) -> DataFrame:
     return rows.groupBy("id", "key").agg(F.max("include").alias("include"), F.count_if("ok").alias("successes"))
 
 
-@query(f"WITH {views.LOG} SELECT seq, id, key, ok, include, array_to_string(basis, ',') AS basis FROM log")
+@query("SELECT doc_id, lang, source, n_chars, sha256(text) AS text_sha256 FROM documents")
 def jsonl_log(v: Views) -> DataFrame:
-    """The log in two appends as JSON Lines, torn behind each and repaired by the next, then read with a torn tail."""
+    """Whole texts as JSON Lines in two appends, torn behind each and repaired by the next, then read with a torn tail."""
     path = shared_dir(v.spark)
-    rows = v.log().select("seq", "id", "key", "ok", "include", "basis")
+    rows = v.table("documents").select("doc_id", "text", "lang", "source", "n_chars")
     for part in range(2):
-        jsonl.append(rows.where(F.col("seq") % 2 == part), path)
+        jsonl.append(rows.where(F.pmod("doc_id", F.lit(2)) == part), path)
         system, root = storage.of(path)
         last = storage.visible(system, root)[-1][0]
-        storage.extend(system, last, [], '{"seq": 1, "id": "\u00e9'.encode()[:-1])
-    read = jsonl.read(v.spark, path, "seq long, id string, key string, ok boolean, include string, basis array<string>", split=1 << 16)
-    return read.withColumn("basis", F.array_join("basis", ","))
+        storage.extend(system, last, [], '{"doc_id": 1, "text": "\u00e9'.encode()[:-1])
+    read = jsonl.read(v.spark, path, "doc_id long, text string, lang string, source string, n_chars long", split=1 << 20)
+    return read.select("doc_id", "lang", "source", "n_chars", T.sha256(F.col("text")).alias("text_sha256"))
 
 
 @query(
-    "WITH o AS (SELECT CAST(c_custkey AS VARCHAR) AS id, c_custkey % 5 AS d FROM customer WHERE c_custkey % 3 <> 0), n AS (SELECT CAST(c_custkey AS VARCHAR) AS id, CASE WHEN c_custkey % 7 = 0 THEN 9 ELSE c_custkey % 5 END AS d FROM customer WHERE c_custkey % 3 <> 1) "
+    "WITH o AS (SELECT CAST(doc_id AS VARCHAR) AS id, n_chars % 5 AS d FROM documents WHERE doc_id % 3 <> 0), n AS (SELECT CAST(doc_id AS VARCHAR) AS id, CASE WHEN doc_id % 7 = 0 THEN 9 ELSE n_chars % 5 END AS d FROM documents WHERE doc_id % 3 <> 1) "
     "SELECT coalesce(o.id, n.id) AS id, CASE WHEN o.id IS NULL THEN 'added' WHEN n.id IS NULL THEN 'dropped' WHEN o.d <> n.d THEN 'changed' ELSE 'kept' END AS change, CASE WHEN o.id IS NULL THEN 'r2' ELSE 'r1' END AS first_run, CASE WHEN n.id IS NULL THEN 'r1' ELSE 'r2' END AS last_run, n.id IS NOT NULL AS current FROM o FULL JOIN n USING (id)"
 )
 def search_states(v: Views) -> DataFrame:
     """Two snapshots of a search: what changed, and the state that keeps every id."""
-    key = F.col("c_custkey")
-    old = snapshots.digested(v.table("customer").where(key % 3 != 0).select(key.alias("id"), (key % 5).alias("d")), "id")
-    new = snapshots.digested(v.table("customer").where(key % 3 != 1).select(key.alias("id"), F.when(key % 7 == 0, 9).otherwise(key % 5).alias("d")), "id")
+    key, told = F.col("doc_id"), F.col("n_chars") % 5
+    old = snapshots.digested(v.table("documents").where(key % 3 != 0).select(key.alias("id"), told.alias("d")), "id")
+    new = snapshots.digested(v.table("documents").where(key % 3 != 1).select(key.alias("id"), F.when(key % 7 == 0, 9).otherwise(told).alias("d")), "id")
     state = snapshots.fold(snapshots.fold(v.spark.createDataFrame([], snapshots.STATE), old, "r1"), new, "r2")
     return snapshots.changes(old, new).join(state, "id").select("id", "change", "first_run", "last_run", "current")
 
 
-@query(f"WITH {views.LOG} SELECT seq, id, CAST(k AS VARCHAR) AS key FROM l0 JOIN log ON seq = event_id WHERE k = 1")
+@query("SELECT doc_id AS seq, lang AS id FROM documents WHERE doc_id % 3 = 1")
 def configuration_filter(v: Views) -> DataFrame:
-    """Rows whose key is that of their own hash under the model in use; the others were made by two other models."""
-    log = v.log().withColumn("pdf_sha256", T.sha256(F.col("id")))
-    made = F.when(F.col("key") == "1", T.evaluation_key(F.col("pdf_sha256"), MODEL, EFFORT, PIPELINE, PROMPT)).when(F.col("key") == "0", T.evaluation_key(F.col("pdf_sha256"), "model-b", EFFORT, PIPELINE, PROMPT)).otherwise(T.evaluation_key(F.col("pdf_sha256"), MODEL, "low", PIPELINE, PROMPT))
-    kept = resultlog.of_configuration(log.withColumn("plain", F.col("key")).withColumn("key", made), MODEL, EFFORT, PIPELINE, PROMPT)
-    return kept.select("seq", "id", F.col("plain").alias("key"))
+    """Rows whose key is that of their own hash under the model in use; the others were made by another model or effort."""
+    sha = T.sha256(F.col("text"))
+    made = F.when(F.col("doc_id") % 3 == 1, T.evaluation_key(sha, MODEL, EFFORT, PIPELINE, PROMPT)).when(F.col("doc_id") % 3 == 0, T.evaluation_key(sha, "model-b", EFFORT, PIPELINE, PROMPT)).otherwise(T.evaluation_key(sha, MODEL, "low", PIPELINE, PROMPT))
+    log = v.table("documents").select(F.col("doc_id").alias("seq"), F.col("lang").alias("id"), made.alias("key"), sha.alias("pdf_sha256"))
+    return resultlog.of_configuration(log, MODEL, EFFORT, PIPELINE, PROMPT).select("seq", "id")
 
 
 @query(
@@ -562,18 +562,19 @@ def result_records(v: Views) -> DataFrame:
 
 
 @query(
-    "WITH e AS (SELECT CAST(user_id AS VARCHAR) AS lane, event_id AS seq, epoch_us(ts) // 1000 AS ms, event_id % 4 = 3 AS wall FROM events), "
+    "WITH e AS (SELECT CAST(page_id % 199 AS VARCHAR) AS lane, page_id AS seq, 1700000000000 + page_id % 977 * 1000 AS ms, page_id % 4 = 3 AS wall FROM pages), "
     "n AS (SELECT *, count(CASE WHEN NOT wall THEN 1 END) OVER (PARTITION BY lane ORDER BY ms, seq) AS n FROM e), "
     "m AS (SELECT *, max(CASE WHEN NOT wall THEN ms - n * 3000 END) OVER (PARTITION BY lane ORDER BY ms, seq) + n * 3000 AS made FROM n) "
     "SELECT lane, seq, CAST(CASE WHEN wall THEN greatest(ms, coalesce(made + 3000, 0)) ELSE made END AS BIGINT) AS lease_ms, wall AS skipped FROM m"
 )
 def stream_leases(v: Views) -> DataFrame:
-    """A user's events as requests to four hosts, one of them a wall: when each may start, or that it is skipped."""
+    """Pages as requests in lanes, to four hosts of which one is a wall: when each may start, or that it is skipped."""
     from ..streaming import leases
 
-    host = F.concat(F.lit("h"), (F.col("event_id") % 4).cast("string"))
+    start = 1_700_000_000_000
+    host = F.concat(F.lit("h"), (F.col("page_id") % 4).cast("string"))
     none, no = F.lit(None).cast("string"), F.lit(False)
-    events = v.table("events")
-    asked = events.select(F.col("user_id").cast("string").alias("lane"), F.col("event_id").alias("seq"), F.col("ts").cast("timestamp").alias("at"), F.concat(F.lit("https://"), host, F.lit("/")).alias("url"), host.alias("host"), no.alias("preprint"), no.alias("wall"))
-    walls = events.groupBy(F.col("user_id").cast("string").alias("lane")).agg(F.min("ts").cast("timestamp").alias("at")).select("lane", F.lit(-1).cast("long").alias("seq"), "at", none.alias("url"), F.lit("h3").alias("host"), no.alias("preprint"), F.lit(True).alias("wall"))
+    lane = (F.col("page_id") % 199).cast("string").alias("lane")
+    asked = v.table("pages").select(lane, F.col("page_id").alias("seq"), F.timestamp_millis(F.lit(start) + F.col("page_id") % 977 * 1000).alias("at"), "url", host.alias("host"), no.alias("preprint"), no.alias("wall"))
+    walls = v.table("pages").select(lane).distinct().select("lane", F.lit(-1).cast("long").alias("seq"), F.timestamp_millis(F.lit(start)).alias("at"), none.alias("url"), F.lit("h3").alias("host"), no.alias("preprint"), F.lit(True).alias("wall"))
     return leases.schedule([asked.unionByName(walls)], delay="1 hour").select("lane", "seq", "lease_ms", "skipped")
