@@ -31,15 +31,22 @@ from .urlfilter import host, path
 PART_ROWS = 20_000
 
 # Element names and the words of class, id and role names.
-_RAW = {"script", "style", "noscript", "template", "iframe", "svg", "math", "textarea", "title", "head", "object", "canvas"}
+_RAW = {"script", "style", "noscript", "template", "iframe", "textarea", "title", "head"}
 _DROPPED = {"nav", "header", "footer", "aside", "form", "button", "select", "menu", "dialog", "menuitem", "input", "label", "fieldset"}
 _MAIN = {"article", "main"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 _INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "img"}
-_NAMES = re.compile(
-    r"(?i)(?:^|[\s_-])(?:ad|ads|advert|adverts|advertisement|advertising|banner|sponsor|sponsored|promo|nav|navbar|navigation|menu|breadcrumb|breadcrumbs|sidebar|side|footer|"
-    r"masthead|comment|comments|respond|reply|replies|cookie|cookies|consent|gdpr|notice|popup|modal|newsletter|subscribe|signup|share|sharing|social|related|widget|toolbar|pagination|pager|skip)(?:$|[\s_-])"
-)
+_INLINE |= {"math", "semantics", "annotation", "mrow", "mi", "mn", "mo", "ms", "mtext", "mspace", "mfrac", "msup", "msub", "msubsup", "msqrt", "mroot", "mover", "munder", "munderover", "mstyle", "mpadded", "menclose", "tspan"}
+_NAMES = {
+    "ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "sponsor", "sponsored", "promo", "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "sidebar", "footer",
+    "masthead", "comment", "comments", "respond", "reply", "replies", "cookie", "cookies", "consent", "gdpr", "notice", "popup", "modal", "newsletter", "subscribe", "signup", "share", "sharing", "social",
+    "related", "widget", "toolbar", "pagination", "pager", "skip",
+}
+_PLAIN = {
+    "area", "articles", "bar", "block", "body", "bottom", "box", "button", "buttons", "container", "content", "form", "group", "icons", "inner", "item", "items", "left", "link", "links", "list", "main",
+    "outer", "overlay", "page", "panel", "post", "posts", "primary", "right", "secondary", "section", "side", "site", "slot", "thread", "to", "top", "unit", "wrap", "wrapper",
+}
+_PART = re.compile(r"[-_]+")
 _ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar"}
 _RAW_END = {name: re.compile(f"</{name}", re.I) for name in _RAW}
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(>|\Z)", re.S)
@@ -47,6 +54,18 @@ _ATTRIBUTE = re.compile(r"([A-Za-z_:-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"
 _SPACE = re.compile(r"\s+")
 
 
+def _names_boilerplate(value: str) -> bool:
+    """Whether one of the names says what it is: all its parts are of the lists, or numbers.
+
+    So `share-buttons` and `ad-slot-2` are, and `share-price` and `related-work` are not.
+    """
+    for word in value.lower().split():
+        parts = [x for x in _PART.split(word) if x and not x.isdigit()]
+        if any(x in _NAMES for x in parts) and all(x in _NAMES or x in _PLAIN for x in parts):
+            return True
+    return False
+
+
 def _boilerplate(name: str, attributes: str) -> bool:
     if name in _DROPPED:
         return True
@@ -54,7 +73,7 @@ def _boilerplate(name: str, attributes: str) -> bool:
         return False
     for m in _ATTRIBUTE.finditer(attributes):
         key, value = m[1].lower(), html.unescape(m[2] or m[3] or m[4] or "")
-        if key in ("class", "id") and _NAMES.search(value) or key == "role" and value.lower() in _ROLES or key == "hidden":
+        if key in ("class", "id") and _names_boilerplate(value) or key == "role" and value.lower() in _ROLES or key == "hidden":
             return True
     return False
 

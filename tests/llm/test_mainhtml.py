@@ -147,3 +147,11 @@ def test_letters_whose_lower_case_is_longer_move_nothing():
 def test_columns_with_names_of_the_results(spark):
     rows = spark.createDataFrame([(1, "https://a.example/", "<p>x</p>", "t", "h", "p", 3)], "page_id long, url string, html string, text string, host string, path string, row_key int")
     assert [tuple(r) for r in mainhtml.main_text(rows).collect()] == [(1, "https://a.example/", "x", 0)]
+
+
+def test_names_that_only_hold_a_known_word_stay(spark):
+    page = """<article><h1>Title</h1><div class="share-price">Price 5</div><section id="related-work">Work</section><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> hold.</p>
+    <svg><text>Label</text></svg><object data="a"><p>Instead</p></object><div class="share-buttons top">S</div><div id="ad-slot-2">A</div><div class="cookie-consent-banner">C</div>
+    <div class="x comments-thread">R</div><ul class="related-articles"><li>L</li></ul><div class="sidebar left">B</div></article>"""
+    rows = spark.createDataFrame([(1, "http://h.example/a", page)], "page_id long, url string, html string")
+    assert mainhtml.main_text(rows).first().text.split("\n\n") == ["Title", "Price 5", "Work", "Let x=2 hold.", "Label", "Instead"]
