@@ -94,7 +94,10 @@ def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", most: i
 def classify(docs: DataFrame, model: Ranking, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, held_out, score, predicted for each row; text is the only input of a score.
 
-    Null and empty texts are scored as texts without words. A null id is not held out.
+    Null and empty texts are scored as texts without words; a text of any length is scored as a
+    whole. A score of exactly 0.5 is predicted 1. Rows that repeat have equal scores and each stays;
+    a null id is not held out. Other columns are left out, whatever their names, and an empty table
+    gives no rows. A model of no labelled rows gives all texts one score.
     """
     ranking = model
     small_batches(docs.sparkSession)
