@@ -47,6 +47,20 @@ def overlap(abstract: Column, text: Column) -> Column:
     return F.when(F.size(long) >= LEAST_ABSTRACT_WORDS, F.size(F.array_intersect(long, word_set(text))) / F.size(long))
 
 
+def two_decimals(value: Column) -> Column:
+    """A share from 0 to 1 with two decimals, rounded as the exact binary value is.
+
+    Only values half-way between two hundredths are doubtful: whether the double that is nearest to
+    such a value lies above or below it is looked up among the hundred that there are.
+    """
+    up = [k for k in range(100) if f"{(2 * k + 1) / 200:.2f}" == f"{(k + 1) / 100:.2f}"]
+    low = F.floor(value * 100)
+    rest = value * 100 - low
+    half = F.abs(rest - 0.5) < 1e-9
+    hundredths = F.when(half, low + F.when(low.isin(up), 1).otherwise(0)).otherwise(F.floor(value * 100 + 0.5))
+    return F.concat((hundredths / 100).cast("int").cast("string"), F.lit("."), F.lpad((hundredths % 100).cast("string"), 2, "0"))
+
+
 def first_offset(text: Column, pattern: str) -> Column:
     """Code points before the first match; null without one."""
     return F.when(text.rlike(f"(?md){pattern}"), F.length(F.regexp_extract(text, rf"(?smd)\A(.*?){pattern}", 1)))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import text as T
 from ..functions import urls as U
 
 # States of a response that may pass, and the words of failed file checks.
@@ -12,7 +13,7 @@ TRANSIENT_STATUS = (408, 425, 429)
 NO_SIGNATURE = "content has no PDF signature"
 WRONG_CHECKSUM = "PDF checksum does not match the expected SHA-256"
 UNREADABLE = "PDF cannot be opened or its first page cannot be read"
-NO_PAGES, NO_TEXT, OTHER_TEXT = "PDF has no pages", "PDF has no extractable text", "PDF text does not match the abstract"
+NO_PAGES, NO_TEXT, OTHER_TEXT = "PDF has no pages", "PDF has no extractable text", "PDF text does not match the abstract (overlap {})"
 
 
 def routed_links(records: DataFrame) -> DataFrame:
@@ -69,7 +70,7 @@ def pdf_error(signature: Column, checksum_fits: Column, page_count: Column, abst
     judged = F.coalesce(abstract, F.lit("")) != ""
     return (
         F.when(~signature, NO_SIGNATURE).when(~checksum_fits, WRONG_CHECKSUM).when(page_count.isNull(), UNREADABLE).when(page_count < 1, NO_PAGES)
-        .when(judged & ~has_text, NO_TEXT).when(judged & (overlap < 0.6), OTHER_TEXT)
+        .when(judged & ~has_text, NO_TEXT).when(judged & (overlap < 0.6), F.replace(F.lit(OTHER_TEXT), F.lit("{}"), T.two_decimals(overlap)))
     )
 
 

@@ -449,12 +449,12 @@ def open_access_phase(v: Views) -> DataFrame:
     return downloads.open_access_phase(jobs, attempts).select("id")
 
 
-@query("SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'content has no PDF signature' WHEN event_id % 3 = 0 THEN 'PDF checksum does not match the expected SHA-256' WHEN event_id % 5 = 0 THEN 'PDF cannot be opened or its first page cannot be read' WHEN event_id % 7 = 0 THEN 'PDF has no pages' WHEN event_id % 13 > 0 AND event_id % 11 = 0 THEN 'PDF has no extractable text' WHEN event_id % 13 > 0 AND event_id % 17 < 5 THEN 'PDF text does not match the abstract' END AS error FROM events")
+@query("SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'content has no PDF signature' WHEN event_id % 3 = 0 THEN 'PDF checksum does not match the expected SHA-256' WHEN event_id % 5 = 0 THEN 'PDF cannot be opened or its first page cannot be read' WHEN event_id % 7 = 0 THEN 'PDF has no pages' WHEN event_id % 13 > 0 AND event_id % 11 = 0 THEN 'PDF has no extractable text' WHEN event_id % 13 > 0 AND event_id % 17 < 5 THEN 'PDF text does not match the abstract (overlap ' || printf('%.2f', CAST(event_id % 120 AS DOUBLE) / 200) || ')' END AS error FROM events")
 def pdf_validation(v: Views) -> DataFrame:
     n = F.col("event_id")
     content = F.when(n % 2 == 0, F.concat(F.lit("x" * 1100), F.lit("%PDF-1.7"))).otherwise(F.lit("\n\n%PDF-1.7")).cast("binary")
     pages = F.when(n % 5 == 0, F.lit(None).cast("int")).when(n % 7 == 0, F.lit(0)).otherwise(F.lit(3))
-    overlap = F.when(n % 17 < 5, 0.46).when(n % 17 < 9, F.lit(None).cast("double")).otherwise(0.64)
+    overlap = F.when(n % 17 < 5, (n % 120) / F.lit(200.0)).when(n % 17 < 9, F.lit(None).cast("double")).otherwise(0.64)
     error = downloads.pdf_error(downloads.has_signature(content), n % 3 != 0, pages, F.when(n % 13 > 0, "a"), n % 11 != 0, overlap)
     return v.table("events").select("event_id", error.alias("error"))
 

@@ -72,7 +72,7 @@ def test_the_stage_end_to_end(spark, tmp_path):
     left = {r.id: (r.category, list(r.errors)) for r in entries.collect()}
     assert left == {
         "moved": ("blocked", ["HTTP 403 (bot protection: Cloudflare)", "skipped: wall.example already blocked a request in this run"]), "zlate": ("blocked", ["content has no PDF signature", "skipped: wall.example already blocked a request in this run"]),
-        "text": ("permanent", ["PDF text does not match the abstract"]), "lost": ("transient", ["open-access lookup failed: timeout", "no route"]),
+        "text": ("permanent", ["PDF text does not match the abstract (overlap 0.00)"]), "lost": ("transient", ["open-access lookup failed: timeout", "no route"]),
         "none": ("permanent", ["no open-access PDF URL was found in the search index (no DOI for the open-access source)"]), "clash": ("permanent", [download_stage.CONFLICT]),
     }
     assert counts == {"records": 11, "existing": 1, "attempted": 9, "downloaded": 4, "failed": 6, "manual_queue": 6}

@@ -204,3 +204,9 @@ def test_files(spark, tmp_path):
     assert [r.id for r in files.jobs(found).collect()] == ["1", "2", "b"] and files.jobs(found, 2).count() == 2
     out = files.save(spark.createDataFrame([("k", f"{tmp_path}/out/k.pdf", b"x")], "id string, target string, content binary")).collect()
     assert out[0].status == "downloaded" and (tmp_path / "out/k.pdf").read_bytes() == b"x"
+
+
+def test_two_decimals_are_those_of_the_exact_value(spark):
+    shares = sorted({a / b for b in (*range(1, 41), 200, 400, 625) for a in range(b + 1)})
+    rows = spark.createDataFrame([(x,) for x in shares], "x double").select("x", T.two_decimals(F.col("x")).alias("t")).collect()
+    assert [r.t for r in rows] == [f"{r.x:.2f}" for r in rows]
