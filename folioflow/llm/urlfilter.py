@@ -24,12 +24,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, ascii_lower, bounded, materialise
+from .common import ascii_lower, bounded, materialise
 
 #: Pseudo-labels at the host's rate, the rejecting purity, and the test's z value.
 PRIOR, REJECT, Z = 10.0, 0.5, 2.0
 #: Pages of one path from which on its row is broadcast instead of shuffled to them.
 HOT_PATH = 1_000_000
+#: Rows with a host and digests that may be broadcast: under 64 MB.
+FEW = 250_000
 ANY = "*"
 
 
@@ -128,7 +130,7 @@ def alone(found: DataFrame, z: float = Z) -> DataFrame:
     child = found.where("parent is not null")
     tested = child.groupBy("host", "parent").agg(F.count("*").alias("tested"))
     above = found.select("host", F.col("node").alias("parent"), F.col("labelled").alias("node_labelled"), F.col("bad").alias("node_bad"))
-    told = child.join(bounded(materialise(tested.join(above, ["host", "parent"]))), ["host", "parent"])
+    told = child.join(bounded(materialise(tested.join(above, ["host", "parent"])), FEW), ["host", "parent"])
     apart = stands_out(F.col("bad"), F.col("labelled"), F.col("node_bad"), F.col("node_labelled"), F.col("tested"), z)
     return materialise(told.select("host", "node", "parent", "depth", *COUNTS, apart.alias("apart")))
 
@@ -145,7 +147,7 @@ def sides(children: DataFrame, z: float = Z) -> DataFrame:
     """
     halves = children.withColumns({"labelled1": F.col("labelled") - F.col("labelled0"), "bad1": F.col("bad") - F.col("bad0")})
     pool = halves.groupBy("host", "parent").agg(*(F.sum(c).alias(f"all_{c}") for c in ("labelled0", "bad0", "labelled1", "bad1")), F.count("*").alias("siblings")).where("siblings > 1")
-    told = halves.join(bounded(materialise(pool)), ["host", "parent"])
+    told = halves.join(bounded(materialise(pool), FEW), ["host", "parent"])
 
     def honest(high: bool, what: str) -> Column:
         out = F.lit(0)
@@ -158,7 +160,7 @@ def sides(children: DataFrame, z: float = Z) -> DataFrame:
     high, low = ((F.col(f"{k}_bad") + 0.5) / (F.col(f"{k}_labelled") + 1) for k in ("high", "low"))
     both = (F.col("high_bad") + F.col("low_bad"), F.col("high_labelled") + F.col("low_labelled"))
     real = split.where((F.col("high_labelled") > 0) & (F.col("low_labelled") > 0) & (high > low) & stands_out(F.col("high_bad"), F.col("high_labelled"), *both, F.lit(1), z))
-    joined = children.join(bounded(materialise(real)), ["host", "parent"])
+    joined = children.join(bounded(materialise(real), FEW), ["host", "parent"])
     likelier = F.col("bad") * F.log(high / low) + (F.col("labelled") - F.col("bad")) * F.log((1 - high) / (1 - low)) > 0
     return joined.select("host", "node", "depth", *(F.when(likelier, F.col(f"high_{c}")).otherwise(F.col(f"low_{c}")).alias(c) for c in ("labelled", "bad")))
 
@@ -173,7 +175,7 @@ def branches(tree: DataFrame, *, prior: float = PRIOR, reject: float = REJECT, z
     whole = roots.agg(F.sum("bad").alias("all_bad"), F.sum("labelled").alias("all_labelled"))
     by_host = roots.select("host", F.col("labelled").alias("host_labelled"), F.col("bad").alias("host_bad"))
     # one row for the corpus: a single aggregate, so its broadcast has a fixed size
-    rows = marks.join(bounded(by_host), "host").join(F.broadcast(whole))
+    rows = marks.join(bounded(by_host, FEW), "host").join(F.broadcast(whole))
     base = F.coalesce(_rate(F.col("all_bad"), F.col("all_labelled")), F.lit(0.0))
     host_rate = (F.col("host_bad") + prior * base) / (F.col("host_labelled") + prior)
     purity = (F.col("bad") + prior * host_rate) / (F.col("labelled") + prior)
@@ -182,9 +184,9 @@ def branches(tree: DataFrame, *, prior: float = PRIOR, reject: float = REJECT, z
 
 def rejected_paths(tree: DataFrame, marks: DataFrame) -> DataFrame:
     """(host, key, pages, template) of the paths whose deepest mark is rejected."""
-    hosts = bounded(materialise(marks.where("rejected").select("host").distinct()))
+    hosts = bounded(materialise(marks.where("rejected").select("host").distinct()), FEW)
     ways = tree.join(hosts, "host", "left_semi").select("host", "key", "pages", "shapes", F.posexplode(chain(F.col("shapes"))).alias("depth", "node"))
-    on_way = ways.join(bounded(marks.select("host", "node", "rejected")), ["host", "node"])
+    on_way = ways.join(bounded(marks.select("host", "node", "rejected"), FEW), ["host", "node"])
     last = on_way.groupBy("host", "key").agg(F.max_by(F.struct("rejected", "pages", "shapes", "depth"), "depth").alias("x")).select("host", "key", "x.*").where("rejected")
     kept, rest = F.slice("shapes", F.lit(1), F.col("depth")), F.size("shapes") - F.col("depth")
     wild = F.transform(F.slice("shapes", F.col("depth") + 1, F.greatest(rest, F.lit(0))), lambda _: F.lit(ANY))
@@ -198,9 +200,9 @@ def _looked_up(rows: DataFrame, found: DataFrame) -> DataFrame:
     pages over HOT_PATH, and the rest are joined by host and key.
     """
     short = found.select("host", "key", "template")
-    if found.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    if found.limit(FEW + 1).count() <= FEW:
         return rows.join(F.broadcast(short), ["host", "key"], "left")
-    hot = bounded(found.where(F.col("pages") > HOT_PATH).select("host", "key", "template"))
+    hot = bounded(found.where(F.col("pages") > HOT_PATH).select("host", "key", "template"), FEW)
     return rows.join(hot, ["host", "key"]).unionByName(rows.join(hot, ["host", "key"], "left_anti").join(short, ["host", "key"], "left"))
 
 
@@ -230,7 +232,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], labels: DataFrame | No
         half = F.conv(F.substring(F.md5(F.col("doc_id").cast("string").cast("binary")), 1, 8), 16, 10).cast("long") % 2
         # paths without a number get keys below zero, so they spread and match nothing
         spread = F.lit(-1) - F.pmod(F.xxhash64("page_id", "path"), F.lit(1 << 40))
-        labelled = base.withColumn("doc_id", F.coalesce(number.try_cast("bigint"), spread)).join(bounded(known), "doc_id", "left").withColumn("half", half)
+        labelled = base.withColumn("doc_id", F.coalesce(number.try_cast("bigint"), spread)).join(bounded(known, FEW), "doc_id", "left").withColumn("half", half)
         tree = paths(labelled.select("host", "path", "bad", "half"))
         out = _looked_up(rows, rejected_paths(tree, branches(tree, prior=prior, reject=reject)))
     method = F.when(F.col("template").isNotNull(), F.lit("block")).otherwise(F.lit("allow"))

@@ -100,7 +100,7 @@ def test_only_rejected_paths_are_looked_up(spark, monkeypatch):
     monkeypatch.setattr(urlfilter, "_looked_up", lambda r, f: kept.append(f.count()) or real(r, f))
     assert {r.page_id for r in urlfilter.judge(rows, [], labels).where("verdict = 'block'").collect()} == set(range(0, 4000, 4))
     assert kept == [1000]
-    monkeypatch.setattr(urlfilter, "BROADCAST_ROWS", 10)
+    monkeypatch.setattr(urlfilter, "FEW", 10)
     monkeypatch.setattr(urlfilter, "HOT_PATH", 0)
     assert urlfilter.judge(rows, [], labels).where("verdict = 'block'").count() == 1000
 
