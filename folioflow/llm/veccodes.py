@@ -119,11 +119,13 @@ def fit(rows: DataFrame, *, parts: int = 8, entries: int = 16, rounds: int = 6)
     rows than entries, there are as many entries as rows. Unused entries stay as they are.
     """
     order = [F.col("vec_id").asc_nulls_last(), F.col("q")]
-    lead = rows.orderBy(*order).select(F.size("q").alias("n")).first()
-    if lead is None or not lead.n or lead.n % parts:
+    least = rows.orderBy(*order).limit(entries).select("q").collect()
+    length = len(least[0].q) if least else 0
+    if not length or length % parts:
         return None
-    same = rows.where(F.size("q") == lead.n)
-    least = same.orderBy(*order).limit(entries).select("q").collect()
+    same = rows.where(F.size("q") == length)
+    if any(len(r.q) != length for r in least):
+        least = same.orderBy(*order).limit(entries).select("q").collect()
     books = np.asarray([r.q for r in least], dtype=np.int64).reshape(len(least), parts, -1).transpose(1, 0, 2).copy()
     for _ in range(rounds):
         total = _totals(same, books)
@@ -137,25 +139,26 @@ def encode(rows: DataFrame, books: Codebooks | None) -> DataFrame:
 
     A vector whose length does not fit the codebooks has a null code and error.
     """
-    entries = None if books is None else books.entries
-    length = 0 if entries is None else entries.shape[0] * entries.shape[2]
-    fits = F.lit(length > 0) & (F.size("q") == length)
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-    if entries is None:
+    if books is None:
         return rows.select("vec_id", "label", F.lit(None).cast("string").alias("code"), F.lit(None).cast("long").alias("error"))
-    shared = rows.sparkSession.sparkContext.broadcast(entries)
-    width = digits_each(entries.shape[1])
-    digits = np.array([f"{i:0{width}x}" for i in range(entries.shape[1])])
+    shared = rows.sparkSession.sparkContext.broadcast(books.entries)
+    parts, entries, part = books.entries.shape
+    width, length = digits_each(entries), parts * part
+    digits = np.array([f"{i:0{width}x}" for i in range(entries)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            best, distance = nearest(_matrix(batch.column(2), length), shared.value)
-            code = ["".join(row) for row in digits[best].tolist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(code, pa.string()), pa.array(distance.sum(axis=1))], names=["vec_id", "label", "code", "error"])
-
-    coded = rows.where(fits).select("vec_id", "label", "q").mapInArrow(run, f"vec_id {kinds['vec_id']}, label {kinds['label']}, code string, error long")
-    rest = rows.where(~fits).select("vec_id", "label", F.lit(None).cast("string").alias("code"), F.lit(None).cast("long").alias("error"))
-    return coded.unionByName(rest)
+            vectors = batch.column(2)
+            fits = vectors.value_lengths().to_numpy(zero_copy_only=False) == length
+            code, error = np.full(len(fits), None, dtype=object), np.zeros(len(fits), dtype=np.int64)
+            if fits.any():
+                best, distance = nearest(_matrix(vectors.filter(pa.array(fits)), length), shared.value)
+                code[fits] = ["".join(row) for row in digits[best].tolist()]
+                error[fits] = distance.sum(axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(code, pa.string()), pa.array(error, mask=~fits)], names=["vec_id", "label", "code", "error"])
+
+    return rows.select("vec_id", "label", "q").mapInArrow(run, f"vec_id {kinds['vec_id']}, label {kinds['label']}, code string, error long")
 
 
 def with_label_error(coded: DataFrame) -> DataFrame:
