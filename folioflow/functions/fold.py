@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections import defaultdict
+from collections.abc import Callable
 from functools import cache
 
 from pyspark.sql import Column
@@ -56,7 +57,7 @@ def _composing() -> str:
             marks[kind].append(chr(point))
     every = [m for found in marks.values() for m in found]
     parts = []
-    for kind, found in sorted(marks.items()):
+    for kind, found in sorted(marks.items(), key=lambda x: -len(x[1])):  # the commonest marks first
         by_letters = defaultdict(list)
         for m in found:
             # the capital with a dot above is one small letter and that dot again when it is lowered
@@ -64,17 +65,27 @@ def _composing() -> str:
             if letters:
                 by_letters[letters].append(m)
         others = [m for m in every if unicodedata.combining(m) != kind]
-        parts += [f"[{letters}](?={_class(others)}*+{_class(own)})" for letters, own in sorted(by_letters.items())]
+        parts += [f"[{letters}](?={_class(own)}|{_class(others)}*+{_class(own)})" for letters, own in sorted(by_letters.items(), key=lambda x: (-len(x[0]), x[0]))]
     # a look at the next character first, as most letters have no mark behind them
     return r"(?=[A-Za-z]\p{M})(?:" + "|".join(parts) + ")"
 
 
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """then(value), with the value made once however often `then` uses it."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def fold(text: Column) -> Column:
     single, several = _tables()
-    one = F.translate(text, "".join(single), "".join(single.values()))
     table = F.create_map(*(F.lit(x) for pair in several.items() for x in pair))
-    many = F.array_join(F.transform(F.regexp_extract_all(one, F.lit("(?s)."), F.lit(0)), lambda c: F.when(F.octet_length(c) == 1, c).otherwise(F.coalesce(table[c], c))), "")
-    one = F.when(one.rlike(r"(?=[^\x00-\x7F])" + _class(list(several))), many).otherwise(one)
-    kept = F.when(one.rlike(r"[A-Za-z]\p{M}"), F.regexp_replace(one, _composing(), COMPOSED)).otherwise(one)
+
+    def spelt(one: Column) -> Column:
+        each = F.transform(F.regexp_extract_all(one, F.lit("(?s)."), F.lit(0)), lambda c: F.when(F.octet_length(c) == 1, c).otherwise(F.coalesce(table[c], c)))
+        return F.when(one.rlike(r"(?=[^\x00-\x7F])" + _class(list(several))), F.array_join(each, "")).otherwise(one)
+
+    def parted(two: Column) -> Column:
+        return F.when(two.rlike(r"[A-Za-z]\p{M}"), F.regexp_replace(two, _composing(), COMPOSED)).otherwise(two)
+
+    done = _let(F.translate(text, "".join(single), "".join(single.values())), lambda one: _let(spelt(one), parted))
     # most texts are ASCII or nearly so; only others need any of this
-    return F.lower(F.when(text.rlike(r"[^\x00-\x7F]"), kept).otherwise(text))
+    return F.lower(F.when(text.rlike(r"[^\x00-\x7F]"), done).otherwise(text))
