@@ -22,6 +22,10 @@ from pyspark.sql import functions as F
 
 #: Stands in the place of a letter that has become part of a composite.
 COMPOSED = "�"
+#: A mark, also one that is newer than the JVM's Unicode data.
+MARK = r"[\p{M}\p{Cn}]"
+#: ASCII characters that are no letters. Nothing on one side of them changes what letters are on the other.
+BREAK = r"[\x00-@\[-`{-\x7F]+"
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 
 
@@ -34,6 +38,8 @@ def _tables() -> tuple[dict[str, str], dict[str, str]]:
         n = unicodedata.normalize("NFKC", c)
         if n != c and (any(x in LETTERS for x in n) or all(unicodedata.combining(x) for x in n)):
             (single if len(n) == 1 else several)[c] = n
+    # apart from its dot it composes with marks below it, and it is the one composite that lower-cases to an ASCII letter
+    several["\u0130"] = "I\u0307"
     return single, several
 
 
@@ -56,7 +62,7 @@ def _composing() -> str:
         if kind := unicodedata.combining(chr(point)):
             marks[kind].append(chr(point))
     every = [m for found in marks.values() for m in found]
-    parts = []
+    direct, behind = [], []
     for kind, found in sorted(marks.items(), key=lambda x: -len(x[1])):  # the commonest marks first
         by_letters = defaultdict(list)
         for m in found:
@@ -64,10 +70,12 @@ def _composing() -> str:
             letters = "".join(x for x in LETTERS if len(unicodedata.normalize("NFKC", x + m)) == 1 and (x, m) != ("I", "̇"))
             if letters:
                 by_letters[letters].append(m)
-        others = [m for m in every if unicodedata.combining(m) != kind]
-        parts += [f"[{letters}](?={_class(own)}|{_class(others)}*+{_class(own)})" for letters, own in sorted(by_letters.items(), key=lambda x: (-len(x[0]), x[0]))]
-    # a look at the next character first, as most letters have no mark behind them
-    return r"(?=[A-Za-z]\p{M})(?:" + "|".join(parts) + ")"
+        others = _class([m for m in every if unicodedata.combining(m) != kind])
+        for letters, own in sorted(by_letters.items(), key=lambda x: (-len(x[0]), x[0])):
+            direct.append(f"[{letters}](?={_class(own)})")
+            behind.append(f"[{letters}](?={others}++{_class(own)})")
+    # looks at the next characters first: most letters have no mark behind them, most others have one
+    return f"(?=[A-Za-z]{MARK})(?:{'|'.join(direct)}|(?=.{MARK}{{2}})(?:{'|'.join(behind)}))"
 
 
 def _let(value: Column, then: Callable[[Column], Column]) -> Column:
@@ -80,12 +88,25 @@ def fold(text: Column) -> Column:
     table = F.create_map(*(F.lit(x) for pair in several.items() for x in pair))
 
     def spelt(one: Column) -> Column:
-        each = F.transform(F.regexp_extract_all(one, F.lit("(?s)."), F.lit(0)), lambda c: F.when(F.octet_length(c) == 1, c).otherwise(F.coalesce(table[c], c)))
-        return F.when(one.rlike(r"(?=[^\x00-\x7F])" + _class(list(several))), F.array_join(each, "")).otherwise(one)
+        # a look into the table for each different character only
+        found = F.array_distinct(F.regexp_extract_all(one, F.lit(r"(?=[^\x00-\x7F])" + _class(list(several))), F.lit(0)))
+        return F.aggregate(found, one, lambda so_far, c: F.replace(so_far, c, table[c]))
 
     def parted(two: Column) -> Column:
-        return F.when(two.rlike(r"[A-Za-z]\p{M}"), F.regexp_replace(two, _composing(), COMPOSED)).otherwise(two)
+        return F.when(two.rlike(f"[A-Za-z]{MARK}"), F.regexp_replace(two, _composing(), COMPOSED)).otherwise(two)
 
     done = _let(F.translate(text, "".join(single), "".join(single.values())), lambda one: _let(spelt(one), parted))
     # most texts are ASCII or nearly so; only others need any of this
     return F.lower(F.when(text.rlike(r"[^\x00-\x7F]"), done).otherwise(text))
+
+
+def words(text: Column) -> Column:
+    """The words of `text.word_set(fold(text))`. Only pieces with other than ASCII characters are folded, each once."""
+
+    def parts(pieces: Column) -> Column:
+        ascii = F.filter(pieces, lambda p: F.octet_length(p) == F.char_length(p))
+        others = F.filter(pieces, lambda p: F.octet_length(p) > F.char_length(p))
+        folded = F.split(fold(F.array_join(others, " ")), "[^a-z]+")
+        return F.array_remove(F.array_union(F.split(F.lower(F.array_join(ascii, " ")), " "), folded), "")
+
+    return _let(F.array_distinct(F.split(text, BREAK)), parts)

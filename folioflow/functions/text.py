@@ -37,7 +37,7 @@ def letters(text: Column) -> Column:
 
 
 def word_set(text: Column) -> Column:
-    """Distinct runs of a-z in the lower-cased text; give it `fold.fold` of texts that may hold ligatures."""
+    """Distinct runs of a-z in the lower-cased text; `fold.words` gives those of texts that may hold ligatures."""
     return F.array_distinct(F.array_remove(F.split(F.lower(text), r"[^a-z]+"), ""))
 
 

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..functions import fold
 from ..functions import text as T
 from ..functions import urls as U
-from ..functions.fold import fold
 from ..operators import classifier, containment, discovery, downloads, papers, report, responses, resultlog, snapshots
 from ..operators.discovery import Branch, Term
 from ..session import shared_dir
@@ -92,8 +92,8 @@ _WORDS = "list_distinct(regexp_extract_all(lower({}), '[a-z]+'))"
 
 @query(f"SELECT doc_id, CAST(len({_WORDS.format('text')}) AS INT) AS n, list_aggregate(list_sort({_WORDS.format('text')}), 'string_agg', ' ') AS words FROM documents WHERE regexp_matches(lower(text), '[a-z]')")
 def word_sets(v: Views) -> DataFrame:
-    words = T.word_set(F.col("text"))
-    return v.table("documents").where(F.lower("text").rlike("[a-z]")).select("doc_id", F.size(words).alias("n"), F.array_join(F.array_sort(words), " ").alias("words"))
+    sets = v.table("documents").where(F.lower("text").rlike("[a-z]")).select("doc_id", T.word_set(F.col("text")).alias("words"))
+    return sets.select("doc_id", F.size("words").alias("n"), F.array_join(F.sort_array("words"), " ").alias("words"))
 
 
 @query(f"SELECT doc_id, CAST(len({_WORDS.format('text')}) AS INT) AS n, sha256(coalesce(list_aggregate(list_sort({_WORDS.format('text')}), 'string_agg', ' '), '')) AS words_sha256 FROM documents")
@@ -102,8 +102,9 @@ def compatibility_words(v: Views) -> DataFrame:
     odd = F.col("text")
     for plain, coded in (("ffi", "\ufb03"), ("fi", "\ufb01"), ("the", "\uff54\uff48\uff45"), ("ss", "\u017fs"), ("\u00e9", "e\u0301"), ("\u00f1", "n\u0303"), ("\u00fc", "u\u0308"), ("on ", "o\U0001d427 ")):
         odd = F.replace(odd, F.lit(plain), F.lit(coded))
-    words = T.word_set(fold(odd))
-    return v.table("documents").select("doc_id", F.size(words).alias("n"), F.sha2(F.array_join(F.array_sort(words), " "), 256).alias("words_sha256"))
+    # sets in a step of their own: in one step, each of the two columns would make them
+    sets = v.table("documents").select("doc_id", fold.words(odd).alias("words"))
+    return sets.select("doc_id", F.size("words").alias("n"), F.sha2(F.array_join(F.sort_array("words"), " "), 256).alias("words_sha256"))
 
 
 _LONG = f"list_filter({_WORDS.format('abstract')}, lambda w: length(w) >= 5)"
