@@ -104,7 +104,7 @@ def compatibility_words(v: Views) -> DataFrame:
         odd = F.replace(odd, F.lit(plain), F.lit(coded))
     # sets in a step of their own: in one step, each of the two columns would make them
     sets = v.table("documents").select("doc_id", fold.words(odd).alias("words"))
-    return sets.select("doc_id", F.size("words").alias("n"), F.sha2(F.array_join(F.sort_array("words"), " "), 256).alias("words_sha256"))
+    return sets.select("doc_id", F.array_size("words").alias("n"), F.sha2(F.coalesce(F.array_join(F.sort_array("words"), " "), F.lit("")), 256).alias("words_sha256"))
 
 
 _LONG = f"list_filter({_WORDS.format('abstract')}, lambda w: length(w) >= 5)"

@@ -1,6 +1,7 @@
 import re
 import unicodedata
 
+import duckdb
 from folioflow.functions import fold
 from folioflow.functions import text as T
 from folioflow.plans import catalogue
@@ -79,3 +80,12 @@ def test_the_queries_make_each_set_once(spark):
     for name in ("compatibility_words", "word_sets"):
         plan = catalogue.QUERIES[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
         assert sum(len(re.findall(r"\(text#", line)) for line in plan.splitlines() if "Project" in line) == 1, name
+
+
+def test_rows_without_words_are_those_of_the_sql(spark, tmp_path):
+    path = f"{tmp_path}/documents.parquet"
+    spark.createDataFrame([(1, None), (2, ""), (3, "12 --"), (4, "Office the")], "doc_id long, text string").write.parquet(path)
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{path}/*.parquet'")
+    got = catalogue.QUERIES["compatibility_words"](spark, str(tmp_path)).orderBy("doc_id").collect()
+    assert [tuple(r) for r in got] == con.sql(catalogue.ORACLES["compatibility_words"] + " ORDER BY doc_id").fetchall()
